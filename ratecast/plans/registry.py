@@ -30,6 +30,7 @@ def _load() -> None:
     # Importing the modules runs their @register decorators.
     from ratecast.plans import (  # noqa: F401
         gridding_queries,
+        ticks_queries,
     )
 
 

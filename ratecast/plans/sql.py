@@ -69,3 +69,36 @@ def interp_ctes(src: str = "hourly", name: str = "interp", width: int = 3600, fi
 
 def with_(*ctes: str) -> str:
     return "WITH " + ", ".join(ctes) + " "
+
+
+def ieee_div(a: str, b: str) -> str:
+    return (f"(CASE WHEN ({a}) IS NULL OR ({b}) IS NULL THEN NULL WHEN ({b}) = 0 THEN "
+            f"(CASE WHEN ({a}) > 0 THEN 'Infinity'::DOUBLE WHEN ({a}) < 0 THEN '-Infinity'::DOUBLE "
+            f"ELSE 'NaN'::DOUBLE END) ELSE ({a}) / ({b}) END)")
+
+
+# Oracle form of the oracle_requests fixture: the rows the JSON path must yield,
+# computed straight from orders x lineitem (no JSON involved).
+REQ_LINES = (
+    "req_lines AS (SELECT o.o_orderkey, o.o_orderdate, l.l_linenumber, l.l_partkey, l.l_suppkey, "
+    "l.l_extendedprice FROM orders o JOIN lineitem l ON l.l_orderkey = o.o_orderkey)"
+)
+REQ_KEPT = (
+    "req_kept AS (SELECT * FROM req_lines WHERE o_orderkey % 5 = 3 AND o_orderkey % 11 <> 0)"
+)
+
+
+def viz_cte(name: str = "viz") -> str:
+    rate = ieee_div("l_extendedprice", "CASE WHEN o_orderkey % 13 = 0 THEN 0.0 ELSE 100.0 END")
+    return (
+        f"{REQ_LINES}, {REQ_KEPT}, "
+        f"{name} AS (SELECT o_orderdate AS block_timestamp, {tumble('o_orderdate', 3600)} AS block_timestamp_truncated, "
+        f"o_orderkey AS oracle_request_id, 'S' || CAST(l_suppkey AS VARCHAR) AS symbol, {rate} AS rate "
+        f"FROM req_kept WHERE o_orderkey % 7 <> 0)"
+    )
+
+
+def req_ticks_cte(src: str = "viz", name: str = "rticks", where: str | None = None) -> str:
+    w = f" WHERE {where}" if where else ""
+    return (f"{name} AS (SELECT block_timestamp_truncated AS \"timestamp\", CAST(oracle_request_id AS VARCHAR) AS request, "
+            f"symbol, rate, {date_str('block_timestamp_truncated')} AS date_str FROM {src}{w})")
