@@ -1,6 +1,7 @@
 from ratecast.functions.columns import (  # noqa: F401
     EPOCH_NTZ,
     date_str,
+    fixed_avg,
     epoch_seconds,
     from_epoch_seconds,
     ieee_divide,

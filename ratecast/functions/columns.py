@@ -130,3 +130,17 @@ def interpolate_or_fill(value: ColumnOrName, pos: ColumnOrName, prev: ColumnOrNa
         .when(prev.isNull() | next_.isNull(), dflt)
         .otherwise(linear_interpolate(pos, prev, next_))
     )
+
+
+def fixed_avg(c: ColumnOrName, digits: int = 6) -> Column:
+    """Average over values rounded to ``digits`` decimals, summed exactly.
+
+    A floating-point sum depends on the order rows arrive in, so the same
+    query can differ in its last bits between runs or partitionings. Summing
+    the values as whole multiples of 10^-digits in DECIMAL(38,0) makes the
+    result independent of order; the one division at the end is IEEE-exact.
+    """
+    c = _col(c)
+    scale = float(10 ** int(digits))
+    units = F.round(c * F.lit(scale)).cast("decimal(38,0)")
+    return F.sum(units).cast("double") / F.count(c).cast("double") / F.lit(scale)

@@ -31,6 +31,7 @@ def _load() -> None:
     from ratecast.plans import (  # noqa: F401
         gridding_queries,
         ticks_queries,
+        model_queries,
     )
 
 

@@ -102,3 +102,114 @@ def req_ticks_cte(src: str = "viz", name: str = "rticks", where: str | None = No
     w = f" WHERE {where}" if where else ""
     return (f"{name} AS (SELECT block_timestamp_truncated AS \"timestamp\", CAST(oracle_request_id AS VARCHAR) AS request, "
             f"symbol, rate, {date_str('block_timestamp_truncated')} AS date_str FROM {src}{w})")
+
+
+Z80 = "1.2815515655446004::DOUBLE"
+
+
+def train_ctes(src: str = "interp", name: str = "train") -> str:
+    """Holdout cut at max - 5 days, (symbol, ds, y), series with at least 3 rows."""
+    return (
+        f"{name}_cut AS (SELECT max(tumble) - INTERVAL 5 DAY AS c FROM {src}), "
+        f"{name}_0 AS (SELECT symbol, tumble AS ds, intrp AS y FROM {src} WHERE tumble <= (SELECT c FROM {name}_cut)), "
+        f"{name} AS (SELECT symbol, ds, y FROM (SELECT *, count(*) OVER (PARTITION BY symbol) AS n FROM {name}_0) "
+        f"WHERE n >= 3)"
+    )
+
+
+def future_cte(src: str = "train", name: str = "fut", periods: int = 120, step: int = 3600) -> str:
+    return (f"{name} AS (SELECT l.symbol, l.last + to_seconds(r.h * {int(step)}) AS ds, NULL::DOUBLE AS y "
+            f"FROM (SELECT symbol, max(ds) AS last FROM {src} GROUP BY symbol) l "
+            f"CROSS JOIN range(1, {int(periods) + 1}) AS r(h))")
+
+
+def seasonal_ctes(src: str = "train", name: str = "seas", periods: int = 120) -> str:
+    y = "y"
+    fut = ""
+    base = src
+    if periods > 0:
+        fut = future_cte(src, f"{name}_fut", periods) + ", "
+        base = f"(SELECT * FROM {src} UNION ALL SELECT * FROM {name}_fut)"
+    return (
+        fut +
+        f"{name}_1 AS (SELECT *, ({epoch_s('ds')} - {epoch_s('min(ds) OVER (PARTITION BY symbol)')}) / 3600.0::DOUBLE AS t "
+        f"FROM {base}), "
+        f"{name}_2 AS (SELECT *, regr_intercept({y}, t) OVER (PARTITION BY symbol) + "
+        f"regr_slope({y}, t) OVER (PARTITION BY symbol) * t AS trend FROM {name}_1), "
+        f"{name}_3 AS (SELECT *, coalesce(avg(CASE WHEN y IS NULL THEN NULL WHEN trend > 0 THEN y / trend "
+        f"ELSE 1.0::DOUBLE END) OVER (PARTITION BY symbol, hour(ds)), 1.0::DOUBLE) AS i_h FROM {name}_2), "
+        f"{name}_4 AS (SELECT *, coalesce(avg(CASE WHEN y IS NULL THEN NULL WHEN trend * i_h > 0 THEN y / (trend * i_h) "
+        f"ELSE 1.0::DOUBLE END) OVER (PARTITION BY symbol, dayofweek(ds)), 1.0::DOUBLE) AS i_d FROM {name}_3), "
+        f"{name}_5 AS (SELECT *, trend * i_h * i_d AS fitted FROM {name}_4), "
+        f"{name} AS (SELECT *, stddev_samp(y - fitted) OVER (PARTITION BY symbol) AS sd FROM {name}_5)"
+    )
+
+
+def forecast_cte(src: str = "seas", name: str = "fc") -> str:
+    return (f"{name} AS (SELECT symbol, ds, y, round(fitted, 6) AS yhat, round(fitted - {Z80} * sd, 6) AS yhat_lower, "
+            f"round(fitted + {Z80} * sd, 6) AS yhat_upper FROM {src})")
+
+
+def ar1_ctes(src: str = "train", name: str = "ar") -> str:
+    st = "(phi_raw IS NOT NULL AND abs(phi_raw) < 1 AND n >= 3)"
+    return (
+        f"{name}_lag AS (SELECT symbol, ds, y, lag(y) OVER (PARTITION BY symbol ORDER BY ds) AS x FROM {src}), "
+        f"{name}_p0 AS (SELECT symbol, regr_slope(y, x) AS phi_raw, regr_intercept(y, x) AS c_raw, "
+        f"CAST(regr_count(y, x) AS BIGINT) AS n, regr_sxx(y, x) AS sxx, regr_syy(y, x) AS syy, regr_sxy(y, x) AS sxy, "
+        f"avg(pow(y - x, 2)) AS rw_var, arg_max(y, ds) AS y_last, max(ds) AS ds_last FROM {name}_lag GROUP BY symbol), "
+        f"{name}_params AS (SELECT symbol, n, y_last, ds_last, "
+        f"CASE WHEN {st} THEN phi_raw ELSE 1.0::DOUBLE END AS phi, "
+        f"CASE WHEN {st} THEN c_raw ELSE 0.0::DOUBLE END AS c, "
+        f"CASE WHEN {st} THEN c_raw / (1.0::DOUBLE - phi_raw) END AS mu, "
+        f"CASE WHEN {st} THEN (syy - sxy * sxy / sxx) / (n - 2) ELSE rw_var END AS sigma2, "
+        f"{st} AS stationary FROM {name}_p0)"
+    )
+
+
+def explain_cte(params: str = "ar_params", src: str = "train", name: str = "xf", periods: int = 120) -> str:
+    point = "CASE WHEN stationary THEN mu + pow(phi, h) * (y_last - mu) ELSE y_last END"
+    var = ("CASE WHEN stationary THEN sigma2 * (1.0::DOUBLE - pow(phi, 2 * h)) / (1.0::DOUBLE - phi * phi) "
+           "ELSE sigma2 * h END")
+    return (
+        f"{name}_f AS (SELECT symbol, ds_last + to_seconds(CAST(r.h AS BIGINT) * 3600) AS time_series_timestamp, "
+        f"{point} AS pt, {Z80} * sqrt({var}) AS half FROM "
+        f"(SELECT *, CAST(h0 AS DOUBLE) AS h FROM {params} CROSS JOIN range(1, {int(periods) + 1}) AS r0(h0)) r), "
+        f"{name} AS (SELECT symbol, ds AS time_series_timestamp, y AS time_series_data, "
+        f"NULL::DOUBLE AS prediction_interval_lower_bound, NULL::DOUBLE AS prediction_interval_upper_bound FROM {src} "
+        f"UNION ALL SELECT symbol, time_series_timestamp, round(pt, 6), round(pt - half, 6), round(pt + half, 6) "
+        f"FROM {name}_f)"
+    )
+
+
+def fva_cte(fc: str = "fc", actual: str = "interp", name: str = "fva") -> str:
+    """Forecast LEFT JOIN actuals of (max(ds) - 5 days, max(ds)]."""
+    return (
+        f"{name} AS (SELECT p.symbol, p.ds, {date_str('p.ds')} AS date_str, p.y, p.yhat, p.yhat_lower, p.yhat_upper, "
+        f"b.intrp FROM {fc} p LEFT JOIN (SELECT * FROM {actual} WHERE tumble > "
+        f"(SELECT max(ds) - INTERVAL 5 DAY FROM {fc}) AND tumble <= (SELECT max(ds) FROM {fc})) b "
+        f"ON b.tumble = p.ds AND p.symbol = b.symbol)"
+    )
+
+
+def ava_cte(xf: str = "xf", actual: str = "interp", name: str = "ava") -> str:
+    ts = "time_series_timestamp"
+    cut = f"(SELECT max({ts}) - INTERVAL 5 DAY FROM {xf})"
+    return (
+        f"{name} AS (SELECT a.symbol, {ts}, {date_str(ts)} AS date_str, "
+        f"CASE WHEN {ts} <= {cut} THEN time_series_data END AS y, "
+        f"CASE WHEN {ts} > {cut} THEN time_series_data END AS yhat, "
+        f"prediction_interval_lower_bound AS yhat_lower, prediction_interval_upper_bound AS yhat_upper, b.intrp, "
+        f"time_series_data FROM {xf} a LEFT JOIN (SELECT * FROM {actual} WHERE tumble > {cut} "
+        f"AND tumble <= (SELECT max({ts}) FROM {xf})) b ON b.tumble = a.{ts} AND a.symbol = b.symbol)"
+    )
+
+
+def model_base(symbol: str = "user_id") -> list[str]:
+    """Ticks -> hourly -> interpolated table -> training frame."""
+    return [ticks_cte(symbol), hourly_cte(), interp_ctes(), train_ctes()]
+
+
+def fixed_avg(x: str, digits: int = 6) -> str:
+    scale = f"{10 ** digits}.0::DOUBLE"
+    return (f"(CAST(sum(CAST(round(({x}) * {scale}) AS DECIMAL(38,0))) AS DOUBLE) / "
+            f"CAST(count({x}) AS DOUBLE) / {scale})")

@@ -9,6 +9,7 @@ exactly (NaN equals NaN). Prints one line per query and a summary.
 from __future__ import annotations
 
 import argparse
+import datetime as dt
 import os
 import sys
 import time
@@ -41,8 +42,8 @@ def _plain(v):
         return {k: _plain(x) for k, x in v.asDict().items()}
     if isinstance(v, (list, tuple, np.ndarray)):
         return [_plain(x) for x in v]
-    if isinstance(v, (pd.Timestamp,)):
-        return v.isoformat()
+    if isinstance(v, (pd.Timestamp, dt.datetime, dt.date)):
+        return pd.Timestamp(v).isoformat()
     if isinstance(v, float) and np.isnan(v):
         return "nan"
     return v
@@ -69,7 +70,7 @@ def compare(a: pd.DataFrame, b: pd.DataFrame) -> str | None:
             xs, ys = x.astype(str).to_numpy(), y.astype(str).to_numpy()
             if not (xs == ys).all():
                 i = int(np.argmax(xs != ys))
-                return f"column {c}: {(xs != ys).sum()} values differ, e.g. {xs[i]!r} vs {ys[i]!r}"
+                return f"column {c}: {(xs != ys).sum()} values differ, e.g. {xs[i][:150]!r} vs {ys[i][:150]!r}"
     return None
 
 
