@@ -86,3 +86,76 @@ def q_linear_interpolate(spark, sf):
     """Only the hours filled on a line between two known neighbours (D3)."""
     out = G.interpolate_hourly(_hourly(spark, sf, "user_id"), fill=None, edge_flag=True)
     return out.filter(F.col("unfilled").isNull() & ~F.col("is_edge_fill")).select("symbol", "tumble", "intrp")
+
+
+# Fixed cut points that split `events` into the batch, stream and validation sources.
+MIDNIGHT_CUTS = ("2024-01-21 00:00:00", "2024-01-26 00:00:00")
+HALF_HOUR_CUTS = ("2024-01-21 12:30:00", "2024-01-26 12:30:00")
+
+
+def _three_sources(spark, sf, cuts, symbol="event_type"):
+    from ratecast.sources.slices import replay_slice
+    t = read_ticks(spark, sf, symbol)
+    a, b = cuts
+    parts = [t.filter(F.col("timestamp") < F.lit(a).cast("timestamp_ntz")),
+             replay_slice(t, a, b),
+             t.filter(F.col("timestamp") >= F.lit(b).cast("timestamp_ntz"))]
+    return G.hourly_union(*[G.hourly_mean(p) for p in parts])
+
+
+def _three_sources_sql(cuts, symbol="event_type") -> list[str]:
+    a, b = cuts
+    return [
+        S.ticks_cte(symbol, "t_batch", f"ts < TIMESTAMP '{a}'"),
+        S.ticks_cte(symbol, "t_stream", f"ts >= TIMESTAMP '{a}' AND ts < TIMESTAMP '{b}'"),
+        S.ticks_cte(symbol, "t_valid", f"ts >= TIMESTAMP '{b}'"),
+        S.hourly_cte("t_batch", "h_batch"), S.hourly_cte("t_stream", "h_stream"), S.hourly_cte("t_valid", "h_valid"),
+        "hourly AS (SELECT * FROM h_batch UNION ALL SELECT * FROM h_stream UNION ALL SELECT * FROM h_valid)",
+    ]
+
+
+@register("hourly_union", S.with_(*_three_sources_sql(MIDNIGHT_CUTS)) + "SELECT * FROM hourly")
+def q_hourly_union(spark, sf):
+    return _three_sources(spark, sf, MIDNIGHT_CUTS)
+
+
+@register("interpolate_union",
+          S.with_(*_three_sources_sql(MIDNIGHT_CUTS), S.interp_ctes()) + f"SELECT {T5} FROM interp")
+def q_interpolate_union(spark, sf):
+    """The scheduled job as written: three sources aggregated apart, unioned, gridded, filled."""
+    return G.interpolate_hourly(_three_sources(spark, sf, MIDNIGHT_CUTS))
+
+
+@register("interpolate_union_overlap",
+          S.with_(*_three_sources_sql(HALF_HOUR_CUTS), S.interp_ctes()) + f"SELECT {T5} FROM interp")
+def q_interpolate_union_overlap(spark, sf):
+    """Cuts inside an hour: that hour has one row per source and the grid join repeats it (Q1)."""
+    return G.interpolate_hourly(_three_sources(spark, sf, HALF_HOUR_CUTS))
+
+
+@register("dedupe_hours",
+          S.with_(*_three_sources_sql(HALF_HOUR_CUTS), S.interp_ctes()) +
+          "SELECT symbol, tumble, avg(intrp) AS intrp FROM interp GROUP BY symbol, tumble")
+def q_dedupe_hours(spark, sf):
+    return G.dedupe_hours(G.interpolate_hourly(_three_sources(spark, sf, HALF_HOUR_CUTS)))
+
+
+@register("sink_replace",
+          S.with_(S.ticks_cte(), S.hourly_cte(), S.interp_ctes()) + f"SELECT {T5} FROM interp")
+def q_sink_replace(spark, sf):
+    """``CREATE OR REPLACE TABLE batch_hour_interpo AS ...``: written twice, read back once (K1)."""
+    from ratecast.sources.sinks import sink_replace, table_dir
+    path = table_dir(spark, "batch_hour_interpo", fresh=True)
+    t5 = G.interpolate_hourly(_hourly(spark, sf))
+    sink_replace(t5, path)
+    return sink_replace(t5, path)
+
+
+@register("sink_append", S.with_(S.ticks_cte()) + "SELECT * FROM ticks UNION ALL SELECT * FROM ticks")
+def q_sink_append(spark, sf):
+    """``WRITE_APPEND``: two runs into one new table double its rows (K3)."""
+    from ratecast.sources.sinks import sink_append, table_dir
+    path = table_dir(spark, "ticks_appended", fresh=True)
+    t = scan_rates(read_ticks(spark, sf))
+    sink_append(t, path)
+    return sink_append(t, path)
