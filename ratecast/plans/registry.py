@@ -32,6 +32,7 @@ def _load() -> None:
         gridding_queries,
         ticks_queries,
         model_queries,
+        stream_queries,
     )
 
 
