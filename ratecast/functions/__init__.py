@@ -1,5 +1,5 @@
 from ratecast.functions.columns import (  # noqa: F401
-    EPOCH_NTZ,
+    epoch_ntz,
     date_str,
     fixed_avg,
     epoch_seconds,

@@ -12,7 +12,12 @@ from pyspark.sql import functions as F
 
 ColumnOrName = Column | str
 
-EPOCH_NTZ = F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
+
+
+def epoch_ntz() -> Column:
+    """``TIMESTAMP_NTZ '1970-01-01 00:00:00'`` (built on call: modules stay importable on workers)."""
+    return F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
+
 _MICROS = 1_000_000
 
 # Format of the `date_str` column: year month day hour minute second, no separators.
@@ -29,13 +34,13 @@ def epoch_seconds(ts: ColumnOrName) -> Column:
     Sub-second precision is floored (so 1969-12-31 23:59:59.5 -> -1), which is
     how UNIX_SECONDS behaves; ``timestamp_diff(SECOND)`` alone would truncate.
     """
-    us = F.timestamp_diff("MICROSECOND", EPOCH_NTZ, _col(ts))
+    us = F.timestamp_diff("MICROSECOND", epoch_ntz(), _col(ts))
     return ((us - F.pmod(us, F.lit(_MICROS))) / F.lit(_MICROS)).cast("long")
 
 
 def from_epoch_seconds(secs: ColumnOrName) -> Column:
     """Inverse of :func:`epoch_seconds`, giving TIMESTAMP_NTZ."""
-    return F.timestamp_add("SECOND", _col(secs), EPOCH_NTZ)
+    return F.timestamp_add("SECOND", _col(secs), epoch_ntz())
 
 
 def tumble_seconds(ts: ColumnOrName, width_seconds: int) -> Column:

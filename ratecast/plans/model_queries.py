@@ -311,3 +311,10 @@ def q_sink_json_records(spark, sf):
     """Detail rows written as JSON records and parsed back (K4)."""
     d = SV.serve_detail(_frames(spark, sf), "PROPHET", CURRENCIES, SERVE_START, SV.default_end(AS_OF))
     return sink_json_records(d, table_dir(spark, "serve_detail_json", fresh=True))
+
+
+@register("forecast_ar_auto")
+def q_forecast_ar_auto(spark, sf):
+    """Automatic order (p <= 5, d <= 2) per series; Python per group, so rows-only check (M5)."""
+    from ratecast.operators.ar_auto import forecast_ar_auto
+    return forecast_ar_auto(_train(_t5(spark, sf)))
