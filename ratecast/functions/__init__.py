@@ -1,5 +1,6 @@
 from ratecast.functions.columns import (  # noqa: F401
     epoch_ntz,
+    epoch_offset,
     date_str,
     fixed_avg,
     epoch_seconds,

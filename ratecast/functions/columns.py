@@ -18,7 +18,6 @@ def epoch_ntz() -> Column:
     """``TIMESTAMP_NTZ '1970-01-01 00:00:00'`` (built on call: modules stay importable on workers)."""
     return F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
 
-_MICROS = 1_000_000
 
 # Format of the `date_str` column: year month day hour minute second, no separators.
 DATE_STR_FORMAT = "yyyyMMddHHmmss"
@@ -28,14 +27,23 @@ def _col(c: ColumnOrName) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+def epoch_offset(ts: ColumnOrName) -> Column:
+    """Exact seconds since 1970-01-01 of a TIMESTAMP_NTZ, as DECIMAL(20,6).
+
+    NTZ minus NTZ is a plain DAY TO SECOND interval, independent of the session
+    time zone (``timestamp_diff`` on NTZ values is not: it goes through local
+    instants, which shifts wall times around a daylight-saving change).
+    """
+    return (_col(ts) - epoch_ntz()).cast("interval second").cast("decimal(20,6)")
+
+
 def epoch_seconds(ts: ColumnOrName) -> Column:
     """Whole seconds since 1970-01-01 of a TIMESTAMP_NTZ, rounded down.
 
     Sub-second precision is floored (so 1969-12-31 23:59:59.5 -> -1), which is
-    how UNIX_SECONDS behaves; ``timestamp_diff(SECOND)`` alone would truncate.
+    how UNIX_SECONDS behaves.
     """
-    us = F.timestamp_diff("MICROSECOND", epoch_ntz(), _col(ts))
-    return ((us - F.pmod(us, F.lit(_MICROS))) / F.lit(_MICROS)).cast("long")
+    return F.floor(epoch_offset(ts)).cast("long")
 
 
 def from_epoch_seconds(secs: ColumnOrName) -> Column:

@@ -108,7 +108,9 @@ def interpolate_dense(dense: DataFrame, fill: float | None = 0.0, symbol: str =
     both frames grow from the unbounded end (the "after" frame runs over the
     descending order), so each costs one pass over the sorted series. Ordering
     by the hour value with RANGE frames keeps duplicate hours (Q1) out of each
-    other's frames, and the struct order settles ties among them.
+    other's frames, and the struct order settles ties among them: seen from
+    later hours a duplicated hour counts with its larger mean, from earlier
+    hours with its smaller one (the reference leaves this unspecified).
     """
     pos = epoch_seconds("tumble")
     d = dense.withColumn("_pos", pos)

@@ -17,7 +17,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ratecast.functions import epoch_ntz, from_epoch_seconds
+from ratecast.functions import epoch_offset, from_epoch_seconds
 from ratecast.operators.gridding import hourly_mean, interpolate_hourly
 from ratecast.session import shared_dir
 
@@ -25,10 +25,10 @@ from ratecast.session import shared_dir
 def event_time(ts_ntz: str) -> F.Column:
     """TIMESTAMP (instant) of a TIMESTAMP_NTZ read as UTC wall time.
 
-    ``withWatermark`` rejects NTZ columns; this conversion goes through epoch
-    microseconds, so it does not depend on the session time zone.
+    ``withWatermark`` rejects NTZ columns; this conversion goes through the exact
+    epoch offset, so it does not depend on the session time zone.
     """
-    return F.timestamp_micros(F.timestamp_diff("MICROSECOND", epoch_ntz(), F.col(ts_ntz)))
+    return F.timestamp_seconds(epoch_offset(ts_ntz))
 
 
 def stream_hourly_mean(ticks: DataFrame, width: str = "1 hour", watermark: str = "2 hours",
