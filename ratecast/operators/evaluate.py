@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ratecast.functions import date_str
@@ -11,31 +11,39 @@ from ratecast.operators.training import HOLDOUT_DAYS, max_minus
 DIGITS = 6
 
 
+def _hi_lo(forecast: DataFrame, ts: str, days: int, hi: Column | None):
+    """Last forecast time and ``last - days``; ``hi`` may be passed in when it is
+    known without scanning the forecast (training end + horizon)."""
+    if hi is None:
+        return forecast.agg(F.max(ts)).scalar(), max_minus(forecast, ts, days)
+    return hi, hi - F.expr(f"INTERVAL {int(days)} DAYS")
+
+
 def forecast_window_filter(actual: DataFrame, forecast: DataFrame, ts: str = "ds",
-                           days: int = HOLDOUT_DAYS) -> DataFrame:
+                           days: int = HOLDOUT_DAYS, hi: Column | None = None) -> DataFrame:
     """Actual rows with ``max(ts) - days < tumble <= max(ts)`` of the forecast."""
-    hi = forecast.agg(F.max(ts)).scalar()
-    lo = max_minus(forecast, ts, days)
+    hi, lo = _hi_lo(forecast, ts, days, hi)
     return actual.filter((F.col("tumble") > lo) & (F.col("tumble") <= hi))
 
 
-def forecast_vs_actual(forecast: DataFrame, actual: DataFrame, days: int = HOLDOUT_DAYS) -> DataFrame:
+def forecast_vs_actual(forecast: DataFrame, actual: DataFrame, days: int = HOLDOUT_DAYS,
+                       hi: Column | None = None) -> DataFrame:
     """Forecast LEFT JOIN the actuals of the holdout window on (symbol, time).
 
     Output ``symbol, ds, date_str, y, yhat, yhat_lower, yhat_upper, intrp``.
     """
-    b = forecast_window_filter(actual, forecast, "ds", days).select(
+    b = forecast_window_filter(actual, forecast, "ds", days, hi).select(
         F.col("symbol").alias("_bsym"), F.col("tumble").alias("_bts"), "intrp")
     j = forecast.join(b, (forecast.symbol == b._bsym) & (forecast.ds == b._bts), "left")
     return j.select("symbol", "ds", date_str("ds").alias("date_str"), "y", "yhat", "yhat_lower", "yhat_upper",
                     "intrp")
 
 
-def forecast_vs_actual_split(forecast: DataFrame, actual: DataFrame, days: int = HOLDOUT_DAYS) -> DataFrame:
+def forecast_vs_actual_split(forecast: DataFrame, actual: DataFrame, days: int = HOLDOUT_DAYS,
+                             hi: Column | None = None) -> DataFrame:
     """Variant whose actual side is every hour up to ``max(ds)``; ``y`` and
     ``intrp`` are both taken from it, split at ``max(ds) - days`` (J5, P9)."""
-    hi = forecast.agg(F.max("ds")).scalar()
-    cut = max_minus(forecast, "ds", days)
+    hi, cut = _hi_lo(forecast, "ds", days, hi)
     b = actual.filter(F.col("tumble") <= hi).select(
         F.col("symbol").alias("_bsym"), F.col("tumble").alias("_bts"), F.col("intrp").alias("_bv"))
     j = forecast.join(b, (forecast.symbol == b._bsym) & (forecast.ds == b._bts), "left")
@@ -44,7 +52,8 @@ def forecast_vs_actual_split(forecast: DataFrame, actual: DataFrame, days: int =
                     F.when(F.col("_bts") > cut, F.col("_bv")).alias("intrp"))
 
 
-def arima_vs_actual(explained: DataFrame, actual: DataFrame, days: int = HOLDOUT_DAYS) -> DataFrame:
+def arima_vs_actual(explained: DataFrame, actual: DataFrame, days: int = HOLDOUT_DAYS,
+                    hi: Column | None = None) -> DataFrame:
     """Explain-forecast relation LEFT JOIN actuals of the holdout window.
 
     ``y`` = data up to ``max - days``, ``yhat`` = data after it; the unsplit
@@ -52,8 +61,8 @@ def arima_vs_actual(explained: DataFrame, actual: DataFrame, days: int = HOLDOUT
     once and reused by every subquery of the plan.
     """
     ts = "time_series_timestamp"
-    cut = max_minus(explained, ts, days)
-    b = forecast_window_filter(actual, explained, ts, days).select(
+    hi, cut = _hi_lo(explained, ts, days, hi)
+    b = forecast_window_filter(actual, explained, ts, days, hi).select(
         F.col("symbol").alias("_bsym"), F.col("tumble").alias("_bts"), "intrp")
     j = explained.join(b, (explained.symbol == b._bsym) & (F.col(ts) == b._bts), "left")
     return j.select(
@@ -70,10 +79,11 @@ def _rmse(a: str, b: str):
 
 
 def forecast_rmse(scored: DataFrame, ts: str = "ds", by_symbol: bool = False,
-                  days: int = HOLDOUT_DAYS) -> DataFrame:
+                  days: int = HOLDOUT_DAYS, hi: Column | None = None) -> DataFrame:
     """``SQRT(AVG(POWER(intrp - yhat, 2)))`` and the same against both band edges,
     over rows after ``max(ts) - days`` (A8); overall or per symbol."""
-    rows = scored.filter(F.col(ts) > max_minus(scored, ts, days))
+    _, lo = _hi_lo(scored, ts, days, hi)
+    rows = scored.filter(F.col(ts) > lo)
     aggs = [_rmse("intrp", "yhat").alias("rmse"), _rmse("intrp", "yhat_upper").alias("rmse_upper"),
             _rmse("intrp", "yhat_lower").alias("rmse_lower"), F.count("intrp").alias("n")]
     return rows.groupBy("symbol").agg(*aggs) if by_symbol else rows.agg(*aggs)

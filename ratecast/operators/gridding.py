@@ -8,7 +8,8 @@ Physical shape of :func:`interpolate_hourly` (checked with ``explain``):
 * the hourly rows are then hash-partitioned on ``symbol`` once; the grid is
   generated from the distinct symbols (already partitioned on ``symbol``) with
   ``explode(sequence(lo, hi))`` whose bounds are one merged scalar subquery, so
-  the left join and both neighbour windows run without another exchange;
+  the left join and the neighbour window (one sort, lag/lead) run without
+  another exchange;
 * a series holds one row per grid hour, so tick skew never reaches the windows.
 """
 
@@ -103,22 +104,23 @@ def interpolate_dense(dense: DataFrame, fill: float | None = 0.0, symbol: str =
     """Fill each empty hour of a densified frame.
 
     A row is a known point when the left join matched (``count`` not NULL), even
-    if its mean is NULL (Q11). The previous known point is the greatest
-    ``(x, y)`` strictly before the hour, the next one the least strictly after;
-    both frames grow from the unbounded end (the "after" frame runs over the
-    descending order), so each costs one pass over the sorted series. Ordering
-    by the hour value with RANGE frames keeps duplicate hours (Q1) out of each
-    other's frames, and the struct order settles ties among them: seen from
-    later hours a duplicated hour counts with its larger mean, from earlier
-    hours with its smaller one (the reference leaves this unspecified).
+    if its mean is NULL (Q11). Its neighbours are the nearest known points
+    before and after it: ``lag`` / ``lead`` of the point ignoring NULLs, both
+    over one ascending sort of the series, so the pair costs a single sort and
+    a single pass (a frame "1 following .. unbounded following" would be
+    re-aggregated for every row).
+
+    Duplicate hours (Q1) sort by mean, NULL first: seen from later hours a
+    duplicated hour counts with its larger mean, from earlier hours with its
+    smaller one (the reference leaves the choice unspecified). An empty hour is
+    never duplicated, so its neighbours always lie at other hours.
     """
-    pos = epoch_seconds("tumble")
-    d = dense.withColumn("_pos", pos)
+    d = dense.withColumn("_pos", epoch_seconds("tumble"))
     coord = F.when(F.col("count").isNotNull(), F.struct(F.col("_pos").alias("x"), F.col("mean").alias("y")))
-    w_prev = Window.partitionBy(symbol).orderBy(F.col("_pos").asc()).rangeBetween(Window.unboundedPreceding, -1)
-    w_next = Window.partitionBy(symbol).orderBy(F.col("_pos").desc()).rangeBetween(Window.unboundedPreceding, -1)
+    w = Window.partitionBy(symbol).orderBy(F.col("_pos").asc(), F.col("mean").asc_nulls_first())
     d = d.withColumn("_coord", coord)
-    d = d.withColumn("_prev", F.max("_coord").over(w_prev)).withColumn("_next", F.min("_coord").over(w_next))
+    d = d.select("*", F.expr("lag(_coord, 1) IGNORE NULLS").over(w).alias("_prev"),
+                 F.expr("lead(_coord, 1) IGNORE NULLS").over(w).alias("_next"))
     cols = [
         F.col(symbol).alias("symbol"),
         F.col("tumble"),

@@ -16,15 +16,22 @@ def max_minus(df: DataFrame, ts: str, days: int) -> Column:
     return df.agg(F.max(ts)).scalar() - F.expr(f"INTERVAL {int(days)} DAYS")
 
 
-def holdout_cut(df: DataFrame, ts: str = "tumble", days: int = HOLDOUT_DAYS) -> DataFrame:
-    """Rows with ``ts <= max(ts) - days`` (P7, M3); the cut is a runtime scalar subquery."""
-    return df.filter(F.col(ts) <= max_minus(df, ts, days))
+def holdout_cut(df: DataFrame, ts: str = "tumble", days: int = HOLDOUT_DAYS,
+                cut: Column | None = None) -> DataFrame:
+    """Rows with ``ts <= max(ts) - days`` (P7, M3); the cut is a runtime scalar subquery.
+
+    ``cut`` may be given as a scalar Column computed from a smaller frame with
+    the same maximum (the hourly table bounds the grid), so the subquery does
+    not re-plan the whole upstream chain.
+    """
+    cut = max_minus(df, ts, days) if cut is None else cut
+    return df.filter(F.col(ts) <= cut)
 
 
 def split_actual_holdout(df: DataFrame, value: str = "intrp", ts: str = "tumble",
-                         days: int = HOLDOUT_DAYS) -> DataFrame:
+                         days: int = HOLDOUT_DAYS, cut: Column | None = None) -> DataFrame:
     """``IF(ts <= cut, v, NULL) AS y`` and ``IF(ts > cut, v, NULL) AS holdout``."""
-    cut = max_minus(df, ts, days)
+    cut = max_minus(df, ts, days) if cut is None else cut
     return df.select("symbol", ts, F.when(F.col(ts) <= cut, F.col(value)).alias("y"),
                      F.when(F.col(ts) > cut, F.col(value)).alias("holdout"))
 

@@ -17,7 +17,7 @@ from ratecast.operators import training as TR
 from ratecast.plans import sql as S
 from ratecast.plans.registry import register
 from ratecast.sources.fixtures import read_ticks
-from ratecast.sources.sinks import sink_json_records, sink_replace, table_dir
+from ratecast.sources.sinks import materialize, sink_json_records, sink_replace, table_dir
 from ratecast.sources.slices import replay_slice
 from ratecast.sources.tables import read_table
 
@@ -33,8 +33,29 @@ SERVE_END = "2024-01-28"
 CURRENCIES = ["7", "42", "99"]
 
 
+class _Stage:
+    """The scheduled job's tables for one series key, plus the scalar bounds.
+
+    The hourly aggregate is stored once (a checkpoint in the shared folder): the
+    grid bounds, the grid's symbols and the join all read it, and the ticks are
+    scanned once. The holdout cut and the forecast end are scalar subqueries on
+    that small table: ``max(T5.tumble)`` equals ``max(hourly.tumble)`` because
+    the grid spans exactly the hourly bounds, and the last forecast time is the
+    training end plus the horizon.
+    """
+
+    def __init__(self, spark, sf, symbol="user_id", store_t5=True):
+        self.hourly = materialize(G.hourly_mean(read_ticks(spark, sf, symbol)))
+        t5 = G.interpolate_hourly(self.hourly)
+        self.t5 = materialize(t5) if store_t5 else t5
+        last = self.hourly.agg(F.max("tumble")).scalar()
+        self.cut = last - F.expr(f"INTERVAL {TR.HOLDOUT_DAYS} DAYS")
+        self.hi = self.cut + F.expr(f"INTERVAL {TR.HORIZON_HOURS} HOURS")
+        self.train = TR.series_min_length(TR.to_training_frame(TR.holdout_cut(self.t5, cut=self.cut)))
+
+
 def _t5(spark, sf, symbol="user_id"):
-    return G.interpolate_hourly(G.hourly_mean(read_ticks(spark, sf, symbol)))
+    return _Stage(spark, sf, symbol, store_t5=False).t5
 
 
 def _train(t5):
@@ -42,25 +63,26 @@ def _train(t5):
 
 
 def _seasonal(spark, sf):
-    t5 = _t5(spark, sf)
-    return t5, M.forecast_seasonal(_train(t5))
+    st = _Stage(spark, sf)
+    return st, M.forecast_seasonal(st.train)
 
 
 def _ar(spark, sf):
-    t5 = _t5(spark, sf)
-    return t5, M.forecast_ar1(_train(t5))
+    st = _Stage(spark, sf)
+    return st, M.forecast_ar1(st.train)
 
 
 def _frames(spark, sf):
-    t5 = _t5(spark, sf)
-    tr = _train(t5)
-    return {"PROPHET": E.forecast_vs_actual(M.forecast_seasonal(tr), t5),
-            "ARIMA": E.arima_vs_actual(M.forecast_ar1(tr), t5)}
+    """Forecast tables of both models, each joined with the actuals."""
+    st = _Stage(spark, sf)
+    return {"PROPHET": E.forecast_vs_actual(M.forecast_seasonal(st.train), st.t5, hi=st.hi),
+            "ARIMA": E.arima_vs_actual(M.forecast_ar1(st.train), st.t5, hi=st.hi)}, st
 
 
 @register("holdout_cut", S.with_(*BASE) + f"SELECT {T5} FROM interp WHERE tumble <= (SELECT c FROM train_cut)")
 def q_holdout_cut(spark, sf):
-    return TR.holdout_cut(_t5(spark, sf))
+    st = _Stage(spark, sf, store_t5=False)
+    return TR.holdout_cut(st.t5, cut=st.cut)
 
 
 @register("scan_training", S.with_(*BASE) + f"SELECT {T5} FROM interp WHERE tumble <= (SELECT c FROM train_cut)")
@@ -80,7 +102,7 @@ def q_scan_symbol_ordered(spark, sf):
 
 @register("to_training_frame", S.with_(*BASE) + "SELECT * FROM train")
 def q_to_training_frame(spark, sf):
-    return _train(_t5(spark, sf))
+    return _Stage(spark, sf, store_t5=False).train
 
 
 @register("series_min_length",
@@ -104,7 +126,7 @@ def q_collect_series(spark, sf):
           S.with_(*BASE, S.future_cte()) +
           "SELECT symbol, ds, false AS is_future FROM train UNION ALL SELECT symbol, ds, true FROM fut")
 def q_forecast_horizon(spark, sf):
-    return TR.forecast_horizon(_train(_t5(spark, sf)))
+    return TR.forecast_horizon(_Stage(spark, sf, store_t5=False).train)
 
 
 @register("attach_history",
@@ -113,7 +135,7 @@ def q_forecast_horizon(spark, sf):
           "LEFT JOIN train t ON t.symbol = h.symbol AND t.ds = h.ds")
 def q_attach_history(spark, sf):
     """Horizon rows merged with the training values on (symbol, ds), never by position."""
-    tr = _train(_t5(spark, sf))
+    tr = _Stage(spark, sf, store_t5=False).train
     h = TR.forecast_horizon(tr).select("symbol", "ds")
     return h.join(tr, ["symbol", "ds"], "left").select("symbol", "ds", "y")
 
@@ -147,7 +169,7 @@ def q_forecast_seasonal(spark, sf):
           "SELECT symbol, ds, y, round(trend, 6) AS trend, round(i_h * i_d, 6) AS seasonal, "
           "round(y - fitted, 6) AS remainder FROM seas WHERE y IS NOT NULL")
 def q_decompose(spark, sf):
-    return M.decompose(_train(_t5(spark, sf)))
+    return M.decompose(_Stage(spark, sf, store_t5=False).train)
 
 
 @register("forecast_ar1", S.with_(*BASE, *AR) + "SELECT * FROM xf")
@@ -161,7 +183,7 @@ def q_forecast_ar1(spark, sf):
           "round(sigma2, 6) AS sigma2, stationary FROM ar_params")
 def q_model_table(spark, sf):
     """Per-series AR(1) parameters written as a table, replaced on each run (K5)."""
-    p = M.ar1_params(_train(_t5(spark, sf)))
+    p = M.ar1_params(_Stage(spark, sf, store_t5=False).train)
     t = sink_replace(p, table_dir(spark, "ar1_model", fresh=True))
     return t.select("symbol", "n", "y_last", "ds_last", *[F.round(c, 6).alias(c) for c in ("phi", "c", "mu", "sigma2")],
                     "stationary")
@@ -172,14 +194,14 @@ def q_model_table(spark, sf):
           f"SELECT {T5} FROM interp WHERE tumble > (SELECT max(ds) - INTERVAL 5 DAY FROM fc) "
           "AND tumble <= (SELECT max(ds) FROM fc)")
 def q_forecast_window_filter(spark, sf):
-    t5, fc = _seasonal(spark, sf)
-    return E.forecast_window_filter(t5, fc)
+    st, fc = _seasonal(spark, sf)
+    return E.forecast_window_filter(st.t5, fc, hi=st.hi)
 
 
 @register("forecast_vs_actual", S.with_(*BASE, *SEAS, S.fva_cte()) + "SELECT * FROM fva")
 def q_forecast_vs_actual(spark, sf):
-    t5, fc = _seasonal(spark, sf)
-    return E.forecast_vs_actual(fc, t5)
+    st, fc = _seasonal(spark, sf)
+    return E.forecast_vs_actual(fc, st.t5, hi=st.hi)
 
 
 @register("forecast_vs_actual_split",
@@ -190,15 +212,15 @@ def q_forecast_vs_actual(spark, sf):
           "FROM fc s LEFT JOIN (SELECT * FROM interp WHERE tumble <= (SELECT max(ds) FROM fc)) b "
           "ON b.tumble = s.ds AND s.symbol = b.symbol")
 def q_forecast_vs_actual_split(spark, sf):
-    t5, fc = _seasonal(spark, sf)
-    return E.forecast_vs_actual_split(fc, t5)
+    st, fc = _seasonal(spark, sf)
+    return E.forecast_vs_actual_split(fc, st.t5, hi=st.hi)
 
 
 @register("arima_vs_actual", S.with_(*BASE, *AR, S.ava_cte()) +
           "SELECT symbol, time_series_timestamp, date_str, y, yhat, yhat_lower, yhat_upper, intrp FROM ava")
 def q_arima_vs_actual(spark, sf):
-    t5, xf = _ar(spark, sf)
-    return E.arima_vs_actual(xf, t5).drop("time_series_data")
+    st, xf = _ar(spark, sf)
+    return E.arima_vs_actual(xf, st.t5, hi=st.hi).drop("time_series_data")
 
 
 @register("split_actual_holdout",
@@ -206,7 +228,8 @@ def q_arima_vs_actual(spark, sf):
           "SELECT symbol, tumble, CASE WHEN tumble <= (SELECT c FROM train_cut) THEN intrp END AS y, "
           "CASE WHEN tumble > (SELECT c FROM train_cut) THEN intrp END AS holdout FROM interp")
 def q_split_actual_holdout(spark, sf):
-    return TR.split_actual_holdout(_t5(spark, sf))
+    st = _Stage(spark, sf, store_t5=False)
+    return TR.split_actual_holdout(st.t5, cut=st.cut)
 
 
 def _rmse_sql(src: str, ts: str, model: str, by_symbol: bool) -> str:
@@ -218,9 +241,9 @@ def _rmse_sql(src: str, ts: str, model: str, by_symbol: bool) -> str:
 
 
 def _rmse_spark(spark, sf, by_symbol):
-    fr = _frames(spark, sf)
-    a = E.forecast_rmse(fr["PROPHET"], "ds", by_symbol).withColumn("model", F.lit("PROPHET"))
-    b = E.forecast_rmse(fr["ARIMA"], "time_series_timestamp", by_symbol).withColumn("model", F.lit("ARIMA"))
+    fr, st = _frames(spark, sf)
+    a = E.forecast_rmse(fr["PROPHET"], "ds", by_symbol, hi=st.hi).withColumn("model", F.lit("PROPHET"))
+    b = E.forecast_rmse(fr["ARIMA"], "time_series_timestamp", by_symbol, hi=st.hi).withColumn("model", F.lit("ARIMA"))
     return a.unionByName(b)
 
 
@@ -247,7 +270,7 @@ def q_forecast_report(spark, sf):
           + ", ".join(f"{S.fixed_avg(c)} AS avg_{c}" for c in ("y", "yhat", "yhat_lower", "yhat_upper", "intrp"))
           + " FROM fva GROUP BY 1")
 def q_dashboard_hourly(spark, sf):
-    return E.dashboard_hourly(_frames(spark, sf)["PROPHET"])
+    return E.dashboard_hourly(_frames(spark, sf)[0]["PROPHET"])
 
 
 @register("symbol_list", S.with_(*BASE) + "SELECT DISTINCT symbol FROM interp ORDER BY symbol")
@@ -258,7 +281,7 @@ def q_symbol_list(spark, sf):
 @register("datestr_range",
           S.with_(*BASE, *SEAS, S.fva_cte()) + "SELECT * FROM fva WHERE CAST(date_str AS BIGINT) >= 20240125000000")
 def q_datestr_range(spark, sf):
-    return TR.datestr_range(_frames(spark, sf)["PROPHET"], 20240125000000)
+    return TR.datestr_range(_frames(spark, sf)[0]["PROPHET"], 20240125000000)
 
 
 def _serve_where(ts: str, currencies) -> str:
@@ -271,7 +294,7 @@ def _serve_where(ts: str, currencies) -> str:
 @register("serve_detail",
           S.with_(*BASE, *SEAS, S.fva_cte()) + f"SELECT * FROM fva WHERE {_serve_where('ds', CURRENCIES)}")
 def q_serve_detail(spark, sf):
-    return SV.serve_detail(_frames(spark, sf), "PROPHET", CURRENCIES, SERVE_START, SV.default_end(AS_OF))
+    return SV.serve_detail(_frames(spark, sf)[0], "PROPHET", CURRENCIES, SERVE_START, SV.default_end(AS_OF))
 
 
 @register("serve_detail_arima",
@@ -279,14 +302,14 @@ def q_serve_detail(spark, sf):
           "SELECT symbol, time_series_timestamp, date_str, y, yhat, yhat_lower, yhat_upper, intrp FROM ava "
           f"WHERE {_serve_where('time_series_timestamp', None)}")
 def q_serve_detail_arima(spark, sf):
-    return SV.serve_detail(_frames(spark, sf), "ARIMA", None, SERVE_START, SV.default_end(AS_OF))
+    return SV.serve_detail(_frames(spark, sf)[0], "ARIMA", None, SERVE_START, SV.default_end(AS_OF))
 
 
 @register("serve_stat",
           S.with_(*BASE, *SEAS, S.fva_cte()) +
           f"SELECT symbol, {S.fixed_avg('y')} AS \"AVG\" FROM fva WHERE {_serve_where('ds', CURRENCIES)} GROUP BY symbol ORDER BY symbol")
 def q_serve_stat(spark, sf):
-    return SV.serve_stat(_frames(spark, sf), "AVG", "PROPHET", CURRENCIES, SERVE_START, SV.default_end(AS_OF))
+    return SV.serve_stat(_frames(spark, sf)[0], "AVG", "PROPHET", CURRENCIES, SERVE_START, SV.default_end(AS_OF))
 
 
 @register("serve_stat_arima",
@@ -294,7 +317,7 @@ def q_serve_stat(spark, sf):
           f"SELECT symbol, max(time_series_data) AS \"MAX\" FROM ava WHERE {_serve_where('time_series_timestamp', None)} "
           "GROUP BY symbol ORDER BY symbol")
 def q_serve_stat_arima(spark, sf):
-    return SV.serve_stat(_frames(spark, sf), "MAX", "ARIMA", None, SERVE_START, SV.default_end(AS_OF))
+    return SV.serve_stat(_frames(spark, sf)[0], "MAX", "ARIMA", None, SERVE_START, SV.default_end(AS_OF))
 
 
 @register("serve_stat_one_currency",
@@ -302,14 +325,14 @@ def q_serve_stat_arima(spark, sf):
           f"SELECT symbol, min(y) AS \"MIN\" FROM fva WHERE {_serve_where('ds', ['42'])} GROUP BY symbol ORDER BY symbol")
 def q_serve_stat_one_currency(spark, sf):
     """One currency: a one-element list, no trailing-comma tuple text (Q4)."""
-    return SV.serve_stat(_frames(spark, sf), "MIN", "PROPHET", ["42"], SERVE_START, SV.default_end(AS_OF))
+    return SV.serve_stat(_frames(spark, sf)[0], "MIN", "PROPHET", ["42"], SERVE_START, SV.default_end(AS_OF))
 
 
 @register("sink_json_records",
           S.with_(*BASE, *SEAS, S.fva_cte()) + f"SELECT * FROM fva WHERE {_serve_where('ds', CURRENCIES)}")
 def q_sink_json_records(spark, sf):
     """Detail rows written as JSON records and parsed back (K4)."""
-    d = SV.serve_detail(_frames(spark, sf), "PROPHET", CURRENCIES, SERVE_START, SV.default_end(AS_OF))
+    d = SV.serve_detail(_frames(spark, sf)[0], "PROPHET", CURRENCIES, SERVE_START, SV.default_end(AS_OF))
     return sink_json_records(d, table_dir(spark, "serve_detail_json", fresh=True))
 
 
@@ -317,4 +340,4 @@ def q_sink_json_records(spark, sf):
 def q_forecast_ar_auto(spark, sf):
     """Automatic order (p <= 5, d <= 2) per series; Python per group, so rows-only check (M5)."""
     from ratecast.operators.ar_auto import forecast_ar_auto
-    return forecast_ar_auto(_train(_t5(spark, sf)))
+    return forecast_ar_auto(_Stage(spark, sf).train)

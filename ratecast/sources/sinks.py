@@ -53,3 +53,17 @@ def sink_json_records(df: DataFrame, path: str) -> DataFrame:
     """
     df.write.mode("overwrite").json(path)
     return df.sparkSession.read.schema(df.schema).json(path)
+
+
+def materialize(df: DataFrame) -> DataFrame:
+    """Cut the lineage of a stage's output with a reliable checkpoint.
+
+    The data goes to the session's shared folder (``spark.checkpoint.dir``), so
+    a lost executor does not force a recompute from the ticks, and scalar
+    subqueries over the result (bounds, holdout cut, forecast end) scan this
+    stored result instead of re-planning everything upstream. The checkpoint
+    keeps the frame's partitioning, so per-symbol windows downstream add no
+    exchange.
+    """
+    shared_dir(df.sparkSession)
+    return df.checkpoint(eager=True)

@@ -8,7 +8,7 @@ SF = "/root/testdata/sf0.001"
 
 @pytest.fixture(scope="module")
 def frames(spark):
-    return {k: v.cache() for k, v in _frames(spark, SF).items()}
+    return {k: v.cache() for k, v in _frames(spark, SF)[0].items()}
 
 
 def test_unknown_model_and_stat(frames):
