@@ -29,42 +29,64 @@ def _r(c: Column) -> Column:
 
 
 def _with_future(train: DataFrame, periods: int, step_seconds: int) -> DataFrame:
-    """Training rows plus ``periods`` future buckets per symbol with ``y`` NULL."""
+    """Training rows plus ``periods`` future buckets per symbol with ``y`` NULL.
+
+    The last row of each series (latest time; one row even if that time is
+    duplicated) is exploded into itself plus the future buckets, so the training
+    frame is read once and stays on its per-symbol sort.
+    """
+    base = train.select("symbol", "ds", "y")
     if periods <= 0:
-        return train.select("symbol", "ds", "y")
-    last = train.groupBy("symbol").agg(F.max("ds").alias("_last"))
-    fut = last.select("symbol", F.explode(F.sequence(F.lit(1), F.lit(int(periods)))).alias("_h"), "_last").select(
+        return base
+    w = Window.partitionBy("symbol").orderBy(F.col("ds").desc(), F.col("y").desc_nulls_last())
+    marked = base.withColumn("_rn", F.row_number().over(w))
+    steps = F.when(F.col("_rn") == 1, F.sequence(F.lit(0), F.lit(int(periods)))).otherwise(F.array(F.lit(0)))
+    f = marked.select("symbol", "ds", "y", F.explode(steps).alias("_h"))
+    return f.select(
         "symbol",
-        F.timestamp_add("SECOND", F.col("_h").cast("long") * int(step_seconds), F.col("_last")).alias("ds"),
-        F.lit(None).cast("double").alias("y"))
-    return train.select("symbol", "ds", "y").unionByName(fut)
+        F.timestamp_add("SECOND", F.col("_h").cast("long") * int(step_seconds), F.col("ds")).alias("ds"),
+        F.when(F.col("_h") == 0, F.col("y")).alias("y"))
+
+
+def _indexed_avg(ratio: Column, key: Column, n: int, w: Window) -> Column:
+    """``avg(ratio)`` over the rows of the series sharing this row's ``key`` (0..n-1).
+
+    Spelled as ``n`` conditional averages over the one per-symbol window, so
+    the series is not re-sorted by (symbol, key); a key never seen gives NULL.
+    """
+    per_key = [F.avg(F.when(key == k, ratio)).over(w) for k in range(n)]
+    return F.element_at(F.array(*per_key), key + 1)
 
 
 def seasonal_components(train: DataFrame, periods: int = HORIZON_HOURS, step_seconds: int = 3600) -> DataFrame:
     """Trend, hour-of-day and weekday indices of each series (M1, M6).
 
-    * ``t`` = hours since the series' first time; ``trend = b + m t`` with
-      ``m, b = regr_slope/regr_intercept(y, t)``;
+    * ``T`` = hours since 1970; ``trend = avg(y) + m (T - avg(T))`` with
+      ``m = regr_slope(y, T)`` (the regression line in centred form);
     * ``i_h`` = mean of ``y / trend`` over the series' rows at that hour of day
       (ratio 1 where ``trend <= 0``), ``i_d`` the same on ``y / (trend i_h)``
-      over the day of week; an hour or weekday never seen in training gets 1;
+      over the day of week (0 = Sunday); an hour or weekday never seen in
+      training gets 1;
     * ``fitted = trend i_h i_d`` (multiplicative), ``sd`` = sample standard
       deviation of ``y - fitted`` over training rows.
 
     Rows with NULL ``y`` (the future, or a NULL value) are skipped by every
-    aggregate, so the same windows fit the history and score the horizon.
+    aggregate, so the same windows fit the history and score the horizon. All
+    windows are per symbol with no order: one sort of the clustered series.
     """
     f = _with_future(train, periods, step_seconds)
     sym = Window.partitionBy("symbol")
     y = F.col("y")
-    f = f.withColumn("t", (epoch_seconds("ds") - epoch_seconds(F.min("ds").over(sym))) / F.lit(3600.0))
-    f = f.withColumn("trend", F.regr_intercept(y, F.col("t")).over(sym)
-                     + F.regr_slope(y, F.col("t")).over(sym) * F.col("t"))
-    r1 = F.when(y.isNull(), F.lit(None).cast("double")).when(F.col("trend") > 0, y / F.col("trend")).otherwise(F.lit(1.0))
-    f = f.withColumn("i_h", F.coalesce(F.avg(r1).over(Window.partitionBy("symbol", F.hour("ds"))), F.lit(1.0)))
+    f = f.withColumn("t", epoch_seconds("ds") / F.lit(3600.0))
+    f = f.withColumn("trend", F.avg(y).over(sym)
+                     + F.regr_slope(y, F.col("t")).over(sym)
+                     * (F.col("t") - F.avg(F.when(y.isNotNull(), F.col("t"))).over(sym)))
+    r1 = F.when(y.isNull(), F.lit(None).cast("double")).when(F.col("trend") > 0, y / F.col("trend")) \
+        .otherwise(F.lit(1.0))
+    f = f.withColumn("i_h", F.coalesce(_indexed_avg(r1, F.hour("ds"), 24, sym), F.lit(1.0)))
     base = F.col("trend") * F.col("i_h")
     r2 = F.when(y.isNull(), F.lit(None).cast("double")).when(base > 0, y / base).otherwise(F.lit(1.0))
-    f = f.withColumn("i_d", F.coalesce(F.avg(r2).over(Window.partitionBy("symbol", F.dayofweek("ds"))), F.lit(1.0)))
+    f = f.withColumn("i_d", F.coalesce(_indexed_avg(r2, F.dayofweek("ds") - 1, 7, sym), F.lit(1.0)))
     f = f.withColumn("fitted", F.col("trend") * F.col("i_h") * F.col("i_d"))
     return f.withColumn("sd", F.stddev_samp(y - F.col("fitted")).over(sym))
 

@@ -62,13 +62,16 @@ def adjust_rates(zipped: DataFrame) -> DataFrame:
                          ieee_divide("rate", "multiplier").alias("rate"))
 
 
-def viz_rates(req: DataFrame) -> DataFrame:
+def viz_rates(req: DataFrame, ordered: bool = False) -> DataFrame:
     """The visualisation query: scan, parse, zip, rescale (S2 -> A11 -> J1 -> F7).
 
     The rate stays DOUBLE (the reference renders it as text; text of a double
-    differs between engines, so the value is kept exact).
+    differs between engines, so the value is kept exact). ``ordered`` adds the
+    display order, newest hour first (O1): a range-partitioned sort, so leave it
+    off when the result feeds a table or another operator.
     """
-    return adjust_rates(unnest_rates(parse_oracle_json(scan_oracle_requests(req))))
+    out = adjust_rates(unnest_rates(parse_oracle_json(scan_oracle_requests(req))))
+    return out.orderBy(F.col("block_timestamp_truncated").desc()) if ordered else out
 
 
 def ticks(adjusted: DataFrame) -> DataFrame:

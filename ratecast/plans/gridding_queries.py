@@ -147,8 +147,9 @@ def q_sink_replace(spark, sf):
     from ratecast.sources.sinks import sink_replace, table_dir
     path = table_dir(spark, "batch_hour_interpo", fresh=True)
     t5 = G.interpolate_hourly(_hourly(spark, sf))
-    sink_replace(t5, path)
-    return sink_replace(t5, path)
+    layout = dict(cluster_by="symbol", sort_within=[F.col("symbol"), F.col("tumble").desc()])
+    sink_replace(t5, path, **layout)
+    return sink_replace(t5, path, **layout)
 
 
 @register("sink_append", S.with_(S.ticks_cte()) + "SELECT * FROM ticks UNION ALL SELECT * FROM ticks")

@@ -62,13 +62,13 @@ def _train(t5):
     return TR.series_min_length(TR.to_training_frame(TR.holdout_cut(t5)))
 
 
-def _seasonal(spark, sf):
-    st = _Stage(spark, sf)
+def _seasonal(spark, sf, store_t5=True):
+    st = _Stage(spark, sf, store_t5=store_t5)
     return st, M.forecast_seasonal(st.train)
 
 
-def _ar(spark, sf):
-    st = _Stage(spark, sf)
+def _ar(spark, sf, store_t5=True):
+    st = _Stage(spark, sf, store_t5=store_t5)
     return st, M.forecast_ar1(st.train)
 
 
@@ -161,7 +161,7 @@ def q_nan_to_null(spark, sf):
 
 @register("forecast_seasonal", S.with_(*BASE, *SEAS) + "SELECT * FROM fc")
 def q_forecast_seasonal(spark, sf):
-    return _seasonal(spark, sf)[1]
+    return _seasonal(spark, sf, store_t5=False)[1]
 
 
 @register("decompose",
@@ -174,7 +174,7 @@ def q_decompose(spark, sf):
 
 @register("forecast_ar1", S.with_(*BASE, *AR) + "SELECT * FROM xf")
 def q_forecast_ar1(spark, sf):
-    return _ar(spark, sf)[1]
+    return _ar(spark, sf, store_t5=False)[1]
 
 
 @register("model_table",
@@ -340,4 +340,4 @@ def q_sink_json_records(spark, sf):
 def q_forecast_ar_auto(spark, sf):
     """Automatic order (p <= 5, d <= 2) per series; Python per group, so rows-only check (M5)."""
     from ratecast.operators.ar_auto import forecast_ar_auto
-    return forecast_ar_auto(_Stage(spark, sf).train)
+    return forecast_ar_auto(_Stage(spark, sf, store_t5=False).train)

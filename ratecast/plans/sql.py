@@ -132,10 +132,9 @@ def seasonal_ctes(src: str = "train", name: str = "seas", periods: int = 120) ->
         base = f"(SELECT * FROM {src} UNION ALL SELECT * FROM {name}_fut)"
     return (
         fut +
-        f"{name}_1 AS (SELECT *, ({epoch_s('ds')} - {epoch_s('min(ds) OVER (PARTITION BY symbol)')}) / 3600.0::DOUBLE AS t "
-        f"FROM {base}), "
-        f"{name}_2 AS (SELECT *, regr_intercept({y}, t) OVER (PARTITION BY symbol) + "
-        f"regr_slope({y}, t) OVER (PARTITION BY symbol) * t AS trend FROM {name}_1), "
+        f"{name}_1 AS (SELECT *, {epoch_s('ds')} / 3600.0::DOUBLE AS t FROM {base}), "
+        f"{name}_2 AS (SELECT *, avg({y}) OVER (PARTITION BY symbol) + regr_slope({y}, t) OVER (PARTITION BY symbol) "
+        f"* (t - avg(CASE WHEN y IS NOT NULL THEN t END) OVER (PARTITION BY symbol)) AS trend FROM {name}_1), "
         f"{name}_3 AS (SELECT *, coalesce(avg(CASE WHEN y IS NULL THEN NULL WHEN trend > 0 THEN y / trend "
         f"ELSE 1.0::DOUBLE END) OVER (PARTITION BY symbol, hour(ds)), 1.0::DOUBLE) AS i_h FROM {name}_2), "
         f"{name}_4 AS (SELECT *, coalesce(avg(CASE WHEN y IS NULL THEN NULL WHEN trend * i_h > 0 THEN y / (trend * i_h) "

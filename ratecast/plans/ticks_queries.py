@@ -61,9 +61,9 @@ def q_unnest_rates(spark, sf):
     return T.unnest_rates(T.parse_oracle_json(T.scan_oracle_requests(oracle_requests(spark, sf))))
 
 
-@register("viz_rates", S.with_(S.viz_cte()) + "SELECT * FROM viz")
+@register("viz_rates", S.with_(S.viz_cte()) + "SELECT * FROM viz ORDER BY block_timestamp_truncated DESC")
 def q_viz_rates(spark, sf):
-    return _viz(spark, sf)
+    return T.viz_rates(oracle_requests(spark, sf), ordered=True)
 
 
 @register("ticks", S.with_(S.viz_cte(), S.req_ticks_cte()) + "SELECT * FROM rticks")

@@ -21,12 +21,20 @@ def table_dir(spark: SparkSession, name: str, fresh: bool = False) -> str:
     return f"{base}/tables/{name}{suffix}"
 
 
-def sink_replace(df: DataFrame, path: str, partition_by: list[str] | None = None) -> DataFrame:
+def sink_replace(df: DataFrame, path: str, partition_by: list[str] | None = None,
+                 cluster_by: str | None = None, sort_within: list | None = None) -> DataFrame:
     """``CREATE OR REPLACE TABLE ... AS SELECT`` (K1, K2): overwrite, then read back.
 
-    No global ``ORDER BY`` before the write: ordering a table costs a range
-    shuffle and is not kept by readers anyway.
+    No global ``ORDER BY`` before the write: ordering a whole table costs a
+    range shuffle and is not kept by readers anyway. A layout is given instead
+    by ``cluster_by`` (hash-partition on a key, e.g. ``symbol``) and
+    ``sort_within`` (order inside each file), as for the interpolated table's
+    ``symbol, tumble DESC`` (O2).
     """
+    if cluster_by:
+        df = df.repartition(cluster_by)
+    if sort_within:
+        df = df.sortWithinPartitions(*sort_within)
     w = df.write.mode("overwrite")
     if partition_by:
         w = w.partitionBy(*partition_by)
