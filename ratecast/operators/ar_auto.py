@@ -122,4 +122,7 @@ def forecast_ar_auto(train: DataFrame, periods: int = HORIZON_HOURS, step_second
             out[c] = out[c].astype("float64")
         return out
 
-    return train.select("symbol", "ds", "y").groupBy("symbol").applyInPandas(per_symbol, EXPLAIN_SCHEMA)
+    n = int(train.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    # explicit count: AQE would pack small-looking groups into very few Python tasks
+    rows = train.select("symbol", "ds", "y").repartition(n, "symbol")
+    return rows.groupBy("symbol").applyInPandas(per_symbol, EXPLAIN_SCHEMA)
