@@ -28,6 +28,17 @@ def _r(c: Column) -> Column:
     return F.round(c, DIGITS)
 
 
+def cluster_series(df: DataFrame) -> DataFrame:
+    """Cluster rows on ``symbol`` over ``spark.sql.shuffle.partitions`` partitions.
+
+    A no-op when the frame is already so partitioned (Spark drops the shuffle);
+    otherwise an explicit count keeps AQE from packing the window-heavy fit,
+    whose cost is per row rather than per byte, into a few tasks.
+    """
+    n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return df.repartition(n, "symbol")
+
+
 def _with_future(train: DataFrame, periods: int, step_seconds: int) -> DataFrame:
     """Training rows plus ``periods`` future buckets per symbol with ``y`` NULL.
 
@@ -35,7 +46,7 @@ def _with_future(train: DataFrame, periods: int, step_seconds: int) -> DataFrame
     duplicated) is exploded into itself plus the future buckets, so the training
     frame is read once and stays on its per-symbol sort.
     """
-    base = train.select("symbol", "ds", "y")
+    base = cluster_series(train.select("symbol", "ds", "y"))
     if periods <= 0:
         return base
     w = Window.partitionBy("symbol").orderBy(F.col("ds").desc(), F.col("y").desc_nulls_last())
@@ -124,7 +135,7 @@ def ar1_params(train: DataFrame) -> DataFrame:
     reuses that clustering.
     """
     w = Window.partitionBy("symbol").orderBy("ds")
-    lagged = train.select("symbol", "ds", "y").withColumn("x", F.lag("y").over(w))
+    lagged = cluster_series(train.select("symbol", "ds", "y")).withColumn("x", F.lag("y").over(w))
     y, x = F.col("y"), F.col("x")
     p = lagged.groupBy("symbol").agg(
         F.regr_slope(y, x).alias("phi_raw"), F.regr_intercept(y, x).alias("c_raw"),

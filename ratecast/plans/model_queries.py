@@ -36,15 +36,18 @@ CURRENCIES = ["7", "42", "99"]
 class _Stage:
     """The scheduled job's tables for one series key, plus the scalar bounds.
 
-    The hourly aggregate is stored once (a checkpoint in the shared folder): the
-    grid bounds, the grid's symbols and the join all read it, and the ticks are
-    scanned once. The holdout cut and the forecast end are scalar subqueries on
+    The hourly aggregate is stored once (a checkpoint in the shared folder):
+    the interpolation, its bounds and the cut all read it, and the ticks are
+    scanned once. The interpolated table is recomputed from it where it is used
+    (one shuffle of the hourly rows, cheaper than storing and re-reading the
+    larger dense table) unless ``store_t5`` asks for it to be kept. The holdout
+    cut and the forecast end are scalar subqueries on
     that small table: ``max(T5.tumble)`` equals ``max(hourly.tumble)`` because
     the grid spans exactly the hourly bounds, and the last forecast time is the
     training end plus the horizon.
     """
 
-    def __init__(self, spark, sf, symbol="user_id", store_t5=True):
+    def __init__(self, spark, sf, symbol="user_id", store_t5=False):
         self.hourly = materialize(G.hourly_mean(read_ticks(spark, sf, symbol)))
         t5 = G.interpolate_hourly(self.hourly)
         self.t5 = materialize(t5) if store_t5 else t5
@@ -62,12 +65,12 @@ def _train(t5):
     return TR.series_min_length(TR.to_training_frame(TR.holdout_cut(t5)))
 
 
-def _seasonal(spark, sf, store_t5=True):
+def _seasonal(spark, sf, store_t5=False):
     st = _Stage(spark, sf, store_t5=store_t5)
     return st, M.forecast_seasonal(st.train)
 
 
-def _ar(spark, sf, store_t5=True):
+def _ar(spark, sf, store_t5=False):
     st = _Stage(spark, sf, store_t5=store_t5)
     return st, M.forecast_ar1(st.train)
 
