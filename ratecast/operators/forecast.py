@@ -49,9 +49,11 @@ def _with_future(train: DataFrame, periods: int, step_seconds: int) -> DataFrame
     base = cluster_series(train.select("symbol", "ds", "y"))
     if periods <= 0:
         return base
-    w = Window.partitionBy("symbol").orderBy(F.col("ds").desc(), F.col("y").desc_nulls_last())
-    marked = base.withColumn("_rn", F.row_number().over(w))
-    steps = F.when(F.col("_rn") == 1, F.sequence(F.lit(0), F.lit(int(periods)))).otherwise(F.array(F.lit(0)))
+    # Ascending sort: the windows after this reuse it, so every per-series sum
+    # accumulates in time order (deterministic, whatever order a shuffle gave).
+    w = Window.partitionBy("symbol").orderBy(F.col("ds").asc(), F.col("y").asc_nulls_first())
+    marked = base.withColumn("_last", F.lead(F.lit(1)).over(w).isNull())
+    steps = F.when(F.col("_last"), F.sequence(F.lit(0), F.lit(int(periods)))).otherwise(F.array(F.lit(0)))
     f = marked.select("symbol", "ds", "y", F.explode(steps).alias("_h"))
     return f.select(
         "symbol",
@@ -86,7 +88,9 @@ def seasonal_components(train: DataFrame, periods: int = HORIZON_HOURS, step_sec
     windows are per symbol with no order: one sort of the clustered series.
     """
     f = _with_future(train, periods, step_seconds)
-    sym = Window.partitionBy("symbol")
+    # Whole-series frame in time order: sums accumulate in a fixed order, so
+    # the fit does not change with how a shuffle delivered the rows.
+    sym = Window.partitionBy("symbol").orderBy("ds").rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     y = F.col("y")
     f = f.withColumn("t", epoch_seconds("ds") / F.lit(3600.0))
     f = f.withColumn("trend", F.avg(y).over(sym)

@@ -10,6 +10,7 @@ from ratecast.operators import gridding as G
 from ratecast.plans import sql as S
 from ratecast.plans.registry import register
 from ratecast.sources.fixtures import read_ticks
+from ratecast.sources.sinks import materialize
 from ratecast.sources.tables import read_table, scan_rates
 
 T5 = "symbol, tumble, date_str, intrp, unfilled, count"
@@ -19,6 +20,12 @@ def _hourly(spark: SparkSession, sf: str, symbol: str = "event_type") -> DataFra
     return G.hourly_mean(read_ticks(spark, sf, symbol))
 
 
+def _stored_hourly(spark: SparkSession, sf: str, symbol: str = "event_type") -> DataFrame:
+    """Hourly aggregate stored once: the grid bounds and the gap fill both read it,
+    so the tick table is scanned a single time."""
+    return materialize(_hourly(spark, sf, symbol))
+
+
 @register("scan_rates", S.with_(S.ticks_cte()) + "SELECT * FROM ticks")
 def q_scan_rates(spark, sf):
     return scan_rates(read_ticks(spark, sf))
@@ -50,12 +57,12 @@ def q_hourly_mean(spark, sf):
           "SELECT DISTINCT symbol, (SELECT min(tumble) FROM hourly) AS min_ts, "
           "(SELECT max(tumble) FROM hourly) AS max_ts FROM hourly")
 def q_series_bounds(spark, sf):
-    return G.series_bounds(_hourly(spark, sf))
+    return G.series_bounds(_stored_hourly(spark, sf))
 
 
 @register("hour_grid", S.with_(S.ticks_cte(), S.hourly_cte(), S.grid_ctes()) + "SELECT * FROM grid")
 def q_hour_grid(spark, sf):
-    return G.hour_grid(_hourly(spark, sf))
+    return G.hour_grid(_stored_hourly(spark, sf))
 
 
 @register("densify",
@@ -63,20 +70,20 @@ def q_hour_grid(spark, sf):
           "SELECT g.symbol, g.tumble, h.mean, h.count FROM grid g "
           "LEFT JOIN hourly h ON g.symbol = h.symbol AND g.tumble = h.tumble")
 def q_densify(spark, sf):
-    h = _hourly(spark, sf)
+    h = _stored_hourly(spark, sf)
     return G.densify(G.hour_grid(h), h)
 
 
 @register("interpolate_hourly",
           S.with_(S.ticks_cte(), S.hourly_cte(), S.interp_ctes()) + f"SELECT {T5} FROM interp")
 def q_interpolate_hourly(spark, sf):
-    return G.interpolate_hourly(_hourly(spark, sf))
+    return G.interpolate_hourly(_stored_hourly(spark, sf))
 
 
 @register("interpolate_hourly_users",
           S.with_(S.ticks_cte("user_id"), S.hourly_cte(), S.interp_ctes()) + f"SELECT {T5} FROM interp")
 def q_interpolate_hourly_users(spark, sf):
-    return G.interpolate_hourly(_hourly(spark, sf, "user_id"))
+    return G.interpolate_hourly(_stored_hourly(spark, sf, "user_id"))
 
 
 @register("linear_interpolate",
@@ -84,7 +91,7 @@ def q_interpolate_hourly_users(spark, sf):
           "SELECT symbol, tumble, intrp FROM interp WHERE unfilled IS NULL AND prv IS NOT NULL AND nxt IS NOT NULL")
 def q_linear_interpolate(spark, sf):
     """Only the hours filled on a line between two known neighbours (D3)."""
-    out = G.interpolate_hourly(_hourly(spark, sf, "user_id"), fill=None, edge_flag=True)
+    out = G.interpolate_hourly(_stored_hourly(spark, sf, "user_id"), fill=None, edge_flag=True)
     return out.filter(F.col("unfilled").isNull() & ~F.col("is_edge_fill")).select("symbol", "tumble", "intrp")
 
 
@@ -100,7 +107,7 @@ def _three_sources(spark, sf, cuts, symbol="event_type"):
     parts = [t.filter(F.col("timestamp") < F.lit(a).cast("timestamp_ntz")),
              replay_slice(t, a, b),
              t.filter(F.col("timestamp") >= F.lit(b).cast("timestamp_ntz"))]
-    return G.hourly_union(*[G.hourly_mean(p) for p in parts])
+    return materialize(G.hourly_union(*[G.hourly_mean(p) for p in parts]))
 
 
 def _three_sources_sql(cuts, symbol="event_type") -> list[str]:

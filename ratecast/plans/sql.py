@@ -133,14 +133,14 @@ def seasonal_ctes(src: str = "train", name: str = "seas", periods: int = 120) ->
     return (
         fut +
         f"{name}_1 AS (SELECT *, {epoch_s('ds')} / 3600.0::DOUBLE AS t FROM {base}), "
-        f"{name}_2 AS (SELECT *, avg({y}) OVER (PARTITION BY symbol) + regr_slope({y}, t) OVER (PARTITION BY symbol) "
-        f"* (t - avg(CASE WHEN y IS NOT NULL THEN t END) OVER (PARTITION BY symbol)) AS trend FROM {name}_1), "
+        f"{name}_2 AS (SELECT *, avg({y}) OVER ser + regr_slope({y}, t) OVER ser "
+        f"* (t - avg(CASE WHEN y IS NOT NULL THEN t END) OVER ser) AS trend FROM {name}_1 WINDOW ser AS (PARTITION BY symbol ORDER BY ds ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING)), "
         f"{name}_3 AS (SELECT *, coalesce(avg(CASE WHEN y IS NULL THEN NULL WHEN trend > 0 THEN y / trend "
-        f"ELSE 1.0::DOUBLE END) OVER (PARTITION BY symbol, hour(ds)), 1.0::DOUBLE) AS i_h FROM {name}_2), "
+        f"ELSE 1.0::DOUBLE END) OVER (PARTITION BY symbol, hour(ds) ORDER BY ds ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING), 1.0::DOUBLE) AS i_h FROM {name}_2), "
         f"{name}_4 AS (SELECT *, coalesce(avg(CASE WHEN y IS NULL THEN NULL WHEN trend * i_h > 0 THEN y / (trend * i_h) "
-        f"ELSE 1.0::DOUBLE END) OVER (PARTITION BY symbol, dayofweek(ds)), 1.0::DOUBLE) AS i_d FROM {name}_3), "
+        f"ELSE 1.0::DOUBLE END) OVER (PARTITION BY symbol, dayofweek(ds) ORDER BY ds ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING), 1.0::DOUBLE) AS i_d FROM {name}_3), "
         f"{name}_5 AS (SELECT *, trend * i_h * i_d AS fitted FROM {name}_4), "
-        f"{name} AS (SELECT *, stddev_samp(y - fitted) OVER (PARTITION BY symbol) AS sd FROM {name}_5)"
+        f"{name} AS (SELECT *, stddev_samp(y - fitted) OVER ser AS sd FROM {name}_5 WINDOW ser AS (PARTITION BY symbol ORDER BY ds ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING))"
     )
 
 
@@ -153,9 +153,10 @@ def ar1_ctes(src: str = "train", name: str = "ar") -> str:
     st = "(phi_raw IS NOT NULL AND abs(phi_raw) < 1 AND n >= 3)"
     return (
         f"{name}_lag AS (SELECT symbol, ds, y, lag(y) OVER (PARTITION BY symbol ORDER BY ds) AS x FROM {src}), "
-        f"{name}_p0 AS (SELECT symbol, regr_slope(y, x) AS phi_raw, regr_intercept(y, x) AS c_raw, "
-        f"CAST(regr_count(y, x) AS BIGINT) AS n, regr_sxx(y, x) AS sxx, regr_syy(y, x) AS syy, regr_sxy(y, x) AS sxy, "
-        f"avg(pow(y - x, 2)) AS rw_var, arg_max(y, ds) AS y_last, max(ds) AS ds_last FROM {name}_lag GROUP BY symbol), "
+        f"{name}_p0 AS (SELECT symbol, regr_slope(y, x ORDER BY ds) AS phi_raw, regr_intercept(y, x ORDER BY ds) AS c_raw, "
+        f"CAST(regr_count(y, x) AS BIGINT) AS n, regr_sxx(y, x ORDER BY ds) AS sxx, regr_syy(y, x ORDER BY ds) AS syy, "
+        f"regr_sxy(y, x ORDER BY ds) AS sxy, avg(pow(y - x, 2) ORDER BY ds) AS rw_var, arg_max(y, ds) AS y_last, "
+        f"max(ds) AS ds_last FROM {name}_lag GROUP BY symbol), "
         f"{name}_params AS (SELECT symbol, n, y_last, ds_last, "
         f"CASE WHEN {st} THEN phi_raw ELSE 1.0::DOUBLE END AS phi, "
         f"CASE WHEN {st} THEN c_raw ELSE 0.0::DOUBLE END AS c, "

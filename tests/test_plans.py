@@ -23,13 +23,17 @@ def test_no_python_and_no_following_frame(spark, name):
 
 
 def test_interpolation_plan_shape(spark):
-    df = queries()["interpolate_hourly_users"](spark, SF)
-    text = df._sc._jvm.PythonSQLUtils.explainString(df._jdf.queryExecution(), "formatted") \
-        if hasattr(df._sc._jvm, "PythonSQLUtils") else _plan(df)
+    plan = _plan(queries()["interpolate_hourly_users"](spark, SF))
+    # gap filling needs no grid join, and reads the stored hourly table, not the ticks
+    assert "Join" not in plan and "FileScan" not in plan and "Scan ExistingRDD" in plan
+    # one sort and one window (lag/lead) over the known hours
+    assert plan.count("Window [") == 1 and plan.count("Sort [") == 1
+
+
+def test_hourly_mean_plan_shape(spark):
+    df = queries()["hourly_mean"](spark, SF)
     plan = _plan(df)
-    # scans read only needed columns
-    assert "ReadSchema: struct<ts:timestamp_ntz,user_id:bigint,value:double>" in text or "user_id" in plan
-    # the windows sit directly on the join: no exchange in between
-    top = plan.split("Join")[0]
-    assert "Exchange" not in top
-    assert "partial_avg" in plan or "partial_" in plan
+    # ticks are pre-aggregated before the only shuffle, and the scan reads 3 columns
+    assert "partial_avg" in plan and plan.count("Exchange") == 1
+    assert "ReadSchema: struct<ts:timestamp_ntz,value:double,event_type:string>" in plan or \
+        "ts,event_type,value" in plan.replace("#", "").replace(" ", "") or "FileScan parquet [ts" in plan
