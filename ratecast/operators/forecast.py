@@ -61,14 +61,16 @@ def _with_future(train: DataFrame, periods: int, step_seconds: int) -> DataFrame
         F.when(F.col("_h") == 0, F.col("y")).alias("y"))
 
 
-def _indexed_avg(ratio: Column, key: Column, n: int, w: Window) -> Column:
-    """``avg(ratio)`` over the rows of the series sharing this row's ``key`` (0..n-1).
-
-    Spelled as ``n`` conditional averages over the one per-symbol window, so
-    the series is not re-sorted by (symbol, key); a key never seen gives NULL.
+def _series_window(*keys) -> Window:
+    """Whole frame of the rows sharing ``keys``, in time order.
+
+    Sums accumulate in a fixed order, so the fit does not change with how a
+    shuffle delivered the rows. The frame is clustered on ``symbol``, which
+    also clusters (symbol, hour) and (symbol, weekday): those windows only
+    re-sort inside each partition (measured cheaper than spelling the 24 hour
+    means as conditional aggregates over one window).
     """
-    per_key = [F.avg(F.when(key == k, ratio)).over(w) for k in range(n)]
-    return F.element_at(F.array(*per_key), key + 1)
+    return Window.partitionBy(*keys).orderBy("ds").rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
 
 
 def seasonal_components(train: DataFrame, periods: int = HORIZON_HOURS, step_seconds: int = 3600) -> DataFrame:
@@ -78,19 +80,16 @@ def seasonal_components(train: DataFrame, periods: int = HORIZON_HOURS, step_sec
       ``m = regr_slope(y, T)`` (the regression line in centred form);
     * ``i_h`` = mean of ``y / trend`` over the series' rows at that hour of day
       (ratio 1 where ``trend <= 0``), ``i_d`` the same on ``y / (trend i_h)``
-      over the day of week (0 = Sunday); an hour or weekday never seen in
-      training gets 1;
+      over the day of week; an hour or weekday never seen in training gets 1;
     * ``fitted = trend i_h i_d`` (multiplicative), ``sd`` = sample standard
       deviation of ``y - fitted`` over training rows.
 
     Rows with NULL ``y`` (the future, or a NULL value) are skipped by every
-    aggregate, so the same windows fit the history and score the horizon. All
-    windows are per symbol with no order: one sort of the clustered series.
+    aggregate, so the same windows fit the history and score the horizon.
+    After one clustering on ``symbol`` there is no further exchange.
     """
     f = _with_future(train, periods, step_seconds)
-    # Whole-series frame in time order: sums accumulate in a fixed order, so
-    # the fit does not change with how a shuffle delivered the rows.
-    sym = Window.partitionBy("symbol").orderBy("ds").rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    sym = _series_window("symbol")
     y = F.col("y")
     f = f.withColumn("t", epoch_seconds("ds") / F.lit(3600.0))
     f = f.withColumn("trend", F.avg(y).over(sym)
@@ -98,10 +97,10 @@ def seasonal_components(train: DataFrame, periods: int = HORIZON_HOURS, step_sec
                      * (F.col("t") - F.avg(F.when(y.isNotNull(), F.col("t"))).over(sym)))
     r1 = F.when(y.isNull(), F.lit(None).cast("double")).when(F.col("trend") > 0, y / F.col("trend")) \
         .otherwise(F.lit(1.0))
-    f = f.withColumn("i_h", F.coalesce(_indexed_avg(r1, F.hour("ds"), 24, sym), F.lit(1.0)))
+    f = f.withColumn("i_h", F.coalesce(F.avg(r1).over(_series_window("symbol", F.hour("ds"))), F.lit(1.0)))
     base = F.col("trend") * F.col("i_h")
     r2 = F.when(y.isNull(), F.lit(None).cast("double")).when(base > 0, y / base).otherwise(F.lit(1.0))
-    f = f.withColumn("i_d", F.coalesce(_indexed_avg(r2, F.dayofweek("ds") - 1, 7, sym), F.lit(1.0)))
+    f = f.withColumn("i_d", F.coalesce(F.avg(r2).over(_series_window("symbol", F.dayofweek("ds"))), F.lit(1.0)))
     f = f.withColumn("fitted", F.col("trend") * F.col("i_h") * F.col("i_d"))
     return f.withColumn("sd", F.stddev_samp(y - F.col("fitted")).over(sym))
 
