@@ -127,28 +127,29 @@ def decompose(train: DataFrame) -> DataFrame:
                     _r(F.col("y") - F.col("fitted")).alias("remainder"))
 
 
-def ar1_params(train: DataFrame) -> DataFrame:
-    """AR(1) fit per symbol (M4, the model table T10).
-
-    ``x = lag(y)``; ``phi, c = regr_slope/regr_intercept(y, x)``; residual
-    variance ``sigma2 = SSE / (n - 2)`` with ``SSE = Syy - Sxy^2 / Sxx``.
-    A series whose fit is not stationary (``|phi| >= 1``, no fit, or
-    ``n < 3``) is a random walk: ``phi = 1`` and ``sigma2 = mean((y - x)^2)``.
-    The lag window clusters the frame on ``symbol``; the aggregate that follows
-    reuses that clustering.
+def _ar1_frame(train: DataFrame) -> DataFrame:
+    """Training rows with ``x = lag(y)``, a last-row flag and the AR(1) fit of the series.
+
+    ``phi, c = regr_slope/regr_intercept(y, x)``; residual variance
+    ``sigma2 = SSE / (n - 2)`` with ``SSE = Syy - Sxy^2 / Sxx``. A series whose
+    fit is not stationary (``|phi| >= 1``, no fit, or ``n < 3``) is a random
+    walk: ``phi = 1`` and ``sigma2 = mean((y - x)^2)``. All statistics are
+    time-ordered whole-series windows over one clustering on ``symbol``.
     """
-    w = Window.partitionBy("symbol").orderBy("ds")
-    lagged = cluster_series(train.select("symbol", "ds", "y")).withColumn("x", F.lag("y").over(w))
+    w = Window.partitionBy("symbol").orderBy(F.col("ds").asc(), F.col("y").asc_nulls_first())
+    f = cluster_series(train.select("symbol", "ds", "y"))
+    f = f.withColumn("x", F.lag("y").over(w)).withColumn("_last", F.lead(F.lit(1)).over(w).isNull())
+    full = _series_window("symbol")
     y, x = F.col("y"), F.col("x")
-    p = lagged.groupBy("symbol").agg(
-        F.regr_slope(y, x).alias("phi_raw"), F.regr_intercept(y, x).alias("c_raw"),
-        F.regr_count(y, x).alias("n"), F.regr_sxx(y, x).alias("sxx"), F.regr_syy(y, x).alias("syy"),
-        F.regr_sxy(y, x).alias("sxy"), F.avg(F.pow(y - x, 2)).alias("rw_var"),
-        F.max_by(y, F.col("ds")).alias("y_last"), F.max("ds").alias("ds_last"))
+    f = f.select("*",
+                 F.regr_slope(y, x).over(full).alias("phi_raw"), F.regr_intercept(y, x).over(full).alias("c_raw"),
+                 F.regr_count(y, x).over(full).alias("n"), F.regr_sxx(y, x).over(full).alias("sxx"),
+                 F.regr_syy(y, x).over(full).alias("syy"), F.regr_sxy(y, x).over(full).alias("sxy"),
+                 F.avg(F.pow(y - x, 2)).over(full).alias("rw_var"))
     stationary = F.col("phi_raw").isNotNull() & (F.abs(F.col("phi_raw")) < 1) & (F.col("n") >= 3)
     sse = F.col("syy") - F.col("sxy") * F.col("sxy") / F.col("sxx")
-    return p.select(
-        "symbol", "n", "y_last", "ds_last",
+    return f.select(
+        "symbol", "ds", "y", "_last", "n",
         F.when(stationary, F.col("phi_raw")).otherwise(F.lit(1.0)).alias("phi"),
         F.when(stationary, F.col("c_raw")).otherwise(F.lit(0.0)).alias("c"),
         F.when(stationary, F.col("c_raw") / (F.lit(1.0) - F.col("phi_raw"))).alias("mu"),
@@ -157,9 +158,24 @@ def ar1_params(train: DataFrame) -> DataFrame:
     )
 
 
+def ar1_params(train: DataFrame) -> DataFrame:
+    """AR(1) fit per symbol (M4, the model table T10): the last row of each series."""
+    f = _ar1_frame(train).filter(F.col("_last"))
+    return f.select("symbol", "n", F.col("y").alias("y_last"), F.col("ds").alias("ds_last"),
+                    "phi", "c", "mu", "sigma2", "stationary")
+
+
+def _ar1_point_band(h: Column, y_last: Column, z: float):
+    phi, mu, s2 = F.col("phi"), F.col("mu"), F.col("sigma2")
+    point = F.when(F.col("stationary"), mu + F.pow(phi, h) * (y_last - mu)).otherwise(y_last)
+    var = F.when(F.col("stationary"), s2 * (F.lit(1.0) - F.pow(phi, 2 * h)) / (F.lit(1.0) - phi * phi)) \
+        .otherwise(s2 * h)
+    return point, F.lit(float(z)) * F.sqrt(var)
+
+
 def explain_forecast(params: DataFrame, train: DataFrame, periods: int = HORIZON_HOURS,
                      step_seconds: int = 3600, z: float = Z80) -> DataFrame:
-    """History and forecast in one relation.
+    """History and forecast in one relation from a stored model table.
 
     History rows carry the training value and no band; forecast rows carry
     ``mu + phi^h (y_T - mu)`` (``y_T`` for a random walk) with band
@@ -167,11 +183,7 @@ def explain_forecast(params: DataFrame, train: DataFrame, periods: int = HORIZON
     random walk).
     """
     h = F.col("_h").cast("double")
-    phi, mu, s2 = F.col("phi"), F.col("mu"), F.col("sigma2")
-    point = F.when(F.col("stationary"), mu + F.pow(phi, h) * (F.col("y_last") - mu)).otherwise(F.col("y_last"))
-    var = F.when(F.col("stationary"), s2 * (F.lit(1.0) - F.pow(phi, 2 * h)) / (F.lit(1.0) - phi * phi)) \
-        .otherwise(s2 * h)
-    half = F.lit(float(z)) * F.sqrt(var)
+    point, half = _ar1_point_band(h, F.col("y_last"), z)
     fut = params.select("*", F.explode(F.sequence(F.lit(1), F.lit(int(periods)))).alias("_h")).select(
         "symbol",
         F.timestamp_add("SECOND", F.col("_h").cast("long") * int(step_seconds), F.col("ds_last"))
@@ -185,6 +197,23 @@ def explain_forecast(params: DataFrame, train: DataFrame, periods: int = HORIZON
     return hist.unionByName(fut)
 
 
-def forecast_ar1(train: DataFrame, periods: int = HORIZON_HOURS, step_seconds: int = 3600) -> DataFrame:
-    """AR(1) explain-forecast relation for every series (M4)."""
-    return explain_forecast(ar1_params(train), train, periods, step_seconds)
+def forecast_ar1(train: DataFrame, periods: int = HORIZON_HOURS, step_seconds: int = 3600,
+                 z: float = Z80) -> DataFrame:
+    """AR(1) explain-forecast relation for every series (M4), in one pass.
+
+    The last row of each series is exploded into itself plus the ``periods``
+    forecast rows, so the training frame is read once and never joined with
+    its own parameters.
+    """
+    f = _ar1_frame(train)
+    steps = F.when(F.col("_last"), F.sequence(F.lit(0), F.lit(int(periods)))).otherwise(F.array(F.lit(0)))
+    e = f.select("*", F.explode(steps).alias("_h"))
+    h = F.col("_h").cast("double")
+    point, half = _ar1_point_band(h, F.col("y"), z)
+    fut = F.col("_h") > 0
+    return e.select(
+        "symbol",
+        F.timestamp_add("SECOND", F.col("_h").cast("long") * int(step_seconds), F.col("ds")).alias("time_series_timestamp"),
+        F.when(fut, _r(point)).otherwise(F.col("y")).alias("time_series_data"),
+        F.when(fut, _r(point - half)).alias("prediction_interval_lower_bound"),
+        F.when(fut, _r(point + half)).alias("prediction_interval_upper_bound"))

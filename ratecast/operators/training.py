@@ -64,15 +64,18 @@ def collect_series(df: DataFrame) -> DataFrame:
 def forecast_horizon(train: DataFrame, periods: int = HORIZON_HOURS, step_seconds: int = 3600) -> DataFrame:
     """History times plus ``periods`` buckets after each symbol's last time (M2).
 
-    Output ``(symbol, ds, is_future)``.
+    Output ``(symbol, ds, is_future)``. The last row of each series is exploded
+    into itself and the future buckets, so the frame is read once.
     """
-    last = train.groupBy("symbol").agg(F.max("ds").alias("_last"))
-    fut = last.select("symbol", F.explode(F.sequence(F.lit(1), F.lit(int(periods)))).alias("_h"), "_last").select(
-        "symbol",
-        F.timestamp_add("SECOND", F.col("_h").cast("long") * int(step_seconds), F.col("_last")).alias("ds"),
-        F.lit(True).alias("is_future"))
-    hist = train.select("symbol", "ds", F.lit(False).alias("is_future"))
-    return hist.unionByName(fut)
+    n = int(train.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    w = Window.partitionBy("symbol").orderBy(F.col("ds").asc(), F.col("y").asc_nulls_first())
+    f = train.select("symbol", "ds", "y").repartition(n, "symbol")
+    f = f.withColumn("_last", F.lead(F.lit(1)).over(w).isNull())
+    steps = F.when(F.col("_last"), F.sequence(F.lit(0), F.lit(int(periods)))).otherwise(F.array(F.lit(0)))
+    e = f.select("symbol", "ds", F.explode(steps).alias("_h"))
+    return e.select("symbol",
+                    F.timestamp_add("SECOND", F.col("_h").cast("long") * int(step_seconds), F.col("ds")).alias("ds"),
+                    (F.col("_h") > 0).alias("is_future"))
 
 
 def infer_frequency(df: DataFrame, ts: str = "tumble") -> DataFrame:

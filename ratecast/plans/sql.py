@@ -155,8 +155,8 @@ def ar1_ctes(src: str = "train", name: str = "ar") -> str:
         f"{name}_lag AS (SELECT symbol, ds, y, lag(y) OVER (PARTITION BY symbol ORDER BY ds) AS x FROM {src}), "
         f"{name}_p0 AS (SELECT symbol, regr_slope(y, x ORDER BY ds) AS phi_raw, regr_intercept(y, x ORDER BY ds) AS c_raw, "
         f"CAST(regr_count(y, x) AS BIGINT) AS n, regr_sxx(y, x ORDER BY ds) AS sxx, regr_syy(y, x ORDER BY ds) AS syy, "
-        f"regr_sxy(y, x ORDER BY ds) AS sxy, avg(pow(y - x, 2) ORDER BY ds) AS rw_var, arg_max(y, ds) AS y_last, "
-        f"max(ds) AS ds_last FROM {name}_lag GROUP BY symbol), "
+        f"regr_sxy(y, x ORDER BY ds) AS sxy, avg(pow(y - x, 2) ORDER BY ds) AS rw_var, "
+        f"arg_max(y, {{'d': ds, 'y': y}}) AS y_last, max(ds) AS ds_last FROM {name}_lag GROUP BY symbol), "
         f"{name}_params AS (SELECT symbol, n, y_last, ds_last, "
         f"CASE WHEN {st} THEN phi_raw ELSE 1.0::DOUBLE END AS phi, "
         f"CASE WHEN {st} THEN c_raw ELSE 0.0::DOUBLE END AS c, "

@@ -81,7 +81,8 @@ def stream_to_hourly_table(spark: SparkSession, ticks_stream: DataFrame, base: s
     def refresh(batch: DataFrame, batch_id: int) -> None:
         batch.write.mode("overwrite").parquet(f"{ticks_dir}/batch_id={batch_id}")
         landed = spark.read.parquet(ticks_dir)
-        interpolate_hourly(hourly_mean(landed, width), width).write.mode("overwrite").parquet(table)
+        hourly = hourly_mean(landed, width).checkpoint(eager=True)   # landed ticks scanned once
+        interpolate_hourly(hourly, width).write.mode("overwrite").parquet(table)
 
     q = (ticks_stream.writeStream.option("checkpointLocation", f"{base}/_checkpoint")
          .trigger(availableNow=True).foreachBatch(refresh).start())
