@@ -3,7 +3,7 @@
     BENCH_SF_DIR=/root/testdata/sf0.1 BENCH_CPUS=8 python bench.py
 
 Each query runs to completion through the ``noop`` sink (every row computed,
-nothing collected); the best of ``BENCH_REPEAT`` runs counts. Prints one JSON
+nothing collected); the best of ``BENCH_REPEAT`` (default 3) runs counts. Prints one JSON
 line: ``{"metric", "value" (sum of query seconds), "unit", "queries", "sf", ...}``.
 """
 
@@ -35,7 +35,7 @@ HEADLINE = [
 def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = int(os.environ.get("BENCH_CPUS", "8"))
-    repeat = int(os.environ.get("BENCH_REPEAT", "2"))
+    repeat = int(os.environ.get("BENCH_REPEAT", "3"))
     names = sys.argv[1:] or HEADLINE
 
     from ratecast.plans import queries
