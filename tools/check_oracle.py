@@ -77,12 +77,14 @@ def compare(a: pd.DataFrame, b: pd.DataFrame) -> str | None:
 def main() -> int:
     ap = argparse.ArgumentParser()
     ap.add_argument("--sf", default="/root/testdata/sf0.01")
+    ap.add_argument("--partitions", type=int, default=8, help="spark.sql.shuffle.partitions")
+    ap.add_argument("--tz", default="UTC", help="session time zone (results must not depend on it)")
     ap.add_argument("names", nargs="*")
     args = ap.parse_args()
     from ratecast.plans import oracle_sql, queries
     from ratecast.session import local_session
 
-    spark = local_session(8, 8)
+    spark = local_session(8, args.partitions, extra={"spark.sql.session.timeZone": args.tz})
     con = duckdb.connect()
     for t in TABLES:
         p = f"{args.sf}/{t}.parquet"
