@@ -37,3 +37,15 @@ def test_hourly_mean_plan_shape(spark):
     assert "partial_avg" in plan and plan.count("Exchange") == 1
     assert "ReadSchema: struct<ts:timestamp_ntz,value:double,event_type:string>" in plan or \
         "ts,event_type,value" in plan.replace("#", "").replace(" ", "") or "FileScan parquet [ts" in plan
+
+
+def test_library_has_no_driver_side_actions():
+    """Operators return DataFrames; nothing in the library pulls rows to the driver."""
+    import pathlib
+    import re
+
+    root = pathlib.Path(__file__).resolve().parent.parent / "ratecast"
+    bad = re.compile(r"\.(collect|toPandas|toLocalIterator|take|head|first)\(")
+    hits = [f"{p.name}:{i}" for p in root.rglob("*.py")
+            for i, line in enumerate(p.read_text().splitlines(), 1) if bad.search(line)]
+    assert hits == []
