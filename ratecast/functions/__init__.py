@@ -1,17 +1,17 @@
 from ratecast.functions.columns import (  # noqa: F401
+    date_str,
     epoch_ntz,
     epoch_offset,
-    date_str,
-    fixed_avg,
     epoch_seconds,
+    fixed_avg,
     from_epoch_seconds,
     ieee_divide,
-    scalar_text,
     interpolate_or_fill,
     json_array,
     json_scalar,
     linear_interpolate,
     nan_to_null,
+    scalar_text,
     tumble_interval,
     tumble_seconds,
 )

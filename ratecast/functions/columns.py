@@ -13,7 +13,6 @@ from pyspark.sql import functions as F
 ColumnOrName = Column | str
 
 
-
 def epoch_ntz() -> Column:
     """``TIMESTAMP_NTZ '1970-01-01 00:00:00'`` (built on call: modules stay importable on workers)."""
     return F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")

@@ -1,8 +1,6 @@
 import datetime as dt
 import math
 
-from pyspark.sql import functions as F
-
 from ratecast.functions import (
     date_str,
     epoch_seconds,

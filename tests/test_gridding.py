@@ -1,7 +1,5 @@
 """Hand-made series with expected values written by hand (FIXTURES §4), plus properties."""
 
-import datetime as dt
-
 import pytest
 from pyspark.sql import functions as F
 
