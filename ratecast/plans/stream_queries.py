@@ -51,3 +51,15 @@ def q_stream_to_hourly_table(spark, sf):
         part.write.parquet(f"{base}/source/slice={i}")
     s = spark.readStream.schema(t.schema).option("maxFilesPerTrigger", 1).parquet(f"{base}/source/*")
     return stream_to_hourly_table(spark, s, f"{base}/run")
+
+
+@register("stream_hourly_mean_append",
+          S.with_(S.ticks_cte(), S.hourly_cte()) +
+          "SELECT * FROM hourly WHERE tumble + INTERVAL 1 HOUR <= (SELECT max(ts) FROM events) - INTERVAL 2 HOUR")
+def q_stream_hourly_mean_append(spark, sf):
+    """Append mode with a 2-hour watermark: an hour is emitted once the watermark
+    (latest event time - 2 h) passes its end; later hours stay open in the state."""
+    base, schema = _land(read_ticks(spark, sf), spark, "stream_hourly_mean_append")
+    s = spark.readStream.schema(schema).parquet(f"{base}/source")
+    return run_to_table(stream_hourly_mean(s, watermark="2 hours"), "stream_hourly_mean_append", "append",
+                        base=f"{base}/run")
