@@ -54,7 +54,10 @@ class _Stage:
         last = self.hourly.agg(F.max("tumble")).scalar()
         self.cut = last - F.expr(f"INTERVAL {TR.HOLDOUT_DAYS} DAYS")
         self.hi = self.cut + F.expr(f"INTERVAL {TR.HORIZON_HOURS} HOURS")
-        self.train = TR.series_min_length(TR.to_training_frame(TR.holdout_cut(self.t5, cut=self.cut)))
+        cut_rows = TR.holdout_cut(self.t5, cut=self.cut)
+        self.train = TR.series_min_length(TR.to_training_frame(cut_rows))
+        # the AR models train on hours re-averaged over duplicate sources (A7, Q1); the seasonal one does not
+        self.train_ar = TR.series_min_length(TR.to_training_frame(G.dedupe_hours(cut_rows)))
 
 
 # The scoring queries read the interpolated table four times (two trainings,
@@ -79,14 +82,14 @@ def _seasonal(spark, sf, store_t5=False):
 
 def _ar(spark, sf, store_t5=False):
     st = _Stage(spark, sf, store_t5=store_t5)
-    return st, M.forecast_ar1(st.train)
+    return st, M.forecast_ar1(st.train_ar)
 
 
 def _frames(spark, sf):
     """Forecast tables of both models, each joined with the actuals."""
     st = _Stage(spark, sf, store_t5=STORE_T5_FOR_SCORING)
     return {"PROPHET": E.forecast_vs_actual(M.forecast_seasonal(st.train), st.t5, hi=st.hi),
-            "ARIMA": E.arima_vs_actual(M.forecast_ar1(st.train), st.t5, hi=st.hi)}, st
+            "ARIMA": E.arima_vs_actual(M.forecast_ar1(st.train_ar), st.t5, hi=st.hi)}, st
 
 
 @register("holdout_cut", S.with_(*BASE) + f"SELECT {T5} FROM interp WHERE tumble <= (SELECT c FROM train_cut)")
@@ -193,7 +196,7 @@ def q_forecast_ar1(spark, sf):
           "round(sigma2, 6) AS sigma2, stationary FROM ar_params")
 def q_model_table(spark, sf):
     """Per-series AR(1) parameters written as a table, replaced on each run (K5)."""
-    p = M.ar1_params(_Stage(spark, sf, store_t5=False).train)
+    p = M.ar1_params(_Stage(spark, sf, store_t5=False).train_ar)
     t = sink_replace(p, table_dir(spark, "ar1_model", fresh=True))
     return t.select("symbol", "n", "y_last", "ds_last", *[F.round(c, 6).alias(c) for c in ("phi", "c", "mu", "sigma2")],
                     "stationary")
@@ -350,4 +353,4 @@ def q_sink_json_records(spark, sf):
 def q_forecast_ar_auto(spark, sf):
     """Automatic order (p <= 5, d <= 2) per series; Python per group, so rows-only check (M5)."""
     from ratecast.operators.ar_auto import forecast_ar_auto
-    return forecast_ar_auto(_Stage(spark, sf, store_t5=False).train)
+    return forecast_ar_auto(_Stage(spark, sf, store_t5=False).train_ar)

@@ -107,11 +107,16 @@ def req_ticks_cte(src: str = "viz", name: str = "rticks", where: str | None = No
 Z80 = "1.2815515655446004::DOUBLE"
 
 
-def train_ctes(src: str = "interp", name: str = "train") -> str:
-    """Holdout cut at max - 5 days, (symbol, ds, y), series with at least 3 rows."""
+def train_ctes(src: str = "interp", name: str = "train", dedupe: bool = False) -> str:
+    """Holdout cut at max - 5 days, (symbol, ds, y), series with at least 3 rows.
+
+    ``dedupe`` re-averages duplicate hours first (the AR models' input, A7)."""
+    body = (f"SELECT symbol, tumble AS ds, avg(intrp) AS y FROM {src} WHERE tumble <= (SELECT c FROM {name}_cut) "
+            f"GROUP BY symbol, tumble" if dedupe else
+            f"SELECT symbol, tumble AS ds, intrp AS y FROM {src} WHERE tumble <= (SELECT c FROM {name}_cut)")
     return (
         f"{name}_cut AS (SELECT max(tumble) - INTERVAL 5 DAY AS c FROM {src}), "
-        f"{name}_0 AS (SELECT symbol, tumble AS ds, intrp AS y FROM {src} WHERE tumble <= (SELECT c FROM {name}_cut)), "
+        f"{name}_0 AS ({body}), "
         f"{name} AS (SELECT symbol, ds, y FROM (SELECT *, count(*) OVER (PARTITION BY symbol) AS n FROM {name}_0) "
         f"WHERE n >= 3)"
     )
@@ -149,7 +154,7 @@ def forecast_cte(src: str = "seas", name: str = "fc") -> str:
             f"round(fitted + {Z80} * sd, 6) AS yhat_upper FROM {src})")
 
 
-def ar1_ctes(src: str = "train", name: str = "ar") -> str:
+def ar1_ctes(src: str = "train_ar", name: str = "ar") -> str:
     st = "(phi_raw IS NOT NULL AND abs(phi_raw) < 1 AND n >= 3)"
     return (
         f"{name}_lag AS (SELECT symbol, ds, y, lag(y) OVER (PARTITION BY symbol ORDER BY ds) AS x FROM {src}), "
@@ -166,7 +171,7 @@ def ar1_ctes(src: str = "train", name: str = "ar") -> str:
     )
 
 
-def explain_cte(params: str = "ar_params", src: str = "train", name: str = "xf", periods: int = 120) -> str:
+def explain_cte(params: str = "ar_params", src: str = "train_ar", name: str = "xf", periods: int = 120) -> str:
     point = "CASE WHEN stationary THEN mu + pow(phi, h) * (y_last - mu) ELSE y_last END"
     var = ("CASE WHEN stationary THEN sigma2 * (1.0::DOUBLE - pow(phi, 2 * h)) / (1.0::DOUBLE - phi * phi) "
            "ELSE sigma2 * h END")
@@ -205,8 +210,8 @@ def ava_cte(xf: str = "xf", actual: str = "interp", name: str = "ava") -> str:
 
 
 def model_base(symbol: str = "user_id") -> list[str]:
-    """Ticks -> hourly -> interpolated table -> training frame."""
-    return [ticks_cte(symbol), hourly_cte(), interp_ctes(), train_ctes()]
+    """Ticks -> hourly -> interpolated table -> training frames (seasonal: as is; AR: hours re-averaged)."""
+    return [ticks_cte(symbol), hourly_cte(), interp_ctes(), train_ctes(), train_ctes(name="train_ar", dedupe=True)]
 
 
 def fixed_avg(x: str, digits: int = 6) -> str:
