@@ -56,8 +56,10 @@ class _Stage:
         self.hi = self.cut + F.expr(f"INTERVAL {TR.HORIZON_HOURS} HOURS")
         cut_rows = TR.holdout_cut(self.t5, cut=self.cut)
         self.train = TR.series_min_length(TR.to_training_frame(cut_rows))
-        # the AR models train on hours re-averaged over duplicate sources (A7, Q1); the seasonal one does not
-        self.train_ar = TR.series_min_length(TR.to_training_frame(G.dedupe_hours(cut_rows)))
+        # The AR models train on hours re-averaged over duplicate sources (A7, Q1); the seasonal one
+        # does not. Deduping the guarded frame and guarding again keeps the same series as deduping
+        # first (dedupe only removes rows), and shares the training subtree with the seasonal model.
+        self.train_ar = TR.series_min_length(G.dedupe_hours(self.train, value="y", ts="ds"))
 
 
 # The scoring queries read the interpolated table four times (two trainings,
