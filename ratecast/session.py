@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 
 from pyspark.sql import SparkSession
@@ -41,14 +42,29 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
 def shared_dir(spark: SparkSession) -> str:
     """Shared folder for checkpoints and written intermediate tables.
 
-    Reads ``spark.checkpoint.dir`` from the session (on a cluster this names a
-    folder every executor can reach). Only when it is unset, as in local tests,
-    a fresh local folder is made and recorded in the session.
+    ``spark.checkpoint.dir`` of the session, else the folder already given with
+    ``sparkContext.setCheckpointDir``. Where neither is set, a local master gets
+    a fresh local folder (tests) and a cluster an error: a folder of the driver's
+    own disk is not seen by the executors.
     """
-    d = spark.conf.get("spark.checkpoint.dir", None)
+    sc = spark.sparkContext
+    d = spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
     if not d:
+        if not re.match(r"local(\[|$)", sc.master):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         d = tempfile.mkdtemp(prefix="ratecast-")
-        spark.conf.set("spark.checkpoint.dir", d)
-    if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(d)
+    if sc.getCheckpointDir() is None:
+        sc.setCheckpointDir(d)
     return d
+
+
+def tables_dir(spark: SparkSession) -> str:
+    """Folder of this application's written intermediate tables, inside the shared folder."""
+    return f"{shared_dir(spark).rstrip('/')}/tables-{spark.sparkContext.applicationId}"
+
+
+def drop_tables(spark: SparkSession, name: str = "") -> None:
+    """Delete this application's intermediate tables (or one of them) from the shared folder."""
+    base = tables_dir(spark)
+    path = spark._jvm.org.apache.hadoop.fs.Path(f"{base}/{name}" if name else base)
+    path.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).delete(path, True)

@@ -11,14 +11,13 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ratecast.session import shared_dir
+from ratecast.session import shared_dir, tables_dir
 
 
 def table_dir(spark: SparkSession, name: str, fresh: bool = False) -> str:
     """Folder of a written table under the shared folder; ``fresh`` gives a new unique one."""
-    base = shared_dir(spark).rstrip("/")
     suffix = f"-{uuid.uuid4().hex[:12]}" if fresh else ""
-    return f"{base}/tables/{name}{suffix}"
+    return f"{tables_dir(spark)}/{name}{suffix}"
 
 
 def sink_replace(df: DataFrame, path: str, partition_by: list[str] | None = None,
