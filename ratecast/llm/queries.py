@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ratecast.llm import line_dedup, packing, url_tree
+from ratecast.llm import line_dedup, packing, quality, simhash, toxicity, url_tree
 from ratecast.llm.common import documents
 from ratecast.sources.tables import read_table
 
@@ -24,6 +24,25 @@ def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_dedup.line_dedup(documents(spark, sf_dir)).select("doc_id", "n_lines", "n_removed", "text")
 
 
+def op4_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    own, edited, after = F.col("own"), F.col("edited"), F.col("next")
+    return simhash.fingerprints(documents(spark, sf_dir)).select(
+        "doc_id", "n_chars", "edited_sha256",
+        simhash.as_text(own["f0"], own["f1"]).alias("fingerprint"),
+        simhash.as_text(edited["f0"], edited["f1"]).alias("edited_fingerprint"),
+        simhash.likeness(own, edited).alias("near_edited"), simhash.likeness(own, after).alias("near_next"), "n_near")
+
+
+def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    labels = read_table(spark, sf_dir, "labels", ["doc_id", "toxic"])
+    return toxicity.toxicity(documents(spark, sf_dir), labels).select("doc_id", "held_out", "score", "predicted")
+
+
+def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    labels = read_table(spark, sf_dir, "labels", ["doc_id", "quality"])
+    return quality.quality(documents(spark, sf_dir), labels).select("doc_id", "held_out", "score", "predicted")
+
+
 def op9_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = read_table(spark, sf_dir, "pages", ["page_id", "url"])
     return url_tree.url_filter(pages, RULES).select("page_id", "host", "path", "rule", "verdict", "template", "purity")
@@ -34,7 +53,8 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_line_dedup, op9_url_filter, op10_packing)}
+    return {f.__name__: f for f in (
+        op1_line_dedup, op4_fingerprints, op6_toxicity, op7_quality, op9_url_filter, op10_packing)}
 
 
 def oracle_sql() -> dict[str, str]:
