@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ratecast.llm import line_dedup, packing, quality, simhash, toxicity, url_tree
+from ratecast.llm import line_dedup, packing, quality, simhash, toxicity, url_tree, wrapper
 from ratecast.llm.common import documents
 from ratecast.sources.tables import read_table
 
@@ -43,6 +43,11 @@ def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.quality(documents(spark, sf_dir), labels).select("doc_id", "held_out", "score", "predicted")
 
 
+def op8_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = read_table(spark, sf_dir, "pages", ["page_id", "url", "html"])
+    return wrapper.extract(pages).select("page_id", "url", "text", "n_chars")
+
+
 def op9_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = read_table(spark, sf_dir, "pages", ["page_id", "url"])
     return url_tree.url_filter(pages, RULES).select("page_id", "host", "path", "rule", "verdict", "template", "purity")
@@ -54,7 +59,7 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: f for f in (
-        op1_line_dedup, op4_fingerprints, op6_toxicity, op7_quality, op9_url_filter, op10_packing)}
+        op1_line_dedup, op4_fingerprints, op6_toxicity, op7_quality, op8_extraction, op9_url_filter, op10_packing)}
 
 
 def oracle_sql() -> dict[str, str]:
