@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ratecast.llm import line_dedup, packing, quality, simhash, toxicity, url_tree, wrapper
+from ratecast.llm import decontaminate, jaccard_join, line_dedup, packing, quality, simhash, toxicity, url_tree, wrapper
 from ratecast.llm.common import documents
 from ratecast.sources.tables import read_table
 
@@ -24,6 +24,10 @@ def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_dedup.line_dedup(documents(spark, sf_dir)).select("doc_id", "n_lines", "n_removed", "text")
 
 
+def op3_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_join.jaccard_groups(documents(spark, sf_dir)).select("doc_id", "n_shingles", "component_id", "n_links")
+
+
 def op4_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     own, edited, after = F.col("own"), F.col("edited"), F.col("next")
     return simhash.fingerprints(documents(spark, sf_dir)).select(
@@ -33,6 +37,11 @@ def op4_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
         simhash.likeness(own, edited).alias("near_edited"), simhash.likeness(own, after).alias("near_next"), "n_near")
 
 
+def op5_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    items = read_table(spark, sf_dir, "benchmark", ["item_id", "text"])
+    return decontaminate.contaminated(documents(spark, sf_dir), items)
+
+
 def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     labels = read_table(spark, sf_dir, "labels", ["doc_id", "toxic"])
     return toxicity.toxicity(documents(spark, sf_dir), labels).select("doc_id", "held_out", "score", "predicted")
@@ -59,7 +68,7 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: f for f in (
-        op1_line_dedup, op4_fingerprints, op6_toxicity, op7_quality, op8_extraction, op9_url_filter, op10_packing)}
+        op1_line_dedup, op3_jaccard_join, op4_fingerprints, op5_decontamination, op6_toxicity, op7_quality, op8_extraction, op9_url_filter, op10_packing)}
 
 
 def oracle_sql() -> dict[str, str]:
