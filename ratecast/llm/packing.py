@@ -12,13 +12,16 @@ many documents there are, and every line says which ranks of a length go to
 which sequences at which offset. Pieces then get their rank within their
 length and read their place off the plan.
 
-Defined cases: a null or empty text is the end id alone; texts holding the
-name of a special token are encoded whole by the tokenizer; equal rows are
+Defined cases: a null or empty text is the end id alone; the name of a special
+token in a text is that token, as the tokenizer has it by default; equal rows are
 packed each for itself; an empty table gives no row.
 """
 
 from __future__ import annotations
 
+import base64
+import importlib
+import re
 import zlib
 from collections.abc import Iterator
 
@@ -31,42 +34,63 @@ from pyspark.sql.window import Window
 from ratecast.llm.common import stored, tokenizer_path
 
 CAPACITY, END_ID = 1024, 2
-#: The pre-splitting pattern of the byte-level vocabulary, and its one special token.
-PATTERN = r"'(?:[sdmt]|ll|ve|re)| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
+#: Fixed value: the vocabulary's one special token.
 SPECIAL = "<|endoftext|>"
-CACHE_PIECES = 400_000
+CACHE_WORDS = 500_000
+#: White space whose splitting depends on what is around it: all but single spaces and line ends.
+UNEVEN = re.compile(r"[^\S \n]|[ \n]{2}")
 
 _loaded: dict = {}
 
 
-def _tokenizer(file: str):
-    """Tokenizer, splitting pattern and cache of split pieces: one of each in a Python worker."""
-    if file not in _loaded:
-        import regex
+def _tokenizer(name: str):
+    """Tokenizer, the same vocabulary as ranks, and the ids of words seen: one of each in a Python worker."""
+    if name not in _loaded:
+        import tiktoken
         from tokenizers import Tokenizer
 
-        _loaded[file] = Tokenizer.from_file(tokenizer_path(file)), regex.compile(PATTERN), {}
-    return _loaded[file]
+        with open(tokenizer_path(f"{name}.tiktoken"), "rb") as f:
+            ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
+        pattern = importlib.import_module("public_tokenizers").PATTERN
+        fast = tiktoken.Encoding(name, pat_str=pattern, mergeable_ranks=ranks, special_tokens={})
+        _loaded[name] = Tokenizer.from_file(tokenizer_path(f"{name}.json")), fast.encode_ordinary, {}, {}
+    return _loaded[name]
 
 
-def encode(texts: list[str], file: str) -> list[bytes]:
+def encode(texts: list[str], name: str) -> list[bytes]:
     """Token ids of each text as little-endian unsigned 32-bit numbers.
 
-    The vocabulary never merges across split pieces, so a piece is encoded by
-    the tokenizer once and then remembered; the cache is bounded by its count.
+    Byte-level BPE first splits a text, and it splits at every single space (which
+    goes with the word after it) and around every single line end. So a word's
+    ids are found once, by the ranks of the vocabulary, and then remembered, up
+    to a number of words. Texts with other white space are encoded whole, texts
+    naming the special token by the tokenizer itself.
     """
-    tok, pattern, cache = _tokenizer(file)
-    split = [None if SPECIAL in t else pattern.findall(t) for t in texts]
-    if len(cache) > CACHE_PIECES:
-        cache.clear()
-    new = list({p for pieces in split if pieces for p in pieces if p not in cache})
-    for i in range(0, len(new), 20_000):
-        part = new[i:i + 20_000]
-        for p, e in zip(part, tok.encode_batch_fast(part, add_special_tokens=False)):
-            cache[p] = np.array(e.ids, "<u4").tobytes()
-    get = cache.__getitem__
-    return [np.array(tok.encode(t, add_special_tokens=False).ids, "<u4").tobytes() if pieces is None
-            else b"".join(map(get, pieces)) for t, pieces in zip(texts, split)]
+    tok, ranked, first, later = _tokenizer(name)
+    if len(first) + len(later) > CACHE_WORDS:
+        first.clear()
+        later.clear()
+    if "\n" not in first:
+        first["\n"], first[""] = np.array(ranked("\n"), "<u4").tobytes(), b""
+    out = []
+    for t in texts:
+        if SPECIAL in t:
+            out.append(np.array(tok.encode(t, add_special_tokens=False).ids, "<u4").tobytes())
+        elif UNEVEN.search(t):
+            out.append(np.array(ranked(t), "<u4").tobytes())
+        else:
+            parts = []
+            for line in t.split("\n"):
+                words = line.split(" ")
+                head, words = words[0], words[1:]
+                if head not in first:
+                    first[head] = np.array(ranked(head), "<u4").tobytes()
+                for w in words:
+                    if w not in later:
+                        later[w] = np.array(ranked(" " + w), "<u4").tobytes()
+                parts.append(first[head] + b"".join(map(later.__getitem__, words)))
+            out.append(first["\n"].join(parts))
+    return out
 
 
 def cut(n: int, capacity: int) -> list[tuple[int, int]]:
@@ -78,7 +102,7 @@ def cut(n: int, capacity: int) -> list[tuple[int, int]]:
 PIECES = "doc_id long, piece int, start long, length int, ids_crc32 long"
 
 
-def pieces(docs: DataFrame, file: str, capacity: int = CAPACITY, end_id: int = END_ID) -> DataFrame:
+def pieces(docs: DataFrame, vocabulary: str, capacity: int = CAPACITY, end_id: int = END_ID) -> DataFrame:
     """The pieces of every document, with their checksums."""
     end = np.array([end_id], "<u4").tobytes()
     schema = pa.schema([("doc_id", pa.int64()), ("piece", pa.int32()), ("start", pa.int64()),
@@ -90,7 +114,7 @@ def pieces(docs: DataFrame, file: str, capacity: int = CAPACITY, end_id: int = E
                 part = b.slice(at, 256)
                 ids = part.column(0).to_pylist()
                 rows = []
-                for doc, data in zip(ids, encode([t or "" for t in part.column(1).to_pylist()], file)):
+                for doc, data in zip(ids, encode([t or "" for t in part.column(1).to_pylist()], vocabulary)):
                     data += end
                     for k, (s, n) in enumerate(cut(len(data) // 4, capacity)):
                         rows.append((doc, k, s, n, zlib.crc32(data[4 * s:4 * (s + n)])))
@@ -148,10 +172,10 @@ def plan(counts: dict[int, int], capacity: int = CAPACITY) -> list[tuple[list[in
     return out
 
 
-def pack(docs: DataFrame, file: str, capacity: int = CAPACITY, end_id: int = END_ID, rows_per_group: int = 50_000) -> DataFrame:
+def pack(docs: DataFrame, vocabulary: str, capacity: int = CAPACITY, end_id: int = END_ID, rows_per_group: int = 50_000) -> DataFrame:
     """Every piece with its sequence and its offset in it."""
     spark = docs.sparkSession
-    p = stored(pieces(docs, file, capacity, end_id), "pieces")
+    p = stored(pieces(docs, vocabulary, capacity, end_id), "pieces")
     counts = {r["length"]: r["n"] for r in p.groupBy("length").agg(F.count("*").alias("n")).collect()}  # a row per length
     lengths, first_rank, first_seq, offsets = _places(plan(counts, capacity))
     # rank within a length: rank within (group, length), and what the groups before it hold

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ratecast.llm import decontaminate, jaccard_join, line_dedup, packing, quality, simhash, toxicity, url_tree, wrapper
+from ratecast.llm import decontaminate, jaccard_join, line_dedup, packing, quality, repeats, simhash, toxicity, url_tree, wrapper
 from ratecast.llm.common import documents
 from ratecast.sources.tables import read_table
 
@@ -24,6 +24,12 @@ def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_dedup.line_dedup(documents(spark, sf_dir)).select("doc_id", "n_lines", "n_removed", "text")
 
 
+def op2_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repeats.repeat_dedup(documents(spark, sf_dir), digest=True).select(
+        "doc_id", "n_bytes", "n_removed", F.size("spans").cast("long").alias("n_spans"),
+        F.lower(F.hex("kept")).alias("kept_sha256"))
+
+
 def op3_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_join.jaccard_groups(documents(spark, sf_dir)).select("doc_id", "n_shingles", "component_id", "n_links")
 
@@ -63,12 +69,12 @@ def op9_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return packing.pack(documents(spark, sf_dir), "byte_bpe_50k.json")
+    return packing.pack(documents(spark, sf_dir), "byte_bpe_50k")
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: f for f in (
-        op1_line_dedup, op3_jaccard_join, op4_fingerprints, op5_decontamination, op6_toxicity, op7_quality, op8_extraction, op9_url_filter, op10_packing)}
+        op1_line_dedup, op2_suffix_dedup, op3_jaccard_join, op4_fingerprints, op5_decontamination, op6_toxicity, op7_quality, op8_extraction, op9_url_filter, op10_packing)}
 
 
 def oracle_sql() -> dict[str, str]:
