@@ -23,16 +23,25 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def keyed(docs: DataFrame) -> DataFrame:
-    """``doc_id``, ``text`` (null: empty) and ``text_key``, one row for each distinct (doc_id, text) pair.
+#: Rows of a list up to which it is broadcast; a longer one is joined by shuffling.
+BROADCAST_ROWS = 500_000
 
-    Other columns are left out, so clashing names cannot matter. Rows are told
-    apart by id and text: equal rows count once, one id with two texts is two
-    documents.
+
+def sized(df: DataFrame) -> DataFrame:
+    """``df`` marked for broadcast if it was counted to be short; ``df`` should be stored or cheap."""
+    return F.broadcast(df) if df.count() <= BROADCAST_ROWS else df
+
+
+def keyed(docs: DataFrame, *carry: str) -> DataFrame:
+    """``doc_id``, ``text`` (null: empty), ``text_key`` (a hash of the text) and the columns to carry along.
+
+    Rows are told apart by id and text: equal rows are one document, one id
+    with two texts is two. Columns not named are left out, so clashing names
+    cannot matter.
     """
-    text = F.coalesce(F.col("text"), F.lit(""))
+    text = F.coalesce(F.col("text").cast("string"), F.lit(""))
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), text.alias("text"),
-                       F.xxhash64(text).alias("text_key"))
+                       F.xxhash64(text).alias("text_key"), *carry)
 
 
 def join_by_key(a: DataFrame, b: DataFrame, how: str) -> DataFrame:

@@ -70,15 +70,16 @@ def platt(margins: np.ndarray, y: np.ndarray) -> tuple[float, float]:
     return float(a), float(b)
 
 
-def scored(docs: DataFrame, features: Features, score: Callable[[list[np.ndarray]], np.ndarray], threshold: float) -> DataFrame:
-    """``docs`` with ``held_out``, ``score`` and ``predicted``, one pass without a shuffle."""
-    names = docs.columns
+def scored(docs: DataFrame, features: Features, score: Callable[[list[np.ndarray]], np.ndarray], threshold: float, *carry: str) -> DataFrame:
+    """``doc_id, text, held_out, score, predicted`` and the columns to carry along; one pass without a shuffle."""
+    docs = docs.select("doc_id", "text", F.struct(*[F.col(c) for c in carry] or [F.lit(0)]).alias("carried"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             s = score(list(text_features(b.column("text").to_pylist(), features))) if b.num_rows else np.empty(0)
-            yield pa.RecordBatch.from_arrays([b.column(c) for c in names] + [pa.array(s, pa.float64())], names=[*names, "score"])
+            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(s, pa.float64())], names=[*b.schema.names, "score"])
 
     schema = StructType([*docs.schema.fields, StructField("score", DoubleType())])
     return (docs.mapInArrow(run, schema).withColumn("held_out", held_out(F.col("doc_id")))
-            .withColumn("predicted", (F.col("score") >= threshold).cast("int")))
+            .withColumn("predicted", (F.col("score") >= threshold).cast("int"))
+            .select("doc_id", "text", "held_out", "score", "predicted", *[f"carried.{c}" for c in carry]))

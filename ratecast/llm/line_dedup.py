@@ -61,18 +61,18 @@ def _without(texts: pd.Series, starts: pd.Series) -> pd.DataFrame:
     return pd.DataFrame(out, columns=["n_removed", "kept"])
 
 
-def line_dedup(docs: DataFrame) -> DataFrame:
-    """``doc_id, text_key, text`` (what is left), ``n_lines``, ``n_removed`` per document."""
-    docs = keyed(docs)
+def line_dedup(docs: DataFrame, *carry: str) -> DataFrame:
+    """``doc_id, text_key, text`` (what is left), ``n_lines``, ``n_removed`` and the carried columns per document."""
+    docs = keyed(docs, *carry)
     windows = line_windows(docs)
     w, r = windows.alias("w"), repeated_windows(windows).alias("r")
     later = (w.join(r, (F.col("w.a") == F.col("r.a")) & (F.col("w.b") == F.col("r.b")))
              .where(F.struct("w.doc_id", "w.text_key", "w.pos") != F.col("r.first"))
              .groupBy("w.doc_id", "w.text_key").agg(F.collect_set("w.pos").alias("starts")))
     cut = F.pandas_udf(_without, "n_removed int, kept string")
-    return (join_by_key(docs, later, "left").select("doc_id", "text_key", "text", cut("text", "starts").alias("cut"))
+    return (join_by_key(docs, later, "left").select("doc_id", "text_key", "text", *carry, cut("text", "starts").alias("cut"))
             .select("doc_id", "text_key", F.col("cut.kept").alias("text"),
-                    F.size(F.split("text", "\n")).alias("n_lines"), "cut.n_removed"))
+                    F.size(F.split("text", "\n")).alias("n_lines"), "cut.n_removed", *carry))
 
 
 #: The same result in DuckDB, on the lines themselves.

@@ -134,7 +134,7 @@ def fit(terms: list[np.ndarray], y: np.ndarray, c: float = 4.0, beta: float = 0.
     return Model(m.weight, m.ratio, m.bias, slope, shift)
 
 
-def quality(docs: DataFrame, labels: DataFrame, max_docs: int = labelled.MAX_FIT_DOCS, threshold: float = 0.3) -> DataFrame:
-    """``docs`` with ``held_out``, ``score`` (likelihood of label 1) and ``predicted``."""
+def quality(docs: DataFrame, labels: DataFrame, *carry: str, max_docs: int = labelled.MAX_FIT_DOCS, threshold: float = 0.3) -> DataFrame:
+    """``doc_id, text, held_out, score`` (likelihood of label 1), ``predicted`` and the carried columns."""
     model = fit(*labelled.fit_sample(docs, labels, "quality", features, max_docs))
-    return labelled.scored(docs, features, model.scores, threshold)
+    return labelled.scored(docs, features, model.scores, threshold, *carry)

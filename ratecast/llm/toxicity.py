@@ -147,7 +147,7 @@ def fit(found: list[np.ndarray], y: np.ndarray, factors: int = FACTORS, epochs:
     return Model(m.terms, m.weight, m.factor, m.bias, slope, shift)
 
 
-def toxicity(docs: DataFrame, labels: DataFrame, max_docs: int = labelled.MAX_FIT_DOCS, threshold: float = 0.5) -> DataFrame:
-    """``docs`` with ``held_out``, ``score`` (likelihood of label 1) and ``predicted``."""
+def toxicity(docs: DataFrame, labels: DataFrame, *carry: str, max_docs: int = labelled.MAX_FIT_DOCS, threshold: float = 0.5) -> DataFrame:
+    """``doc_id, text, held_out, score`` (likelihood of label 1), ``predicted`` and the carried columns."""
     model = fit(*labelled.fit_sample(docs, labels, "toxic", features, max_docs))
-    return labelled.scored(docs, features, model.scores, threshold)
+    return labelled.scored(docs, features, model.scores, threshold, *carry)
