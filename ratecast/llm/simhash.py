@@ -15,8 +15,8 @@ The next document (by descending id) is found within ranges of ids: each range
 also holds the first row of the next range, so texts are shuffled once.
 
 Defined cases: a null text is an empty one, whose only term is the empty word;
-a null id comes after all others; rows equal in id and text follow each other
-in any order; a table of one row is its own next document.
+a null id comes after all others; rows equal in id and text are one document,
+returned once; a table of one row is its own next document.
 """
 
 from __future__ import annotations
