@@ -3,7 +3,6 @@ from ratecast.functions.columns import (  # noqa: F401
     epoch_ntz,
     epoch_offset,
     epoch_seconds,
-    fixed_avg,
     from_epoch_seconds,
     ieee_divide,
     interpolate_or_fill,
@@ -11,7 +10,7 @@ from ratecast.functions.columns import (  # noqa: F401
     json_scalar,
     linear_interpolate,
     nan_to_null,
-    scalar_text,
+    variant_scalar,
     tumble_interval,
     tumble_seconds,
 )

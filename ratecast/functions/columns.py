@@ -86,27 +86,27 @@ def ieee_divide(a: ColumnOrName, b: ColumnOrName) -> Column:
     return F.when(a.isNull() | b.isNull(), F.lit(None).cast("double")).when(b == 0, on_zero).otherwise(a / b)
 
 
-def scalar_text(v: ColumnOrName) -> Column:
-    """NULL for text that opens a JSON object or array, else the text itself."""
+def variant_scalar(v: ColumnOrName) -> Column:
+    """Text of a scalar VARIANT; NULL for an object, an array or a JSON null.
+
+    Decided by the value's type, so a string that looks like JSON stays a string.
+    """
     v = _col(v)
-    return F.when(F.substring(F.ltrim(v), 1, 1).isin("{", "["), F.lit(None).cast("string")).otherwise(v)
+    nested = F.schema_of_variant(v).startswith("OBJECT") | F.schema_of_variant(v).startswith("ARRAY")
+    return F.when(~nested, F.try_variant_get(v, "$", "string"))
 
 
 def json_scalar(doc: ColumnOrName, path: str = "$") -> Column:
-    """Scalar at ``path`` as text; NULL for objects, arrays, bad JSON or a missing key.
-
-    ``get_json_object`` returns the JSON text of an object or array, where a
-    scalar extract must give NULL; :func:`scalar_text` adds that guard.
-    """
-    return scalar_text(F.get_json_object(_col(doc), path))
+    """Scalar at ``path`` as text; NULL for objects, arrays, bad JSON or a missing key."""
+    return variant_scalar(F.try_variant_get(F.try_parse_json(_col(doc)), path, "variant"))
 
 
 def json_array(doc: ColumnOrName, path: str) -> Column:
-    """Array at ``path`` as ``array<string>`` (strings unquoted, numbers as text).
+    """Scalars of the array at ``path`` as ``array<string>``; objects and arrays inside it are NULL.
 
     Missing key, non-array value or bad JSON give NULL.
     """
-    return F.from_json(F.get_json_object(_col(doc), path), "array<string>")
+    return F.transform(F.try_variant_get(F.try_parse_json(_col(doc)), path, "array<variant>"), variant_scalar)
 
 
 def nan_to_null(c: ColumnOrName) -> Column:
@@ -143,16 +143,3 @@ def interpolate_or_fill(value: ColumnOrName, pos: ColumnOrName, prev: ColumnOrNa
         .otherwise(linear_interpolate(pos, prev, next_))
     )
 
-
-def fixed_avg(c: ColumnOrName, digits: int = 6) -> Column:
-    """Average over values rounded to ``digits`` decimals, summed exactly.
-
-    A floating-point sum depends on the order rows arrive in, so the same
-    query can differ in its last bits between runs or partitionings. Summing
-    the values as whole multiples of 10^-digits in DECIMAL(38,0) makes the
-    result independent of order; the one division at the end is IEEE-exact.
-    """
-    c = _col(c)
-    scale = float(10 ** int(digits))
-    units = F.round(c * F.lit(scale)).cast("decimal(38,0)")
-    return F.sum(units).cast("double") / F.count(c).cast("double") / F.lit(scale)

@@ -1,14 +1,17 @@
-"""Forecast against actuals: window filters, joins, split columns, RMSE, dashboard aggregates."""
+"""Forecast against actuals: window filters, joins, split columns, RMSE, dashboard aggregates.
+
+The actual side comes out of an ``explode``, whose rows no estimate counts, so its
+joins are marked as merge joins: it is never broadcast on a wrong guess.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ratecast.functions import date_str
+from ratecast.functions import date_str, tumble_interval
 from ratecast.operators.training import HOLDOUT_DAYS, max_minus
 
-DIGITS = 6
 
 
 def _hi_lo(forecast: DataFrame, ts: str, days: int, hi: Column | None):
@@ -33,7 +36,7 @@ def forecast_vs_actual(forecast: DataFrame, actual: DataFrame, days: int = HOLDO
     Output ``symbol, ds, date_str, y, yhat, yhat_lower, yhat_upper, intrp``.
     """
     b = forecast_window_filter(actual, forecast, "ds", days, hi).select(
-        F.col("symbol").alias("_bsym"), F.col("tumble").alias("_bts"), "intrp")
+        F.col("symbol").alias("_bsym"), F.col("tumble").alias("_bts"), "intrp").hint("merge")
     j = forecast.join(b, (forecast.symbol == b._bsym) & (forecast.ds == b._bts), "left")
     return j.select("symbol", "ds", date_str("ds").alias("date_str"), "y", "yhat", "yhat_lower", "yhat_upper",
                     "intrp")
@@ -45,7 +48,7 @@ def forecast_vs_actual_split(forecast: DataFrame, actual: DataFrame, days: int =
     ``intrp`` are both taken from it, split at ``max(ds) - days`` (J5, P9)."""
     hi, cut = _hi_lo(forecast, "ds", days, hi)
     b = actual.filter(F.col("tumble") <= hi).select(
-        F.col("symbol").alias("_bsym"), F.col("tumble").alias("_bts"), F.col("intrp").alias("_bv"))
+        F.col("symbol").alias("_bsym"), F.col("tumble").alias("_bts"), F.col("intrp").alias("_bv")).hint("merge")
     j = forecast.join(b, (forecast.symbol == b._bsym) & (forecast.ds == b._bts), "left")
     return j.select("symbol", "ds", date_str("ds").alias("date_str"), "yhat", "yhat_lower", "yhat_upper",
                     F.when(F.col("_bts") <= cut, F.col("_bv")).alias("y"),
@@ -63,7 +66,7 @@ def arima_vs_actual(explained: DataFrame, actual: DataFrame, days: int = HOLDOUT
     ts = "time_series_timestamp"
     hi, cut = _hi_lo(explained, ts, days, hi)
     b = forecast_window_filter(actual, explained, ts, days, hi).select(
-        F.col("symbol").alias("_bsym"), F.col("tumble").alias("_bts"), "intrp")
+        F.col("symbol").alias("_bsym"), F.col("tumble").alias("_bts"), "intrp").hint("merge")
     j = explained.join(b, (explained.symbol == b._bsym) & (F.col(ts) == b._bts), "left")
     return j.select(
         "symbol", ts, date_str(ts).alias("date_str"),
@@ -75,7 +78,7 @@ def arima_vs_actual(explained: DataFrame, actual: DataFrame, days: int = HOLDOUT
 
 
 def _rmse(a: str, b: str):
-    return F.round(F.sqrt(F.avg(F.pow(F.col(a) - F.col(b), 2))), DIGITS)
+    return F.sqrt(F.avg(F.pow(F.col(a) - F.col(b), 2)))
 
 
 def forecast_rmse(scored: DataFrame, ts: str = "ds", by_symbol: bool = False,
@@ -90,11 +93,6 @@ def forecast_rmse(scored: DataFrame, ts: str = "ds", by_symbol: bool = False,
 
 
 def dashboard_hourly(scored: DataFrame, ts: str = "ds") -> DataFrame:
-    """Per "date hour": mean of y, yhat, both band edges and intrp.
-
-    Means are fixed-point (6 decimals, exact sums), so they do not depend on
-    partitioning.
-    """
-    from ratecast.functions import fixed_avg, tumble_interval
+    """Per "date hour": mean of y, yhat, both band edges and intrp."""
     return scored.groupBy(tumble_interval(ts, 3600).alias("date_hour")).agg(
-        *[fixed_avg(c, DIGITS).alias(f"avg_{c}") for c in ("y", "yhat", "yhat_lower", "yhat_upper", "intrp")])
+        *[F.avg(c).alias(f"avg_{c}") for c in ("y", "yhat", "yhat_lower", "yhat_upper", "intrp")])

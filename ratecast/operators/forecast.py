@@ -19,13 +19,8 @@ from pyspark.sql import functions as F
 from ratecast.functions import epoch_seconds
 from ratecast.operators.training import HORIZON_HOURS
 
-# Two-sided 80 % normal interval, and output precision.
+# Fixed value: two-sided 80 % normal interval.
 Z80 = 1.2815515655446004
-DIGITS = 6
-
-
-def _r(c: Column) -> Column:
-    return F.round(c, DIGITS)
 
 
 def cluster_series(df: DataFrame) -> DataFrame:
@@ -114,17 +109,15 @@ def forecast_seasonal(train: DataFrame, periods: int = HORIZON_HOURS, step_secon
     """
     f = seasonal_components(train, periods, step_seconds)
     band = F.lit(float(z)) * F.col("sd")
-    return f.select("symbol", "ds", "y", _r(F.col("fitted")).alias("yhat"),
-                    _r(F.col("fitted") - band).alias("yhat_lower"),
-                    _r(F.col("fitted") + band).alias("yhat_upper"))
+    return f.select("symbol", "ds", "y", F.col("fitted").alias("yhat"),
+                    (F.col("fitted") - band).alias("yhat_lower"), (F.col("fitted") + band).alias("yhat_upper"))
 
 
 def decompose(train: DataFrame) -> DataFrame:
     """Training rows split into trend, seasonal factor and remainder (M6)."""
     f = seasonal_components(train, periods=0).filter(F.col("y").isNotNull())
-    return f.select("symbol", "ds", "y", _r(F.col("trend")).alias("trend"),
-                    _r(F.col("i_h") * F.col("i_d")).alias("seasonal"),
-                    _r(F.col("y") - F.col("fitted")).alias("remainder"))
+    return f.select("symbol", "ds", "y", "trend", (F.col("i_h") * F.col("i_d")).alias("seasonal"),
+                    (F.col("y") - F.col("fitted")).alias("remainder"))
 
 
 def _ar1_frame(train: DataFrame) -> DataFrame:
@@ -188,9 +181,9 @@ def explain_forecast(params: DataFrame, train: DataFrame, periods: int = HORIZON
         "symbol",
         F.timestamp_add("SECOND", F.col("_h").cast("long") * int(step_seconds), F.col("ds_last"))
         .alias("time_series_timestamp"),
-        _r(point).alias("time_series_data"),
-        _r(point - half).alias("prediction_interval_lower_bound"),
-        _r(point + half).alias("prediction_interval_upper_bound"))
+        point.alias("time_series_data"),
+        (point - half).alias("prediction_interval_lower_bound"),
+        (point + half).alias("prediction_interval_upper_bound"))
     hist = train.select("symbol", F.col("ds").alias("time_series_timestamp"), F.col("y").alias("time_series_data"),
                         F.lit(None).cast("double").alias("prediction_interval_lower_bound"),
                         F.lit(None).cast("double").alias("prediction_interval_upper_bound"))
@@ -214,6 +207,6 @@ def forecast_ar1(train: DataFrame, periods: int = HORIZON_HOURS, step_seconds: i
     return e.select(
         "symbol",
         F.timestamp_add("SECOND", F.col("_h").cast("long") * int(step_seconds), F.col("ds")).alias("time_series_timestamp"),
-        F.when(fut, _r(point)).otherwise(F.col("y")).alias("time_series_data"),
-        F.when(fut, _r(point - half)).alias("prediction_interval_lower_bound"),
-        F.when(fut, _r(point + half)).alias("prediction_interval_upper_bound"))
+        F.when(fut, point).otherwise(F.col("y")).alias("time_series_data"),
+        F.when(fut, point - half).alias("prediction_interval_lower_bound"),
+        F.when(fut, point + half).alias("prediction_interval_upper_bound"))

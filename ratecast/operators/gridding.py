@@ -118,7 +118,7 @@ def densify(grid: DataFrame, hourly: DataFrame, symbol: str = "symbol") -> DataF
 
 
 def interpolate_hourly(hourly: DataFrame, width: int = HOUR, fill: float | None = 0.0,
-                       edge_flag: bool = False, symbol: str = "symbol") -> DataFrame:
+                       edge_flag: bool = False, symbol: str = "symbol", merge: str = "reference") -> DataFrame:
     """Dense hourly table with gaps filled (``batch_hour_interpo``, T5; W1, W2, D4, J2, J3).
 
     Input: hourly means ``(symbol, tumble, mean, count)``, possibly a union of
@@ -136,30 +136,48 @@ def interpolate_hourly(hourly: DataFrame, width: int = HOUR, fill: float | None
     number of partitions, because the explode multiplies rows in a way AQE
     cannot size in advance.
 
-    Duplicate buckets sort by mean, NULL first: seen from later buckets a
-    duplicated bucket counts with its larger mean, from earlier ones with its
-    smaller one (the reference leaves the choice unspecified). A known bucket
-    whose mean is NULL is still a neighbour (Q11); its own value is the line
-    between its neighbours.
+    A bucket fed by several sources (Q1): ``merge="reference"`` keeps its rows, as
+    the union gave them; ``merge="strict"`` makes them one, the mean of all their
+    ticks. Neighbours are other buckets, never rows of the same one: seen from
+    later buckets a duplicated bucket counts with its larger mean, from
+    earlier ones with its smaller one (NULL smallest; the reference leaves the
+    choice unspecified). A known bucket whose mean is NULL is still a neighbour
+    (Q11); its own value is the line between its neighbours.
     """
+    if merge not in ("reference", "strict"):
+        raise ValueError(f"unknown merge {merge!r}")
     n = int(hourly.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     lo, hi = _bounds(hourly, "tumble")
     w_ = F.lit(int(width)).cast("long")
     h = hourly.select(F.col(symbol).alias("symbol"), "mean", "count", epoch_seconds("tumble").alias("_pos"))
-    h = h.repartition(n, "symbol")
-    w = Window.partitionBy("symbol").orderBy(F.col("_pos").asc(), F.col("mean").asc_nulls_first())
-    h = h.withColumn("_c", F.struct(F.col("_pos").alias("x"), F.col("mean").alias("y")))
-    h = h.select("*", F.lag("_c").over(w).alias("_prev"), F.lead("_c").over(w).alias("_next"))
+    # one row per bucket: its rows, and how it looks from either side
+    by_mean = F.col("mean").isNotNull(), F.col("mean")
+    h = h.repartition(n, "symbol").groupBy("symbol", "_pos").agg(
+        F.collect_list(F.struct("mean", "count")).alias("_rows"),
+        F.min(F.struct(by_mean[0].alias("k"), by_mean[1].alias("y"))).alias("_lo"),
+        F.max(F.struct(by_mean[0].alias("k"), by_mean[1].alias("y"))).alias("_hi"),
+        F.sum(F.col("mean") * F.col("count")).alias("_sum"), F.sum(F.when(F.col("mean").isNotNull(), F.col("count"))).alias("_n"),
+        F.sum("count").alias("_all"))
+    if merge == "strict":
+        one = F.when(F.size("_rows") == 1, F.col("_rows")[0]["mean"]).otherwise(F.try_divide("_sum", "_n"))
+        h = h.withColumn("_one", F.struct(one.alias("mean"), F.col("_all").alias("count")))
+        h = h.select("symbol", "_pos", F.array("_one").alias("_rows"), F.struct(F.lit(True).alias("k"), F.col("_one.mean").alias("y")).alias("_lo"),
+                     F.struct(F.lit(True).alias("k"), F.col("_one.mean").alias("y")).alias("_hi"))
+    w = Window.partitionBy("symbol").orderBy(F.col("_pos").asc())
+    seen = lambda side: F.struct(F.col("_pos").alias("x"), F.col(f"{side}.y").alias("y"))
+    h = h.select("symbol", "_pos", "_rows", seen("_hi").alias("_from_right"), seen("_lo").alias("_from_left"),
+                 F.lag(seen("_hi")).over(w).alias("_prev"), F.lead(seen("_lo")).over(w).alias("_next"))
     start = F.when(F.col("_prev").isNull(), lo).otherwise(F.col("_pos"))
     end = F.when(F.col("_next").isNull(), hi).otherwise(F.greatest(F.col("_pos"), F.col("_next.x") - w_))
+    # an empty bucket is one row without a mean; a known one has as many as its sources
+    empty = F.array(F.struct(F.lit(None).cast("double").alias("mean"), F.lit(0).cast("long").alias("count")))
     e = h.select("*", F.explode(F.sequence(start, end, w_)).alias("_p"))
+    e = e.select("*", F.explode(F.when(F.col("_p") == F.col("_pos"), F.col("_rows")).otherwise(empty)).alias("_r"))
     own, before = F.col("_p") == F.col("_pos"), F.col("_p") < F.col("_pos")
     null_coord = F.lit(None).cast("struct<x:bigint,y:double>")
-    prev = F.when(own, F.col("_prev")).when(before, null_coord).otherwise(F.col("_c"))
-    nxt = F.when(own, F.col("_next")).when(before, F.col("_c")).otherwise(F.col("_next"))
-    mean = F.when(own, F.col("mean"))
-    e = e.select("symbol", "_p", mean.alias("_mean"), prev.alias("_pv"), nxt.alias("_nx"),
-                 F.when(own, F.col("count")).otherwise(F.lit(0).cast("long")).alias("count"))
+    prev = F.when(own, F.col("_prev")).when(before, null_coord).otherwise(F.col("_from_right"))
+    nxt = F.when(own, F.col("_next")).when(before, F.col("_from_left")).otherwise(F.col("_next"))
+    e = e.select("symbol", "_p", F.col("_r.mean").alias("_mean"), prev.alias("_pv"), nxt.alias("_nx"), F.col("_r.count").alias("count"))
     tumble = from_epoch_seconds("_p")
     cols = [
         "symbol",

@@ -12,8 +12,6 @@ import datetime as dt
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ratecast.functions import fixed_avg
-
 # Fixed values of the serving arguments.
 MODELS = ("ARIMA", "PROPHET")
 STATS = ("MAX", "MIN", "AVG")
@@ -75,12 +73,11 @@ def serve_stat(frames: dict[str, DataFrame], stat: str, model: str = DEFAULT_MOD
     """``MAX|MIN|AVG`` of the model's value column per symbol, ordered by symbol.
 
     The ARIMA frame keeps the explain-forecast value, which holds both history
-    and forecast values. AVG is the fixed-point mean (6 decimals, exact sum), so
-    the served number does not change with partitioning.
+    and forecast values.
     """
     check_args(model, stat)
     if end is None:
         raise ValueError("end is required (pass as_of - 18 days)")
     df = _filtered(frames, model, currencies, start, end)
-    fn = {"MAX": F.max, "MIN": F.min, "AVG": fixed_avg}[stat]
+    fn = {"MAX": F.max, "MIN": F.min, "AVG": F.avg}[stat]
     return df.groupBy("symbol").agg(fn(F.col(_VALUE[model])).alias(stat)).orderBy("symbol")

@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ratecast.functions import date_str, ieee_divide, json_array, json_scalar, scalar_text
+from ratecast.functions import date_str, ieee_divide, variant_scalar
 
 AGGREGATOR_SCRIPT_ID = 3  # fixed value: the oracle script whose results are rate reports
 
@@ -31,15 +31,16 @@ def scan_oracle_requests(req: DataFrame, script_id: int = AGGREGATOR_SCRIPT_ID)
 def parse_oracle_json(req: DataFrame) -> DataFrame:
     """``symbols``, ``multiplier`` and ``rates`` out of the JSON text.
 
-    Array elements go through the scalar guard, so an object inside an array
-    is NULL; numbers are cast leniently (bad text gives NULL, not an error).
+    Each document is parsed once. Array elements go through the scalar guard, so an
+    object inside an array is NULL; numbers are cast leniently (bad text gives
+    NULL, not an error).
     """
-    symbols = F.transform(json_array("calldata", "$.symbols"), scalar_text)
-    rates = F.transform(json_array("result", "$.rates"), lambda x: scalar_text(x).try_cast("double"))
+    at = lambda doc, path, kind: F.try_variant_get(doc, path, kind)
+    req = req.withColumns({"calldata": F.try_parse_json("calldata"), "result": F.try_parse_json("result")})
     return req.select(
-        symbols.alias("symbols"),
-        json_scalar("calldata", "$.multiplier").try_cast("double").alias("multiplier"),
-        rates.alias("rates"),
+        F.transform(at("calldata", "$.symbols", "array<variant>"), variant_scalar).alias("symbols"),
+        variant_scalar(at("calldata", "$.multiplier", "variant")).try_cast("double").alias("multiplier"),
+        F.transform(at("result", "$.rates", "array<variant>"), lambda x: variant_scalar(x).try_cast("double")).alias("rates"),
         "block_timestamp", "block_timestamp_truncated", "oracle_request_id",
     )
 
@@ -47,13 +48,16 @@ def parse_oracle_json(req: DataFrame) -> DataFrame:
 def unnest_rates(parsed: DataFrame) -> DataFrame:
     """One row per (request, position): ``symbols[i]`` with ``rates[i]``.
 
-    Requests whose arrays differ in length are dropped first (Q3); NULL or
-    missing arrays have a NULL size and are dropped as well.
+    Requests whose arrays differ in length, are NULL or missing give no row (Q3).
+    The length is checked inside the generator, and the filter is on the
+    generated position: a filter on the arrays would be copied down to the scan,
+    JSON parsing included.
     """
-    ok = parsed.filter(F.size("symbols") == F.size("rates"))
     z = F.arrays_zip(F.col("symbols").alias("symbol"), F.col("rates").alias("rate"))
-    return ok.select("block_timestamp", "block_timestamp_truncated", "oracle_request_id", "multiplier",
-                     F.inline(z))
+    z = F.when(F.size("symbols") == F.size("rates"), z)
+    keep = ["block_timestamp", "block_timestamp_truncated", "oracle_request_id", "multiplier"]
+    return (parsed.select(*keep, F.posexplode_outer(z).alias("_pos", "_z")).filter(F.col("_pos").isNotNull())
+            .select(*keep, "_z.symbol", "_z.rate"))
 
 
 def adjust_rates(zipped: DataFrame) -> DataFrame:

@@ -100,9 +100,11 @@ MIDNIGHT_CUTS = ("2024-01-21 00:00:00", "2024-01-26 00:00:00")
 HALF_HOUR_CUTS = ("2024-01-21 12:30:00", "2024-01-26 12:30:00")
 
 
-def _three_sources(spark, sf, cuts, symbol="event_type"):
+def _three_sources(spark, sf, cuts, symbol="event_type", nulls=False):
     from ratecast.sources.slices import replay_slice
     t = read_ticks(spark, sf, symbol)
+    if nulls:
+        t = t.withColumn("rate", F.when(F.col("request").cast("long") % 7 != 0, F.col("rate")))
     a, b = cuts
     parts = [t.filter(F.col("timestamp") < F.lit(a).cast("timestamp_ntz")),
              replay_slice(t, a, b),
@@ -110,15 +112,16 @@ def _three_sources(spark, sf, cuts, symbol="event_type"):
     return materialize(G.hourly_union(*[G.hourly_mean(p) for p in parts]))
 
 
-def _three_sources_sql(cuts, symbol="event_type") -> list[str]:
+def _three_sources_sql(cuts, symbol="event_type", nulls=False) -> list[str]:
     a, b = cuts
-    return [
+    parts = [
         S.ticks_cte(symbol, "t_batch", f"ts < TIMESTAMP '{a}'"),
         S.ticks_cte(symbol, "t_stream", f"ts >= TIMESTAMP '{a}' AND ts < TIMESTAMP '{b}'"),
         S.ticks_cte(symbol, "t_valid", f"ts >= TIMESTAMP '{b}'"),
         S.hourly_cte("t_batch", "h_batch"), S.hourly_cte("t_stream", "h_stream"), S.hourly_cte("t_valid", "h_valid"),
         "hourly AS (SELECT * FROM h_batch UNION ALL SELECT * FROM h_stream UNION ALL SELECT * FROM h_valid)",
     ]
+    return [p.replace("value AS rate", "CASE WHEN event_id % 7 <> 0 THEN value END AS rate") for p in parts] if nulls else parts
 
 
 @register("hourly_union", S.with_(*_three_sources_sql(MIDNIGHT_CUTS)) + "SELECT * FROM hourly")
@@ -140,6 +143,31 @@ def q_interpolate_union_overlap(spark, sf):
     return G.interpolate_hourly(_three_sources(spark, sf, HALF_HOUR_CUTS))
 
 
+#: The union's rows of one hour as one: the mean of the sources' means, weighed by their ticks.
+STRICT = ("strict AS (SELECT symbol, tumble, CASE WHEN count(*) = 1 THEN any_value(mean) ELSE sum(mean * count) / "
+          "sum(CASE WHEN mean IS NOT NULL THEN count END) END AS mean, CAST(sum(count) AS BIGINT) AS count "
+          "FROM hourly GROUP BY symbol, tumble)")
+FILLED = "symbol, tumble, date_str, round(intrp, 6) AS intrp, round(unfilled, 6) AS unfilled, count"
+
+
+def _filled(df):
+    return df.withColumns({c: F.round(c, 6) for c in ("intrp", "unfilled")})
+
+
+@register("interpolate_nulls",
+          S.with_(*_three_sources_sql(HALF_HOUR_CUTS, nulls=True), S.interp_ctes()) + f"SELECT {FILLED} FROM interp")
+def q_interpolate_nulls(spark, sf):
+    """Hours without a known value, some of them fed by two sources (Q1, Q11)."""
+    return _filled(G.interpolate_hourly(_three_sources(spark, sf, HALF_HOUR_CUTS, nulls=True)))
+
+
+@register("interpolate_nulls_strict",
+          S.with_(*_three_sources_sql(HALF_HOUR_CUTS, nulls=True), STRICT, S.interp_ctes("strict")) + f"SELECT {FILLED} FROM interp")
+def q_interpolate_nulls_strict(spark, sf):
+    """The same with each hour's sources merged into one row."""
+    return _filled(G.interpolate_hourly(_three_sources(spark, sf, HALF_HOUR_CUTS, nulls=True), merge="strict"))
+
+
 @register("dedupe_hours",
           S.with_(*_three_sources_sql(HALF_HOUR_CUTS), S.interp_ctes()) +
           "SELECT symbol, tumble, avg(intrp) AS intrp FROM interp GROUP BY symbol, tumble")

@@ -16,9 +16,8 @@ from ratecast.operators import serve as SV
 from ratecast.operators import training as TR
 from ratecast.plans import sql as S
 from ratecast.plans.registry import register
-from ratecast.sources.fixtures import read_ticks
+from ratecast.sources.fixtures import read_ticks, ticks_from_events
 from ratecast.sources.sinks import materialize, sink_json_records, sink_replace, table_dir
-from ratecast.sources.slices import replay_slice
 from ratecast.sources.tables import read_table
 
 T5 = "symbol, tumble, date_str, intrp, unfilled, count"
@@ -33,24 +32,40 @@ SERVE_END = "2024-01-28"
 CURRENCIES = ["7", "42", "99"]
 
 
+#: Columns that registered queries round to 6 decimals, as their oracles do; operators never round.
+BANDS = ("yhat", "yhat_lower", "yhat_upper")
+EXPLAINED = ("time_series_data", "prediction_interval_lower_bound", "prediction_interval_upper_bound")
+XF = (f"symbol, time_series_timestamp, CASE WHEN {EXPLAINED[1]} IS NULL THEN time_series_data ELSE round(time_series_data, 6) END "
+      f"AS time_series_data, {S.rounded(*EXPLAINED[1:])}")
+FVA = f"symbol, ds, date_str, y, {S.rounded(*BANDS)}, intrp"
+AVA = f"symbol, time_series_timestamp, date_str, y, {S.rounded(*BANDS)}, intrp"
+
+
+def _rounded(df, *cols):
+    return df.withColumns({c: F.round(c, 6) for c in cols})
+
+
+def _rounded_explained(df):
+    """Forecast rows rounded, history as it is."""
+    data, lower, upper = EXPLAINED
+    return _rounded(df.withColumn(data, F.when(F.col(lower).isNull(), F.col(data)).otherwise(F.round(data, 6))), lower, upper)
+
+
 class _Stage:
-    """The scheduled job's tables for one series key, plus the scalar bounds.
+    """The scheduled job's frames for one series key, plus the scalar bounds.
 
     The hourly aggregate is stored once (a checkpoint in the shared folder):
     the interpolation, its bounds and the cut all read it, and the ticks are
-    scanned once. The interpolated table is recomputed from it where it is used
-    (one shuffle of the hourly rows, cheaper than storing and re-reading the
-    larger dense table) unless ``store_t5`` asks for it to be kept. The holdout
-    cut and the forecast end are scalar subqueries on
-    that small table: ``max(T5.tumble)`` equals ``max(hourly.tumble)`` because
-    the grid spans exactly the hourly bounds, and the last forecast time is the
-    training end plus the horizon.
+    scanned once. The interpolated table is recomputed from it where it is used.
+    The holdout cut and the forecast end are scalar subqueries on that small
+    table: ``max(T5.tumble)`` equals ``max(hourly.tumble)`` because the grid spans
+    exactly the hourly bounds, and the last forecast time is the training end
+    plus the horizon.
     """
 
-    def __init__(self, spark, sf, symbol="user_id", store_t5=False):
+    def __init__(self, spark, sf, symbol="user_id"):
         self.hourly = materialize(G.hourly_mean(read_ticks(spark, sf, symbol)))
-        t5 = G.interpolate_hourly(self.hourly)
-        self.t5 = materialize(t5) if store_t5 else t5
+        self.t5 = G.interpolate_hourly(self.hourly)
         last = self.hourly.agg(F.max("tumble")).scalar()
         self.cut = last - F.expr(f"INTERVAL {TR.HOLDOUT_DAYS} DAYS")
         self.hi = self.cut + F.expr(f"INTERVAL {TR.HORIZON_HOURS} HOURS")
@@ -62,41 +77,68 @@ class _Stage:
         self.train_ar = TR.series_min_length(G.dedupe_hours(self.train, value="y", ts="ds"))
 
 
-# The scoring queries read the interpolated table four times (two trainings,
-# two joins with actuals). Measured at 10x sf0.1: recomputing it from the
-# stored hourly rows (54 s) beats storing it once (75 s), because a checkpoint
-# drops the per-symbol partitioning and every reader then re-shuffles it.
-STORE_T5_FOR_SCORING = False
+class _Tables:
+    """The scheduled job's tables, written once per application and input and then only read.
+
+    T5 (interpolated), T8 (seasonal forecast), T10 (model parameters), T11
+    (explained AR forecast) and the two scored tables that serving reads. Each is
+    clustered on ``symbol`` and sorted in its files, so a request for a few
+    symbols and a time range reads few row groups.
+    """
+
+    written: dict[tuple[str, str], _Tables] = {}
+
+    def __init__(self, spark, sf):
+        st = _Stage(spark, sf)
+
+        def write(df, name, ts):
+            path = table_dir(spark, name, fresh=True)
+            return sink_replace(df, path, cluster_by="symbol", sort_within=["symbol", ts])
+
+        self.t5 = write(st.t5, "batch_hour_interpo", "tumble")
+        cut = TR.holdout_cut(self.t5, cut=st.cut)
+        train = TR.series_min_length(TR.to_training_frame(cut))
+        train_ar = TR.series_min_length(G.dedupe_hours(train, value="y", ts="ds"))
+        self.hi = st.hi
+        self.forecast = write(M.forecast_seasonal(train), "forecast_seasonal", "ds")
+        self.params = write(M.ar1_params(train_ar), "ar1_model", "ds_last")
+        self.explained = write(M.explain_forecast(self.params, train_ar), "forecast_ar", "time_series_timestamp")
+        self.frames = {
+            "PROPHET": write(E.forecast_vs_actual(self.forecast, self.t5, hi=st.hi), "scored_seasonal", "ds"),
+            "ARIMA": write(E.arima_vs_actual(self.explained, self.t5, hi=st.hi), "scored_ar", "time_series_timestamp"),
+        }
+        # seen after the writes, which recompute nothing from it later
+        self.split = E.forecast_vs_actual_split(self.forecast, self.t5, hi=st.hi)
+
+
+def _tables(spark, sf) -> _Tables:
+    key = (spark.sparkContext.applicationId, sf)
+    if key not in _Tables.written:
+        _Tables.written[key] = _Tables(spark, sf)
+    return _Tables.written[key]
 
 
 def _t5(spark, sf, symbol="user_id"):
-    return _Stage(spark, sf, symbol, store_t5=False).t5
+    return _Stage(spark, sf, symbol).t5
 
 
 def _train(t5):
     return TR.series_min_length(TR.to_training_frame(TR.holdout_cut(t5)))
 
 
-def _seasonal(spark, sf, store_t5=False):
-    st = _Stage(spark, sf, store_t5=store_t5)
+def _seasonal(spark, sf):
+    st = _Stage(spark, sf)
     return st, M.forecast_seasonal(st.train)
 
 
-def _ar(spark, sf, store_t5=False):
-    st = _Stage(spark, sf, store_t5=store_t5)
+def _ar(spark, sf):
+    st = _Stage(spark, sf)
     return st, M.forecast_ar1(st.train_ar)
 
 
-def _frames(spark, sf):
-    """Forecast tables of both models, each joined with the actuals."""
-    st = _Stage(spark, sf, store_t5=STORE_T5_FOR_SCORING)
-    return {"PROPHET": E.forecast_vs_actual(M.forecast_seasonal(st.train), st.t5, hi=st.hi),
-            "ARIMA": E.arima_vs_actual(M.forecast_ar1(st.train_ar), st.t5, hi=st.hi)}, st
-
-
 @register("holdout_cut", S.with_(*BASE) + f"SELECT {T5} FROM interp WHERE tumble <= (SELECT c FROM train_cut)")
 def q_holdout_cut(spark, sf):
-    st = _Stage(spark, sf, store_t5=False)
+    st = _Stage(spark, sf)
     return TR.holdout_cut(st.t5, cut=st.cut)
 
 
@@ -117,17 +159,17 @@ def q_scan_symbol_ordered(spark, sf):
 
 @register("to_training_frame", S.with_(*BASE) + "SELECT * FROM train")
 def q_to_training_frame(spark, sf):
-    return _Stage(spark, sf, store_t5=False).train
+    return _Stage(spark, sf).train
 
 
 @register("series_min_length",
-          S.with_(S.ticks_cte("user_id", where="ts >= TIMESTAMP '2024-01-21' AND ts < TIMESTAMP '2024-01-26'"),
-                  S.hourly_cte()) +
+          S.with_(S.ticks_cte("event_id % 5000"), S.hourly_cte()) +
           "SELECT symbol, tumble, mean, count FROM (SELECT *, count(*) OVER (PARTITION BY symbol) AS n FROM hourly) "
           "WHERE n >= 3")
 def q_series_min_length(spark, sf):
-    h = G.hourly_mean(replay_slice(read_ticks(spark, sf, "user_id"), "2024-01-21", "2024-01-26"))
-    return TR.series_min_length(h)
+    """Many short series over the whole table: most have fewer hours than the guard asks for."""
+    ev = read_table(spark, sf, "events", ["ts", "event_id", "value"]).withColumn("series", F.col("event_id") % 5000)
+    return TR.series_min_length(G.hourly_mean(ticks_from_events(ev, "series")))
 
 
 @register("collect_series",
@@ -141,7 +183,7 @@ def q_collect_series(spark, sf):
           S.with_(*BASE, S.future_cte()) +
           "SELECT symbol, ds, false AS is_future FROM train UNION ALL SELECT symbol, ds, true FROM fut")
 def q_forecast_horizon(spark, sf):
-    return TR.forecast_horizon(_Stage(spark, sf, store_t5=False).train)
+    return TR.forecast_horizon(_Stage(spark, sf).train)
 
 
 @register("attach_history",
@@ -150,9 +192,9 @@ def q_forecast_horizon(spark, sf):
           "LEFT JOIN train t ON t.symbol = h.symbol AND t.ds = h.ds")
 def q_attach_history(spark, sf):
     """Horizon rows merged with the training values on (symbol, ds), never by position."""
-    tr = _Stage(spark, sf, store_t5=False).train
+    tr = _Stage(spark, sf).train
     h = TR.forecast_horizon(tr).select("symbol", "ds")
-    return h.join(tr, ["symbol", "ds"], "left").select("symbol", "ds", "y")
+    return h.join(tr.hint("merge"), ["symbol", "ds"], "left").select("symbol", "ds", "y")
 
 
 @register("infer_frequency",
@@ -174,9 +216,9 @@ def q_nan_to_null(spark, sf):
     return ev.select("event_id", nan_to_null(q0).alias("q0"))
 
 
-@register("forecast_seasonal", S.with_(*BASE, *SEAS) + "SELECT * FROM fc")
+@register("forecast_seasonal", S.with_(*BASE, *SEAS) + f"SELECT symbol, ds, y, {S.rounded(*BANDS)} FROM fc")
 def q_forecast_seasonal(spark, sf):
-    return _seasonal(spark, sf, store_t5=False)[1]
+    return _rounded(_seasonal(spark, sf)[1], *BANDS)
 
 
 @register("decompose",
@@ -184,12 +226,18 @@ def q_forecast_seasonal(spark, sf):
           "SELECT symbol, ds, y, round(trend, 6) AS trend, round(i_h * i_d, 6) AS seasonal, "
           "round(y - fitted, 6) AS remainder FROM seas WHERE y IS NOT NULL")
 def q_decompose(spark, sf):
-    return M.decompose(_Stage(spark, sf, store_t5=False).train)
+    return _rounded(M.decompose(_Stage(spark, sf).train), "trend", "seasonal", "remainder")
 
 
-@register("forecast_ar1", S.with_(*BASE, *AR) + "SELECT * FROM xf")
+@register("forecast_ar1", S.with_(*BASE, *AR) + f"SELECT {XF} FROM xf")
 def q_forecast_ar1(spark, sf):
-    return _ar(spark, sf, store_t5=False)[1]
+    return _rounded_explained(_ar(spark, sf)[1])
+
+
+@register("explain_forecast", S.with_(*BASE, *AR) + f"SELECT {XF} FROM xf")
+def q_explain_forecast(spark, sf):
+    """The same relation from the stored parameter table."""
+    return _rounded_explained(_tables(spark, sf).explained)
 
 
 @register("model_table",
@@ -198,7 +246,7 @@ def q_forecast_ar1(spark, sf):
           "round(sigma2, 6) AS sigma2, stationary FROM ar_params")
 def q_model_table(spark, sf):
     """Per-series AR(1) parameters written as a table, replaced on each run (K5)."""
-    p = M.ar1_params(_Stage(spark, sf, store_t5=False).train_ar)
+    p = M.ar1_params(_Stage(spark, sf).train_ar)
     t = sink_replace(p, table_dir(spark, "ar1_model", fresh=True))
     return t.select("symbol", "n", "y_last", "ds_last", *[F.round(c, 6).alias(c) for c in ("phi", "c", "mu", "sigma2")],
                     "stationary")
@@ -213,29 +261,30 @@ def q_forecast_window_filter(spark, sf):
     return E.forecast_window_filter(st.t5, fc, hi=st.hi)
 
 
-@register("forecast_vs_actual", S.with_(*BASE, *SEAS, S.fva_cte()) + "SELECT * FROM fva")
+@register("forecast_vs_actual", S.with_(*BASE, *SEAS, S.fva_cte()) + f"SELECT {FVA} FROM fva")
 def q_forecast_vs_actual(spark, sf):
     st, fc = _seasonal(spark, sf)
-    return E.forecast_vs_actual(fc, st.t5, hi=st.hi)
+    return _rounded(E.forecast_vs_actual(fc, st.t5, hi=st.hi), *BANDS)
 
 
 @register("forecast_vs_actual_split",
           S.with_(*BASE, *SEAS) +
-          f"SELECT s.symbol, s.ds, {S.date_str('s.ds')} AS date_str, s.yhat, s.yhat_lower, s.yhat_upper, "
+          f"SELECT s.symbol, s.ds, {S.date_str('s.ds')} AS date_str, round(s.yhat, 6) AS yhat, "
+          "round(s.yhat_lower, 6) AS yhat_lower, round(s.yhat_upper, 6) AS yhat_upper, "
           "CASE WHEN b.tumble <= (SELECT max(ds) - INTERVAL 5 DAY FROM fc) THEN b.intrp END AS y, "
           "CASE WHEN b.tumble > (SELECT max(ds) - INTERVAL 5 DAY FROM fc) THEN b.intrp END AS intrp "
           "FROM fc s LEFT JOIN (SELECT * FROM interp WHERE tumble <= (SELECT max(ds) FROM fc)) b "
           "ON b.tumble = s.ds AND s.symbol = b.symbol")
 def q_forecast_vs_actual_split(spark, sf):
     st, fc = _seasonal(spark, sf)
-    return E.forecast_vs_actual_split(fc, st.t5, hi=st.hi)
+    return _rounded(E.forecast_vs_actual_split(fc, st.t5, hi=st.hi), *BANDS)
 
 
 @register("arima_vs_actual", S.with_(*BASE, *AR, S.ava_cte()) +
-          "SELECT symbol, time_series_timestamp, date_str, y, yhat, yhat_lower, yhat_upper, intrp FROM ava")
+          f"SELECT {AVA} FROM ava")
 def q_arima_vs_actual(spark, sf):
     st, xf = _ar(spark, sf)
-    return E.arima_vs_actual(xf, st.t5, hi=st.hi).drop("time_series_data")
+    return _rounded(E.arima_vs_actual(xf, st.t5, hi=st.hi).drop("time_series_data"), *BANDS)
 
 
 @register("split_actual_holdout",
@@ -243,7 +292,7 @@ def q_arima_vs_actual(spark, sf):
           "SELECT symbol, tumble, CASE WHEN tumble <= (SELECT c FROM train_cut) THEN intrp END AS y, "
           "CASE WHEN tumble > (SELECT c FROM train_cut) THEN intrp END AS holdout FROM interp")
 def q_split_actual_holdout(spark, sf):
-    st = _Stage(spark, sf, store_t5=False)
+    st = _Stage(spark, sf)
     return TR.split_actual_holdout(st.t5, cut=st.cut)
 
 
@@ -255,11 +304,14 @@ def _rmse_sql(src: str, ts: str, model: str, by_symbol: bool) -> str:
             f"WHERE {ts} > (SELECT max({ts}) - INTERVAL 5 DAY FROM {src})" + (" GROUP BY symbol" if by_symbol else ""))
 
 
+RMSE = ("rmse", "rmse_upper", "rmse_lower")
+
+
 def _rmse_spark(spark, sf, by_symbol):
-    fr, st = _frames(spark, sf)
-    a = E.forecast_rmse(fr["PROPHET"], "ds", by_symbol, hi=st.hi).withColumn("model", F.lit("PROPHET"))
-    b = E.forecast_rmse(fr["ARIMA"], "time_series_timestamp", by_symbol, hi=st.hi).withColumn("model", F.lit("ARIMA"))
-    return a.unionByName(b)
+    t = _tables(spark, sf)
+    a = E.forecast_rmse(t.frames["PROPHET"], "ds", by_symbol, hi=t.hi).withColumn("model", F.lit("PROPHET"))
+    b = E.forecast_rmse(t.frames["ARIMA"], "time_series_timestamp", by_symbol, hi=t.hi).withColumn("model", F.lit("ARIMA"))
+    return _rounded(a.unionByName(b), *RMSE)
 
 
 @register("forecast_rmse",
@@ -279,24 +331,57 @@ def q_forecast_report(spark, sf):
     return _rmse_spark(spark, sf, True)
 
 
-@register("dashboard_hourly",
-          S.with_(*BASE, *SEAS, S.fva_cte()) +
-          f"SELECT {S.tumble('ds', 3600)} AS date_hour, "
-          + ", ".join(f"{S.fixed_avg(c)} AS avg_{c}" for c in ("y", "yhat", "yhat_lower", "yhat_upper", "intrp"))
-          + " FROM fva GROUP BY 1")
+SPLIT_CTE = (f"split AS (SELECT s.symbol, s.ds, s.yhat, s.yhat_lower, s.yhat_upper, "
+             "CASE WHEN b.tumble <= (SELECT max(ds) - INTERVAL 5 DAY FROM fc) THEN b.intrp END AS y, "
+             "CASE WHEN b.tumble > (SELECT max(ds) - INTERVAL 5 DAY FROM fc) THEN b.intrp END AS intrp "
+             "FROM fc s LEFT JOIN (SELECT * FROM interp WHERE tumble <= (SELECT max(ds) FROM fc)) b "
+             "ON b.tumble = s.ds AND s.symbol = b.symbol)")
+
+
+@register("forecast_rmse_split", S.with_(*BASE, *SEAS, SPLIT_CTE) + _rmse_sql("split", "ds", "PROPHET", False))
+def q_forecast_rmse_split(spark, sf):
+    """The same score over the split join."""
+    t = _tables(spark, sf)
+    return _rounded(E.forecast_rmse(t.split, "ds", hi=t.hi).withColumn("model", F.lit("PROPHET")), *RMSE)
+
+
+DASHBOARD = ("y", *BANDS, "intrp")
+
+
+def _dashboard_sql(src: str, ts: str) -> str:
+    means = ", ".join(f"round(avg({c}), 6) AS avg_{c}" for c in DASHBOARD)
+    return f"SELECT {S.tumble(ts, 3600)} AS date_hour, {means} FROM {src} GROUP BY 1"
+
+
+def _dashboard(scored, ts="ds"):
+    return _rounded(E.dashboard_hourly(scored, ts), *[f"avg_{c}" for c in DASHBOARD])
+
+
+@register("dashboard_hourly", S.with_(*BASE, *SEAS, S.fva_cte()) + _dashboard_sql("fva", "ds"))
 def q_dashboard_hourly(spark, sf):
-    return E.dashboard_hourly(_frames(spark, sf)[0]["PROPHET"])
+    return _dashboard(_tables(spark, sf).frames["PROPHET"])
+
 
+@register("dashboard_hourly_split", S.with_(*BASE, *SEAS, SPLIT_CTE) + _dashboard_sql("split", "ds"))
+def q_dashboard_hourly_split(spark, sf):
+    return _dashboard(_tables(spark, sf).split)
 
-@register("symbol_list", S.with_(*BASE) + "SELECT DISTINCT symbol FROM interp ORDER BY symbol")
+
+@register("dashboard_hourly_arima", S.with_(*BASE, *AR, S.ava_cte()) + _dashboard_sql("ava", "time_series_timestamp"))
+def q_dashboard_hourly_arima(spark, sf):
+    return _dashboard(_tables(spark, sf).frames["ARIMA"], "time_series_timestamp")
+
+
+@register("symbol_list", S.with_(S.ticks_cte("user_id"), S.hourly_cte()) + "SELECT DISTINCT symbol FROM hourly ORDER BY symbol")
 def q_symbol_list(spark, sf):
-    return TR.symbol_list(_t5(spark, sf))
+    """From the hourly table: the grid adds hours, never symbols (A10)."""
+    return TR.symbol_list(G.hourly_mean(read_ticks(spark, sf, "user_id")))
 
 
 @register("datestr_range",
-          S.with_(*BASE, *SEAS, S.fva_cte()) + "SELECT * FROM fva WHERE CAST(date_str AS BIGINT) >= 20240125000000")
+          S.with_(*BASE, *SEAS, S.fva_cte()) + f"SELECT {FVA} FROM fva WHERE CAST(date_str AS BIGINT) >= 20240125000000")
 def q_datestr_range(spark, sf):
-    return TR.datestr_range(_frames(spark, sf)[0]["PROPHET"], 20240125000000)
+    return _rounded(TR.datestr_range(_tables(spark, sf).frames["PROPHET"], 20240125000000), *BANDS)
 
 
 def _serve_where(ts: str, currencies) -> str:
@@ -306,33 +391,53 @@ def _serve_where(ts: str, currencies) -> str:
     return w
 
 
-@register("serve_detail",
-          S.with_(*BASE, *SEAS, S.fva_cte()) + f"SELECT * FROM fva WHERE {_serve_where('ds', CURRENCIES)}")
-def q_serve_detail(spark, sf):
-    return SV.serve_detail(_frames(spark, sf)[0], "PROPHET", CURRENCIES, SERVE_START, SV.default_end(AS_OF))
+#: model -> CTEs, scored CTE, its time, the value of its statistics, columns of its detail, those that are rounded
+SERVED = {
+    "PROPHET": ((*SEAS, S.fva_cte()), "fva", "ds", "y", FVA, BANDS),
+    "ARIMA": ((*AR, S.ava_cte()), "ava", "time_series_timestamp", "time_series_data", AVA, BANDS),
+}
 
 
-@register("serve_detail_arima",
-          S.with_(*BASE, *AR, S.ava_cte()) +
-          "SELECT symbol, time_series_timestamp, date_str, y, yhat, yhat_lower, yhat_upper, intrp FROM ava "
-          f"WHERE {_serve_where('time_series_timestamp', None)}")
-def q_serve_detail_arima(spark, sf):
-    return SV.serve_detail(_frames(spark, sf)[0], "ARIMA", None, SERVE_START, SV.default_end(AS_OF))
+def _detail(spark, sf, model, currencies):
+    d = SV.serve_detail(_tables(spark, sf).frames, model, currencies, SERVE_START, SV.default_end(AS_OF))
+    return _rounded(d, *SERVED[model][5])
+
+
+def _detail_sql(model, currencies) -> str:
+    ctes, src, ts, _, cols, _ = SERVED[model]
+    return S.with_(*BASE, *ctes) + f"SELECT {cols} FROM {src} WHERE {_serve_where(ts, currencies)}"
+
+
+def _register_served(model, currencies, name) -> None:
+    ctes, src, ts, value, _, _ = SERVED[model]
+    register(f"serve_detail{name}", _detail_sql(model, currencies))(
+        lambda spark, sf: _detail(spark, sf, model, currencies))
+    for stat in SV.STATS:
+        sql = (S.with_(*BASE, *ctes) + f"SELECT symbol, round({stat}({value}), 6) AS \"{stat}\" FROM {src} "
+               f"WHERE {_serve_where(ts, currencies)} GROUP BY symbol ORDER BY symbol")
+        register(f"serve_{stat.lower()}{name}", sql)(lambda spark, sf, stat=stat: _rounded(SV.serve_stat(
+            _tables(spark, sf).frames, stat, model, currencies, SERVE_START, SV.default_end(AS_OF)), stat))
+
+
+# all forms of a request: 2 models x (detail, 3 statistics) x (some currencies, all)
+for _model, _currencies, _name in (("PROPHET", CURRENCIES, ""), ("PROPHET", None, "_all"),
+                                   ("ARIMA", CURRENCIES, "_arima_some"), ("ARIMA", None, "_arima")):
+    _register_served(_model, _currencies, _name)
 
 
 @register("serve_stat",
           S.with_(*BASE, *SEAS, S.fva_cte()) +
-          f"SELECT symbol, {S.fixed_avg('y')} AS \"AVG\" FROM fva WHERE {_serve_where('ds', CURRENCIES)} GROUP BY symbol ORDER BY symbol")
+          f"SELECT symbol, round(avg(y), 6) AS \"AVG\" FROM fva WHERE {_serve_where('ds', CURRENCIES)} GROUP BY symbol ORDER BY symbol")
 def q_serve_stat(spark, sf):
-    return SV.serve_stat(_frames(spark, sf)[0], "AVG", "PROPHET", CURRENCIES, SERVE_START, SV.default_end(AS_OF))
+    return _rounded(SV.serve_stat(_tables(spark, sf).frames, "AVG", "PROPHET", CURRENCIES, SERVE_START, SV.default_end(AS_OF)), "AVG")
 
 
 @register("serve_stat_arima",
           S.with_(*BASE, *AR, S.ava_cte()) +
-          f"SELECT symbol, max(time_series_data) AS \"MAX\" FROM ava WHERE {_serve_where('time_series_timestamp', None)} "
+          f"SELECT symbol, round(max(time_series_data), 6) AS \"MAX\" FROM ava WHERE {_serve_where('time_series_timestamp', None)} "
           "GROUP BY symbol ORDER BY symbol")
 def q_serve_stat_arima(spark, sf):
-    return SV.serve_stat(_frames(spark, sf)[0], "MAX", "ARIMA", None, SERVE_START, SV.default_end(AS_OF))
+    return _rounded(SV.serve_stat(_tables(spark, sf).frames, "MAX", "ARIMA", None, SERVE_START, SV.default_end(AS_OF)), "MAX")
 
 
 @register("serve_stat_one_currency",
@@ -340,14 +445,13 @@ def q_serve_stat_arima(spark, sf):
           f"SELECT symbol, min(y) AS \"MIN\" FROM fva WHERE {_serve_where('ds', ['42'])} GROUP BY symbol ORDER BY symbol")
 def q_serve_stat_one_currency(spark, sf):
     """One currency: a one-element list, no trailing-comma tuple text (Q4)."""
-    return SV.serve_stat(_frames(spark, sf)[0], "MIN", "PROPHET", ["42"], SERVE_START, SV.default_end(AS_OF))
+    return SV.serve_stat(_tables(spark, sf).frames, "MIN", "PROPHET", ["42"], SERVE_START, SV.default_end(AS_OF))
 
 
-@register("sink_json_records",
-          S.with_(*BASE, *SEAS, S.fva_cte()) + f"SELECT * FROM fva WHERE {_serve_where('ds', CURRENCIES)}")
+@register("sink_json_records", _detail_sql("PROPHET", CURRENCIES))
 def q_sink_json_records(spark, sf):
     """Detail rows written as JSON records and parsed back (K4)."""
-    d = SV.serve_detail(_frames(spark, sf)[0], "PROPHET", CURRENCIES, SERVE_START, SV.default_end(AS_OF))
+    d = _detail(spark, sf, "PROPHET", CURRENCIES)
     return sink_json_records(d, table_dir(spark, "serve_detail_json", fresh=True))
 
 
@@ -355,4 +459,4 @@ def q_sink_json_records(spark, sf):
 def q_forecast_ar_auto(spark, sf):
     """Automatic order (p <= 5, d <= 2) per series; Python per group, so rows-only check (M5)."""
     from ratecast.operators.ar_auto import forecast_ar_auto
-    return forecast_ar_auto(_Stage(spark, sf, store_t5=False).train_ar)
+    return forecast_ar_auto(_Stage(spark, sf).train_ar)

@@ -51,7 +51,8 @@ def grid_ctes(src: str = "hourly", name: str = "grid", width: int = 3600) -> str
 
 def interp_ctes(src: str = "hourly", name: str = "interp", width: int = 3600, fill: str = "0.0") -> str:
     """Grid, left join and the two neighbour windows; output is the T5 schema."""
-    coord = "CASE WHEN count IS NOT NULL THEN {'x': pos, 'y': mean} END"
+    # of rows of one bucket the one with the larger mean counts, a NULL mean as the smallest
+    coord = "CASE WHEN count IS NOT NULL THEN {'x': pos, 'k': mean IS NOT NULL, 'y': mean} END"
     return (
         grid_ctes(src, f"{name}_grid", width) + ", "
         f"{name}_dense AS (SELECT g.symbol, g.tumble, h.mean, h.count, {epoch_s('g.tumble')} AS pos "
@@ -150,8 +151,8 @@ def seasonal_ctes(src: str = "train", name: str = "seas", periods: int = 120) ->
 
 
 def forecast_cte(src: str = "seas", name: str = "fc") -> str:
-    return (f"{name} AS (SELECT symbol, ds, y, round(fitted, 6) AS yhat, round(fitted - {Z80} * sd, 6) AS yhat_lower, "
-            f"round(fitted + {Z80} * sd, 6) AS yhat_upper FROM {src})")
+    return (f"{name} AS (SELECT symbol, ds, y, fitted AS yhat, fitted - {Z80} * sd AS yhat_lower, "
+            f"fitted + {Z80} * sd AS yhat_upper FROM {src})")
 
 
 def ar1_ctes(src: str = "train_ar", name: str = "ar") -> str:
@@ -181,7 +182,7 @@ def explain_cte(params: str = "ar_params", src: str = "train_ar", name: str = "x
         f"(SELECT *, CAST(h0 AS DOUBLE) AS h FROM {params} CROSS JOIN range(1, {int(periods) + 1}) AS r0(h0)) r), "
         f"{name} AS (SELECT symbol, ds AS time_series_timestamp, y AS time_series_data, "
         f"NULL::DOUBLE AS prediction_interval_lower_bound, NULL::DOUBLE AS prediction_interval_upper_bound FROM {src} "
-        f"UNION ALL SELECT symbol, time_series_timestamp, round(pt, 6), round(pt - half, 6), round(pt + half, 6) "
+        f"UNION ALL SELECT symbol, time_series_timestamp, pt, pt - half, pt + half "
         f"FROM {name}_f)"
     )
 
@@ -214,7 +215,7 @@ def model_base(symbol: str = "user_id") -> list[str]:
     return [ticks_cte(symbol), hourly_cte(), interp_ctes(), train_ctes(), train_ctes(name="train_ar", dedupe=True)]
 
 
-def fixed_avg(x: str, digits: int = 6) -> str:
-    scale = f"{10 ** digits}.0::DOUBLE"
-    return (f"(CAST(sum(CAST(round(({x}) * {scale}) AS DECIMAL(38,0))) AS DOUBLE) / "
-            f"CAST(count({x}) AS DOUBLE) / {scale})")
+
+def rounded(*cols: str) -> str:
+    """Columns rounded to 6 decimals for the comparison (last bits of sums depend on the order of rows)."""
+    return ", ".join(f"round({c}, 6) AS {c}" for c in cols)
