@@ -9,8 +9,9 @@ numpy least squares; no third-party solver.
 Model: ARIMA(p, d, 0) with intercept. ``d`` is the smallest order in 0..2 whose
 differenced series has a lag-1 autoregression coefficient below 0.9 (a simple
 unit-root screen); ``p`` in 0..5 minimises AIC ``n log(sigma2) + 2 (p + 1)``
-on that series. Forecast intervals come from the psi weights of
-``phi(B) (1 - B)^d``.
+on that series, all orders over the same last ``len - 5`` rows. Forecast intervals
+come from the psi weights of ``phi(B) (1 - B)^d``. Missing and infinite values
+are put on the line between their neighbours, so hours stay one step apart.
 """
 
 from __future__ import annotations
@@ -31,14 +32,15 @@ EXPLAIN_SCHEMA = ("symbol string, time_series_timestamp timestamp_ntz, time_seri
                   "prediction_interval_lower_bound double, prediction_interval_upper_bound double")
 
 
-def _fit_ar(z: np.ndarray, p: int):
-    """Least-squares AR(p) with intercept; returns (coef [c, a1..ap], sigma2, n) or None."""
-    n = len(z) - p
+def _fit_ar(z: np.ndarray, p: int, skip: int | None = None):
+    """Least-squares AR(p) with intercept over all rows but the first ``skip`` (p); (coef [c, a1..ap], sigma2, n) or None."""
+    skip = p if skip is None else skip
+    n = len(z) - skip
     if n < p + 2:
         return None
-    cols = [np.ones(n)] + [z[p - i - 1:len(z) - i - 1] for i in range(p)]
+    cols = [np.ones(n)] + [z[skip - i - 1:len(z) - i - 1] for i in range(p)]
     X = np.column_stack(cols)
-    target = z[p:]
+    target = z[skip:]
     coef, *_ = np.linalg.lstsq(X, target, rcond=None)
     resid = target - X @ coef
     sigma2 = float(resid @ resid) / n
@@ -62,8 +64,9 @@ def fit_forecast(y: np.ndarray, periods: int, z_score: float = Z80):
     d = _choose_d(y)
     z = np.diff(y, n=d)
     best = None
-    for p in range(MAX_P + 1):
-        f = _fit_ar(z, p)
+    top = min(MAX_P, max(0, (len(z) - 2) // 2))
+    for p in range(top + 1):
+        f = _fit_ar(z, p, top)
         if f is None:
             continue
         coef, sigma2, n = f
@@ -101,14 +104,19 @@ def fit_forecast(y: np.ndarray, periods: int, z_score: float = Z80):
     return levels, half, p, d
 
 
+def complete(y: np.ndarray) -> np.ndarray:
+    """The series with missing and infinite values on the line between their neighbours (at an end: the nearest)."""
+    ok = np.isfinite(y)
+    return np.interp(np.arange(len(y)), np.flatnonzero(ok), y[ok]) if ok.any() else y[:0]
+
+
 def forecast_ar_auto(train: DataFrame, periods: int = HORIZON_HOURS, step_seconds: int = 3600) -> DataFrame:
     """Explain-forecast relation (T11) of the automatically ordered AR model per symbol (M5)."""
 
     def per_symbol(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values("ds")
         y = pdf["y"].to_numpy(dtype=float)
-        ok = ~np.isnan(y)
-        point, half, _, _ = fit_forecast(y[ok], periods)
+        point, half, _, _ = fit_forecast(complete(y), periods)
         last = pdf["ds"].iloc[-1]
         fut_ts = last + pd.to_timedelta(np.arange(1, periods + 1) * step_seconds, unit="s")
         hist = pd.DataFrame({"symbol": pdf["symbol"].to_numpy(), "time_series_timestamp": pdf["ds"].to_numpy(),

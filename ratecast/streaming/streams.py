@@ -5,20 +5,21 @@
   rows older than the watermark are dropped by the state store);
 * the JSON-to-ticks transforms of :mod:`ratecast.operators.ticks` are row-local
   and apply unchanged to a streaming DataFrame;
-* :func:`stream_to_hourly_table` - "repeated batch": every micro-batch lands in
-  the tick table, then the gap-filled hourly table is recomputed in batch,
-  since interpolation needs the *next* known point, which lies in the future.
+* :func:`stream_to_hourly_table` - "repeated batch": every micro-batch leaves its
+  hourly sums, then the part of the gap-filled table that they change is
+  rewritten, since interpolation needs the *next* known point, which lies in
+  the future.
 
 Checkpoints and outputs live under the session's shared folder.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from ratecast.functions import epoch_offset, from_epoch_seconds
-from ratecast.operators.gridding import hourly_mean, interpolate_hourly
+from ratecast.functions import epoch_offset, epoch_seconds, from_epoch_seconds, tumble_seconds
+from ratecast.operators.gridding import interpolate_hourly
 from ratecast.session import shared_dir
 
 
@@ -69,24 +70,40 @@ def run_to_table(stream_df: DataFrame, name: str, mode: str = "append", base: st
 
 def stream_to_hourly_table(spark: SparkSession, ticks_stream: DataFrame, base: str,
                            width: int = 3600) -> DataFrame:
-    """Repeated batch (R3): land each micro-batch, refresh the interpolated table.
+    """Repeated batch (R3): each micro-batch's hourly sums, then the days of the table that they change.
 
-    A micro-batch overwrites its own ``batch_id=N`` partition of the tick table,
-    so replaying a batch after a failure leaves one copy; the refresh recomputes
-    the hourly table from all landed ticks and replaces it. The result does not
+    A trigger reads its own ticks and the hourly sums (never earlier ticks). What
+    it can change begins at the last known hour before the earliest hour it
+    touched, in any series (or at the first hour, if it came before all others), so
+    only the days from there on are rewritten. A micro-batch overwrites its own
+    ``batch_id=N`` sums, so replaying it leaves one copy; the result does not
     depend on how the stream was cut into batches.
     """
-    ticks_dir, table = f"{base}/ticks", f"{base}/batch_hour_interpo"
+    sums, table = f"{base}/hourly_sums", f"{base}/batch_hour_interpo"
 
     def refresh(batch: DataFrame, batch_id: int) -> None:
-        batch.write.mode("overwrite").parquet(f"{ticks_dir}/batch_id={batch_id}")
-        landed = spark.read.parquet(ticks_dir)
-        hourly = hourly_mean(landed, width).checkpoint(eager=True)   # landed ticks scanned once
-        interpolate_hourly(hourly, width).write.mode("overwrite").parquet(table)
+        mine = f"{sums}/batch_id={batch_id}"
+        batch.groupBy("symbol", tumble_seconds("timestamp", width).alias("bucket")).agg(
+            F.sum("rate").alias("total"), F.count("rate").alias("known"), F.count(F.lit(1)).alias("count")
+        ).write.mode("overwrite").parquet(mine)
+        touched = spark.read.parquet(mine).select("symbol", "bucket")
+        if touched.isEmpty():
+            return
+        hourly = (spark.read.parquet(sums).groupBy("symbol", "bucket")
+                  .agg(F.sum("total").alias("total"), F.sum("known").alias("known"), F.sum("count").alias("count"))
+                  .select("symbol", "bucket", F.try_divide("total", "known").alias("mean"), "count").checkpoint(eager=True))
+        before = F.lag("bucket").over(Window.partitionBy("symbol").orderBy("bucket"))
+        first = hourly.agg(F.min("bucket")).scalar()
+        start = (hourly.withColumn("before", before).join(touched, ["symbol", "bucket"])
+                 .agg(F.min(F.coalesce("before", first)).alias("start")))
+        t5 = interpolate_hourly(hourly.withColumn("tumble", from_epoch_seconds("bucket")), width)
+        t5 = t5.withColumn("day", F.floor(epoch_seconds("tumble") / 86400).cast("int"))
+        changed = t5.filter(F.col("day") >= F.floor(start.scalar() / 86400))
+        (changed.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("day").parquet(table))
 
     q = (ticks_stream.writeStream.option("checkpointLocation", f"{base}/_checkpoint")
          .trigger(availableNow=True).foreachBatch(refresh).start())
     q.awaitTermination()
     if q.exception() is not None:
         raise q.exception()
-    return spark.read.parquet(table)
+    return spark.read.parquet(table).drop("day")

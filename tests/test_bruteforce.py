@@ -13,12 +13,43 @@ from ratecast.operators.ar_auto import forecast_ar_auto
 SF = "/root/testdata/sf0.001"
 
 
+def _ar_by_normal_equations(y, periods):
+    """The model written again: orders by AIC over one sample, normal equations, recursion."""
+    d = 0
+    while d < 2:
+        z = np.diff(y, n=d)
+        x, t = z[:-1] - z[:-1].mean(), z[1:] - z[1:].mean()
+        if abs((x * t).sum() / (x * x).sum()) < 0.9:
+            break
+        d += 1
+    z = np.diff(y, n=d)
+    rows = range(5, len(z))
+    best = None
+    for p in range(6):
+        a = np.array([[1.0] + [z[t - k] for k in range(1, p + 1)] for t in rows])
+        b = np.array([z[t] for t in rows])
+        w = np.linalg.solve(a.T @ a, a.T @ b)
+        aic = len(b) * np.log(((b - a @ w) ** 2).mean()) + 2 * (p + 1)
+        if best is None or aic < best[0]:
+            best = (aic, p, w)
+    _, p, w = best
+    series = list(z)
+    for _ in range(periods):
+        series.append(w[0] + sum(w[k] * series[-k] for k in range(1, p + 1)))
+    out = np.array(series[len(z):])
+    for k in range(d, 0, -1):
+        out = np.diff(y, n=k - 1)[-1] + np.cumsum(out)
+    return out
+
+
 def test_ar_auto_matches_driver_loop(spark):
-    train = _Stage(spark, SF, store_t5=False).train
+    train = _Stage(spark, SF).train_ar
     got = forecast_ar_auto(train).filter(F.col("prediction_interval_lower_bound").isNotNull()).toPandas()
     pdf = train.toPandas().sort_values(["symbol", "ds"])
     for sym, g in pdf.groupby("symbol"):
-        point, half, _, _ = fit_forecast(g["y"].to_numpy(dtype=float), 120)
+        y = g["y"].to_numpy(dtype=float)
+        point, half, _, _ = fit_forecast(y, 120)
+        np.testing.assert_allclose(point, _ar_by_normal_equations(y, 120), rtol=1e-6, atol=1e-6)
         mine = got[got.symbol == sym].sort_values("time_series_timestamp")
         assert len(mine) == 120
         assert mine["time_series_timestamp"].iloc[0] == g["ds"].max() + pd.Timedelta(hours=1)
@@ -64,3 +95,19 @@ def test_hot_symbol_gap_fill_matches_brute_force(spark):
     assert (m["_merge"] == "both").all()
     np.testing.assert_allclose(m["intrp_s"].to_numpy(), m["intrp_p"].to_numpy(), rtol=1e-9, atol=1e-9)
     assert (ticks.filter(F.col("symbol") == "-1").count() * 3) >= ticks.count() - 3
+
+
+def test_ar_auto_gaps_and_infinite_values():
+    from ratecast.operators.ar_auto import complete
+
+    y = np.array([1.0, np.nan, 3.0, np.inf, np.nan, 6.0, np.nan])
+    np.testing.assert_allclose(complete(y), [1, 2, 3, 4, 5, 6, 6])
+    point, half, _, _ = fit_forecast(complete(np.r_[y, np.full(40, np.nan)]), 5)
+    assert np.isfinite(point).all() and np.isfinite(half).all()
+
+
+def test_hourly_means_over_many_files(spark):
+    """The sum's order follows the partitions, so means agree to a tolerance, not to the last bit."""
+    ticks = ticks_from_events(spark.read.parquet(f"{SF}/events.parquet"))
+    a, b = (hourly_mean(t).toPandas().sort_values(["symbol", "tumble"]) for t in (ticks, ticks.repartition(7)))
+    np.testing.assert_allclose(a["mean"].to_numpy(), b["mean"].to_numpy(), rtol=1e-12)

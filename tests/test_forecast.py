@@ -120,3 +120,28 @@ def test_infer_frequency(spark):
 def test_decompose_reconstructs(train):
     d = M.decompose(train)
     assert d.count() == train.count()
+    assert d.filter(F.abs(F.col("trend") * F.col("seasonal") + F.col("remainder") - F.col("y")) > 1e-9).count() == 0
+
+
+def test_small_rates_keep_their_digits(spark):
+    """A series around 3e-7 (a token rate) comes out at its size, not as zero."""
+    tr = _series(spark, "s", [3e-7 * (1 + 0.001 * (i % 7)) for i in range(24 * 14)])
+    for out, value in ((M.forecast_seasonal(tr), "yhat"), (M.forecast_ar1(tr), "time_series_data")):
+        lo, hi = out.agg(F.min(value), F.max(value)).first()
+        assert 2.9e-7 < lo <= hi < 3.1e-7
+    scored = spark.createDataFrame([("s", dt.datetime(2024, 1, 1, h), 3.1e-7, 3e-7, 2e-7, 4e-7) for h in range(5)],
+                                   "symbol string, ds timestamp_ntz, intrp double, yhat double, yhat_lower double, yhat_upper double")
+    assert abs(E.forecast_rmse(scored).first()["rmse"] - 1e-8) < 1e-16
+
+
+def test_exploded_sides_are_never_broadcast(spark):
+    """2000 sparse series: a few KB of ticks, but 17 million grid rows that no estimate counts."""
+    a, b = dt.datetime(2023, 1, 1), dt.datetime(2024, 1, 1)
+    ticks = spark.range(2000).select(F.explode(F.array(F.lit(a).cast("timestamp_ntz"), F.lit(b).cast("timestamp_ntz"))).alias("timestamp"),
+                                     F.col("id").cast("string").alias("symbol"), F.lit(1.0).alias("rate"))
+    t5 = interpolate_hourly(hourly_mean(ticks))
+    fc = M.forecast_seasonal(TR.to_training_frame(TR.holdout_cut(t5)))
+    xf = M.forecast_ar1(TR.to_training_frame(TR.holdout_cut(t5)))
+    for df in (E.forecast_vs_actual(fc, t5), E.forecast_vs_actual_split(fc, t5), E.arima_vs_actual(xf, t5)):
+        plan = df._jdf.queryExecution().executedPlan().toString()
+        assert "BroadcastHashJoin" not in plan and "SortMergeJoin" in plan

@@ -4,7 +4,6 @@ import math
 from ratecast.functions import (
     date_str,
     epoch_seconds,
-    fixed_avg,
     ieee_divide,
     json_array,
     json_scalar,
@@ -47,7 +46,7 @@ def test_ieee_divide(spark):
 
 def test_json_scalar_and_array(spark):
     docs = ['{"symbols":["ETH","BTC"],"multiplier":"100"}', '{"multiplier":{"x":1}}', 'not json',
-            '{"symbols":"ETH"}', None]
+            '{"symbols":"ETH"}', None, '{"multiplier":"[7]","symbols":["{x}",["a"],{"b":1},3,null]}']
     df = spark.createDataFrame([(d,) for d in docs], "d string")
     got = df.select(json_scalar("d", "$.multiplier").alias("m"), json_array("d", "$.symbols").alias("s")).collect()
     assert got[0]["m"] == "100" and list(got[0]["s"]) == ["ETH", "BTC"]
@@ -55,6 +54,8 @@ def test_json_scalar_and_array(spark):
     assert got[2]["m"] is None and got[2]["s"] is None   # bad JSON -> NULL, no error
     assert got[3]["s"] is None          # not an array
     assert got[4]["m"] is None
+    # by type: a string that looks like JSON is a string, an object or array inside an array is NULL
+    assert got[5]["m"] == "[7]" and list(got[5]["s"]) == ["{x}", None, None, "3", None]
 
 
 def test_date_str_and_nan_to_null(spark):
@@ -63,11 +64,3 @@ def test_date_str_and_nan_to_null(spark):
     got = df.select(date_str("t").alias("s"), nan_to_null("v").alias("v")).collect()
     assert got[0]["s"] == "20210430230509" and got[0]["v"] is None
     assert got[1]["v"] == 1.5
-
-
-def test_fixed_avg_is_order_independent(spark):
-    vals = [(0.1,), (0.2,), (0.3,), (1e6 + 0.000001,), (-7.25,)]
-    a = spark.createDataFrame(vals, "v double").agg(fixed_avg("v")).first()[0]
-    b = spark.createDataFrame(list(reversed(vals)), "v double").repartition(3).agg(fixed_avg("v")).first()[0]
-    assert a == b
-    assert abs(a - sum(v for (v,) in vals) / len(vals)) < 1e-9

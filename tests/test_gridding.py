@@ -110,3 +110,20 @@ def test_other_widths(spark, width):
     data = [(h(1, 0), "A", 1.0), (h(1, 4), "A", 5.0)]
     out = interpolate_hourly(hourly_mean(_ticks(spark, data), width=width), width=width)
     assert out.count() == 4 * 3600 // width + 1
+
+
+def test_neighbours_are_other_hours(spark):
+    """A NULL row of an hour with two sources gets the line between the hours around it, not its sibling's value."""
+    import datetime as dt
+
+    hour = lambda h: dt.datetime(2024, 1, 1, h)
+    schema = "symbol string, tumble timestamp_ntz, mean double, count long"
+    mixed = [("s", hour(0), 2.0, 1), ("s", hour(1), None, 1), ("s", hour(1), 100.0, 1), ("s", hour(3), 8.0, 1)]
+    got = sorted((r.tumble.hour, r.intrp) for r in interpolate_hourly(spark.createDataFrame(mixed, schema)).collect())
+    assert got == [(0, 2.0), (1, 4.0), (1, 100.0), (2, 54.0), (3, 8.0)]
+    nulls = [(s, t, None if t.hour == 1 else m, c) for s, t, m, c in mixed]
+    got = sorted((r.tumble.hour, r.intrp) for r in interpolate_hourly(spark.createDataFrame(nulls, schema)).collect() if r.tumble.hour == 1)
+    assert got == [(1, 4.0), (1, 4.0)]
+    strict = sorted((r.tumble.hour, r.intrp, r["count"]) for r in interpolate_hourly(spark.createDataFrame(
+        mixed[:1] + [("s", hour(1), 1.0, 3), ("s", hour(1), 5.0, 1)] + mixed[3:], schema), merge="strict").collect())
+    assert strict == [(0, 2.0, 1), (1, 2.0, 4), (2, 5.0, 0), (3, 8.0, 1)]
