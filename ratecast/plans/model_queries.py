@@ -163,12 +163,12 @@ def q_to_training_frame(spark, sf):
 
 
 @register("series_min_length",
-          S.with_(S.ticks_cte("event_id % 5000"), S.hourly_cte()) +
+          S.with_(S.ticks_cte("user_id * 40 + event_id % 40"), S.hourly_cte()) +
           "SELECT symbol, tumble, mean, count FROM (SELECT *, count(*) OVER (PARTITION BY symbol) AS n FROM hourly) "
           "WHERE n >= 3")
 def q_series_min_length(spark, sf):
     """Many short series over the whole table: most have fewer hours than the guard asks for."""
-    ev = read_table(spark, sf, "events", ["ts", "event_id", "value"]).withColumn("series", F.col("event_id") % 5000)
+    ev = read_table(spark, sf, "events", ["ts", "event_id", "user_id", "value"]).withColumn("series", F.col("user_id") * 40 + F.col("event_id") % 40)
     return TR.series_min_length(G.hourly_mean(ticks_from_events(ev, "series")))
 
 
