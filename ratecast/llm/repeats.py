@@ -11,10 +11,13 @@ suffixes differ (a string's own beginning counts as different: there another
 bucket goes on). Groups hold all occurrences, and every occurrence but the first
 is covered over the group's whole length.
 
-A bucket with very many different strings is split further, by the LENGTH-byte
-window: windows are aggregated before they are shuffled, so a passage that a third
-of all documents share does not meet in one task. Hashes of windows and grams
-have 64 bits each and are always compared in pairs.
+Of equal stretches in one block of texts only the first is dealt to its bucket, the
+others are known to be later; so a line that a third of all documents repeat
+reaches its bucket once per block. A bucket's array is sorted in parts with
+different beginnings, so that its memory is bounded. A bucket with more than
+SPLIT different strings is split further, by the LENGTH-byte window, which is
+aggregated before it is shuffled. Hashes of windows and grams have 64 bits each
+and are always compared in pairs.
 
 Order: smaller doc_id first, then earlier start; null ids last. Whole copies of
 a text are found by their hash and only their first document's text is taken
@@ -36,13 +39,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ratecast.llm.anchors import stretches
-from ratecast.llm.bytes_hash import Substrings, blocks
+from ratecast.llm.bytes_hash import Substrings, blocks, mix
 from ratecast.llm.common import partitions, stored
 
 LENGTH, GRAM = 100, 32
 LAST = 2 ** 63 - 1
 #: Different strings of a bucket beyond which it is split by windows.
-SPLIT = 512
+SPLIT = 16384
 #: A suffix in the array: its bucket's number in the batch, then its bytes.
 HEAD, WIDTH = 4, 2 * LENGTH - GRAM
 
@@ -55,7 +58,11 @@ def ordered(docs: DataFrame) -> DataFrame:
 
 
 def occurrences(docs: DataFrame) -> DataFrame:
-    """``gram, whole, ord, place, size`` of every stretch; place is the tag and the start in one number."""
+    """``gram, whole, ord, place, size`` of every stretch; place is the tag and the start in one number.
+
+    A stretch that equals an earlier one of its block has a negative size, and in place of the gram a number that
+    deals it to any task.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: dict[bytes, tuple] = {}
@@ -76,11 +83,16 @@ def occurrences(docs: DataFrame) -> DataFrame:
             ids = np.array(at, np.int64).reshape(-1, 2)
             for base, data, offsets in blocks(texts):
                 text, start, end, _, gram = stretches(data, offsets, LENGTH, GRAM)
-                who = ids[base + text]
+                who, whole, size = ids[base + text], Substrings(data, seed=1)(start, end), end - start
+                place = (who[:, 1] << 40) | (start - offsets[text])
+                order = np.lexsort((place, who[:, 0], whole, gram))
+                g, w = gram[order], whole[order]
+                later = order[1:][(g[1:] == g[:-1]) & (w[1:] == w[:-1])]
+                size[later] *= -1
+                gram[later] = mix(gram[later] + place[later].astype(np.uint64))
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(gram.view(np.int64)), pa.array(Substrings(data, seed=1)(start, end).view(np.int64)), pa.array(np.ascontiguousarray(who[:, 0])),
-                     pa.array((who[:, 1] << 40) | (start - offsets[text])), pa.array((end - start).astype(np.int32))],
-                    names=["gram", "whole", "ord", "place", "size"])
+                    [pa.array(gram.view(np.int64)), pa.array(whole.view(np.int64)), pa.array(np.ascontiguousarray(who[:, 0])),
+                     pa.array(place), pa.array(size.astype(np.int32))], names=["gram", "whole", "ord", "place", "size"])
 
     return docs.select("ord", "tag", "text").mapInArrow(run, "gram long, whole long, ord long, place long, size int")
 
@@ -98,16 +110,22 @@ def _repeated(rows: DataFrame) -> DataFrame:
             return pa.RecordBatch.from_arrays([pa.array(np.full(len(a), kind, np.int32))] + [pa.array(np.ascontiguousarray(a[:, i])) for i in range(4)]
                                               + [pa.array(a[:, 4].astype(np.int32))], names=["kind", "gram", "whole", "ord", "place", "size"])
 
-        last: tuple | None = None  # (gram, whole) of the row before
+        last: np.ndarray | None = None  # the row before
         held: list[np.ndarray] = []  # first places of the open bucket
         n_held, split = 0, False
         for b in batches:
             a = np.column_stack([b.column(c).to_numpy().astype(np.int64) for c in ("gram", "whole", "ord", "place", "size")])
+            known = a[:, 4] < 0
+            if known.any():
+                yield out(0, a[known] * [1, 1, 1, 1, -1])
+                a = a[~known]
+            before = np.vstack((a[:1] - 1 if last is None else last, a[:-1]))
+            a = a[(a[:, :4] != before[:, :4]).any(1)]  # equal rows of the table are one place
             if not len(a):
                 continue
             new_gram = np.concatenate(([last is None or a[0, 0] != last[0]], a[1:, 0] != a[:-1, 0]))
             new = new_gram | np.concatenate(([last is None or a[0, 1] != last[1]], a[1:, 1] != a[:-1, 1]))
-            last = (a[-1, 0], a[-1, 1])
+            last = a[-1]
             if (~new).any():
                 yield out(0, a[~new])
             firsts, opens = a[new], np.flatnonzero(new_gram[new])
@@ -161,10 +179,15 @@ def _strings(docs: DataFrame, found: DataFrame) -> DataFrame:
             .mapInArrow(run, "gram long, ord long, place long, string binary"))
 
 
-def suffix_array(strings: list[bytes], bucket: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+#: Suffixes that are sorted at once, unless more of them begin alike.
+PART = 1 << 15
+
+
+def suffix_arrays(strings: list[bytes], bucket: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
     """(string, offset, common prefix with the suffix before) of the sorted suffixes of at least LENGTH bytes.
 
-    Suffixes of different buckets have no common prefix.
+    Suffixes of different buckets have no common prefix. The array comes in parts; suffixes of different parts
+    differ in their bucket or first bytes.
     """
     size = np.array([len(s) for s in strings])
     n = size - LENGTH + 1
@@ -172,6 +195,22 @@ def suffix_array(strings: list[bytes], bucket: np.ndarray) -> tuple[np.ndarray,
     offset = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
     begin = np.cumsum(size) - size
     data = np.frombuffer(b"".join(strings) + b"\0" * WIDTH, np.uint8)
+    head = np.zeros(len(which), np.uint64)
+    for k in range(min(8, LENGTH)):
+        head = head << np.uint64(8) | data[begin[which] + offset + k].astype(np.uint64)
+    order = np.lexsort((head, bucket[which]))
+    which, offset = which[order], offset[order]
+    alike = np.flatnonzero(np.concatenate(([True], (head[order][1:] != head[order][:-1]) | (bucket[which][1:] != bucket[which][:-1]))))
+    ends = np.append(alike[1:], len(which))
+    lo = 0
+    while lo < len(which):
+        hi = int(ends[max(np.searchsorted(ends, lo + PART, "right") - 1, np.searchsorted(ends, lo, "right"))])
+        yield _sorted_part(data, begin, size, bucket, which[lo:hi], offset[lo:hi])
+        lo = hi
+
+
+def _sorted_part(data: np.ndarray, begin: np.ndarray, size: np.ndarray, bucket: np.ndarray, which: np.ndarray,
+                 offset: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     table = np.zeros((len(which), HEAD + WIDTH), np.uint8)
     table[:, :HEAD] = bucket[which].astype(">u4").view(np.uint8).reshape(-1, 4)
     length = size[which] - offset
@@ -229,23 +268,25 @@ def _covered(strings: DataFrame) -> DataFrame:
     def of_batch(rows: list[tuple]) -> pa.RecordBatch | None:
         grams, ords, places, texts = zip(*rows)
         _, bucket = np.unique(np.array(grams), return_inverse=True)
-        which, offset, common = suffix_array(list(texts), bucket)
         ords, places = np.array(ords), np.array(places)
-        # the byte before a suffix, within its string
         joined = np.frombuffer(b"".join(texts), np.uint8).astype(np.int64)
         size = np.array([len(t) for t in texts])
         begin = np.cumsum(size) - size
-        left = np.where(offset > 0, joined[np.maximum(begin[which] + offset - 1, 0)], -1)
-        o, p = ords[which], places[which] + offset
-        out: list[np.ndarray] = []
-        for lo, hi, length in scan(common, left):
-            first = min(range(lo, hi + 1), key=lambda i: (o[i], p[i])) if hi - lo < 8 else lo + int(np.lexsort((p[lo:hi + 1], o[lo:hi + 1]))[0])
-            rest = np.delete(np.arange(lo, hi + 1), first - lo)
-            out.append(np.column_stack((o[rest], p[rest], np.full(len(rest), length))))
-        if not out:
+        # all windows of a string hold its anchor, so what is covered of it is one run
+        lo, hi = np.full(len(texts), WIDTH), np.zeros(len(texts), np.int64)
+        for which, offset, common in suffix_arrays(list(texts), bucket):
+            # the byte before a suffix, within its string
+            left = np.where(offset > 0, joined[np.maximum(begin[which] + offset - 1, 0)], -1)
+            o, p = ords[which], places[which] + offset
+            for a, b, length in scan(common, left):
+                first = min(range(a, b + 1), key=lambda i: (o[i], p[i])) if b - a < 8 else a + int(np.lexsort((p[a:b + 1], o[a:b + 1]))[0])
+                rest = np.delete(np.arange(a, b + 1), first - a)
+                np.minimum.at(lo, which[rest], offset[rest])
+                np.maximum.at(hi, which[rest], offset[rest] + length)
+        some = np.flatnonzero(hi)
+        if not some.size:
             return None
-        a = np.concatenate(out)
-        return pa.RecordBatch.from_arrays([pa.array(np.ascontiguousarray(a[:, 0])), pa.array(np.ascontiguousarray(a[:, 1])), pa.array(a[:, 2].astype(np.int32))],
+        return pa.RecordBatch.from_arrays([pa.array(ords[some]), pa.array(places[some] + lo[some]), pa.array((hi - lo)[some].astype(np.int32))],
                                           names=["ord", "place", "size"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
