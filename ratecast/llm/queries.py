@@ -31,7 +31,7 @@ def op2_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op3_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return jaccard_join.jaccard_groups(documents(spark, sf_dir)).select("doc_id", "n_shingles", "component_id", "n_links")
+    return jaccard_join.jaccard_groups(documents(spark, sf_dir)).select("doc_id", "n_shingles", "component_id")
 
 
 def op4_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -77,5 +77,38 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         op1_line_dedup, op2_suffix_dedup, op3_jaccard_join, op4_fingerprints, op5_decontamination, op6_toxicity, op7_quality, op8_extraction, op9_url_filter, op10_packing)}
 
 
+def _rule_case(what: str) -> str:
+    """The longest rule that fits, as a CASE over host and path."""
+    whens = " ".join(f"WHEN (host = '{r.host}' OR ends_with(host, '.{r.host}')) AND starts_with(path, '{r.path}') THEN '{getattr(r, what)}'"
+                     for r in sorted(RULES, key=lambda r: -len(r.name)))
+    return f"CASE {whens} END"
+
+
+#: op9 in DuckDB, with the settings of ``url_tree.TreeSettings``.
+URL_SQL = f"""
+WITH u AS (SELECT page_id, coalesce(translate(regexp_extract(url, '{url_tree.PARTS}', 1), '{url_tree.UPPER}', '{url_tree.LOWER}'), '') AS host,
+                  coalesce(regexp_extract(url, '{url_tree.PARTS}', 2), '') AS path FROM pages),
+p AS (SELECT *, {_rule_case("name")} AS rule, {_rule_case("verdict")} AS rv,
+             list_transform(string_split(regexp_replace(path, '/+$', ''), '/'), lambda x: CASE WHEN regexp_full_match(x,
+             '[0-9]+|[0-9]+\\.[A-Za-z0-9]+|[0-9a-fA-F]{{16,}}|[0-9a-fA-F]{{8}}-[0-9a-fA-F-]{{27}}') THEN '*' ELSE x END) AS parts FROM u),
+g AS (SELECT host, parts, count(*) AS n, count(rule) AS labelled, count(*) FILTER (rv = 'block') AS blocked FROM p GROUP BY 1, 2),
+s AS (SELECT host, parts, n, unnest(range(1, len(parts) + 1)) AS i FROM g),
+seg AS (SELECT host, parts, n, i, parts[i] AS seg, parts[:i - 1] AS above FROM s),
+kids AS (SELECT host, above, seg, sum(n) AS n FROM seg WHERE seg NOT IN ('*', '') GROUP BY 1, 2, 3),
+variable AS (SELECT host, above FROM kids GROUP BY 1, 2 HAVING count(*) > 64 OR count(*) > 4 AND count(*) * 2 > sum(n)),
+named AS (SELECT seg.host, seg.parts, string_agg(CASE WHEN seg <> '' AND v.host IS NOT NULL THEN '*' ELSE seg END, '/' ORDER BY i) AS template
+          FROM seg LEFT JOIN variable v ON v.host = seg.host AND v.above = seg.above GROUP BY 1, 2),
+t AS (SELECT g.host, template, sum(labelled) AS labelled, sum(blocked) AS blocked, regexp_replace(template, '[^/*]+', 'w', 'g') AS shape
+      FROM g JOIN named USING (host, parts) GROUP BY 1, 2),
+x AS (SELECT *, sum(blocked) OVER w / nullif(sum(labelled) OVER w, 0) AS share FROM t WINDOW w AS (PARTITION BY host, shape)),
+b AS (SELECT *, CASE WHEN abs(blocked / nullif(labelled, 0) - share) <= 2.0::DOUBLE * sqrt(share * (1 - share) / nullif(labelled, 0))
+                THEN shape ELSE template END AS branch FROM x),
+m AS (SELECT host, template, sum(labelled) OVER w AS bl, (sum(blocked) OVER w + 4.0::DOUBLE * (SELECT sum(blocked) / greatest(sum(labelled), 1) FROM t))
+             / (sum(labelled) OVER w + 4.0::DOUBLE) AS purity FROM b WINDOW w AS (PARTITION BY host, branch))
+SELECT page_id, p.host, path, rule, coalesce(rv, CASE WHEN bl > 0 AND purity >= 0.8::DOUBLE THEN 'block' ELSE 'allow' END) AS verdict, m.template, purity
+FROM p JOIN named USING (host, parts) JOIN m ON m.host = p.host AND m.template = named.template
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op1_line_dedup": line_dedup.SQL}
+    return {"op1_line_dedup": line_dedup.SQL, "op9_url_filter": URL_SQL}
