@@ -40,7 +40,7 @@ def op4_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "n_chars", "edited_sha256",
         simhash.as_text(own["f0"], own["f1"]).alias("fingerprint"),
         simhash.as_text(edited["f0"], edited["f1"]).alias("edited_fingerprint"),
-        simhash.likeness(own, edited).alias("near_edited"), simhash.likeness(own, after).alias("near_next"), "n_near")
+        simhash.likeness(own, edited).alias("near_edited"), simhash.likeness(own, after).alias("near_next"), "n_near", "near")
 
 
 def op5_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:

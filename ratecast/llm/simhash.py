@@ -6,10 +6,12 @@ fingerprint is set if more than half of the votes set it. Votes are counted two
 to a long (bit k in the lower half, bit k + 32 in the upper), so that 64 sums
 make 128 bits and whole-stage code does the counting.
 
-``near`` finds all fingerprints within a radius by block tables: of radius + 1
-blocks at least one is equal in any two such fingerprints, so each table
-is keyed by one block, and what shares a key is compared in full. Equal
-fingerprints are one entry with a count.
+``near`` finds all fingerprints within a radius by block tables: the bits are cut
+into blocks, and two such fingerprints differ in some block by no more than its
+share of the radius. Each table is keyed by one block; a query looks up all keys
+within that share, and what shares a key is compared in full. The number of
+blocks follows from the number of entries. Equal fingerprints are one entry with
+a count. The radius follows from the similarity that edited copies must have.
 
 The next document (by descending id) is found within ranges of ids: each range
 also holds the first row of the next range, so texts are shuffled once.
@@ -21,6 +23,9 @@ returned once; a table of one row is its own next document.
 
 from __future__ import annotations
 
+import itertools
+import math
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -28,6 +33,8 @@ from pyspark.sql.window import Window
 from ratecast.llm.common import keyed, partitions, stored
 
 BITS = 128
+#: Jaccard similarity of five-word shingles from which on edited copies are to be found.
+SIMILARITY = 0.75
 LANES = 0x100000001
 MAX_RANGES = 65536
 
@@ -118,33 +125,88 @@ def simhash(docs: DataFrame) -> DataFrame:
             .where(~F.col("guest")).select("doc_id", "n_chars", "edited_sha256", "own", "edited", "next"))
 
 
-def near(queries: DataFrame, entries: DataFrame, radius: int = 3) -> DataFrame:
-    """Pairs of different or equal fingerprints within the radius: (q, e, bits), each pair once.
+def radius_for(similarity: float, shingle: int = 5) -> int:
+    """Bits within which edited copies of at least this Jaccard similarity of word shingles lie.
 
-    Both sides have one struct column ``own``; they are made distinct first.
+    Words changed one by one, a share x of them, leave (1 - shingle x) / (1 + shingle x) of the shingles and 1 - 2 x of
+    the terms; the angle of that cosine gives the mean of the differing bits, and two deviations are added.
     """
-    width = BITS // (radius + 1)
+    x = (1 - similarity) / (shingle * (1 + similarity))
+    share = math.acos(max(-1.0, 1 - 2 * x)) / math.pi
+    return min(BITS, math.ceil(BITS * share + 2 * math.sqrt(BITS * share * (1 - share))))
+
+
+def tables_for(radius: int, n: int) -> list[tuple[int, int, int, int]]:
+    """(long, first bit, width, allowance) of the block tables that make a search among ``n`` entries cheapest.
+
+    The allowances and one for each table add up to radius + 1, so two fingerprints within the radius differ in
+    some block by no more than its allowance: the search is exact for every choice.
+    """
+    def made(blocks: int) -> list[tuple[int, int, int, int]]:
+        half, out = blocks // 2, []
+        for i in range(blocks):
+            long, k = divmod(i, half)
+            first = 64 * k // half
+            out.append((long, first, 64 * (k + 1) // half - first, (radius + 1) // blocks - 1 + (i < (radius + 1) % blocks)))
+        return [t for t in out if t[3] >= 0]
+
+    def cost(tables: list[tuple[int, int, int, int]]) -> float:
+        return sum(probes(w, a) * (1 + n / 2 ** w) for _, _, w, a in tables)
+
+    return min((made(b) for b in range(2, 66, 2)), key=cost)
 
-    def tables(df: DataFrame, name: str) -> DataFrame:
-        joined = F.concat(F.lpad(F.bin(F.col("own.f0")), 64, "0"), F.lpad(F.bin(F.col("own.f1")), 64, "0"))
-        keys = F.array(*[F.substring("bits", 1 + i * width, width if i < radius else BITS) for i in range(radius + 1)])
-        return (df.select("own").distinct().withColumn("bits", joined)
-                .select(F.col("own").alias(name), F.posexplode(keys).alias("table", "block")))
 
-    q, e = tables(queries, "q"), tables(entries, "e")
+def probes(width: int, allowance: int) -> int:
+    return sum(math.comb(width, k) for k in range(min(width, allowance) + 1))
+
+
+def near(queries: DataFrame, entries: DataFrame, radius: int) -> DataFrame:
+    """Pairs of different or equal fingerprints within the radius: (q, e, bits), each pair once.
+
+    Both sides have one struct column ``own``; they are made distinct first.
+    """
+    q, e = queries.select(F.col("own").alias("q")).distinct(), entries.select(F.col("own").alias("e")).distinct()
+    tables = tables_for(radius, e.count())
+
+    def block(own: str, long: int, first: int, width: int) -> Column:
+        return F.shiftrightunsigned(F.col(own)[f"f{long}"], first).bitwiseAND(F.lit((1 << width) - 1 if width < 64 else -1))
+
+    def key(i: int, value: Column) -> Column:
+        return F.struct(F.lit(i).alias("table"), value.alias("block"))
+
+    def flips(width: int, allowance: int) -> Column:
+        # read from one literal text: thousands of literal columns would take long to analyse
+        masks = [sum(1 << b for b in bits) for k in range(allowance + 1) for bits in itertools.combinations(range(width), k)]
+        return F.split(F.lit(",".join(str(m - (m >> 63 << 64)) for m in masks)), ",").cast("array<long>")
+
+    def looked_up(i: int, value: Column, masks: Column) -> Column:
+        return F.transform(masks, lambda m: key(i, value.bitwiseXOR(m)))
+
+    probed = F.concat(*[looked_up(i, block("q", g, at, w), flips(w, a)) for i, (g, at, w, a) in enumerate(tables)])
+    held = F.array(*[key(i, block("e", g, at, w)) for i, (g, at, w, _) in enumerate(tables)])
+    n = partitions(queries.sparkSession)
+    q = q.repartition(n).select("q", F.explode(probed).alias("k")).select("q", "k.*")
+    e = e.select("e", F.explode(held).alias("k")).select("e", "k.*")
+    # a pair is made in the first table that finds it
+    first = F.coalesce(*[F.when(F.bit_count(block("q", g, at, w).bitwiseXOR(block("e", g, at, w))) <= a, F.lit(i))
+                         for i, (g, at, w, a) in enumerate(tables)])
     bits = distance(F.col("q"), F.col("e"))
-    return (q.join(e, ["table", "block"]).where(bits <= radius)
-            .groupBy("q", "e").agg(F.first(bits).alias("bits")))
+    return (q.join(e, ["table", "block"]).where((bits <= radius) & (first == F.col("table")))
+            .select("q", "e", bits.alias("bits")))
 
 
-def fingerprints(docs: DataFrame, radius: int = 3, every: int = 50) -> DataFrame:
-    """All documents with their fingerprints; ``n_near``: how many documents, itself included, have a fingerprint
-    within the radius, for the query rows (ids divisible by ``every``), else null."""
+def fingerprints(docs: DataFrame, radius: int = radius_for(SIMILARITY), every: int = 50) -> DataFrame:
+    """All documents with their fingerprints; for the query rows (ids divisible by ``every``), else null, ``n_near``:
+    how many documents, itself included, have a fingerprint within the radius, and ``near``: these fingerprints, sorted.
+
+    Documents of one fingerprint are a class, named by it once however many they are; their ids are the rows that
+    have this fingerprint.
+    """
     p = stored(simhash(docs), "simhash")
     query = p.where(F.col("doc_id") % every == 0)
     count = p.groupBy("own").agg(F.count("*").alias("n"))
     found = (near(query, p, radius).join(count.withColumnRenamed("own", "e"), "e")
-             .groupBy("q").agg(F.sum("n").alias("n_near")))
-    hits = query.join(found, query["own"] == found["q"], "left").select("doc_id", *p.columns[1:], "n_near")
-    rest = p.where(~F.coalesce(F.col("doc_id") % every == 0, F.lit(False))).withColumn("n_near", F.lit(None).cast("long"))
-    return hits.unionByName(rest)
+             .groupBy("q").agg(F.sum("n").alias("n_near"), F.sort_array(F.collect_list(as_text(F.col("e.f0"), F.col("e.f1")))).alias("near")))
+    hits = query.join(found, query["own"] == found["q"], "left").select("doc_id", *p.columns[1:], "n_near", "near")
+    rest = p.where(~F.coalesce(F.col("doc_id") % every == 0, F.lit(False)))
+    return hits.unionByName(rest.withColumns({"n_near": F.lit(None).cast("long"), "near": F.lit(None).cast("array<string>")}))

@@ -66,6 +66,46 @@ def test_near_finds_all_within_the_radius(spark):
         assert got == {(x, y, bits(x, y)) for x in prints for y in prints if bits(x, y) <= radius}
 
 
+def test_near_is_exact_at_the_radius_of_edited_copies(spark):
+    radius = simhash.radius_for(0.75)
+    assert 18 <= radius <= 22 and simhash.radius_for(1.0) == 0
+    rng = np.random.default_rng(4)
+    prints = []
+    for _ in range(30):
+        base = [int(x) for x in rng.integers(-2 ** 63, 2 ** 63, 2)]
+        for _ in range(6):
+            f = list(base)
+            for b in rng.choice(128, int(rng.integers(0, 15)), replace=False):
+                f[b // 64] ^= 1 << int(b % 64)
+            prints.append(tuple((x + 2 ** 63) % 2 ** 64 - 2 ** 63 for x in f))
+    df = spark.createDataFrame([(p,) for p in prints], "own struct<f0:long,f1:long>")
+    bits = lambda x, y: sum(bin((a ^ b) & (2 ** 64 - 1)).count("1") for a, b in zip(x, y))
+    got = [(tuple(r.q), tuple(r.e), r.bits) for r in simhash.near(df, df, radius).collect()]
+    assert len(got) == len(set(got))
+    assert set(got) == {(x, y, bits(x, y)) for x in prints for y in prints if bits(x, y) <= radius}
+
+
+def test_edited_copies_of_real_texts_are_found(spark, docs):
+    rng = np.random.default_rng(5)
+    texts = [r.text for r in spark.read.parquet("/root/testdata/sf0.01/documents.parquet").orderBy("doc_id").collect()]
+    texts = [t for t in texts if t and 200 <= len(t.split()) <= 1500][:60]
+    rows = []
+    for k, t in enumerate(texts):
+        w = t.split()
+        for p in rng.choice(len(w), int(len(w) * (0.01 + 0.015 * (k % 2))), replace=False):
+            w[p] = f"edit{p}"
+        rows += [(50 * (k + 1), t), (50 * (k + 1) + 1, " ".join(w))]
+    got = {r.doc_id: r for r in simhash.fingerprints(docs(rows)).collect()}
+    name = lambda f: f"{f.f0 % 2 ** 64:016x}{f.f1 % 2 ** 64:016x}"
+    found = sum(name(got[50 * (k + 1) + 1].own) in got[50 * (k + 1)].near for k in range(len(texts)))
+    assert len(texts) == 60 and found >= 57
+    assert all(name(got[50 * (k + 1)].own) in got[50 * (k + 1)].near and got[50 * (k + 1) + 1].near is None for k in range(60))
+    ours = {r.doc_id: r.own for r in got.values()}
+    for r in got.values():
+        if r.near is not None:
+            assert r.n_near == sum(name(f) in r.near for f in ours.values()) and r.near == sorted(set(r.near))
+
+
 def test_small_tables(docs):
     assert simhash.fingerprints(docs([])).count() == 0
     one = simhash.simhash(docs([(4, "only row")])).first()
