@@ -8,7 +8,9 @@ block. A passage is dropped if its terms' list bounds do not reach the threshold
 and then in each block where the block bounds do not (the pivot test of WAND,
 made for many passages at once); what is left is scored in full. All items
 above the threshold are kept, there is no top k. A hit is verified by how much
-of the item's question and of its answer the passage holds, in word trigrams.
+of the item's question and of its answer the passage holds, in word trigrams; an
+item with a part of less than three words must lie in it as a whole, word by word.
+Characters of scripts without spaces are words.
 
 Passages are as wide as two longest items and overlap by half, so every item
 copied whole into a document lies whole in one of its passages.
@@ -53,10 +55,30 @@ class Settings:
     answer: float = 0.7
 
 
+def unspaced(low: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(place, bytes) of the characters of scripts written without spaces (Han, kana, Thai, Lao, Tibetan, Burmese,
+    Khmer): each is a word."""
+    if not len(low) or low.max() < 0xE0:
+        return np.zeros(0, np.int64), np.zeros(0, np.int64)
+    after = np.append(low[1:], np.uint8(0))
+    three = ((low >= 0xE3) & (low <= 0xE9) | (low == 0xEF) & (after >= 0xA4) & (after <= 0xAB) | (low == 0xE0) & (after >= 0xB8)
+             | (low == 0xE1) & ((after <= 0x82) | (after >= 0x9E) & (after <= 0x9F)))
+    four = (low == 0xF0) & (after >= 0xA0)
+    at = np.flatnonzero(three | four)
+    return at, np.where(four[at], 4, 3)
+
+
 def words_of(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """(text, hash) of every word of a block of texts, in order."""
     low = lowered(data)
-    start, end = runs(WORD[low])
+    inside = WORD[low]
+    start, end = runs(inside)
+    at, size = unspaced(low)
+    if len(at):
+        begins = np.zeros(len(low) + 4, bool)
+        begins[start] = begins[at] = begins[at + size] = True
+        run_end, start = end, np.flatnonzero(begins[:len(low)] & inside)
+        end = np.minimum(run_end[np.searchsorted(run_end, start, "right")], np.append(start[1:], len(low)))
     return np.searchsorted(offsets, start, "right") - 1, Substrings(low)(start, end)
 
 
@@ -68,11 +90,11 @@ def word_lists(texts: list[str | None]) -> list[np.ndarray]:
     return out
 
 
-def grams(words: np.ndarray) -> np.ndarray:
-    """Hashes of the trigrams of a word list (of all of it, if shorter)."""
+def grams(words: np.ndarray, n: int = GRAM) -> np.ndarray:
+    """Hashes of the n-grams of a word list (of all of it, if shorter)."""
     if not len(words):
         return words
-    n = min(GRAM, len(words))
+    n = min(n, len(words))
     h = np.zeros(len(words) - n + 1, np.uint64)
     for k in range(n):
         h = mix(h + words[k:len(words) - n + 1 + k])
@@ -101,6 +123,7 @@ class Index:
     bound: np.ndarray
     questions: list
     answers: list
+    whole: list
     width: int
 
 
@@ -121,13 +144,14 @@ def build(ids: list, texts: list[str], df: dict[int, int], n_items: int, mean_wo
     terms, at = np.unique(term, return_index=True)
     key, first = np.unique(np.stack([np.searchsorted(terms, term), item // BLOCK_ITEMS]), axis=1, return_index=True)
     bound = np.maximum.reduceat(weight, np.sort(first)) if len(first) else weight
-    questions, answers = [], []
+    questions, answers, whole = [], [], []
     for t, words in zip(texts, lists):
         n = answer_words(t, len(words))
         questions.append(grams(words[:len(words) - n]))
         answers.append(grams(words[len(words) - n:]))
+        whole.append(words if min(n, len(words) - n) < GRAM else None)
     return Index(ids, terms, np.maximum.reduceat(weight, at) if len(at) else weight, np.append(at, len(term)), item, weight,
-                 np.searchsorted(key[0], np.arange(len(terms) + 1)), key[1], bound, questions, answers, max(2 * longest, 2 * GRAM))
+                 np.searchsorted(key[0], np.arange(len(terms) + 1)), key[1], bound, questions, answers, whole, max(2 * longest, 2 * GRAM))
 
 
 def _expand(rows: np.ndarray, terms: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -180,14 +204,21 @@ def search(data: np.ndarray, offsets: np.ndarray, index: Index, s: Settings) ->
         score = np.bincount(inv, index.weight[j[live]], len(pair))
         for k in np.flatnonzero(score >= s.score):
             hits.append((int(pair[k]) // len(index.ids), int(pair[k]) % len(index.ids), float(score[k])))
-    out, held, held_of = [], None, -1
+    out, held, held_of = [], {}, -1
     for p, item, score in hits:
         text = int(np.searchsorted(before, p, "right")) - 1
         begin = int(first[text]) + (p - int(before[text])) * half
         if held_of != p:
             end = int(first[text + 1]) if p + 1 == before[text + 1] else begin + index.width
-            held, held_of = grams(h[begin:end]), p
-        q, a = (float(np.isin(g, held).mean()) if len(g) else 1.0 for g in (index.questions[item], index.answers[item]))
+            held, held_of = {}, p
+        short = index.whole[item]
+        n = GRAM if short is None else len(short)
+        if n not in held:
+            held[n] = grams(h[begin:end], n)
+        if short is None:
+            q, a = (float(np.isin(g, held[n]).mean()) for g in (index.questions[item], index.answers[item]))
+        else:  # a part has no trigram: all words in a row
+            q = a = float(np.isin(grams(short, n), held[n]).all()) if end - begin >= n else 0.0
         if q >= s.question and a >= s.answer:
             out.append((text, item, begin - int(first[text]), score, q, a))
     return out

@@ -86,6 +86,24 @@ def test_edge_cases(spark, docs):
     assert run(spark, docs([]), [(1, item)]) == {} and run(spark, docs(rows), []) == {}
 
 
+def test_short_items_and_scripts_without_spaces(spark, docs):
+    rng = np.random.default_rng(3)
+    items = [(n, " ".join(f"item{n}x{k}" for k in range(n))) for n in range(1, 7)]
+    items += [(7, "水是什么颜色的"), (8, "ฟ้าสีอะไร"), (9, "東京は日本の首都ですか。はい、そうです"), (10, "𠀀𠀁"), (11, "火")]
+    rows, want = [], set()
+    for i, t in items:
+        for k in range(3):
+            before, after = words(rng, 60 * k), words(rng, 50 * k)
+            if i > 6:
+                before, after = before + " 我不知道" * (k > 0), "你呢" * (k > 0) + after
+            rows.append((10 * i + k, before + " " * (i < 7) + t + " " * (i < 7) + after))
+            want.add((10 * i + k, i))
+    rows += [(200, "item4x0 item4x1 and item4x2 item4x3"), (201, "item2x1 item2x0"), (202, "水的颜色是什么"), (203, "word " * 9 + "item6x5")]
+    brute_ = {(d, i) for d, text in rows for i, t in items if t in text}
+    assert brute_ == want
+    assert set(run(spark, docs(rows), items)) == want
+
+
 def test_real_items_are_found(spark):
     docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
     items = spark.read.parquet("/root/testdata/sf0.01/benchmark.parquet")
