@@ -87,7 +87,8 @@ def occurrences(docs: DataFrame) -> DataFrame:
                 place = (who[:, 1] << 40) | (start - offsets[text])
                 order = np.lexsort((place, who[:, 0], whole, gram))
                 g, w = gram[order], whole[order]
-                later = order[1:][(g[1:] == g[:-1]) & (w[1:] == w[:-1])]
+                o, at = who[order, 0], place[order]
+                later = order[1:][(g[1:] == g[:-1]) & (w[1:] == w[:-1]) & ((o[1:] != o[:-1]) | (at[1:] != at[:-1]))]
                 size[later] *= -1
                 gram[later] = mix(gram[later] + place[later].astype(np.uint64))
                 yield pa.RecordBatch.from_arrays(
@@ -293,6 +294,8 @@ def _covered(strings: DataFrame) -> DataFrame:
         rows: list[tuple] = []
         for b in batches:
             for row in zip(*(b.column(c).to_pylist() for c in ("gram", "ord", "place", "string"))):
+                if rows and row[:3] == rows[-1][:3]:
+                    continue  # equal rows of the table are one place
                 if len(rows) >= BATCH_STRINGS and row[0] != rows[-1][0]:
                     if (found := of_batch(rows)) is not None:
                         yield found
@@ -302,7 +305,7 @@ def _covered(strings: DataFrame) -> DataFrame:
             yield found
 
     n = partitions(strings.sparkSession)
-    return strings.repartition(n, "gram").sortWithinPartitions("gram").mapInArrow(run, "ord long, place long, size int")
+    return strings.repartition(n, "gram").sortWithinPartitions("gram", "ord", "place").mapInArrow(run, "ord long, place long, size int")
 
 
 def _covered_split(strings: DataFrame) -> DataFrame:

@@ -2,6 +2,7 @@ import hashlib
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from ratecast.llm import repeats
 from ratecast.llm.anchors import stretches
@@ -73,6 +74,17 @@ def test_repeated_rows_are_one_document(docs):
     assert [r.n_removed for r in got] == [0, 0]
 
 
+@pytest.mark.parametrize("split", [repeats.SPLIT, 1])
+def test_repeated_rows_lose_nothing_to_a_near_copy(docs, split, monkeypatch):
+    monkeypatch.setattr(repeats, "SPLIT", split)
+    s = "".join(chr(97 + x) for x in np.random.default_rng(9).integers(0, 26, 600))
+    edited = s[:300] + "é" + s[300:]
+    rows = [(1, s), (1, s), (2, edited)]
+    df = docs(rows).repartition(3, F.monotonically_increasing_id())
+    got = sorted((r.doc_id, r.n_removed) for r in repeats.repeat_dedup(df).collect())
+    assert got == [(1, 0), (1, 0), (2, brute([(1, s), (2, edited)])[2][1])]
+
+
 def test_empty_table(docs):
     assert run(docs([])) == {}
 
