@@ -48,11 +48,12 @@ GRAM = 3
 @dataclass(frozen=True)
 class Settings:
     """``score``: share of an item's BM25 weight a passage must cover; ``question``, ``answer``: shares of their
-    trigrams it must hold."""
+    trigrams it must hold; or else it must hold the whole item in a row with at most ``edits`` words changed."""
 
     score: float = 0.6
     question: float = 0.7
     answer: float = 0.7
+    edits: int = 0
 
 
 def unspaced(low: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -123,7 +124,9 @@ class Index:
     bound: np.ndarray
     questions: list
     answers: list
-    whole: list
+    words: list
+    short: list
+    heaviest: np.ndarray
     width: int
 
 
@@ -144,14 +147,16 @@ def build(ids: list, texts: list[str], df: dict[int, int], n_items: int, mean_wo
     terms, at = np.unique(term, return_index=True)
     key, first = np.unique(np.stack([np.searchsorted(terms, term), item // BLOCK_ITEMS]), axis=1, return_index=True)
     bound = np.maximum.reduceat(weight, np.sort(first)) if len(first) else weight
-    questions, answers, whole = [], [], []
+    questions, answers, short = [], [], []
     for t, words in zip(texts, lists):
         n = answer_words(t, len(words))
         questions.append(grams(words[:len(words) - n]))
         answers.append(grams(words[len(words) - n:]))
-        whole.append(words if min(n, len(words) - n) < GRAM else None)
+        short.append(min(n, len(words) - n) < GRAM)
+    heaviest = np.zeros(len(lists))
+    np.maximum.at(heaviest, item, weight)
     return Index(ids, terms, np.maximum.reduceat(weight, at) if len(at) else weight, np.append(at, len(term)), item, weight,
-                 np.searchsorted(key[0], np.arange(len(terms) + 1)), key[1], bound, questions, answers, whole, max(2 * longest, 2 * GRAM))
+                 np.searchsorted(key[0], np.arange(len(terms) + 1)), key[1], bound, questions, answers, lists, short, heaviest, max(2 * longest, 2 * GRAM))
 
 
 def _expand(rows: np.ndarray, terms: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -161,6 +166,14 @@ def _expand(rows: np.ndarray, terms: np.ndarray, at: np.ndarray) -> tuple[np.nda
     return np.repeat(rows, n), start + np.arange(n.sum())
 
 
+def _edited(held: np.ndarray, mine: np.ndarray, edits: int) -> bool:
+    """Whether a passage holds all words in a row but for ``edits`` changed ones."""
+    if len(held) < len(mine):
+        return False
+    equal = np.lib.stride_tricks.sliding_window_view(held, len(mine)) == mine
+    return bool(equal.sum(1).max() >= len(mine) - edits)
+
+
 def search(data: np.ndarray, offsets: np.ndarray, index: Index, s: Settings) -> list[tuple]:
     """(text, item, first word, score, question overlap, answer overlap) of every verified hit of a block of texts."""
     if not len(index.terms):
@@ -181,8 +194,11 @@ def search(data: np.ndarray, offsets: np.ndarray, index: Index, s: Settings) ->
     key = np.concatenate(((row + hi) * len(index.terms) + at[known], (row[two] + lo[two]) * len(index.terms) + at[known][two]))
     key = np.unique(key)
     passage, term = key // len(index.terms), key % len(index.terms)
+    # an item with changed words may cover less
+    need = np.where(index.short, s.score, np.minimum(s.score, 1 - s.edits * index.heaviest - 1e-9)) if s.edits else np.full(len(index.ids), s.score)
+    block_need = np.minimum.reduceat(need, np.arange(0, len(need), BLOCK_ITEMS))
     # list bounds
-    ok = np.bincount(passage, index.top[term], before[-1]) >= s.score
+    ok = np.bincount(passage, index.top[term], before[-1]) >= need.min()
     passage, term = passage[ok[passage]], term[ok[passage]]
     # block bounds, some passages at a time
     n_blocks = (len(index.ids) - 1) // BLOCK_ITEMS + 1
@@ -194,7 +210,7 @@ def search(data: np.ndarray, offsets: np.ndarray, index: Index, s: Settings) ->
         p, t = passage[lo:hi], term[lo:hi]
         r, j = _expand(p, t, index.block_at)
         pair, inv = np.unique(r * n_blocks + index.block[j], return_inverse=True)
-        alive = pair[np.bincount(inv, index.bound[j]) >= s.score]
+        alive = pair[np.bincount(inv, index.bound[j]) >= block_need[pair % n_blocks]]
         if not alive.size:
             continue
         left = np.isin(p, alive // n_blocks)
@@ -202,7 +218,7 @@ def search(data: np.ndarray, offsets: np.ndarray, index: Index, s: Settings) ->
         live = np.isin(r * n_blocks + index.item[j] // BLOCK_ITEMS, alive)
         pair, inv = np.unique(r[live] * len(index.ids) + index.item[j[live]], return_inverse=True)
         score = np.bincount(inv, index.weight[j[live]], len(pair))
-        for k in np.flatnonzero(score >= s.score):
+        for k in np.flatnonzero(score >= need[pair % len(index.ids)]):
             hits.append((int(pair[k]) // len(index.ids), int(pair[k]) % len(index.ids), float(score[k])))
     out, held, held_of = [], {}, -1
     for p, item, score in hits:
@@ -211,15 +227,15 @@ def search(data: np.ndarray, offsets: np.ndarray, index: Index, s: Settings) ->
         if held_of != p:
             end = int(first[text + 1]) if p + 1 == before[text + 1] else begin + index.width
             held, held_of = {}, p
-        short = index.whole[item]
-        n = GRAM if short is None else len(short)
+        mine = index.words[item]
+        n = len(mine) if index.short[item] else GRAM
         if n not in held:
             held[n] = grams(h[begin:end], n)
-        if short is None:
+        if index.short[item]:  # a part has no trigram: all words in a row
+            q = a = float(np.isin(grams(mine, n), held[n]).all()) if end - begin >= n else 0.0
+        else:
             q, a = (float(np.isin(g, held[n]).mean()) for g in (index.questions[item], index.answers[item]))
-        else:  # a part has no trigram: all words in a row
-            q = a = float(np.isin(grams(short, n), held[n]).all()) if end - begin >= n else 0.0
-        if q >= s.question and a >= s.answer:
+        if score >= s.score and q >= s.question and a >= s.answer or s.edits and not index.short[item] and _edited(h[begin:end], mine, s.edits):
             out.append((text, item, begin - int(first[text]), score, q, a))
     return out
 

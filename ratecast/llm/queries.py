@@ -45,7 +45,7 @@ def op4_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op5_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     items = read_table(spark, sf_dir, "benchmark", ["item_id", "text"])
-    return decontaminate.contaminated(documents(spark, sf_dir), items)
+    return decontaminate.contaminated(documents(spark, sf_dir), items, decontaminate.Settings(edits=1))
 
 
 def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -104,6 +104,19 @@ def test_short_items_and_scripts_without_spaces(spark, docs):
     assert set(run(spark, docs(rows), items)) == want
 
 
+def test_items_with_one_changed_word_are_found(spark, docs):
+    items, _ = corpus(np.random.default_rng(1))
+    items += [(100, "which one is it now. the small red"), (101, "one two three four five six rareword")]
+    rows = []
+    for k, t in items:
+        w = t.split()
+        for p in range(len(w)):
+            rows.append((1000 * (k + 1) + p, "some words before " + " ".join([*w[:p], "changed", *w[p + 1:]]) + " and after"))
+    got = run(spark, docs(rows), items, settings=D.Settings(edits=1))
+    assert {(i, i // 1000 - 1) for i, _ in rows} <= set(got)
+    assert set(run(spark, docs(rows), items)) <= set(got)
+
+
 def test_real_items_are_found(spark):
     docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
     items = spark.read.parquet("/root/testdata/sf0.01/benchmark.parquet")
