@@ -37,6 +37,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ratecast.llm.bytes_hash import Substrings, blocks, lowered, mix, runs
+from ratecast.llm.common import keyed
 from ratecast.llm.toxicity import WORD
 
 K1, B = 1.2, 0.75
@@ -246,10 +247,18 @@ def _items(items: DataFrame) -> DataFrame:
 
 
 HIT = "doc_id long, item_id long, passage long, score double, question_overlap double, answer_overlap double"
+KEYED_HIT = f"text_key long, {HIT}"
 
 
 def contaminated(docs: DataFrame, items: DataFrame, settings: Settings = Settings(), slice_bytes: int = SLICE_BYTES) -> DataFrame:
     """One row per document and test item that it holds, with its best passage."""
+    best = F.max(F.struct("score", "question_overlap", "answer_overlap", (-F.col("passage")).alias("p"))).alias("m")
+    return hits_of(docs, items, settings, slice_bytes).groupBy("doc_id", "item_id").agg(best).select(
+        "doc_id", "item_id", (-F.col("m.p")).alias("passage"), "m.score", "m.question_overlap", "m.answer_overlap")
+
+
+def hits_of(docs: DataFrame, items: DataFrame, settings: Settings = Settings(), slice_bytes: int = SLICE_BYTES) -> DataFrame:
+    """``text_key`` of the row (as in ``common.keyed``) and the columns of HIT for every hit."""
     items = _items(items)
 
     def term_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -264,10 +273,10 @@ def contaminated(docs: DataFrame, items: DataFrame, settings: Settings = Setting
     size = items.agg(F.sum(F.octet_length("text")), F.count("*")).first()
     total, words, longest = counts.agg(F.sum("first"), F.sum(F.col("words") * F.col("first")), F.max("words")).first()
     if not total:
-        return docs.sparkSession.createDataFrame([], HIT)
+        return docs.sparkSession.createDataFrame([], KEYED_HIT)
     df = counts.groupBy("term").agg(F.count("*").cast("int").alias("df"))
     slices = -(-int(size[0]) // slice_bytes)
-    d = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    d = keyed(docs).select("text_key", "doc_id", "text")
     found = None
     for k in range(slices):
         part = items.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(slices)) == k)
@@ -280,23 +289,21 @@ def contaminated(docs: DataFrame, items: DataFrame, settings: Settings = Setting
             mine = part.mapInArrow(term_counts, "term long, words long, first long").select("term").distinct().join(df, "term").collect()
         index = build([r["item_id"] for r in rows], [r["text"] for r in rows],
                       {r["term"] % 2 ** 64: r["df"] for r in mine}, total, words / total, longest)
-        hits = d.mapInArrow(_searcher(index, settings), HIT)
+        hits = d.mapInArrow(_searcher(index, settings), KEYED_HIT)
         found = hits if found is None else found.unionByName(hits)
-    best = F.max(F.struct("score", "question_overlap", "answer_overlap", (-F.col("passage")).alias("p"))).alias("m")
-    return found.groupBy("doc_id", "item_id").agg(best).select(
-        "doc_id", "item_id", (-F.col("m.p")).alias("passage"), "m.score", "m.question_overlap", "m.answer_overlap")
+    return found
 
 
 def _searcher(index: Index, settings: Settings):
-    kinds = [pa.int64(), pa.int64(), pa.int64(), pa.float64(), pa.float64(), pa.float64()]
-    names = ["doc_id", "item_id", "passage", "score", "question_overlap", "answer_overlap"]
+    kinds = [pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.float64(), pa.float64(), pa.float64()]
+    names = ["text_key", "doc_id", "item_id", "passage", "score", "question_overlap", "answer_overlap"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            ids = b.column("doc_id").to_pylist()
+            keys, ids = b.column("text_key").to_pylist(), b.column("doc_id").to_pylist()
             rows = []
             for base, data, offsets in blocks((t or "").encode() for t in b.column("text").to_pylist()):
-                rows += [(ids[base + text], index.ids[item], *rest) for text, item, *rest in search(data, offsets, index, settings)]
+                rows += [(keys[base + text], ids[base + text], index.ids[item], *rest) for text, item, *rest in search(data, offsets, index, settings)]
             if rows:
                 yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), kinds)], names=names)
 

@@ -47,6 +47,25 @@ def test_null_and_repeated_rows(spark):
     assert df.columns[:2] == ["doc_id", "piece"]
 
 
+def test_decisions_hold_for_the_row_not_the_id(spark):
+    schema = spark.read.parquet(f"{SF}/documents.parquet").schema
+    text = " ".join(f"word{k}" for k in range(300))
+    near_text, other = text + " end", " ".join(f"other{k}" for k in range(300))
+
+    def made(pairs):
+        return spark.createDataFrame([(i, t, "en", "s", len(t)) for i, t in pairs], schema)
+
+    cases = [([(None, text), (None, near_text), (None, other)], 2), ([(7, text), (7, near_text), (7, other)], 2),
+             ([(7, text), (7, text), (8, other)], 2), ([(None, text), (3, near_text), (2, text + " 2")], 1)]
+    for pairs, n in cases:
+        left = sorted((r.doc_id or 0, r.text) for r in P.dedup_near(spark, made(pairs), SF).collect())
+        assert len(left) == n and sum(t != other for _, t in left) == 1
+    assert left == [(2, text + " 2")]
+    item = spark.read.parquet(f"{SF}/benchmark.parquet").first().text
+    pairs = [(None, item), (None, other), (5, f"{text} {item}"), (5, text)]
+    assert {(r.doc_id, r.text) for r in P.decontaminate_benchmark(spark, made(pairs), SF).collect()} == {(None, other), (5, text)}
+
+
 def test_registered_queries():
     names = importlib.import_module("__spark_entry__").queries()
     assert "pipeline" in names and all(any(n.startswith(f"op{k}_") for n in names) for k in range(1, 11))
