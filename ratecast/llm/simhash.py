@@ -14,7 +14,8 @@ blocks follows from the number of entries. Equal fingerprints are one entry with
 a count. The radius follows from the similarity that edited copies must have.
 
 The next document (by descending id) is found within ranges of ids: each range
-also holds the first row of the next range, so texts are shuffled once.
+also holds the first row of the next range, so texts are shuffled once. Ranges are cut
+at quantiles of the ids, null ids by the text's key, so each holds about as many rows.
 
 Defined cases: a null text is an empty one, whose only term is the empty word;
 a null id comes after all others; rows equal in id and text are one document,
@@ -84,13 +85,27 @@ def likeness(a: Column, b: Column) -> Column:
 def with_ranges(docs: DataFrame) -> DataFrame:
     """Rows with ``rng`` (ascending with the id) and ``guest``: whether the row is only there as the next one.
 
-    At most MAX_RANGES ranges: that bounds the table of their first rows, which is broadcast.
+    At most MAX_RANGES ranges, and as many for null ids: that bounds the table of their first rows, which is broadcast.
     """
     spark = docs.sparkSession
-    low, high, n = docs.agg(F.min("doc_id"), F.max("doc_id"), F.count("*")).first()
+    n, nulls = docs.agg(F.count("*"), F.count_if(F.col("doc_id").isNull())).first()
     ranges = max(1, min(MAX_RANGES, n // 64, max(8 * partitions(spark), n // 2048)))
-    width = ((high or 0) - (low or 0)) // ranges + 1
-    rng = F.coalesce(F.expr(f"(doc_id - {low or 0}L) div {width}L"), F.lit(0).cast("long"))
+    cuts = docs.agg(F.percentile_approx("doc_id", [k / ranges for k in range(1, ranges)] or [0.5], max(10000, 10 * ranges))).first()[0]
+    cuts = sorted(set(cuts or [0]))
+    step = math.isqrt(len(cuts))
+
+    def longs(values: list[int]) -> Column:
+        return F.split(F.lit(",".join(map(str, values))), ",").cast("array<long>")
+
+    def up_to(values: Column) -> Column:
+        return F.size(F.filter(values, lambda c: c <= F.col("doc_id")))
+
+    coarse = up_to(longs(cuts[::step]))
+    fine = (coarse - 1) * step + up_to(F.slice(longs(cuts), F.greatest((coarse - 1) * step + 1, F.lit(1)), step))
+    # null ids come below all others, dealt by the text's key
+    bits = max(1, min(16, (nulls * ranges // max(n, 1)).bit_length()))
+    null = F.shiftright("text_key", 64 - bits) - (1 << (bits - 1))
+    rng = F.when(F.col("doc_id").isNull(), null).when(coarse == 0, F.lit(0)).otherwise(fine).cast("long")
     docs = docs.withColumn("rng", rng)
     tops = docs.groupBy("rng").agg(F.max(F.struct(F.col("doc_id"), F.col("text_key"))).alias("top"))
     order = Window.orderBy("rng")  # over the ranges, not the rows

@@ -25,6 +25,17 @@ def test_edited_texts_over_many_ranges(docs):
     assert got == expected(rows)
 
 
+def test_ranges_are_even_with_clustered_and_null_ids(docs):
+    from ratecast.llm.common import keyed
+
+    rows = [(int(i), f"text {i}") for i in range(4000)] + [(10 ** 18, "far"), (-10 ** 18, "low")] + [(None, f"null {k}") for k in range(2000)]
+    ranged = simhash.with_ranges(keyed(docs(rows))).where("not guest")
+    assert ranged.count() == len(rows) and ranged.groupBy("rng").count().agg(F.max("count")).first()[0] <= 300
+    few = rows[:3] + rows[4000:4002] + rows[3990:4000]
+    got = {r.doc_id: (r.n_chars, r.edited_sha256) for r in simhash.simhash(docs(few * 1 + [(k + 5000, f"more {k}") for k in range(300)])).collect()}
+    assert got == expected(few + [(k + 5000, f"more {k}") for k in range(300)])
+
+
 def test_fingerprints(docs):
     rng = np.random.default_rng(2)
     a = words(rng, 300)
