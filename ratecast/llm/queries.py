@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ratecast.llm import decontaminate, jaccard_join, line_dedup, packing, quality, repeats, simhash, toxicity, url_tree, wrapper
+from ratecast.llm import codes, decontaminate, jaccard_join, line_dedup, packing, quality, repeats, simhash, toxicity, url_tree, wrapper
 from ratecast.llm.common import documents
 from ratecast.sources.tables import read_table
 
@@ -72,9 +72,16 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(documents(spark, sf_dir), "byte_bpe_50k")
 
 
+def op13_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    coded, books = codes.compress(read_table(spark, sf_dir, "embeddings", ["vec_id", "embedding", "label"]))
+    return codes.with_label_errors(coded).select("vec_id", "code", "error", "label_error",
+                                                 F.lit(codes.books_sha256(books)).alias("codebooks_sha256"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: f for f in (
-        op1_line_dedup, op2_suffix_dedup, op3_jaccard_join, op4_fingerprints, op5_decontamination, op6_toxicity, op7_quality, op8_extraction, op9_url_filter, op10_packing)}
+        op1_line_dedup, op2_suffix_dedup, op3_jaccard_join, op4_fingerprints, op5_decontamination, op6_toxicity, op7_quality, op8_extraction, op9_url_filter, op10_packing,
+        op13_vector_codes)}
 
 
 def _rule_case(what: str) -> str:
@@ -111,4 +118,4 @@ FROM p JOIN named USING (host, parts) JOIN m ON m.host = p.host AND m.template =
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op1_line_dedup": line_dedup.SQL, "op9_url_filter": URL_SQL}
+    return {"op1_line_dedup": line_dedup.SQL, "op9_url_filter": URL_SQL, "op13_vector_codes": codes.sql()}
