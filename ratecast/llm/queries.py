@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ratecast.llm import codes, decontaminate, jaccard_join, line_dedup, packing, quality, repeats, simhash, toxicity, url_tree, wrapper
+from ratecast.llm import codes, decontaminate, jaccard_join, line_dedup, packing, prefix_trie, quality, recompression, repeats, simhash, toxicity, url_tree, wrapper
 from ratecast.llm.common import documents
 from ratecast.sources.tables import read_table
 
@@ -72,6 +73,24 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(documents(spark, sf_dir), "byte_bpe_50k")
 
 
+def trie_digests(trie: prefix_trie.Trie) -> DataFrame:
+    """The nodes with a digest of the conversations that end at each."""
+    nothing = hashlib.sha256(b"").hexdigest()
+    return (trie.nodes.join(prefix_trie.ends_sha256(trie.ends), ["d0", "d1"], "left")
+            .withColumn("ends_sha256", F.coalesce("ends_sha256", F.lit(nothing))))
+
+
+def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns, members = prefix_trie.with_shared_beginnings(read_table(spark, sf_dir, "conversations", ["conv_id", "turn", "role", "text"]))
+    return trie_digests(prefix_trie.prefix_trie(turns, members)).select(
+        "conv_id", "depth", "parent_conv_id", "n_convs", "n_children", "n_leaves", "saved_tokens", "ends_sha256")
+
+
+def op12_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return recompression.substring_dedup(documents(spark, sf_dir), digest=True).select(
+        "doc_id", "n_words", "n_removed", F.col("kept").alias("kept_sha256"))
+
+
 def op13_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
     coded, books = codes.compress(read_table(spark, sf_dir, "embeddings", ["vec_id", "embedding", "label"]))
     return codes.with_label_errors(coded).select("vec_id", "code", "error", "label_error",
@@ -81,7 +100,7 @@ def op13_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: f for f in (
         op1_line_dedup, op2_suffix_dedup, op3_jaccard_join, op4_fingerprints, op5_decontamination, op6_toxicity, op7_quality, op8_extraction, op9_url_filter, op10_packing,
-        op13_vector_codes)}
+        op11_prefix_trie, op12_substring_dedup, op13_vector_codes)}
 
 
 def _rule_case(what: str) -> str:
@@ -118,4 +137,4 @@ FROM p JOIN named USING (host, parts) JOIN m ON m.host = p.host AND m.template =
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op1_line_dedup": line_dedup.SQL, "op9_url_filter": URL_SQL, "op13_vector_codes": codes.sql()}
+    return {"op1_line_dedup": line_dedup.SQL, "op9_url_filter": URL_SQL, "op11_prefix_trie": prefix_trie.SQL, "op12_substring_dedup": recompression.SQL, "op13_vector_codes": codes.sql()}
