@@ -9,11 +9,13 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ratecast.functions import ieee_divide, nan_to_null
+from ratecast.operators import changepoint as C
 from ratecast.operators import evaluate as E
 from ratecast.operators import forecast as M
 from ratecast.operators import gridding as G
 from ratecast.operators import serve as SV
 from ratecast.operators import training as TR
+from ratecast.plans import changepoint_sql as CP
 from ratecast.plans import sql as S
 from ratecast.plans.registry import register
 from ratecast.sources.fixtures import read_ticks, ticks_from_events
@@ -460,3 +462,36 @@ def q_forecast_ar_auto(spark, sf):
     """Automatic order (p <= 5, d <= 2) per series; Python per group, so rows-only check (M5)."""
     from ratecast.operators.ar_auto import forecast_ar_auto
     return forecast_ar_auto(_Stage(spark, sf).train_ar)
+
+
+# --- trend breaks, smooth seasonality, widening band (M1) ---
+
+COMPONENTS = ("yhat", "trend", "seasonal")
+
+
+@register("forecast_changepoint",
+          S.with_(*BASE, *CP.fit_ctes(), S.future_cte(), CP.scored_cte("(SELECT * FROM train UNION ALL SELECT * FROM fut)")) +
+          "SELECT symbol, ds, y, round(trend * (1 + seasonal), 3) AS yhat, round(trend, 3) AS trend, round(seasonal, 3) AS seasonal FROM cp_scored")
+def q_forecast_changepoint(spark, sf):
+    """Point forecast and its parts; three decimals, as the fit solves systems whose last bits follow the order of sums."""
+    train = materialize(_Stage(spark, sf).train)
+    parts = C.components(train, C.fit_changepoints(train))
+    return parts.select("symbol", "ds", "y", *[F.round(c, 3).alias(c) for c in COMPONENTS])
+
+
+@register("changepoint_model",
+          S.with_(*BASE, *CP.fit_ctes()) +
+          "SELECT symbol, ymax, round(slope[1], 4) AS first_slope, round(slope[-1], 4) AS last_slope, round(icpt[1], 4) AS icpt, "
+          "list_transform(delta, lambda x: round(x, 4) + 0.0) AS delta, list_transform(beta, lambda x: round(x, 4) + 0.0) AS beta, round(sigma2, 6) AS sigma2 FROM cp_fit")
+def q_changepoint_model(spark, sf):
+    """Parameters of every series: breaks, seasonal coefficients, residual variance (scaled units)."""
+    p = C.fit_changepoints(materialize(_Stage(spark, sf).train))
+    short = lambda c: F.transform(c, lambda x: F.round(x, 4) + F.lit(0.0)).alias(c)
+    return p.select("symbol", "ymax", F.round(F.get("slope", F.lit(0)), 4).alias("first_slope"), F.round(F.element_at("slope", -1), 4).alias("last_slope"),
+                    F.round(F.get("icpt", F.lit(0)), 4).alias("icpt"), short("delta"), short("beta"), F.round("sigma2", 6).alias("sigma2"))
+
+
+@register("forecast_changepoint_band")
+def q_forecast_changepoint_band(spark, sf):
+    """The forecast table with its simulated band (T8); draws are hashes, which SQL cannot repeat."""
+    return C.forecast_changepoint(materialize(_Stage(spark, sf).train))
