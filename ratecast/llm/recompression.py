@@ -12,15 +12,14 @@ the string.
 Of the symbols whose context lies in a window of LENGTH words, the window's anchor is one of the
 highest round, of these the one with the least name, of these the first: a function of the
 window's words alone. So windows can only be equal if they have the same anchor at the same place.
-Consecutive windows with the same anchor form a stretch, about one in eleven words. Stretches are dealt by the anchor's name,
-so all occurrences of a repeat meet, and are sorted by a second, independent hash of all their words:
+Consecutive windows with the same anchor form a stretch, about one in ten words. Stretches are dealt by the anchor's name
+and context, so all occurrences of a repeat meet, and are sorted by a second, independent hash of all their words:
 
 * a stretch that also is in a document of smaller id is covered whole;
 * where a symbol is shared by stretches that differ, the windows of the first of each
-  kind are hashed by their words (128 bits), the least document of each window is found by an aggregate
-  combined before its shuffle, and later windows are covered.
+  kind are hashed by their words (128 bits), dealt by that hash, and covered in all but the least document.
 
-Of equal stretches of one block of texts in different documents only the first is
+Of equal stretches (or windows) of one block of texts in different documents only the first is
 dealt by its name, so a passage that a third of all documents share is a row a block. Whole copies of
 a text are found by the text's hash and only the first is parsed (in each task). Nothing is ever compared pair by pair.
 
@@ -119,11 +118,12 @@ def next_round(s: Symbols, number: int) -> Symbols:
 
 
 def anchors(names: np.ndarray, text: np.ndarray, first: np.ndarray, length: int = LENGTH) -> tuple[np.ndarray, ...]:
-    """(word that the window starts with, anchor's first word, anchor's name) of every window of a block, in order."""
+    """(word that the window starts with, anchor's first word, its name, its context's begin and end) of every window of a block, in order."""
     size = np.diff(first)
     n_windows = np.maximum(size - length + 1, 0)
     window = np.arange(n_windows.sum()) - np.repeat(np.cumsum(n_windows) - n_windows, n_windows) + np.repeat(first[:-1], n_windows)
     at, name = np.full(len(window), -1), np.zeros(len(window), np.uint64)
+    low, high = np.zeros(len(window), np.int64), np.zeros(len(window), np.int64)
     levels = [words_as_symbols(names, text)]
     while len(levels) <= ROUNDS:
         levels.append(next_round(levels[-1], len(levels)))
@@ -136,11 +136,11 @@ def anchors(names: np.ndarray, text: np.ndarray, first: np.ndarray, length: int
         some = hi > lo
         best = _least(s.name, lo[some], hi[some])
         got = todo[some]
-        at[got], name[got] = s.start[best], s.name[best]
+        at[got], name[got], low[got], high[got] = s.start[best], s.name[best], s.low[best], s.high[best]
         todo = todo[~some]
         if not todo.size:
             break
-    return window, at, name
+    return window, at, name, low, high
 
 
 def _open_at_borders(s: Symbols, first: np.ndarray) -> None:
@@ -240,23 +240,20 @@ def stretches(docs: DataFrame) -> DataFrame:
             who = np.array(ids, np.int64).reshape(-1, 3)
             for base, data, offsets in blocks(texts):
                 t = Texts(data, offsets)
-                window, at, name = anchors(t.names, t.text, t.first)
+                window, at, name, low, high = anchors(t.names, t.text, t.first)
                 if not len(window):
                     continue
                 text = t.text[window]
-                new = np.concatenate(([True], (at[1:] != at[:-1]) | (name[1:] != name[:-1]) | (text[1:] != text[:-1])))
+                new = np.concatenate(([True], (at[1:] != at[:-1]) | (name[1:] != name[:-1]) | (low[1:] != low[:-1]) | (high[1:] != high[:-1])
+                                               | (text[1:] != text[:-1])))
                 lo = np.flatnonzero(new)
                 hi = np.concatenate((lo[1:], [len(window)])) - 1
                 start, end = window[lo], window[hi] + LENGTH
                 whole = mix(t.strings[1](start, end) + (at[lo] - start).astype(np.uint64) * ODD[2])
-                gram = name[lo].copy()
+                # the symbol and the words that fixed it: they lie in each of its windows
+                gram = mix(t.strings[0](low[lo], high[lo]) + name[lo] * ODD[2] + (at[lo] - low[lo]).astype(np.uint64) * ODD[3])
                 doc = who[base + text[lo]]
-                order = np.lexsort((doc[:, 0], whole, gram))
-                g, w, o = gram[order], whole[order], doc[order, 0]
-                opens = np.concatenate(([True], (g[1:] != g[:-1]) | (w[1:] != w[:-1])))
-                least = o[np.flatnonzero(opens)][np.cumsum(opens) - 1]
-                later = np.zeros(len(lo), bool)
-                later[order] = o > least
+                later = _first_in_block([whole, gram], doc[:, 0])
                 gram[later] = mix(gram[later] + start[later].astype(np.uint64) + doc[later, 1].view(np.uint64))
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(gram.view(np.int64)), pa.array(whole.view(np.int64)), pa.array(np.ascontiguousarray(doc[:, 0])),
@@ -318,8 +315,21 @@ def _met(rows: DataFrame) -> DataFrame:
     return rows.mapInArrow(run, FOUND)
 
 
+def _first_in_block(keys: list[np.ndarray], ord_: np.ndarray) -> np.ndarray:
+    """Whether an equal key with a smaller ``ord`` is in the block, for each row."""
+    order = np.lexsort((ord_, *keys))
+    o = ord_[order]
+    opens = np.zeros(len(order), bool)
+    opens[:1] = True
+    for k in keys:
+        opens[1:] |= k[order][1:] != k[order][:-1]
+    later = np.zeros(len(order), bool)
+    later[order] = o > o[np.flatnonzero(opens)][np.cumsum(opens) - 1]
+    return later
+
+
 def _windows(docs: DataFrame, found: DataFrame) -> DataFrame:
-    """``w0, w1, ord, key, start`` of all windows of the stretches to look at."""
+    """``w0, w1, ord, key, start, later`` of all windows of the stretches to look at."""
     wanted = found.groupBy("ord", "key").agg(F.collect_set(F.struct("start", "size")).alias("wanted"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -341,12 +351,36 @@ def _windows(docs: DataFrame, found: DataFrame) -> DataFrame:
                 at = np.repeat(t.first[text] + start, n) + np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
                 at = np.unique(at)
                 text = t.text[at]
+                w0, w1 = (h(at, at + LENGTH) for h in t.strings)
+                later = _first_in_block([w1, w0], o[base + text])
+                w0[later] = mix(w0[later] + at[later].astype(np.uint64) + k[base + text[later]].view(np.uint64))
                 yield pa.RecordBatch.from_arrays(
-                    [*(pa.array(s(at, at + LENGTH).view(np.int64)) for s in t.strings), pa.array(o[base + text]), pa.array(k[base + text]),
-                     pa.array((at - t.first[text]).astype(np.int32))], names=["w0", "w1", "ord", "key", "start"])
+                    [pa.array(w0.view(np.int64)), pa.array(w1.view(np.int64)), pa.array(o[base + text]), pa.array(k[base + text]),
+                     pa.array((at - t.first[text]).astype(np.int32)), pa.array(later)], names=["w0", "w1", "ord", "key", "start", "later"])
 
     return (docs.join(wanted, ["ord", "key"]).select("ord", "key", "text", "wanted")
-            .mapInArrow(run, "w0 long, w1 long, ord long, key long, start int"))
+            .mapInArrow(run, "w0 long, w1 long, ord long, key long, start int, later boolean"))
+
+
+def _later(rows: DataFrame) -> DataFrame:
+    """From rows sorted by (w0, w1, ord): the windows that are not of their first document."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        last = least = None
+        for b in batches:
+            out = b.column("later").to_numpy(zero_copy_only=False).copy()
+            at = np.flatnonzero(~out)
+            if at.size:
+                w = np.column_stack([b.column(c).to_numpy()[at] for c in ("w0", "w1")])
+                o = b.column("ord").to_numpy()[at]
+                new = np.concatenate(([last is None or (w[0] != last).any()], (w[1:] != w[:-1]).any(1)))
+                first = np.concatenate(([0 if least is None else least], o[new]))[np.cumsum(new)]
+                out[at] = o > first
+                last, least = w[-1], first[-1]
+            if out.any():
+                yield b.filter(pa.array(out)).select(["ord", "key", "start"])
+
+    return rows.mapInArrow(run, "ord long, key long, start int")
 
 
 def whole_copies(docs: DataFrame) -> DataFrame:
@@ -361,9 +395,8 @@ def covered(docs: DataFrame) -> DataFrame:
     n = partitions(docs.sparkSession)
     rows = stretches(docs).repartition(n, "name").sortWithinPartitions("name", "whole", "ord", "key", "start")
     found = stored(_met(rows), "shared_symbols")
-    windows = stored(_windows(docs, found.where("kind = 1")), "symbol_windows")
-    least = windows.groupBy("w0", "w1").agg(F.min("ord").alias("least"), F.max("ord").alias("most")).where("least < most").drop("most")
-    later = windows.join(least, ["w0", "w1"]).where("ord > least").select("ord", "key", "start", F.lit(LENGTH).alias("size"))
+    windows = _windows(docs, found.where("kind = 1")).repartition(n, "w0").sortWithinPartitions("w0", "w1", "ord")
+    later = _later(windows).select("ord", "key", "start", F.lit(LENGTH).alias("size"))
     return (found.where("kind = 0").select("ord", "key", "start", "size").unionByName(later).unionByName(whole_copies(docs)))
 
 

@@ -106,9 +106,9 @@ def test_anchors_depend_on_the_window_alone():
         places = defaultdict(set)
         for _ in range(200):
             words = np.concatenate((rng.integers(0, vocabulary, rng.integers(0, 40)), window, rng.integers(0, vocabulary, rng.integers(0, 40)))).astype(np.uint64)
-            start, at, name = R.anchors(words * np.uint64(0x9E3779B97F4A7C15), np.zeros(len(words), np.int64), np.array([0, len(words)]))
+            _, at, name, low, high = R.anchors(words * np.uint64(0x9E3779B97F4A7C15), np.zeros(len(words), np.int64), np.array([0, len(words)]))
             here = [i for i in range(len(words) - 49) if (words[i:i + 50] == window).all()]
-            places["all"].update((int(at[i] - i), int(name[i])) for i in here)
+            places["all"].update((int(at[i] - i), int(name[i]), int(low[i] - i), int(high[i] - i)) for i in here)
         assert len(places["all"]) == 1
 
 
