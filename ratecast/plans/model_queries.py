@@ -9,12 +9,14 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ratecast.functions import ieee_divide, nan_to_null
+from ratecast.operators import arima as A
 from ratecast.operators import changepoint as C
 from ratecast.operators import evaluate as E
 from ratecast.operators import forecast as M
 from ratecast.operators import gridding as G
 from ratecast.operators import serve as SV
 from ratecast.operators import training as TR
+from ratecast.plans import arima_sql as AS
 from ratecast.plans import changepoint_sql as CP
 from ratecast.plans import sql as S
 from ratecast.plans.registry import register
@@ -495,3 +497,35 @@ def q_changepoint_model(spark, sf):
 def q_forecast_changepoint_band(spark, sf):
     """The forecast table with its simulated band (T8); draws are hashes, which SQL cannot repeat."""
     return C.forecast_changepoint(materialize(_Stage(spark, sf).train))
+
+
+# --- ARIMA with moving-average terms (M5) ---
+
+BY_TYPE = S.model_base("event_type")
+
+
+@register("kpss", S.with_(*BY_TYPE, *AS.kpss_ctes()) + "SELECT symbol, d, n, round(kpss, 5) AS kpss FROM kpss")
+def q_kpss(spark, sf):
+    """KPSS statistic of every series and its differences, which decides how often it is differenced."""
+    return A.kpss_statistics(_Stage(spark, sf, "event_type").train_ar).withColumn("kpss", F.round("kpss", 5))
+
+
+@register("hannan_rissanen", S.with_(*BY_TYPE, *AS.hannan_rissanen_ctes(2, 1)) +
+          "SELECT symbol, round(const, 3) AS const, list_transform(phi, lambda x: round(x, 3)) AS phi, list_transform(theta, lambda x: round(x, 3)) AS theta, round(sigma2, 3) AS sigma2, n FROM hr")
+def q_hannan_rissanen(spark, sf):
+    """ARMA(2, 1) of every series by two least-squares stages on sums that Spark aggregates."""
+    hr = A.hannan_rissanen(A.difference(_Stage(spark, sf, "event_type").train_ar), 2, 1)
+    short = lambda c: F.transform(c, lambda x: F.round(x, 3)).alias(c)
+    return hr.select("symbol", F.round("const", 3).alias("const"), short("phi"), short("theta"), F.round("sigma2", 3).alias("sigma2"), "n")
+
+
+@register("arima_model")
+def q_arima_model(spark, sf):
+    """Orders, coefficients and variance of every series (T10); refinement follows each series, so no SQL."""
+    return A.arima_model(materialize(_Stage(spark, sf).train_ar))
+
+
+@register("forecast_arima")
+def q_forecast_arima(spark, sf):
+    """Explain-forecast relation of the automatic ARIMA."""
+    return A.forecast_arima(materialize(_Stage(spark, sf).train_ar))
