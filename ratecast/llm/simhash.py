@@ -124,7 +124,10 @@ def simhash(docs: DataFrame) -> DataFrame:
     order = Window.partitionBy("rng").orderBy("guest", F.desc("doc_id"), F.desc("text_key"))
     n = F.char_length("text")
     half = F.floor(n / 2).cast("int")
-    d = (with_ranges(keyed(docs)).withColumn("after", F.coalesce(F.lead("text").over(order), F.col("text")))
+    row_before = F.lag(F.struct("guest", "doc_id", "text_key")).over(order)
+    # repeated rows are one document: they lie next to each other
+    one = with_ranges(keyed(docs)).withColumn("again", row_before.eqNullSafe(F.struct("guest", "doc_id", "text_key"))).where(~F.col("again")).drop("again")
+    d = (one.withColumn("after", F.coalesce(F.lead("text").over(order), F.col("text")))
          .withColumn("n_chars", n.cast("long"))
          .withColumn("edited", F.concat(F.substring("text", F.lit(1), n - half), F.substring("after", F.lit(1), half)))
          .withColumn("edited_sha256", F.sha2(F.col("edited").cast("binary"), 256)))
@@ -206,7 +209,8 @@ def near(queries: DataFrame, entries: DataFrame, radius: int) -> DataFrame:
     first = F.coalesce(*[F.when(F.bit_count(block("q", g, at, w).bitwiseXOR(block("e", g, at, w))) <= a, F.lit(i))
                          for i, (g, at, w, a) in enumerate(tables)])
     bits = distance(F.col("q"), F.col("e"))
-    return (q.join(e, ["table", "block"]).where((bits <= radius) & (first == F.col("table")))
+    # exploded sides are larger than any estimate: never broadcast one
+    return (q.join(e.hint("merge"), ["table", "block"]).where((bits <= radius) & (first == F.col("table")))
             .select("q", "e", bits.alias("bits")))
 
 

@@ -48,6 +48,15 @@ def test_fingerprints(docs):
     assert got[3].next == got[2].own and got[None].next == got[6].own
 
 
+def test_repeated_rows_are_one_document(docs):
+    """The next document of both twins is the third one, not the twin."""
+    s, t = "one two three four", "five six seven eight"
+    rows = simhash.fingerprints(docs([(50, s), (50, s), (50, s), (40, t), (None, t), (None, t)])).collect()
+    want = expected([(50, s), (40, t), (None, t)])
+    assert {r.doc_id: (r.n_chars, r.edited_sha256) for r in rows} == want and len(rows) == 3
+    assert next(r.n_near for r in rows if r.doc_id == 50) == 1
+
+
 def test_votes_against_python(docs):
     df = docs([(1, "a b a b c"), (2, "z")]).select("doc_id", F.explode(simhash.terms(F.col("text"))).alias("t"))
     terms = {}
