@@ -14,10 +14,12 @@ from ratecast.operators import changepoint as C
 from ratecast.operators import evaluate as E
 from ratecast.operators import forecast as M
 from ratecast.operators import gridding as G
+from ratecast.operators import local as L
 from ratecast.operators import serve as SV
 from ratecast.operators import training as TR
 from ratecast.plans import arima_sql as AS
 from ratecast.plans import changepoint_sql as CP
+from ratecast.plans import local_sql as LS
 from ratecast.plans import sql as S
 from ratecast.plans.registry import register
 from ratecast.sources.fixtures import read_ticks, ticks_from_events
@@ -529,3 +531,15 @@ def q_arima_model(spark, sf):
 def q_forecast_arima(spark, sf):
     """Explain-forecast relation of the automatic ARIMA."""
     return A.forecast_arima(materialize(_Stage(spark, sf).train_ar))
+
+
+# --- local decomposition (M6) ---
+
+LOCAL = ("trend", "seasonal", "remainder", "weight")
+
+
+@register("decompose_local", S.with_(*BASE, *LS.ctes()) + "SELECT symbol, ds, y, " + ", ".join(f"round({c}, 3) + 0.0 AS {c}" for c in LOCAL) + " FROM ld")
+def q_decompose_local(spark, sf):
+    """Trend, seasonal part and remainder by local regression with robustness weights."""
+    d = L.decompose_local(_Stage(spark, sf).train)
+    return d.select("symbol", "ds", "y", *[(F.round(c, 3) + F.lit(0.0)).alias(c) for c in LOCAL])

@@ -8,8 +8,8 @@ import pytest
 from ratecast.plans import oracle_sql, queries
 
 SF = "/root/testdata/sf0.001"
-#: Models whose few numbers a series are solved by a vectorised function over a batch of series.
-BATCH_SOLVED = {"forecast_changepoint", "changepoint_model"}
+#: Models whose few numbers a series are solved by a vectorised function over a batch of series, or which smooth a series in arrays.
+BATCH_SOLVED = {"forecast_changepoint", "changepoint_model", "decompose_local"}
 SIDE_EFFECT = {"scan_training", "model_table", "sink_replace", "sink_append", "sink_json_records", "simulate_stream", "simulate_validation"}
 
 
