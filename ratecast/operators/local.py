@@ -9,7 +9,7 @@ change from cycle to cycle, and a remainder, by repeated smoothing:
 
 After INNER turns, values far from the fit get less weight (bisquare of the
 remainder over six times its median) and the turns are run again, OUTER times, so single outliers move
-nothing. Smoothing is local linear regression with tricube weights
+little (one that outweighs all neighbours of its phase in the first turn still does). Smoothing is local linear regression with tricube weights
 in a fixed distance; a missing hour is simply not among the neighbours.
 
 Spark deals the series; a series (one row an hour) is one group, smoothed in arrays: one vector step for each of the ``2 reach + 1``
@@ -33,7 +33,7 @@ from ratecast.operators.forecast import cluster_series
 
 # Hours of a period, cycles to each side for the seasonal part, hours to each side for the trend.
 PERIOD, SEASON_REACH, TREND_REACH = 24, 3, 23
-INNER, OUTER = 2, 1
+INNER, OUTER = 2, 2
 FLOOR = 1e-6
 
 PARTS = "symbol string, ds timestamp_ntz, y double, trend double, seasonal double, remainder double, weight double"

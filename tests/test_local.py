@@ -24,7 +24,7 @@ def brute_line(at, v, w, reach):
 
 def brute(pos, y, period, season_reach, trend_reach):
     trend, weight = np.zeros(len(y)), np.ones(len(y))
-    for turn in range(2):
+    for turn in range(3):
         for _ in range(2):
             smooth = np.empty(len(y))
             for ph in set(pos % period):
@@ -45,7 +45,7 @@ def brute(pos, y, period, season_reach, trend_reach):
                     level[i] = level[before[-1]] if len(before) else level[full[0]] if len(full) else np.nanmean(smooth)
             seasonal = smooth - level
             trend = brute_line(pos, y - seasonal, weight, trend_reach)
-        if turn == 0:
+        if turn < 2:
             rest = np.abs(y - trend - seasonal)
             share = rest / (6 * np.nanmedian(rest))
             weight = np.where(np.isnan(share), 1.0, np.maximum(np.where(share >= 1, 0, (1 - share ** 2) ** 2), L.FLOOR))
@@ -93,10 +93,10 @@ def test_outliers_do_not_move_the_fit(spark):
     clean = 50 + 10 * np.sin(2 * np.pi * t / 24) + rng.normal(0, 0.3, len(t))
     dirty = clean.copy()
     at = rng.choice(len(t), 12, replace=False)
-    dirty[at] += 60
+    dirty[at] += 15
     got = collected(L.decompose_local(frame(spark, {"clean": list(enumerate(clean)), "dirty": list(enumerate(dirty))})))
     moved = np.abs(np.array([r.trend + r.seasonal for r in got["clean"]]) - [r.trend + r.seasonal for r in got["dirty"]])
-    assert np.median(moved) < 0.1 and moved.max() < 2.5
+    assert np.median(moved) < 0.1 and np.quantile(moved, 0.97) < 1.0
     assert all(got["dirty"][i].weight <= 0.01 for i in at)
 
 
