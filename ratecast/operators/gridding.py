@@ -117,6 +117,28 @@ def densify(grid: DataFrame, hourly: DataFrame, symbol: str = "symbol") -> DataF
     return g.join(h, [symbol, "tumble"], "left")
 
 
+def _points(hourly: DataFrame, symbol: str, merge: str, clusters: int | None = None) -> DataFrame:
+    """One row per known bucket: its rows, and how it looks from earlier (``_lo``) and later (``_hi``) buckets.
+
+    ``clusters``: cluster on the symbol over so many partitions, as whole-series windows want it.
+    """
+    h = hourly.select(F.col(symbol).alias("symbol"), "mean", "count", epoch_seconds("tumble").alias("_pos"))
+    by_mean = F.col("mean").isNotNull(), F.col("mean")
+    h = h.repartition(clusters, "symbol") if clusters else h
+    h = h.groupBy("symbol", "_pos").agg(
+        F.collect_list(F.struct("mean", "count")).alias("_rows"),
+        F.min(F.struct(by_mean[0].alias("k"), by_mean[1].alias("y"))).alias("_lo"),
+        F.max(F.struct(by_mean[0].alias("k"), by_mean[1].alias("y"))).alias("_hi"),
+        F.sum(F.col("mean") * F.col("count")).alias("_sum"), F.sum(F.when(F.col("mean").isNotNull(), F.col("count"))).alias("_n"),
+        F.sum("count").alias("_all"))
+    if merge == "strict":
+        one = F.when(F.size("_rows") == 1, F.col("_rows")[0]["mean"]).otherwise(F.try_divide("_sum", "_n"))
+        h = h.withColumn("_one", F.struct(one.alias("mean"), F.col("_all").alias("count")))
+        h = h.select("symbol", "_pos", F.array("_one").alias("_rows"), F.struct(F.lit(True).alias("k"), F.col("_one.mean").alias("y")).alias("_lo"),
+                     F.struct(F.lit(True).alias("k"), F.col("_one.mean").alias("y")).alias("_hi"))
+    return h
+
+
 def interpolate_hourly(hourly: DataFrame, width: int = HOUR, fill: float | None = 0.0,
                        edge_flag: bool = False, symbol: str = "symbol", merge: str = "reference") -> DataFrame:
     """Dense hourly table with gaps filled (``batch_hour_interpo``, T5; W1, W2, D4, J2, J3).
@@ -149,20 +171,7 @@ def interpolate_hourly(hourly: DataFrame, width: int = HOUR, fill: float | None
     n = int(hourly.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     lo, hi = _bounds(hourly, "tumble")
     w_ = F.lit(int(width)).cast("long")
-    h = hourly.select(F.col(symbol).alias("symbol"), "mean", "count", epoch_seconds("tumble").alias("_pos"))
-    # one row per bucket: its rows, and how it looks from either side
-    by_mean = F.col("mean").isNotNull(), F.col("mean")
-    h = h.repartition(n, "symbol").groupBy("symbol", "_pos").agg(
-        F.collect_list(F.struct("mean", "count")).alias("_rows"),
-        F.min(F.struct(by_mean[0].alias("k"), by_mean[1].alias("y"))).alias("_lo"),
-        F.max(F.struct(by_mean[0].alias("k"), by_mean[1].alias("y"))).alias("_hi"),
-        F.sum(F.col("mean") * F.col("count")).alias("_sum"), F.sum(F.when(F.col("mean").isNotNull(), F.col("count"))).alias("_n"),
-        F.sum("count").alias("_all"))
-    if merge == "strict":
-        one = F.when(F.size("_rows") == 1, F.col("_rows")[0]["mean"]).otherwise(F.try_divide("_sum", "_n"))
-        h = h.withColumn("_one", F.struct(one.alias("mean"), F.col("_all").alias("count")))
-        h = h.select("symbol", "_pos", F.array("_one").alias("_rows"), F.struct(F.lit(True).alias("k"), F.col("_one.mean").alias("y")).alias("_lo"),
-                     F.struct(F.lit(True).alias("k"), F.col("_one.mean").alias("y")).alias("_hi"))
+    h = _points(hourly, symbol, merge, n)
     w = Window.partitionBy("symbol").orderBy(F.col("_pos").asc())
     seen = lambda side: F.struct(F.col("_pos").alias("x"), F.col(f"{side}.y").alias("y"))
     h = h.select("symbol", "_pos", "_rows", seen("_hi").alias("_from_right"), seen("_lo").alias("_from_left"),
@@ -177,7 +186,11 @@ def interpolate_hourly(hourly: DataFrame, width: int = HOUR, fill: float | None
     null_coord = F.lit(None).cast("struct<x:bigint,y:double>")
     prev = F.when(own, F.col("_prev")).when(before, null_coord).otherwise(F.col("_from_right"))
     nxt = F.when(own, F.col("_next")).when(before, F.col("_from_left")).otherwise(F.col("_next"))
-    e = e.select("symbol", "_p", F.col("_r.mean").alias("_mean"), prev.alias("_pv"), nxt.alias("_nx"), F.col("_r.count").alias("count"))
+    return _filled(e.select("symbol", "_p", F.col("_r.mean").alias("_mean"), prev.alias("_pv"), nxt.alias("_nx"), F.col("_r.count").alias("count")), fill, edge_flag)
+
+
+def _filled(e: DataFrame, fill: float | None, edge_flag: bool) -> DataFrame:
+    """Output rows from buckets ``_p`` with their own mean and their neighbours ``_pv``, ``_nx``."""
     tumble = from_epoch_seconds("_p")
     cols = [
         "symbol",
@@ -190,3 +203,58 @@ def interpolate_hourly(hourly: DataFrame, width: int = HOUR, fill: float | None
     if edge_flag:
         cols.append((F.col("_mean").isNull() & (F.col("_pv").isNull() | F.col("_nx").isNull())).alias("is_edge_fill"))
     return e.select(*cols)
+
+
+#: Buckets of a segment of a series.
+SEGMENT = 1024
+
+
+def interpolate_segmented(hourly: DataFrame, width: int = HOUR, fill: float | None = 0.0, edge_flag: bool = False,
+                          symbol: str = "symbol", merge: str = "reference", segment: int = SEGMENT) -> DataFrame:
+    """The same table as :func:`interpolate_hourly`, for series too long for one task.
+
+    Time is cut into segments of ``segment`` buckets. Neighbours inside a segment come from a window
+    over (symbol, segment). What lies beyond comes from the segments' summaries, their first and last known
+    bucket: a window over those (a series has its number of buckets over ``segment`` of them)
+    carries the last known point forward and the first one back, and a join brings both to the segment's
+    rows. Every segment emits its own buckets, those before its first known
+    one included, so no row is exploded into more than ``segment`` and one series spreads over all tasks.
+    """
+    if merge not in ("reference", "strict"):
+        raise ValueError(f"unknown merge {merge!r}")
+    n = int(hourly.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    lo, hi = _bounds(hourly, "tumble")
+    w_, size = F.lit(int(width)).cast("long"), F.lit(int(width * segment)).cast("long")
+    seg = lambda x: x - F.pmod(x, size)
+    h = _points(hourly, symbol, merge).withColumn("_seg", seg(F.col("_pos"))).repartition(n, "symbol", "_seg")
+    seen = lambda side: F.struct(F.col("_pos").alias("x"), F.col(f"{side}.y").alias("y"))
+    inside = Window.partitionBy("symbol", "_seg").orderBy("_pos")
+    h = h.select("symbol", "_seg", "_pos", "_rows", seen("_hi").alias("_from_right"), seen("_lo").alias("_from_left"),
+                 F.lag(seen("_hi")).over(inside).alias("_prev"), F.lead(seen("_lo")).over(inside).alias("_next"))
+
+    summary = h.groupBy("symbol", "_seg").agg(F.min_by("_from_left", "_pos").alias("_first"), F.max_by("_from_right", "_pos").alias("_last"))
+    grid = spread_keys(hourly.select(F.col(symbol).alias("symbol")).distinct(), "symbol").select(
+        "symbol", F.explode(F.sequence(seg(lo), seg(hi), size)).alias("_seg"))
+    ahead = Window.partitionBy("symbol").orderBy("_seg").rowsBetween(Window.unboundedPreceding, -1)
+    behind = Window.partitionBy("symbol").orderBy(F.col("_seg").desc()).rowsBetween(Window.unboundedPreceding, -1)
+    carried = grid.join(summary, ["symbol", "_seg"], "left").select(
+        "symbol", "_seg", "_first", F.last("_last", True).over(ahead).alias("_before"), F.last("_first", True).over(behind).alias("_after"))
+
+    end = F.least(F.col("_seg") + size - w_, hi)
+    none = F.lit(None)
+    known = h.join(carried.drop("_first").hint("merge"), ["symbol", "_seg"]).select(
+        "symbol", "_seg", "_pos", "_rows", F.coalesce("_prev", "_before").alias("_pv"), F.coalesce("_next", "_after").alias("_nx"), "_from_right",
+        F.col("_pos").alias("_start"), F.when(F.col("_next").isNull(), F.greatest(F.col("_pos"), end)).otherwise(F.greatest(F.col("_pos"), F.col("_next.x") - w_)).alias("_end"))
+    first = F.greatest(F.col("_seg"), lo)
+    leading = carried.select(
+        "symbol", "_seg", none.cast("long").alias("_pos"), none.cast("array<struct<mean:double,count:long>>").alias("_rows"), F.col("_before").alias("_pv"),
+        F.coalesce("_first", "_after").alias("_nx"), F.col("_before").alias("_from_right"), first.alias("_start"),
+        F.when(F.col("_first").isNull(), end).otherwise(F.col("_first.x") - w_).alias("_end")).where("_start <= _end")
+    pieces = known.unionByName(leading).repartition(n, "symbol", "_seg")
+
+    empty = F.array(F.struct(F.lit(None).cast("double").alias("mean"), F.lit(0).cast("long").alias("count")))
+    e = pieces.select("*", F.explode(F.sequence("_start", "_end", w_)).alias("_p"))
+    own = F.coalesce(F.col("_p") == F.col("_pos"), F.lit(False))
+    e = e.select("*", F.explode(F.when(own, F.col("_rows")).otherwise(empty)).alias("_r"))
+    prev = F.when(own, F.col("_pv")).otherwise(F.col("_from_right"))
+    return _filled(e.select("symbol", "_p", F.col("_r.mean").alias("_mean"), prev.alias("_pv"), "_nx", F.col("_r.count").alias("count")), fill, edge_flag)

@@ -86,6 +86,13 @@ def q_interpolate_hourly_users(spark, sf):
     return G.interpolate_hourly(_stored_hourly(spark, sf, "user_id"))
 
 
+@register("interpolate_segmented",
+          S.with_(S.ticks_cte("user_id"), S.hourly_cte(), S.interp_ctes()) + f"SELECT {T5} FROM interp")
+def q_interpolate_segmented(spark, sf):
+    """The same table with series cut into segments of four days, so that one series is many tasks."""
+    return G.interpolate_segmented(_stored_hourly(spark, sf, "user_id"), segment=96)
+
+
 @register("linear_interpolate",
           S.with_(S.ticks_cte("user_id"), S.hourly_cte(), S.interp_ctes()) +
           "SELECT symbol, tumble, intrp FROM interp WHERE unfilled IS NULL AND prv IS NOT NULL AND nxt IS NOT NULL")
