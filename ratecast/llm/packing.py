@@ -36,25 +36,64 @@ from ratecast.llm.common import stored, tokenizer_path
 CAPACITY, END_ID = 1024, 2
 #: Fixed value: the vocabulary's one special token.
 SPECIAL = "<|endoftext|>"
-CACHE_WORDS = 500_000
+#: Bytes of words and ids that a task remembers, with what an entry costs besides; longer words are not remembered.
+CACHE_BYTES, ENTRY_BYTES, LONGEST_WORD = 48 << 20, 200, 64
 #: White space whose splitting depends on what is around it: all but single spaces and line ends.
 UNEVEN = re.compile(r"[^\S \n]|[ \n]{2}")
 
 _loaded: dict = {}
 
 
+def _ranks(name: str):
+    """The vocabulary as ranks: the encoder that is used but for special tokens."""
+    import tiktoken
+
+    with open(tokenizer_path(f"{name}.tiktoken"), "rb") as f:
+        ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
+    pattern = importlib.import_module("public_tokenizers").PATTERN
+    return tiktoken.Encoding(name, pat_str=pattern, mergeable_ranks=ranks, special_tokens={}).encode_ordinary
+
+
 def _tokenizer(name: str):
-    """Tokenizer, the same vocabulary as ranks, and the ids of words seen: one of each in a Python worker."""
-    if name not in _loaded:
-        import tiktoken
-        from tokenizers import Tokenizer
+    """The tokenizer itself: loaded only where a text names a special token."""
+    from tokenizers import Tokenizer
+
+    return _kept(f"{name}.json", lambda: Tokenizer.from_file(tokenizer_path(f"{name}.json")))
+
+
+def _kept(key: str, make):
+    """What ``make`` gives, made once in a Python worker."""
+    if key not in _loaded:
+        _loaded[key] = make()
+    return _loaded[key]
+
+
+class _Words:
+    """Ids of words seen: at the beginning of a line, and after a space. Forgets all when it holds CACHE_BYTES."""
+
+    def __init__(self, ranked):
+        self.ranked, self.end = ranked, np.array(ranked("\n"), "<u4").tobytes()
+        self.first: dict[str, bytes] = {}
+        self.later: dict[str, bytes] = {}
+        self.size = 0
+
+    def _of(self, seen: dict[str, bytes], word: str, text: str) -> bytes:
+        ids = seen.get(word)
+        if ids is None:
+            ids = np.array(self.ranked(text), "<u4").tobytes() if text else b""
+            if len(word) <= LONGEST_WORD:
+                self.size += len(word) + len(ids) + ENTRY_BYTES
+                if self.size > CACHE_BYTES:
+                    self.first.clear()
+                    self.later.clear()
+                    self.size = 0
+                seen[word] = ids
+        return ids
 
-        with open(tokenizer_path(f"{name}.tiktoken"), "rb") as f:
-            ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
-        pattern = importlib.import_module("public_tokenizers").PATTERN
-        fast = tiktoken.Encoding(name, pat_str=pattern, mergeable_ranks=ranks, special_tokens={})
-        _loaded[name] = Tokenizer.from_file(tokenizer_path(f"{name}.json")), fast.encode_ordinary, {}, {}
-    return _loaded[name]
+    def line(self, line: str) -> bytes:
+        head, *words = line.split(" ")
+        later = self.later
+        return self._of(self.first, head, head) + b"".join([later.get(w) or self._of(later, w, " " + w) for w in words])
 
 
 def encode(texts: list[str], name: str) -> list[bytes]:
@@ -63,33 +102,19 @@ def encode(texts: list[str], name: str) -> list[bytes]:
     Byte-level BPE first splits a text, and it splits at every single space (which
     goes with the word after it) and around every single line end. So a word's
     ids are found once, by the ranks of the vocabulary, and then remembered, up
-    to a number of words. Texts with other white space are encoded whole, texts
+    to a number of bytes. Texts with other white space are encoded whole, texts
     naming the special token by the tokenizer itself.
     """
-    tok, ranked, first, later = _tokenizer(name)
-    if len(first) + len(later) > CACHE_WORDS:
-        first.clear()
-        later.clear()
-    if "\n" not in first:
-        first["\n"], first[""] = np.array(ranked("\n"), "<u4").tobytes(), b""
+    ranked = _kept(f"{name}.tiktoken", lambda: _ranks(name))
+    words = _kept(f"{name} words", lambda: _Words(ranked))
     out = []
     for t in texts:
         if SPECIAL in t:
-            out.append(np.array(tok.encode(t, add_special_tokens=False).ids, "<u4").tobytes())
+            out.append(np.array(_tokenizer(name).encode(t, add_special_tokens=False).ids, "<u4").tobytes())
         elif UNEVEN.search(t):
             out.append(np.array(ranked(t), "<u4").tobytes())
         else:
-            parts = []
-            for line in t.split("\n"):
-                words = line.split(" ")
-                head, words = words[0], words[1:]
-                if head not in first:
-                    first[head] = np.array(ranked(head), "<u4").tobytes()
-                for w in words:
-                    if w not in later:
-                        later[w] = np.array(ranked(" " + w), "<u4").tobytes()
-                parts.append(first[head] + b"".join(map(later.__getitem__, words)))
-            out.append(first["\n"].join(parts))
+            out.append(words.end.join(map(words.line, t.split("\n"))))
     return out
 
 
