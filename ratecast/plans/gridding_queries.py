@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ratecast.functions import date_str, tumble_interval
+from ratecast.functions.sql_functions import register_functions
 from ratecast.operators import gridding as G
 from ratecast.plans import sql as S
 from ratecast.plans.registry import register
@@ -68,7 +69,7 @@ def q_hour_grid(spark, sf):
 @register("densify",
           S.with_(S.ticks_cte(), S.hourly_cte(), S.grid_ctes()) +
           "SELECT g.symbol, g.tumble, h.mean, h.count FROM grid g "
-          "LEFT JOIN hourly h ON g.symbol = h.symbol AND g.tumble = h.tumble")
+          "LEFT JOIN {hourly} h ON g.symbol = h.symbol AND g.tumble = h.tumble")
 def q_densify(spark, sf):
     h = _stored_hourly(spark, sf)
     return G.densify(G.hour_grid(h), h)
@@ -202,3 +203,24 @@ def q_sink_append(spark, sf):
     t = scan_rates(read_ticks(spark, sf))
     sink_append(t, path)
     return sink_append(t, path)
+
+
+#: The interpolation as one SQL text over a frame ``hourly``, with the session's SQL functions.
+INTERPOLATION_TEXT = """
+WITH candidates AS (SELECT symbol, gen_ts_candidates(3600L, (SELECT min(tumble) FROM {hourly}), (SELECT max(tumble) FROM {hourly})) AS c
+                    FROM (SELECT DISTINCT symbol FROM {hourly})),
+grid AS (SELECT symbol, explode(c) AS tumble FROM candidates),
+dense AS (SELECT g.symbol, g.tumble, h.mean, h.count, CASE WHEN h.count IS NOT NULL THEN struct(g.tumble AS x, h.mean AS y) END AS coord
+          FROM grid g LEFT JOIN {hourly} h ON g.symbol = h.symbol AND g.tumble = h.tumble),
+seen AS (SELECT *, last(coord, true) OVER (PARTITION BY symbol ORDER BY tumble ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS prv,
+                last(coord, true) OVER (PARTITION BY symbol ORDER BY tumble DESC ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS nxt FROM dense)
+SELECT symbol, tumble, date_format(tumble, 'yyyyMMddHHmmss') AS date_str, interpolate_ts_val_or_fill(mean, tumble, prv, nxt, 0.0D) AS intrp,
+       mean AS unfilled, coalesce(count, 0L) AS count FROM seen
+"""
+
+
+@register("sql_functions", S.with_(S.ticks_cte(), S.hourly_cte(), S.interp_ctes()) + f"SELECT {T5} FROM interp")
+def q_sql_functions(spark, sf):
+    """The interpolation written as SQL text that calls the registered functions."""
+    register_functions(spark)
+    return spark.sql(INTERPOLATION_TEXT, hourly=_stored_hourly(spark, sf))

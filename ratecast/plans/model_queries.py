@@ -23,7 +23,7 @@ from ratecast.plans import local_sql as LS
 from ratecast.plans import sql as S
 from ratecast.plans.registry import register
 from ratecast.sources.fixtures import read_ticks, ticks_from_events
-from ratecast.sources.sinks import materialize, sink_json_records, sink_replace, table_dir
+from ratecast.sources.sinks import json_chunks, materialize, records_of_chunks, sink_json_records, sink_replace, table_dir
 from ratecast.sources.tables import read_table
 
 T5 = "symbol, tumble, date_str, intrp, unfilled, count"
@@ -543,3 +543,11 @@ def q_decompose_local(spark, sf):
     """Trend, seasonal part and remainder by local regression with robustness weights."""
     d = L.decompose_local(_Stage(spark, sf).train)
     return d.select("symbol", "ds", "y", *[(F.round(c, 3) + F.lit(0.0)).alias(c) for c in LOCAL])
+
+
+@register("json_chunks", _detail_sql("PROPHET", None))
+def q_json_chunks(spark, sf):
+    """All detail rows as one JSON document in bounded chunks (here 64 KiB, so that there are many), written, read and parsed back (K4)."""
+    d = _detail(spark, sf, "PROPHET", None)
+    chunks = sink_replace(json_chunks(d, ["symbol", "ds"], 2 ** 16), table_dir(spark, "serve_detail_chunks", fresh=True))
+    return records_of_chunks(chunks, d.schema)
