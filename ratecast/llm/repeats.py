@@ -24,8 +24,8 @@ a text are found by their hash and only their first document's text is taken
 apart (once per task).
 
 Defined cases: a null text is empty and has no bytes; equal rows are one
-document, each returned; one id with two texts is ordered by a tag of the
-text; strings never cross documents.
+document, each returned; one id with two texts (or null) is as many documents, ordered by a
+64-bit hash of the text; strings never cross documents.
 """
 
 from __future__ import annotations
@@ -51,14 +51,14 @@ HEAD, WIDTH = 4, 2 * LENGTH - GRAM
 
 
 def ordered(docs: DataFrame) -> DataFrame:
-    """``doc_id, ord, tag, text``: ord is the id with nulls last, tag tells texts of one id apart."""
+    """``doc_id, ord, key, text``: ord is the id with nulls last, key (a hash) tells texts of one id apart."""
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("doc_id").cast("long"), F.lit(LAST)).alias("ord"),
-                       F.xxhash64(text).bitwiseAND(F.lit(0xFFFF)).alias("tag"), text.alias("text"))
+                       F.xxhash64(text).alias("key"), text.alias("text"))
 
 
 def occurrences(docs: DataFrame) -> DataFrame:
-    """``gram, whole, ord, place, size`` of every stretch; place is the tag and the start in one number.
+    """``gram, whole, ord, key, start, size`` of every stretch.
 
     A stretch that equals an earlier one of its block has a negative size, and in place of the gram a number that
     deals it to any task.
@@ -68,7 +68,7 @@ def occurrences(docs: DataFrame) -> DataFrame:
         seen: dict[bytes, tuple] = {}
         for b in batches:
             texts, at = [], []
-            for o, t, s in zip(b.column("ord").to_pylist(), b.column("tag").to_pylist(), b.column("text").to_pylist()):
+            for o, t, s in zip(b.column("ord").to_pylist(), b.column("key").to_pylist(), b.column("text").to_pylist()):
                 raw = s.encode()
                 if len(raw) < LENGTH:
                     continue
@@ -84,44 +84,45 @@ def occurrences(docs: DataFrame) -> DataFrame:
             for base, data, offsets in blocks(texts):
                 text, start, end, _, gram = stretches(data, offsets, LENGTH, GRAM)
                 who, whole, size = ids[base + text], Substrings(data, seed=1)(start, end), end - start
-                place = (who[:, 1] << 40) | (start - offsets[text])
-                order = np.lexsort((place, who[:, 0], whole, gram))
-                g, w = gram[order], whole[order]
-                o, at = who[order, 0], place[order]
-                later = order[1:][(g[1:] == g[:-1]) & (w[1:] == w[:-1]) & ((o[1:] != o[:-1]) | (at[1:] != at[:-1]))]
+                place = start - offsets[text]
+                order = np.lexsort((place, who[:, 1], who[:, 0], whole, gram))
+                g, w, o, k, at = gram[order], whole[order], who[order, 0], who[order, 1], place[order]
+                same_place = (o[1:] == o[:-1]) & (k[1:] == k[:-1]) & (at[1:] == at[:-1])
+                later = order[1:][(g[1:] == g[:-1]) & (w[1:] == w[:-1]) & ~same_place]
                 size[later] *= -1
-                gram[later] = mix(gram[later] + place[later].astype(np.uint64))
+                gram[later] = mix(gram[later] + place[later].astype(np.uint64) + who[later, 1].view(np.uint64))
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(gram.view(np.int64)), pa.array(whole.view(np.int64)), pa.array(np.ascontiguousarray(who[:, 0])),
-                     pa.array(place), pa.array(size.astype(np.int32))], names=["gram", "whole", "ord", "place", "size"])
+                     pa.array(np.ascontiguousarray(who[:, 1])), pa.array(place.astype(np.int32)), pa.array(size.astype(np.int32))],
+                    names=["gram", "whole", "ord", "key", "start", "size"])
 
-    return docs.select("ord", "tag", "text").mapInArrow(run, "gram long, whole long, ord long, place long, size int")
+    return docs.select("ord", "key", "text").mapInArrow(run, "gram long, whole long, ord long, key long, start int, size int")
 
 
 #: kind 0: the stretch is a later copy of an equal one. 1: first of its kind in a bucket with other kinds.
 #: 2: the same in a bucket with very many kinds.
-FOUND = "kind int, gram long, whole long, ord long, place long, size int"
+FOUND = "kind int, gram long, whole long, ord long, key long, start int, size int"
 
 
 def _repeated(rows: DataFrame) -> DataFrame:
-    """From rows sorted by (gram, whole, ord, place): what repeats, as FOUND. Holds a bucket's first places only."""
+    """From rows sorted by (gram, whole, ord, key, start): what repeats, as FOUND. Holds a bucket's first places only."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def out(kind: int, a: np.ndarray) -> pa.RecordBatch:
             return pa.RecordBatch.from_arrays([pa.array(np.full(len(a), kind, np.int32))] + [pa.array(np.ascontiguousarray(a[:, i])) for i in range(4)]
-                                              + [pa.array(a[:, 4].astype(np.int32))], names=["kind", "gram", "whole", "ord", "place", "size"])
+                                              + [pa.array(a[:, i].astype(np.int32)) for i in (4, 5)], names=["kind", "gram", "whole", "ord", "key", "start", "size"])
 
         last: np.ndarray | None = None  # the row before
         held: list[np.ndarray] = []  # first places of the open bucket
         n_held, split = 0, False
         for b in batches:
-            a = np.column_stack([b.column(c).to_numpy().astype(np.int64) for c in ("gram", "whole", "ord", "place", "size")])
-            known = a[:, 4] < 0
+            a = np.column_stack([b.column(c).to_numpy().astype(np.int64) for c in ("gram", "whole", "ord", "key", "start", "size")])
+            known = a[:, 5] < 0
             if known.any():
-                yield out(0, a[known] * [1, 1, 1, 1, -1])
+                yield out(0, a[known] * [1, 1, 1, 1, 1, -1])
                 a = a[~known]
             before = np.vstack((a[:1] - 1 if last is None else last, a[:-1]))
-            a = a[(a[:, :4] != before[:, :4]).any(1)]  # equal rows of the table are one place
+            a = a[(a[:, :5] != before[:, :5]).any(1)]  # equal rows of the table are one place
             if not len(a):
                 continue
             new_gram = np.concatenate(([last is None or a[0, 0] != last[0]], a[1:, 0] != a[:-1, 0]))
@@ -159,25 +160,24 @@ def _repeated(rows: DataFrame) -> DataFrame:
 
 
 def _per_document(found: DataFrame) -> DataFrame:
-    return (found.withColumns({"tag": F.shiftright("place", 40), "start": F.col("place").bitwiseAND(F.lit((1 << 40) - 1))})
-            .groupBy("ord", "tag").agg(F.collect_list(F.struct("gram", "start", "size")).alias("wanted")))
+    return found.groupBy("ord", "key").agg(F.collect_list(F.struct("gram", "start", "size")).alias("wanted"))
 
 
 def _strings(docs: DataFrame, found: DataFrame) -> DataFrame:
-    """``gram, ord, place, left, string``: the bytes of stretches, and the byte before each (-1 at a text's start)."""
+    """``gram, ord, key, start, string``: the bytes of stretches."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             rows = []
-            for o, t, s, wanted in zip(*(b.column(c).to_pylist() for c in ("ord", "tag", "text", "wanted"))):
+            for o, k, s, wanted in zip(*(b.column(c).to_pylist() for c in ("ord", "key", "text", "wanted"))):
                 raw = s.encode()
-                rows += [(w["gram"], o, t << 40 | w["start"], raw[w["start"]:w["start"] + w["size"]]) for w in wanted]
+                rows += [(w["gram"], o, k, w["start"], raw[w["start"]:w["start"] + w["size"]]) for w in wanted]
             if rows:
-                yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows), (pa.int64(), pa.int64(), pa.int64(), pa.binary()))],
-                                                 names=["gram", "ord", "place", "string"])
+                yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows), (pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.binary()))],
+                                                 names=["gram", "ord", "key", "start", "string"])
 
-    return (docs.join(_per_document(found), ["ord", "tag"]).select("ord", "tag", "text", "wanted")
-            .mapInArrow(run, "gram long, ord long, place long, string binary"))
+    return (docs.join(_per_document(found), ["ord", "key"]).select("ord", "key", "text", "wanted")
+            .mapInArrow(run, "gram long, ord long, key long, start int, string binary"))
 
 
 #: Suffixes that are sorted at once, unless more of them begin alike.
@@ -264,12 +264,12 @@ BATCH_STRINGS = 1024
 
 
 def _covered(strings: DataFrame) -> DataFrame:
-    """``ord, place, size``: what later occurrences in each bucket's maximal repeats cover."""
+    """``ord, key, start, size``: what later occurrences in each bucket's maximal repeats cover."""
 
     def of_batch(rows: list[tuple]) -> pa.RecordBatch | None:
-        grams, ords, places, texts = zip(*rows)
+        grams, ords, keys, places, texts = zip(*rows)
         _, bucket = np.unique(np.array(grams), return_inverse=True)
-        ords, places = np.array(ords), np.array(places)
+        ords, keys, places = np.array(ords), np.array(keys), np.array(places)
         joined = np.frombuffer(b"".join(texts), np.uint8).astype(np.int64)
         size = np.array([len(t) for t in texts])
         begin = np.cumsum(size) - size
@@ -278,23 +278,23 @@ def _covered(strings: DataFrame) -> DataFrame:
         for which, offset, common in suffix_arrays(list(texts), bucket):
             # the byte before a suffix, within its string
             left = np.where(offset > 0, joined[np.maximum(begin[which] + offset - 1, 0)], -1)
-            o, p = ords[which], places[which] + offset
+            o, k, p = ords[which], keys[which], places[which] + offset
             for a, b, length in scan(common, left):
-                first = min(range(a, b + 1), key=lambda i: (o[i], p[i])) if b - a < 8 else a + int(np.lexsort((p[a:b + 1], o[a:b + 1]))[0])
+                first = min(range(a, b + 1), key=lambda i: (o[i], k[i], p[i])) if b - a < 8 else a + int(np.lexsort((p[a:b + 1], k[a:b + 1], o[a:b + 1]))[0])
                 rest = np.delete(np.arange(a, b + 1), first - a)
                 np.minimum.at(lo, which[rest], offset[rest])
                 np.maximum.at(hi, which[rest], offset[rest] + length)
         some = np.flatnonzero(hi)
         if not some.size:
             return None
-        return pa.RecordBatch.from_arrays([pa.array(ords[some]), pa.array(places[some] + lo[some]), pa.array((hi - lo)[some].astype(np.int32))],
-                                          names=["ord", "place", "size"])
+        return pa.RecordBatch.from_arrays([pa.array(ords[some]), pa.array(keys[some]), pa.array((places[some] + lo[some]).astype(np.int32)),
+                                           pa.array((hi - lo)[some].astype(np.int32))], names=["ord", "key", "start", "size"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rows: list[tuple] = []
         for b in batches:
-            for row in zip(*(b.column(c).to_pylist() for c in ("gram", "ord", "place", "string"))):
-                if rows and row[:3] == rows[-1][:3]:
+            for row in zip(*(b.column(c).to_pylist() for c in ("gram", "ord", "key", "start", "string"))):
+                if rows and row[:4] == rows[-1][:4]:
                     continue  # equal rows of the table are one place
                 if len(rows) >= BATCH_STRINGS and row[0] != rows[-1][0]:
                     if (found := of_batch(rows)) is not None:
@@ -305,7 +305,7 @@ def _covered(strings: DataFrame) -> DataFrame:
             yield found
 
     n = partitions(strings.sparkSession)
-    return strings.repartition(n, "gram").sortWithinPartitions("gram", "ord", "place").mapInArrow(run, "ord long, place long, size int")
+    return strings.repartition(n, "gram").sortWithinPartitions("gram", "ord", "key", "start").mapInArrow(run, "ord long, key long, start int, size int")
 
 
 def _covered_split(strings: DataFrame) -> DataFrame:
@@ -314,7 +314,7 @@ def _covered_split(strings: DataFrame) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             texts = b.column("string").to_pylist()
-            ords, places = b.column("ord").to_numpy(), b.column("place").to_numpy()
+            ords, keys, places = (b.column(c).to_numpy() for c in ("ord", "key", "start"))
             for base, data, offsets in blocks(texts, 1 << 18):
                 n = np.diff(offsets) - LENGTH  # windows of each string
                 which = np.repeat(np.arange(len(n)), n)
@@ -322,27 +322,28 @@ def _covered_split(strings: DataFrame) -> DataFrame:
                 s = offsets[which] + at
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(Substrings(data)(s, s + LENGTH).view(np.int64)), pa.array(Substrings(data, seed=1)(s, s + LENGTH).view(np.int64)),
-                     pa.array(ords[base + which]), pa.array(places[base + which] + at)], names=["w0", "w1", "ord", "place"])
+                     pa.array(ords[base + which]), pa.array(keys[base + which]), pa.array((places[base + which] + at).astype(np.int32))],
+                    names=["w0", "w1", "ord", "key", "start"])
 
-    w = strings.mapInArrow(run, "w0 long, w1 long, ord long, place long")
-    first = w.groupBy("w0", "w1").agg(F.min(F.struct("ord", "place")).alias("first"), F.count("*").alias("n")).where("n > 1").drop("n")
-    return (w.join(first, ["w0", "w1"]).where(F.struct("ord", "place") != F.col("first"))
-            .select("ord", "place", F.lit(LENGTH).alias("size")))
+    w = strings.mapInArrow(run, "w0 long, w1 long, ord long, key long, start int")
+    first = w.groupBy("w0", "w1").agg(F.min(F.struct("ord", "key", "start")).alias("first"), F.count("*").alias("n")).where("n > 1").drop("n")
+    return (w.join(first, ["w0", "w1"]).where(F.struct("ord", "key", "start") != F.col("first"))
+            .select("ord", "key", "start", F.lit(LENGTH).alias("size")))
 
 
 def whole_copies(docs: DataFrame) -> DataFrame:
-    """``ord, place, size`` of every document of LENGTH bytes or more whose text an earlier document has."""
-    d = docs.select("ord", "tag", F.xxhash64("text").alias("t0"), F.xxhash64(F.lit("second"), "text").alias("t1"), F.octet_length("text").alias("size")).where(F.col("size") >= LENGTH)
-    first = d.groupBy("t0", "t1").agg(F.min("ord").alias("first"), F.max("ord").alias("last")).where("first != last").drop("last")
-    return d.join(first, ["t0", "t1"]).where("ord != first").select("ord", F.shiftleft("tag", 40).alias("place"), "size")
+    """``ord, key, start, size`` of every document of LENGTH bytes or more whose text an earlier document has."""
+    d = docs.select("ord", "key", F.xxhash64(F.lit("second"), "text").alias("other"), F.octet_length("text").alias("size")).where(F.col("size") >= LENGTH)
+    first = d.groupBy("key", "other").agg(F.min("ord").alias("first"), F.max("ord").alias("last")).where("first != last").drop("last")
+    return d.join(first, ["key", "other"]).where("ord != first").select("ord", "key", F.lit(0).alias("start"), "size")
 
 
 def covered(docs: DataFrame) -> DataFrame:
-    """``ord, place, size`` of stretches to remove, overlapping; ``docs`` as from ``ordered``."""
+    """``ord, key, start, size`` of stretches to remove, overlapping; ``docs`` as from ``ordered``."""
     n = partitions(docs.sparkSession)
-    rows = occurrences(docs).repartition(n, "gram").sortWithinPartitions("gram", "whole", "ord", "place")
+    rows = occurrences(docs).repartition(n, "gram").sortWithinPartitions("gram", "whole", "ord", "key", "start")
     found = stored(_repeated(rows), "repeated_stretches")
-    return (found.where("kind = 0").select("ord", "place", "size")
+    return (found.where("kind = 0").select("ord", "key", "start", "size")
             .unionByName(_covered(_strings(docs, found.where("kind = 1"))))
             .unionByName(_covered_split(_strings(docs, found.where("kind = 2"))))
             .unionByName(whole_copies(docs)))
@@ -369,8 +370,8 @@ DEDUPED = "doc_id long, n_bytes long, n_removed long, spans array<struct<start:l
 def repeat_dedup(docs: DataFrame, digest: bool = False) -> DataFrame:
     """``doc_id, n_bytes, n_removed, spans, kept`` per document; with ``digest``, ``kept`` is the SHA-256 of the bytes."""
     docs = ordered(docs)
-    spans = (covered(docs).withColumns({"tag": F.shiftright("place", 40), "start": F.col("place").bitwiseAND(F.lit((1 << 40) - 1))})
-             .groupBy("ord", "tag").agg(F.collect_list(F.struct("start", (F.col("start") + F.col("size")).alias("end"))).alias("spans")))
+    end = (F.col("start") + F.col("size")).cast("long").alias("end")
+    spans = covered(docs).groupBy("ord", "key").agg(F.collect_list(F.struct(F.col("start").cast("long").alias("start"), end)).alias("spans"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         kinds = [pa.int64(), pa.int64(), pa.int64(), pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())])), pa.binary()]
@@ -384,4 +385,4 @@ def repeat_dedup(docs: DataFrame, digest: bool = False) -> DataFrame:
             if rows:
                 yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows), kinds)], names=["doc_id", "n_bytes", "n_removed", "spans", "kept"])
 
-    return docs.join(spans, ["ord", "tag"], "left").select("doc_id", "text", "spans").mapInArrow(run, DEDUPED)
+    return docs.join(spans, ["ord", "key"], "left").select("doc_id", "text", "spans").mapInArrow(run, DEDUPED)

@@ -135,3 +135,17 @@ def test_stack_scan_finds_all_maximal_repeats(monkeypatch):
             left = np.array([strings[w][o - 1] if o else -1 for w, o in zip(which, offset)])
             got |= {(n, frozenset(zip(which[a:b + 1].tolist(), offset[a:b + 1].tolist()))) for a, b, n in repeats.scan(common, left, 3)}
         assert got == maximal_repeats(strings, 3)
+
+
+def test_many_texts_without_an_id_are_kept_apart(docs):
+    """Spans go to the text they were found in, however many texts share one id or have none."""
+    rng = np.random.default_rng(21)
+    letters = np.array(list("abcdefghij klmnop"))
+    texts = ["".join(rng.choice(letters, 260)) for _ in range(1500)]
+    a, two = texts[0], texts[1][:150] + texts[2]
+    rows = [(1, a[:200]), (2, texts[1])] + [(None, t) for t in texts if t != texts[1]] + [(7, two), (7, texts[3][::-1])]
+    got = {}
+    for r in repeats.repeat_dedup(docs(rows)).collect():
+        got.setdefault(r.doc_id, []).append(r.n_removed)
+    # texts[2] is first in document 7, so its copy without an id goes whole
+    assert sorted(got[None])[-2:] == [200, 260] and sum(got[None]) == 460 and sorted(got[7]) == [0, 150] and got[1] == got[2] == [0]
