@@ -12,7 +12,7 @@ from ratecast.plans.registry import register
 from ratecast.sources.fixtures import oracle_requests, read_ticks
 from ratecast.sources.sinks import table_dir
 from ratecast.sources.slices import replay_slice
-from ratecast.streaming import run_to_table, stream_hourly_mean, stream_to_hourly_table
+from ratecast.streaming import run_to_table, stream_hourly_mean, stream_to_filled_table, stream_to_hourly_table
 
 
 def _land(df, spark, name):
@@ -63,3 +63,15 @@ def q_stream_hourly_mean_append(spark, sf):
     s = spark.readStream.schema(schema).parquet(f"{base}/source")
     return run_to_table(stream_hourly_mean(s, watermark="2 hours"), "stream_hourly_mean_append", "append",
                         base=f"{base}/run")
+
+
+@register("stream_gap_fill",
+          S.with_(S.ticks_cte(), S.hourly_cte(name="hourly_all"),
+                  "hourly AS (SELECT * FROM hourly_all WHERE tumble + INTERVAL 1 HOUR <= (SELECT max(ts) FROM events) - INTERVAL 2 HOUR)", S.interp_ctes()) +
+          f"SELECT symbol, tumble, date_str, {S.rounded('intrp', 'unfilled')}, count FROM interp")
+def q_stream_gap_fill(spark, sf):
+    """Gap filling with two points of state a series: the batch table over the hours that the watermark has closed."""
+    base, schema = _land(read_ticks(spark, sf).repartitionByRange(4, "timestamp"), spark, "stream_gap_fill")
+    s = spark.readStream.schema(schema).parquet(f"{base}/source")
+    out = stream_to_filled_table(spark, s, f"{base}/run")
+    return out.withColumns({c: F.round(c, 6) for c in ("intrp", "unfilled")})
