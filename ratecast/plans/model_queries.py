@@ -23,7 +23,7 @@ from ratecast.plans import local_sql as LS
 from ratecast.plans import sql as S
 from ratecast.plans.registry import register
 from ratecast.sources.fixtures import read_ticks, ticks_from_events
-from ratecast.sources.sinks import json_chunks, materialize, records_of_chunks, sink_json_records, sink_replace, table_dir
+from ratecast.sources.sinks import json_chunks, materialize, records_of_chunks, sink_bucketed, sink_json_records, sink_replace, table_dir
 from ratecast.sources.tables import read_table
 
 T5 = "symbol, tumble, date_str, intrp, unfilled, count"
@@ -551,3 +551,28 @@ def q_json_chunks(spark, sf):
     d = _detail(spark, sf, "PROPHET", None)
     chunks = sink_replace(json_chunks(d, ["symbol", "ds"], 2 ** 16), table_dir(spark, "serve_detail_chunks", fresh=True))
     return records_of_chunks(chunks, d.schema)
+
+
+# --- joins without an exchange over bucketed tables (O2, J4, J6) ---
+
+
+def _bucketed(spark, df, name, ts):
+    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    return sink_bucketed(df, table_dir(spark, name, fresh=True), "symbol", ["symbol", ts], n)
+
+
+@register("forecast_vs_actual_bucketed", S.with_(*BASE, *SEAS, S.fva_cte()) + f"SELECT {FVA} FROM fva")
+def q_forecast_vs_actual_bucketed(spark, sf):
+    """The forecast table joined with the actuals where both are bucketed by symbol."""
+    t = _tables(spark, sf)
+    forecast, actual = _bucketed(spark, t.forecast, "forecast_buckets", "ds"), _bucketed(spark, t.t5, "actual_buckets", "tumble")
+    return _rounded(E.forecast_vs_actual(forecast, actual, hi=t.hi), *BANDS)
+
+
+@register("forecast_rmse_bucketed", S.with_(*BASE, *AR, S.ava_cte()) + _rmse_sql("ava", "time_series_timestamp", "ARIMA", True))
+def q_forecast_rmse_bucketed(spark, sf):
+    """The AR forecast joined with the actuals and scored per symbol, all within the buckets."""
+    t = _tables(spark, sf)
+    explained, actual = _bucketed(spark, t.explained, "explained_buckets", "time_series_timestamp"), _bucketed(spark, t.t5, "actual_buckets", "tumble")
+    scored = E.arima_vs_actual(explained, actual, hi=t.hi)
+    return _rounded(E.forecast_rmse(scored, "time_series_timestamp", True, hi=t.hi).withColumn("model", F.lit("ARIMA")), *RMSE)

@@ -104,6 +104,18 @@ def sink_replace(df: DataFrame, path: str, partition_by: list[str] | None = None
     return spark.read.parquet(f"{path}/{version}")
 
 
+def sink_bucketed(df: DataFrame, path: str, key: str, sort_within: list[str], buckets: int) -> DataFrame:
+    """Write the rows dealt into ``buckets`` files by a hash of ``key``, sorted in each, as a table that remembers it.
+
+    Joins and aggregates on ``key`` between tables with the same number of buckets need no exchange; those on ``key`` and
+    more neither, if the session sets ``spark.sql.requireAllClusterKeysForCoPartition`` to false (else they shuffle, with the same result). The table is known to this session's catalog under a new name; its files are in ``path``.
+    """
+    name = f"bucketed_{uuid.uuid4().hex[:16]}"
+    # one task writes a bucket, so a bucket is one file
+    (df.repartition(buckets, key).write.bucketBy(buckets, key).sortBy(*sort_within).option("path", path).format("parquet").saveAsTable(name))
+    return df.sparkSession.table(name)
+
+
 def sink_append(df: DataFrame, path: str) -> DataFrame:
     """``WRITE_APPEND`` (K3): add the rows to the table; running twice doubles them."""
     df.write.mode("append").parquet(path)
