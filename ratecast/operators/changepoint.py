@@ -181,7 +181,7 @@ def _season(rows: DataFrame, params: DataFrame) -> DataFrame:
     rest = F.col("z") - g
     phase = rows.join(params, "symbol").groupBy("symbol", F.pmod(F.col("e"), F.lit(WEEK)).alias("e")).agg(
         F.sum(g * g).alias("gg"), F.sum(g * rest).alias("gr"), F.sum(rest * rest).alias("rr"), F.count("*").alias("n"),
-        F.first("e0").alias("e0"), F.first("e1").alias("e1"))
+        F.min("e0").alias("e0"), F.min("e1").alias("e1"))
     x = [F.col(f"x{i}") for i in range(COLUMNS)]
     phase = phase.select("*", *[w.alias(f"x{i}") for i, w in enumerate(waves(F.col("e")))])
     pairs = [(i, j) for i in range(COLUMNS) for j in range(i, COLUMNS)]
