@@ -182,26 +182,21 @@ def _season(rows: DataFrame, params: DataFrame) -> DataFrame:
     phase = rows.join(params, "symbol").groupBy("symbol", F.pmod(F.col("e"), F.lit(WEEK)).alias("e")).agg(
         F.sum(g * g).alias("gg"), F.sum(g * rest).alias("gr"), F.sum(rest * rest).alias("rr"), F.count("*").alias("n"),
         F.min("e0").alias("e0"), F.min("e1").alias("e1"))
-    x = [F.col(f"x{i}") for i in range(COLUMNS)]
     phase = phase.select("*", *[w.alias(f"x{i}") for i, w in enumerate(waves(F.col("e")))])
+    # as texts, each parsed once: hundreds of column objects take longer to build than the sums to run
     pairs = [(i, j) for i in range(COLUMNS) for j in range(i, COLUMNS)]
+    every = range(COLUMNS)
     sums = phase.groupBy("symbol").agg(
-        F.array(*[F.sum(F.col("gg") * x[i] * x[j]) for i, j in pairs]).alias("a"),
-        F.array(*[F.sum(F.col("gr") * c) for c in x]).alias("b"), F.sum("rr").alias("rr"), F.sum("n").alias("n"))
+        F.expr("array(" + ", ".join(f"sum(gg * x{i} * x{j})" for i, j in pairs) + ")").alias("a"),
+        F.expr("array(" + ", ".join(f"sum(gr * x{i})" for i in every) + ")").alias("b"), F.sum("rr").alias("rr"), F.sum("n").alias("n"))
     place = {p: i for i, p in enumerate(pairs)}
-    entry = lambda i, j: F.get("a", F.lit(place[min(i, j), max(i, j)]))
-    ridge = F.col("sigma2") / F.lit(SEASONAL_SCALE ** 2) + F.lit(TINY)
-    matrix = F.array(*[F.array(*[entry(i, j) + (ridge if i == j else F.lit(0.0)) for j in range(COLUMNS)], F.get("b", F.lit(i)))
-                       for i in range(COLUMNS)])
-    solved = (sums.join(params.select("symbol", "sigma2"), "symbol")
-              .select("symbol", "a", "b", "rr", "n", solve_spd(matrix, COLUMNS).alias("beta")))
-    gain = F.lit(0.0)
-    for i in range(COLUMNS):
-        row = F.lit(0.0)
-        for j in range(COLUMNS):
-            row = row + entry(i, j) * F.get("beta", F.lit(j))
-        gain = gain + F.get("beta", F.lit(i)) * (row - 2 * F.get("b", F.lit(i)))
-    return solved.select("symbol", "beta", (F.greatest(F.col("rr") + gain, F.lit(0.0)) / F.col("n")).alias("sigma2"))
+    square = "array(" + ", ".join("array(" + ", ".join(f"a[{place[min(i, j), max(i, j)]}]" for j in every) + ")" for i in every) + ")"
+    system = (f"transform(gram, (r, i) -> concat(transform(r, (x, j) -> IF(i = j, x + sigma2 / {SEASONAL_SCALE ** 2!r}D + {TINY!r}D, x)), array(b[i])))")
+    gain = ("aggregate(zip_with(zip_with(gram, beta, (r, x) -> struct(r, x)), b, (s, y) -> "
+            "s.x * (aggregate(zip_with(s.r, beta, (u, v) -> u * v), 0D, (t, u) -> t + u) - 2 * y)), 0D, (t, u) -> t + u)")
+    solved = (sums.join(params.select("symbol", "sigma2"), "symbol").withColumn("gram", F.expr(square))
+              .select("symbol", "gram", "b", "rr", "n", solve_spd(F.expr(system), COLUMNS).alias("beta")))
+    return solved.select("symbol", "beta", (F.greatest(F.col("rr") + F.expr(gain), F.lit(0.0)) / F.col("n")).alias("sigma2"))
 
 
 # the fit
