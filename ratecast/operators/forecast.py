@@ -23,25 +23,25 @@ from ratecast.operators.training import HORIZON_HOURS
 Z80 = 1.2815515655446004
 
 
-def cluster_series(df: DataFrame) -> DataFrame:
-    """Cluster rows on ``symbol`` over ``spark.sql.shuffle.partitions`` partitions.
+def cluster_series(df: DataFrame, tasks: int | None = None) -> DataFrame:
+    """Cluster rows on ``symbol`` over ``tasks`` (else ``spark.sql.shuffle.partitions``) partitions.
 
     A no-op when the frame is already so partitioned (Spark drops the shuffle);
     otherwise an explicit count keeps AQE from packing the window-heavy fit,
     whose cost is per row rather than per byte, into a few tasks.
     """
-    n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    n = tasks or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     return df.repartition(n, "symbol")
 
 
-def _with_future(train: DataFrame, periods: int, step_seconds: int) -> DataFrame:
+def _with_future(train: DataFrame, periods: int, step_seconds: int, tasks: int | None = None) -> DataFrame:
     """Training rows plus ``periods`` future buckets per symbol with ``y`` NULL.
 
     The last row of each series (latest time; one row even if that time is
     duplicated) is exploded into itself plus the future buckets, so the training
     frame is read once and stays on its per-symbol sort.
     """
-    base = cluster_series(train.select("symbol", "ds", "y"))
+    base = cluster_series(train.select("symbol", "ds", "y"), tasks)
     if periods <= 0:
         return base
     # Ascending sort: the windows after this reuse it, so every per-series sum
@@ -68,7 +68,8 @@ def _series_window(*keys) -> Window:
     return Window.partitionBy(*keys).orderBy("ds").rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
 
 
-def seasonal_components(train: DataFrame, periods: int = HORIZON_HOURS, step_seconds: int = 3600) -> DataFrame:
+def seasonal_components(train: DataFrame, periods: int = HORIZON_HOURS, step_seconds: int = 3600,
+                        tasks: int | None = None) -> DataFrame:
     """Trend, hour-of-day and weekday indices of each series (M1, M6).
 
     * ``T`` = hours since 1970; ``trend = avg(y) + m (T - avg(T))`` with
@@ -83,7 +84,7 @@ def seasonal_components(train: DataFrame, periods: int = HORIZON_HOURS, step_sec
     aggregate, so the same windows fit the history and score the horizon.
     After one clustering on ``symbol`` there is no further exchange.
     """
-    f = _with_future(train, periods, step_seconds)
+    f = _with_future(train, periods, step_seconds, tasks)
     sym = _series_window("symbol")
     y = F.col("y")
     f = f.withColumn("t", epoch_seconds("ds") / F.lit(3600.0))
@@ -101,26 +102,26 @@ def seasonal_components(train: DataFrame, periods: int = HORIZON_HOURS, step_sec
 
 
 def forecast_seasonal(train: DataFrame, periods: int = HORIZON_HOURS, step_seconds: int = 3600,
-                      z: float = Z80) -> DataFrame:
+                      z: float = Z80, tasks: int | None = None) -> DataFrame:
     """Trend x seasonality forecast with an 80 % band.
 
     Output ``symbol, ds, y, yhat, yhat_lower, yhat_upper``: every training time
     (``y`` = training value) plus ``periods`` future buckets (``y`` NULL).
     """
-    f = seasonal_components(train, periods, step_seconds)
+    f = seasonal_components(train, periods, step_seconds, tasks)
     band = F.lit(float(z)) * F.col("sd")
     return f.select("symbol", "ds", "y", F.col("fitted").alias("yhat"),
                     (F.col("fitted") - band).alias("yhat_lower"), (F.col("fitted") + band).alias("yhat_upper"))
 
 
-def decompose(train: DataFrame) -> DataFrame:
+def decompose(train: DataFrame, tasks: int | None = None) -> DataFrame:
     """Training rows split into trend, seasonal factor and remainder (M6)."""
-    f = seasonal_components(train, periods=0).filter(F.col("y").isNotNull())
+    f = seasonal_components(train, periods=0, tasks=tasks).filter(F.col("y").isNotNull())
     return f.select("symbol", "ds", "y", "trend", (F.col("i_h") * F.col("i_d")).alias("seasonal"),
                     (F.col("y") - F.col("fitted")).alias("remainder"))
 
 
-def _ar1_frame(train: DataFrame) -> DataFrame:
+def _ar1_frame(train: DataFrame, tasks: int | None = None) -> DataFrame:
     """Training rows with ``x = lag(y)``, a last-row flag and the AR(1) fit of the series.
 
     ``phi, c = regr_slope/regr_intercept(y, x)``; residual variance
@@ -130,7 +131,7 @@ def _ar1_frame(train: DataFrame) -> DataFrame:
     time-ordered whole-series windows over one clustering on ``symbol``.
     """
     w = Window.partitionBy("symbol").orderBy(F.col("ds").asc(), F.col("y").asc_nulls_first())
-    f = cluster_series(train.select("symbol", "ds", "y"))
+    f = cluster_series(train.select("symbol", "ds", "y"), tasks)
     f = f.withColumn("x", F.lag("y").over(w)).withColumn("_last", F.lead(F.lit(1)).over(w).isNull())
     full = _series_window("symbol")
     y, x = F.col("y"), F.col("x")
@@ -151,9 +152,9 @@ def _ar1_frame(train: DataFrame) -> DataFrame:
     )
 
 
-def ar1_params(train: DataFrame) -> DataFrame:
+def ar1_params(train: DataFrame, tasks: int | None = None) -> DataFrame:
     """AR(1) fit per symbol (M4, the model table T10): the last row of each series."""
-    f = _ar1_frame(train).filter(F.col("_last"))
+    f = _ar1_frame(train, tasks).filter(F.col("_last"))
     return f.select("symbol", "n", F.col("y").alias("y_last"), F.col("ds").alias("ds_last"),
                     "phi", "c", "mu", "sigma2", "stationary")
 
@@ -167,7 +168,7 @@ def _ar1_point_band(h: Column, y_last: Column, z: float):
 
 
 def explain_forecast(params: DataFrame, train: DataFrame, periods: int = HORIZON_HOURS,
-                     step_seconds: int = 3600, z: float = Z80) -> DataFrame:
+                     step_seconds: int = 3600, z: float = Z80, tasks: int | None = None) -> DataFrame:
     """History and forecast in one relation from a stored model table.
 
     History rows carry the training value and no band; forecast rows carry
@@ -177,6 +178,7 @@ def explain_forecast(params: DataFrame, train: DataFrame, periods: int = HORIZON
     """
     h = F.col("_h").cast("double")
     point, half = _ar1_point_band(h, F.col("y_last"), z)
+    params = params.repartition(tasks, "symbol") if tasks else params  # dealt as the history is, so the union stays clustered
     fut = params.select("*", F.explode(F.sequence(F.lit(1), F.lit(int(periods)))).alias("_h")).select(
         "symbol",
         F.timestamp_add("SECOND", F.col("_h").cast("long") * int(step_seconds), F.col("ds_last"))
@@ -191,14 +193,14 @@ def explain_forecast(params: DataFrame, train: DataFrame, periods: int = HORIZON
 
 
 def forecast_ar1(train: DataFrame, periods: int = HORIZON_HOURS, step_seconds: int = 3600,
-                 z: float = Z80) -> DataFrame:
+                 z: float = Z80, tasks: int | None = None) -> DataFrame:
     """AR(1) explain-forecast relation for every series (M4), in one pass.
 
     The last row of each series is exploded into itself plus the ``periods``
     forecast rows, so the training frame is read once and never joined with
     its own parameters.
     """
-    f = _ar1_frame(train)
+    f = _ar1_frame(train, tasks)
     steps = F.when(F.col("_last"), F.sequence(F.lit(0), F.lit(int(periods)))).otherwise(F.array(F.lit(0)))
     e = f.select("*", F.explode(steps).alias("_h"))
     h = F.col("_h").cast("double")

@@ -67,6 +67,20 @@ def _bounds(hourly: DataFrame, ts: str = "tumble") -> tuple[Column, Column]:
     return b.agg(F.min("_s")).scalar(), b.agg(F.max("_s")).scalar()
 
 
+#: Rows of the dense table that a task takes, about: whole-series windows and sorts hold up to 1 KB a row.
+TASK_ROWS = 2 ** 18
+
+
+def dense_tasks(hourly: DataFrame, width: int = HOUR, symbol: str = "symbol", ts: str = "tumble") -> int:
+    """Number of tasks for the dense table of ``hourly`` (a stored frame, it is counted): ``spark.sql.shuffle.partitions``, or as many as
+    leave TASK_ROWS rows for each, so that a task's memory does not grow with the number of series."""
+    p = epoch_seconds(ts)
+    series = hourly.select(symbol).distinct().count()
+    ends = hourly.agg(F.min(p).alias("lo"), F.max(p).alias("hi")).where("hi IS NOT NULL")
+    hours = ends.select(F.explode(F.sequence("lo", "hi", F.lit(int(width)).cast("long")))).count()
+    return max(int(hourly.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-series * hours // TASK_ROWS))
+
+
 def spread_keys(keys: DataFrame, key: str) -> DataFrame:
     """Hash-spread a small key frame over ``spark.sql.shuffle.partitions`` partitions.
 
@@ -140,7 +154,8 @@ def _points(hourly: DataFrame, symbol: str, merge: str, clusters: int | None = N
 
 
 def interpolate_hourly(hourly: DataFrame, width: int = HOUR, fill: float | None = 0.0,
-                       edge_flag: bool = False, symbol: str = "symbol", merge: str = "reference") -> DataFrame:
+                       edge_flag: bool = False, symbol: str = "symbol", merge: str = "reference",
+                       tasks: int | None = None) -> DataFrame:
     """Dense hourly table with gaps filled (``batch_hour_interpo``, T5; W1, W2, D4, J2, J3).
 
     Input: hourly means ``(symbol, tumble, mean, count)``, possibly a union of
@@ -155,8 +170,8 @@ def interpolate_hourly(hourly: DataFrame, width: int = HOUR, fill: float | None
     first and last also emit the open ends up to the global bounds). Each
     output row is produced exactly once by the known point that precedes it,
     which is also its left neighbour. The series are spread over an explicit
-    number of partitions, because the explode multiplies rows in a way AQE
-    cannot size in advance.
+    number of partitions (``tasks``, else ``spark.sql.shuffle.partitions``), because
+    the explode multiplies rows in a way AQE cannot size in advance.
 
     A bucket fed by several sources (Q1): ``merge="reference"`` keeps its rows, as
     the union gave them; ``merge="strict"`` makes them one, the mean of all their
@@ -168,7 +183,7 @@ def interpolate_hourly(hourly: DataFrame, width: int = HOUR, fill: float | None
     """
     if merge not in ("reference", "strict"):
         raise ValueError(f"unknown merge {merge!r}")
-    n = int(hourly.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    n = tasks or int(hourly.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     lo, hi = _bounds(hourly, "tumble")
     w_ = F.lit(int(width)).cast("long")
     h = _points(hourly, symbol, merge, n)

@@ -115,7 +115,7 @@ def decompose_series(pos: np.ndarray, y: np.ndarray, period: int = PERIOD, seaso
 
 
 def decompose_local(train: DataFrame, step_seconds: int = 3600, period: int = PERIOD, season_reach: int = SEASON_REACH, trend_reach: int = TREND_REACH,
-                    inner: int = INNER, outer: int = OUTER) -> DataFrame:
+                    inner: int = INNER, outer: int = OUTER, tasks: int | None = None) -> DataFrame:
     """``symbol, ds, y, trend, seasonal, remainder, weight`` of every row of ``train`` (``symbol, ds, y``)."""
 
     def split(rows: pd.DataFrame) -> pd.DataFrame:
@@ -124,5 +124,5 @@ def decompose_local(train: DataFrame, step_seconds: int = 3600, period: int = PE
         parts = decompose_series(rows["pos"].to_numpy(), np.where(np.isfinite(y), y, np.nan), period, season_reach, trend_reach, inner, outer)
         return rows[["symbol", "ds", "y"]].assign(**dict(zip(("trend", "seasonal", "remainder", "weight"), parts)))
 
-    rows = cluster_series(train.select("symbol", "ds", "y")).withColumn("pos", F.floor(epoch_seconds("ds") / F.lit(int(step_seconds))).cast("long"))
+    rows = cluster_series(train.select("symbol", "ds", "y"), tasks).withColumn("pos", F.floor(epoch_seconds("ds") / F.lit(int(step_seconds))).cast("long"))
     return rows.groupBy("symbol").applyInPandas(split, PARTS)

@@ -61,13 +61,14 @@ def collect_series(df: DataFrame) -> DataFrame:
     return df.groupBy("symbol").agg(F.sort_array(F.collect_list(F.struct("ds", "y"))).alias("data"))
 
 
-def forecast_horizon(train: DataFrame, periods: int = HORIZON_HOURS, step_seconds: int = 3600) -> DataFrame:
+def forecast_horizon(train: DataFrame, periods: int = HORIZON_HOURS, step_seconds: int = 3600,
+                     tasks: int | None = None) -> DataFrame:
     """History times plus ``periods`` buckets after each symbol's last time (M2).
 
     Output ``(symbol, ds, is_future)``. The last row of each series is exploded
     into itself and the future buckets, so the frame is read once.
     """
-    n = int(train.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    n = tasks or int(train.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     w = Window.partitionBy("symbol").orderBy(F.col("ds").asc(), F.col("y").asc_nulls_first())
     f = train.select("symbol", "ds", "y").repartition(n, "symbol")
     f = f.withColumn("_last", F.lead(F.lit(1)).over(w).isNull())

@@ -6,6 +6,9 @@ workload is a few hundred series of a few thousand hourly points each.
 
 from __future__ import annotations
 
+from collections.abc import Mapping
+from functools import cached_property
+
 from pyspark.sql import functions as F
 
 from ratecast.functions import ieee_divide, nan_to_null
@@ -24,6 +27,7 @@ from ratecast.plans import sql as S
 from ratecast.plans.registry import register
 from ratecast.sources.fixtures import read_ticks, ticks_from_events
 from ratecast.sources.sinks import json_chunks, materialize, records_of_chunks, sink_bucketed, sink_json_records, sink_replace, table_dir
+from ratecast.session import co_partitioned, co_partitioned_session
 from ratecast.sources.tables import read_table
 
 T5 = "symbol, tumble, date_str, intrp, unfilled, count"
@@ -71,7 +75,8 @@ class _Stage:
 
     def __init__(self, spark, sf, symbol="user_id"):
         self.hourly = materialize(G.hourly_mean(read_ticks(spark, sf, symbol)))
-        self.t5 = G.interpolate_hourly(self.hourly)
+        self.tasks = G.dense_tasks(self.hourly)
+        self.t5 = G.interpolate_hourly(self.hourly, tasks=self.tasks)
         last = self.hourly.agg(F.max("tumble")).scalar()
         self.cut = last - F.expr(f"INTERVAL {TR.HOLDOUT_DAYS} DAYS")
         self.hi = self.cut + F.expr(f"INTERVAL {TR.HORIZON_HOURS} HOURS")
@@ -83,38 +88,92 @@ class _Stage:
         self.train_ar = TR.series_min_length(G.dedupe_hours(self.train, value="y", ts="ds"))
 
 
+class _Frames(Mapping):
+    """Model -> scored table, as serving takes them; a table is written when a request first reads it."""
+
+    def __init__(self, tables):
+        self.tables = tables
+
+    def __getitem__(self, model):
+        return {"PROPHET": lambda: self.tables.scored_seasonal, "ARIMA": lambda: self.tables.scored_ar}[model]()
+
+    def __iter__(self):
+        return iter(SERVED)
+
+    def __len__(self):
+        return len(SERVED)
+
+
 class _Tables:
-    """The scheduled job's tables, written once per application and input and then only read.
+    """The scheduled job's tables, each written once per application and input when it is first asked for, and then only read.
 
     T5 (interpolated), T8 (seasonal forecast), T10 (model parameters), T11
-    (explained AR forecast) and the two scored tables that serving reads. Each is
-    clustered on ``symbol`` and sorted in its files, so a request for a few
-    symbols and a time range reads few row groups.
+    (explained AR forecast) and the scored tables that serving reads. All are dealt on ``symbol`` over ``tasks`` and
+    sorted in their files, so a request for a few symbols and a time range reads few row groups. T5, T8 and T11 are bucketed: the models and
+    the scoring read them as they are dealt, so the rows of the dense table are never shuffled.
     """
 
     written: dict[tuple[str, str], _Tables] = {}
 
     def __init__(self, spark, sf):
-        st = _Stage(spark, sf)
-
-        def write(df, name, ts):
-            path = table_dir(spark, name, fresh=True)
-            return sink_replace(df, path, cluster_by="symbol", sort_within=["symbol", ts])
-
-        self.t5 = write(st.t5, "batch_hour_interpo", "tumble")
-        cut = TR.holdout_cut(self.t5, cut=st.cut)
-        train = TR.series_min_length(TR.to_training_frame(cut))
-        train_ar = TR.series_min_length(G.dedupe_hours(train, value="y", ts="ds"))
-        self.hi = st.hi
-        self.forecast = write(M.forecast_seasonal(train), "forecast_seasonal", "ds")
-        self.params = write(M.ar1_params(train_ar), "ar1_model", "ds_last")
-        self.explained = write(M.explain_forecast(self.params, train_ar), "forecast_ar", "time_series_timestamp")
-        self.frames = {
-            "PROPHET": write(E.forecast_vs_actual(self.forecast, self.t5, hi=st.hi), "scored_seasonal", "ds"),
-            "ARIMA": write(E.arima_vs_actual(self.explained, self.t5, hi=st.hi), "scored_ar", "time_series_timestamp"),
-        }
-        # seen after the writes, which recompute nothing from it later
-        self.split = E.forecast_vs_actual_split(self.forecast, self.t5, hi=st.hi)
+        self.spark, self.stage = spark, _Stage(spark, sf)
+        self.hi, self.tasks, self.names = self.stage.hi, self.stage.tasks, {}
+
+    def _bucketed(self, df, name, ts):
+        path = table_dir(self.spark, name, fresh=True)
+        known = path.rsplit("/", 1)[1].replace("-", "_")
+        table = sink_bucketed(df, path, "symbol", ["symbol", ts], self.tasks, known)
+        self.names[id(table)] = known
+        return table
+
+    def in_buckets(self, *tables):
+        """Bucketed tables as frames whose joins by (symbol, time) stay within the buckets, whatever the session's settings."""
+        spark = co_partitioned_session(self.spark)
+        return [spark.table(self.names[id(table)]) for table in tables]
+
+    def write(self, df, name, ts):
+        with co_partitioned(self.spark):
+            return sink_replace(df, table_dir(self.spark, name, fresh=True), cluster_by="symbol", sort_within=["symbol", ts], tasks=self.tasks)
+
+    @cached_property
+    def t5(self):
+        return self._bucketed(self.stage.t5, "batch_hour_interpo", "tumble")
+
+    @cached_property
+    def train(self):
+        return TR.series_min_length(TR.to_training_frame(TR.holdout_cut(self.t5, cut=self.stage.cut)))
+
+    @cached_property
+    def train_ar(self):
+        return TR.series_min_length(G.dedupe_hours(self.train, value="y", ts="ds"))
+
+    @cached_property
+    def forecast(self):
+        return self._bucketed(M.forecast_seasonal(self.train, tasks=self.tasks), "forecast_seasonal", "ds")
+
+    @cached_property
+    def params(self):
+        return self.write(M.ar1_params(self.train_ar, self.tasks), "ar1_model", "ds_last")
+
+    @cached_property
+    def explained(self):
+        return self._bucketed(M.explain_forecast(self.params, self.train_ar, tasks=self.tasks), "forecast_ar", "time_series_timestamp")
+
+    @cached_property
+    def scored_seasonal(self):
+        return self.write(E.forecast_vs_actual(self.forecast, self.t5, hi=self.hi), "scored_seasonal", "ds")
+
+    @cached_property
+    def scored_ar(self):
+        return self.write(E.arima_vs_actual(self.explained, self.t5, hi=self.hi), "scored_ar", "time_series_timestamp")
+
+    @cached_property
+    def split(self):
+        return self.write(E.forecast_vs_actual_split(self.forecast, self.t5, hi=self.hi), "scored_split", "ds")
+
+    @cached_property
+    def frames(self):
+        return _Frames(self)
 
 
 def _tables(spark, sf) -> _Tables:
@@ -134,12 +193,12 @@ def _train(t5):
 
 def _seasonal(spark, sf):
     st = _Stage(spark, sf)
-    return st, M.forecast_seasonal(st.train)
+    return st, M.forecast_seasonal(st.train, tasks=st.tasks)
 
 
 def _ar(spark, sf):
     st = _Stage(spark, sf)
-    return st, M.forecast_ar1(st.train_ar)
+    return st, M.forecast_ar1(st.train_ar, tasks=st.tasks)
 
 
 @register("holdout_cut", S.with_(*BASE) + f"SELECT {T5} FROM interp WHERE tumble <= (SELECT c FROM train_cut)")
@@ -189,7 +248,8 @@ def q_collect_series(spark, sf):
           S.with_(*BASE, S.future_cte()) +
           "SELECT symbol, ds, false AS is_future FROM train UNION ALL SELECT symbol, ds, true FROM fut")
 def q_forecast_horizon(spark, sf):
-    return TR.forecast_horizon(_Stage(spark, sf).train)
+    st = _Stage(spark, sf)
+    return TR.forecast_horizon(st.train, tasks=st.tasks)
 
 
 @register("attach_history",
@@ -198,8 +258,9 @@ def q_forecast_horizon(spark, sf):
           "LEFT JOIN train t ON t.symbol = h.symbol AND t.ds = h.ds")
 def q_attach_history(spark, sf):
     """Horizon rows merged with the training values on (symbol, ds), never by position."""
-    tr = _Stage(spark, sf).train
-    h = TR.forecast_horizon(tr).select("symbol", "ds")
+    st = _Stage(spark, sf)
+    tr = st.train
+    h = TR.forecast_horizon(tr, tasks=st.tasks).select("symbol", "ds")
     return h.join(tr.hint("merge"), ["symbol", "ds"], "left").select("symbol", "ds", "y")
 
 
@@ -232,7 +293,8 @@ def q_forecast_seasonal(spark, sf):
           "SELECT symbol, ds, y, round(trend, 6) AS trend, round(i_h * i_d, 6) AS seasonal, "
           "round(y - fitted, 6) AS remainder FROM seas WHERE y IS NOT NULL")
 def q_decompose(spark, sf):
-    return _rounded(M.decompose(_Stage(spark, sf).train), "trend", "seasonal", "remainder")
+    st = _Stage(spark, sf)
+    return _rounded(M.decompose(st.train, st.tasks), "trend", "seasonal", "remainder")
 
 
 @register("forecast_ar1", S.with_(*BASE, *AR) + f"SELECT {XF} FROM xf")
@@ -252,7 +314,8 @@ def q_explain_forecast(spark, sf):
           "round(sigma2, 6) AS sigma2, stationary FROM ar_params")
 def q_model_table(spark, sf):
     """Per-series AR(1) parameters written as a table, replaced on each run (K5)."""
-    p = M.ar1_params(_Stage(spark, sf).train_ar)
+    st = _Stage(spark, sf)
+    p = M.ar1_params(st.train_ar, st.tasks)
     t = sink_replace(p, table_dir(spark, "ar1_model", fresh=True))
     return t.select("symbol", "n", "y_last", "ds_last", *[F.round(c, 6).alias(c) for c in ("phi", "c", "mu", "sigma2")],
                     "stationary")
@@ -315,8 +378,8 @@ RMSE = ("rmse", "rmse_upper", "rmse_lower")
 
 def _rmse_spark(spark, sf, by_symbol):
     t = _tables(spark, sf)
-    a = E.forecast_rmse(t.frames["PROPHET"], "ds", by_symbol, hi=t.hi).withColumn("model", F.lit("PROPHET"))
-    b = E.forecast_rmse(t.frames["ARIMA"], "time_series_timestamp", by_symbol, hi=t.hi).withColumn("model", F.lit("ARIMA"))
+    a = E.forecast_rmse(t.scored_seasonal, "ds", by_symbol, hi=t.hi).withColumn("model", F.lit("PROPHET"))
+    b = E.forecast_rmse(t.scored_ar, "time_series_timestamp", by_symbol, hi=t.hi).withColumn("model", F.lit("ARIMA"))
     return _rounded(a.unionByName(b), *RMSE)
 
 
@@ -365,7 +428,7 @@ def _dashboard(scored, ts="ds"):
 
 @register("dashboard_hourly", S.with_(*BASE, *SEAS, S.fva_cte()) + _dashboard_sql("fva", "ds"))
 def q_dashboard_hourly(spark, sf):
-    return _dashboard(_tables(spark, sf).frames["PROPHET"])
+    return _dashboard(_tables(spark, sf).scored_seasonal)
 
 
 @register("dashboard_hourly_split", S.with_(*BASE, *SEAS, SPLIT_CTE) + _dashboard_sql("split", "ds"))
@@ -375,7 +438,7 @@ def q_dashboard_hourly_split(spark, sf):
 
 @register("dashboard_hourly_arima", S.with_(*BASE, *AR, S.ava_cte()) + _dashboard_sql("ava", "time_series_timestamp"))
 def q_dashboard_hourly_arima(spark, sf):
-    return _dashboard(_tables(spark, sf).frames["ARIMA"], "time_series_timestamp")
+    return _dashboard(_tables(spark, sf).scored_ar, "time_series_timestamp")
 
 
 @register("symbol_list", S.with_(S.ticks_cte("user_id"), S.hourly_cte()) + "SELECT DISTINCT symbol FROM hourly ORDER BY symbol")
@@ -387,7 +450,7 @@ def q_symbol_list(spark, sf):
 @register("datestr_range",
           S.with_(*BASE, *SEAS, S.fva_cte()) + f"SELECT {FVA} FROM fva WHERE CAST(date_str AS BIGINT) >= 20240125000000")
 def q_datestr_range(spark, sf):
-    return _rounded(TR.datestr_range(_tables(spark, sf).frames["PROPHET"], 20240125000000), *BANDS)
+    return _rounded(TR.datestr_range(_tables(spark, sf).scored_seasonal, 20240125000000), *BANDS)
 
 
 def _serve_where(ts: str, currencies) -> str:
@@ -541,7 +604,8 @@ LOCAL = ("trend", "seasonal", "remainder", "weight")
 @register("decompose_local", S.with_(*BASE, *LS.ctes()) + "SELECT symbol, ds, y, " + ", ".join(f"round({c}, 3) + 0.0 AS {c}" for c in LOCAL) + " FROM ld")
 def q_decompose_local(spark, sf):
     """Trend, seasonal part and remainder by local regression with robustness weights."""
-    d = L.decompose_local(_Stage(spark, sf).train)
+    st = _Stage(spark, sf)
+    d = L.decompose_local(st.train, tasks=st.tasks)
     return d.select("symbol", "ds", "y", *[(F.round(c, 3) + F.lit(0.0)).alias(c) for c in LOCAL])
 
 
@@ -556,16 +620,11 @@ def q_json_chunks(spark, sf):
 # --- joins without an exchange over bucketed tables (O2, J4, J6) ---
 
 
-def _bucketed(spark, df, name, ts):
-    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    return sink_bucketed(df, table_dir(spark, name, fresh=True), "symbol", ["symbol", ts], n)
-
-
 @register("forecast_vs_actual_bucketed", S.with_(*BASE, *SEAS, S.fva_cte()) + f"SELECT {FVA} FROM fva")
 def q_forecast_vs_actual_bucketed(spark, sf):
     """The forecast table joined with the actuals where both are bucketed by symbol."""
     t = _tables(spark, sf)
-    forecast, actual = _bucketed(spark, t.forecast, "forecast_buckets", "ds"), _bucketed(spark, t.t5, "actual_buckets", "tumble")
+    forecast, actual = t.in_buckets(t.forecast, t.t5)
     return _rounded(E.forecast_vs_actual(forecast, actual, hi=t.hi), *BANDS)
 
 
@@ -573,6 +632,6 @@ def q_forecast_vs_actual_bucketed(spark, sf):
 def q_forecast_rmse_bucketed(spark, sf):
     """The AR forecast joined with the actuals and scored per symbol, all within the buckets."""
     t = _tables(spark, sf)
-    explained, actual = _bucketed(spark, t.explained, "explained_buckets", "time_series_timestamp"), _bucketed(spark, t.t5, "actual_buckets", "tumble")
+    explained, actual = t.in_buckets(t.explained, t.t5)
     scored = E.arima_vs_actual(explained, actual, hi=t.hi)
     return _rounded(E.forecast_rmse(scored, "time_series_timestamp", True, hi=t.hi).withColumn("model", F.lit("ARIMA")), *RMSE)
