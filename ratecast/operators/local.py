@@ -12,8 +12,7 @@ remainder over six times its median) and the turns are run again, OUTER times, s
 little (one that outweighs all neighbours of its phase in the first turn still does). Smoothing is local linear regression with tricube weights
 in a fixed distance; a missing hour is simply not among the neighbours.
 
-Spark deals the series; a series (one row an hour) is one group, smoothed in arrays: one vector step for each of the ``2 reach + 1``
-neighbours, for all rows at once. (As window frames with higher-order functions the same sums took 100 times as long.)
+Spark deals the series; a series (one row an hour) is one group, smoothed in arrays: five correlations over its hours a smoothing. (As window frames with higher-order functions the same sums took 100 times as long.)
 
 Defined cases: null, NaN and infinite values take no part but get trend and seasonal part; several rows of one hour each count;
 a weight is never below FLOOR, so a neighbourhood of outliers is smoothed as it is; near the
@@ -40,25 +39,26 @@ PARTS = "symbol string, ds timestamp_ntz, y double, trend double, seasonal doubl
 
 
 def local_line(at: np.ndarray, value: np.ndarray, weight: np.ndarray, reach: int) -> np.ndarray:
-    """Value at each row of the line fitted to the rows within ``reach`` of it; ``at`` ascends, NaN values take no part."""
+    """Value at each row of the line fitted to the rows within ``reach`` of it; ``at`` ascends, NaN values take no part.
+
+    The five sums of a fit are sums of weight and weighted value by distance: rows are added up by place, and a correlation
+    over the places gives the sums around each. Places between rows far apart are left out.
+    """
     n = len(at)
-    lo, hi = np.searchsorted(at, at - reach, "left"), np.searchsorted(at, at + reach, "right")
+    if not n:
+        return np.zeros(0)
     known = np.isfinite(value)
-    v, w = np.where(known, value, 0.0), np.where(known, weight, 0.0)
-    s0, s1, s2, t0, t1 = np.zeros((5, n))
-    row = np.arange(n)
-    for k in range(int((lo - row).min(initial=0)), int((hi - row).max(initial=0))):
-        i = row[max(0, -k):n - max(0, k)]
-        i = i[(i + k >= lo[i]) & (i + k < hi[i])]
-        j = i + k
-        d = (at[j] - at[i]).astype(float)
-        share = np.abs(d) / (reach + 1.0)
-        u = (1.0 - share ** 3) ** 3 * w[j]
-        s0[i] += u
-        s1[i] += u * d
-        s2[i] += u * d * d
-        t0[i] += u * v[j]
-        t1[i] += u * d * v[j]
+    w = np.where(known, weight, 0.0)
+    # runs farther apart than any neighbours need only ``reach`` empty places between them
+    gap = np.minimum(np.diff(at), reach + 1)
+    place = np.concatenate(([0], np.cumsum(gap)))
+    size = int(place[-1]) + 1
+    ws, vs = np.bincount(place, w, size), np.bincount(place, np.where(known, w * np.where(known, value, 0.0), 0.0), size)
+    d = np.arange(-reach, reach + 1).astype(float)
+    u = (1.0 - (np.abs(d) / (reach + 1.0)) ** 3) ** 3
+    around = lambda x, k: np.convolve(x, k[::-1])[reach:reach + size][place]
+    s0, s1, s2 = around(ws, u), around(ws, u * d), around(ws, u * d * d)
+    t0, t1 = around(vs, u), around(vs, u * d)
     det = s0 * s2 - s1 * s1
     line = det > 1e-9 * s0 * s2
     with np.errstate(invalid="ignore", divide="ignore"):

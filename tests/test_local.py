@@ -110,3 +110,28 @@ def test_edge_cases(spark):
     assert got["one"][0].trend == 5.0 and got["one"][0].seasonal == 0.0
     assert all(r.trend is None or np.isnan(r.trend) for r in got["none"])
     assert L.decompose_local(spark.createDataFrame([], TRAIN)).count() == 0
+
+
+def test_smoothing_takes_a_few_vector_steps():
+    """600 hours in the time of some correlations, whatever the reach; one step a neighbour took several times as long."""
+    import time
+
+    pos, y = np.arange(600), np.random.default_rng(0).normal(100, 30, 600)
+    times = []
+    for _ in range(9):
+        t = time.perf_counter()
+        L.local_line(pos, y, np.ones(600), 200)
+        times.append(time.perf_counter() - t)
+    one = time.perf_counter()
+    for _ in range(5):
+        np.convolve(y, np.ones(401))
+    one = time.perf_counter() - one
+    assert min(times) < 12 * one + 1e-3
+
+
+def test_far_runs_do_not_meet():
+    rng = np.random.default_rng(1)
+    a, b = rng.normal(size=50), rng.normal(size=70)
+    pos = np.concatenate((np.arange(50), 10 ** 9 + np.arange(70)))
+    both = L.local_line(pos, np.concatenate((a, b)), np.ones(120), 23)
+    assert np.allclose(both, np.concatenate((L.local_line(np.arange(50), a, np.ones(50), 23), L.local_line(np.arange(70), b, np.ones(70), 23))))
