@@ -60,18 +60,18 @@ def _lags(frame: DataFrame, value: str, n: int, prefix: str) -> DataFrame:
     return frame.select("*", *[F.lag(value, k).over(w).alias(f"{prefix}{k}") for k in range(1, n + 1)])
 
 
-def _centred(train: DataFrame) -> DataFrame:
+def _centred(train: DataFrame, tasks: int | None = None) -> DataFrame:
     """``symbol, ds, x``: finite values less the series' mean."""
     usable = F.col("y").isNotNull() & ~F.isnan("y") & (F.abs(F.col("y")) < F.lit(float("inf")))
-    rows = cluster_series(train.where(usable).select("symbol", "ds", "y"))
+    rows = cluster_series(train.where(usable).select("symbol", "ds", "y"), tasks)
     w = Window.partitionBy("symbol").orderBy("ds").rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     return rows.select("symbol", "ds", (F.col("y") - F.avg("y").over(w)).alias("x"))
 
 
-def kpss_statistics(train: DataFrame) -> DataFrame:
+def kpss_statistics(train: DataFrame, tasks: int | None = None) -> DataFrame:
     """``symbol, d, n, kpss`` for d = 0 .. MAX_D: KPSS level statistic with an AR(1)-prewhitened long-run variance."""
     far = KPSS_LAGS + 1
-    rows = _lags(_centred(train), "x", far + MAX_D, "x")
+    rows = _lags(_centred(train, tasks), "x", far + MAX_D, "x")
     lagged = [F.col("x"), *[F.col(f"x{k}") for k in range(1, far + MAX_D + 1)]]
     order = Window.partitionBy("symbol").orderBy("ds")
     running = order.rowsBetween(Window.unboundedPreceding, Window.currentRow)
@@ -107,10 +107,10 @@ def kpss_statistics(train: DataFrame) -> DataFrame:
                       .otherwise(F.lit(0.0)).alias("kpss"))
 
 
-def differencing(train: DataFrame, critical: float = KPSS_CRITICAL) -> DataFrame:
+def differencing(train: DataFrame, critical: float = KPSS_CRITICAL, tasks: int | None = None) -> DataFrame:
     """``symbol, d``: the least order whose difference passes the test (MAX_D if none does)."""
     passed = F.min(F.when(F.col("kpss") < critical, F.col("d")))
-    return kpss_statistics(train).groupBy("symbol").agg(F.coalesce(passed, F.lit(MAX_D)).alias("d"))
+    return kpss_statistics(train, tasks).groupBy("symbol").agg(F.coalesce(passed, F.lit(MAX_D)).alias("d"))
 
 
 # Hannan-Rissanen
@@ -144,9 +144,9 @@ def innovations(differenced: DataFrame, lags: int = LONG) -> DataFrame:
     return rows.join(fit, "symbol", "left").select("symbol", "ds", "w", F.when(F.col(f"w{lags}").isNotNull(), F.col("w") - guess).alias("e"))
 
 
-def difference(train: DataFrame, orders: DataFrame | None = None) -> DataFrame:
+def difference(train: DataFrame, orders: DataFrame | None = None, tasks: int | None = None) -> DataFrame:
     """``symbol, ds, w``: each series differenced as often as ``orders`` (``symbol, d``) says (not at all if not given)."""
-    rows = _lags(_centred(train), "x", MAX_D, "x")
+    rows = _lags(_centred(train, tasks), "x", MAX_D, "x")
     if orders is None:
         return rows.select("symbol", "ds", F.col("x").alias("w"))
     lagged = [F.col("x"), F.col("x1"), F.col("x2")]
@@ -370,10 +370,10 @@ def forecast_levels(y: np.ndarray, d: int, p: int, q: int, beta: np.ndarray, per
 # the operators
 
 
-def order_candidates(train: DataFrame) -> DataFrame:
+def order_candidates(train: DataFrame, tasks: int | None = None) -> DataFrame:
     """``symbol, d, candidates`` (array of ``struct<p, q>``); series too short for the search have no candidates."""
-    orders = differencing(train)
-    gram = arma_gram(innovations(difference(train, orders)))
+    orders = differencing(train, tasks=tasks)
+    gram = arma_gram(innovations(difference(train, orders, tasks)))
 
     def rank(gram: pd.Series, yy: pd.Series, n: pd.Series) -> pd.Series:
         g = np.array([[list(r) for r in m] for m in gram], float)
@@ -392,9 +392,9 @@ def _one(y: np.ndarray, d: int, candidates) -> tuple[int, int, np.ndarray, float
     return refined(np.diff(y, n=d), tried)
 
 
-def _by_series(train: DataFrame, fn, schema: str) -> DataFrame:
-    n = int(train.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    rows = train.select("symbol", "ds", "y").join(order_candidates(train), "symbol", "left").repartition(n, "symbol")
+def _by_series(train: DataFrame, fn, schema: str, tasks: int | None = None) -> DataFrame:
+    n = tasks or int(train.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    rows = train.select("symbol", "ds", "y").join(order_candidates(train, tasks), "symbol", "left").repartition(n, "symbol")
     return rows.groupBy("symbol").applyInPandas(fn, schema)
 
 
@@ -405,7 +405,7 @@ def _series(rows: pd.DataFrame) -> tuple[pd.DataFrame, np.ndarray, int, object]:
     return rows, y, min(d, max(len(y) - 1, 0)), rows["candidates"].iloc[0]
 
 
-def arima_model(train: DataFrame) -> DataFrame:
+def arima_model(train: DataFrame, tasks: int | None = None) -> DataFrame:
     """One row a series: chosen orders, constant (of the differenced series), coefficients and innovation variance."""
 
     def fit(rows: pd.DataFrame) -> pd.DataFrame:
@@ -413,10 +413,10 @@ def arima_model(train: DataFrame) -> DataFrame:
         p, q, beta, s2 = _one(y, d, candidates)
         return pd.DataFrame({"symbol": rows["symbol"].iloc[:1], "p": p, "d": d, "q": q, "const": beta[0], "phi": [beta[1:1 + p]], "theta": [beta[1 + p:]], "sigma2": s2})
 
-    return _by_series(train, fit, MODEL)
+    return _by_series(train, fit, MODEL, tasks)
 
 
-def forecast_arima(train: DataFrame, periods: int = HORIZON_HOURS, step_seconds: int = 3600, z: float = Z80) -> DataFrame:
+def forecast_arima(train: DataFrame, periods: int = HORIZON_HOURS, step_seconds: int = 3600, z: float = Z80, tasks: int | None = None) -> DataFrame:
     """Explain-forecast relation (T11): history rows with their value, then ``periods`` forecasts with bands."""
 
     def fit(rows: pd.DataFrame) -> pd.DataFrame:
@@ -433,4 +433,4 @@ def forecast_arima(train: DataFrame, periods: int = HORIZON_HOURS, step_seconds:
         future = pd.DataFrame({"symbol": rows["symbol"].iloc[0], "time_series_timestamp": ahead, "time_series_data": point, lower: point - half, upper: point + half})
         return pd.concat([history.assign(**{lower: np.nan, upper: np.nan}), future], ignore_index=True).astype({lower: float, upper: float})
 
-    return _by_series(train, fit, EXPLAIN_SCHEMA)
+    return _by_series(train, fit, EXPLAIN_SCHEMA, tasks)

@@ -88,6 +88,13 @@ class _Stage:
         self.train_ar = TR.series_min_length(G.dedupe_hours(self.train, value="y", ts="ds"))
 
 
+def _stored_train(spark, sf, average=False):
+    """(training frame, its number of tasks), stored in buckets of ``symbol``: all that fits it by series reads it as it is dealt. ``average``: the AR models' frame."""
+    st = _Stage(spark, sf)
+    train = st.train_ar if average else st.train
+    return sink_bucketed(train, table_dir(spark, "train", fresh=True), "symbol", ["symbol", "ds"], st.tasks), st.tasks
+
+
 class _Frames(Mapping):
     """Model -> scored table, as serving takes them; a table is written when a request first reads it."""
 
@@ -541,7 +548,7 @@ COMPONENTS = ("yhat", "trend", "seasonal")
           "SELECT symbol, ds, y, round(trend * (1 + seasonal), 3) AS yhat, round(trend, 3) AS trend, round(seasonal, 3) AS seasonal FROM cp_scored")
 def q_forecast_changepoint(spark, sf):
     """Point forecast and its parts; three decimals, as the fit solves systems whose last bits follow the order of sums."""
-    train = materialize(_Stage(spark, sf).train)
+    train, _ = _stored_train(spark, sf)
     parts = C.components(train, C.fit_changepoints(train))
     return parts.select("symbol", "ds", "y", *[F.round(c, 3).alias(c) for c in COMPONENTS])
 
@@ -552,7 +559,7 @@ def q_forecast_changepoint(spark, sf):
           "list_transform(delta, lambda x: round(x, 4) + 0.0) AS delta, list_transform(beta, lambda x: round(x, 4) + 0.0) AS beta, round(sigma2, 6) AS sigma2 FROM cp_fit")
 def q_changepoint_model(spark, sf):
     """Parameters of every series: breaks, seasonal coefficients, residual variance (scaled units)."""
-    p = C.fit_changepoints(materialize(_Stage(spark, sf).train))
+    p = C.fit_changepoints(_stored_train(spark, sf)[0])
     short = lambda c: F.transform(c, lambda x: F.round(x, 4) + F.lit(0.0)).alias(c)
     return p.select("symbol", "ymax", F.round(F.get("slope", F.lit(0)), 4).alias("first_slope"), F.round(F.element_at("slope", -1), 4).alias("last_slope"),
                     F.round(F.get("icpt", F.lit(0)), 4).alias("icpt"), short("delta"), short("beta"), F.round("sigma2", 6).alias("sigma2"))
@@ -561,7 +568,7 @@ def q_changepoint_model(spark, sf):
 @register("forecast_changepoint_band")
 def q_forecast_changepoint_band(spark, sf):
     """The forecast table with its simulated band (T8); draws are hashes, which SQL cannot repeat."""
-    return C.forecast_changepoint(materialize(_Stage(spark, sf).train))
+    return C.forecast_changepoint(_stored_train(spark, sf)[0])
 
 
 # --- ARIMA with moving-average terms (M5) ---
@@ -587,13 +594,15 @@ def q_hannan_rissanen(spark, sf):
 @register("arima_model")
 def q_arima_model(spark, sf):
     """Orders, coefficients and variance of every series (T10); refinement follows each series, so no SQL."""
-    return A.arima_model(materialize(_Stage(spark, sf).train_ar))
+    train, tasks = _stored_train(spark, sf, average=True)
+    return A.arima_model(train, tasks)
 
 
 @register("forecast_arima")
 def q_forecast_arima(spark, sf):
     """Explain-forecast relation of the automatic ARIMA."""
-    return A.forecast_arima(materialize(_Stage(spark, sf).train_ar))
+    train, tasks = _stored_train(spark, sf, average=True)
+    return A.forecast_arima(train, tasks=tasks)
 
 
 # --- local decomposition (M6) ---

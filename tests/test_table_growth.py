@@ -63,3 +63,13 @@ def test_ranges_of_a_document_follow_its_rows(spark, monkeypatch):
     df = spark.range(2000).selectExpr("id", "id % 7 AS x")
     text = "".join(r["text"] for r in sinks.json_chunks(df, ["id"], 4096).orderBy("chunk").collect())
     assert parts == [40] and text == "[" + ",".join(f'{{"id":{i},"x":{i % 7}}}' for i in range(2000)) + "]"
+
+
+@pytest.mark.parametrize("name", ["changepoint_model", "forecast_changepoint_band", "forecast_changepoint"])
+def test_the_trend_is_fitted_where_the_series_lie(spark, fresh, monkeypatch, name):
+    seen = []
+    fit = Q.C.fit_changepoints
+    monkeypatch.setattr(Q.C, "fit_changepoints", lambda train, *a, **k: seen.append(train) or fit(train, *a, **k))
+    queries()[name](spark, SF)
+    plan = seen[0].groupBy("symbol").count()._jdf.queryExecution().executedPlan().toString()
+    assert "Bucketed: true" in plan and "Exchange" not in plan
