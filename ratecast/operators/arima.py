@@ -41,6 +41,7 @@ KPSS_CRITICAL = 0.739  # level stationarity, 1 %
 PARSIMONY = 6.0
 CANDIDATES = 3
 RIDGE = 1e-9
+CODE = (MAX_ORDER + 1) ** 2 + 1  # numbers of an order of (p, q), with none
 
 ORDERS = sorted(((p, q) for p in range(MAX_ORDER + 1) for q in range(MAX_ORDER + 1 - p)), key=lambda o: (sum(o), o[1]))
 
@@ -213,22 +214,35 @@ def rank_orders(gram: np.ndarray, yy: np.ndarray, n: np.ndarray) -> list[list[tu
 
 
 def _inverse(theta: np.ndarray, n: int) -> np.ndarray:
-    """Weights of 1 / (1 + theta_1 B + ...), as many as matter."""
-    if not theta.size:
+    """Weights of 1 / (1 + theta_1 B + ...), as many as matter: the first by the recursion, then each turn doubles them."""
+    q = theta.size
+    if not q:
         return np.ones(1)
-    t, h = theta.tolist(), [1.0]
-    for k in range(1, n):
-        x = -sum(c * h[k - 1 - j] for j, c in enumerate(t[:k]))
-        h.append(x)
-        if k >= len(t) and max(map(abs, h[-len(t):])) < 1e-10:
-            break
-    return np.array(h)
+    t, first = theta.tolist(), [1.0]
+    for k in range(1, 16):
+        first.append(-sum([c * x for c, x in zip(t, first[k - 1::-1])]))
+    poly, h = np.concatenate(([1.0], theta)), np.array(first)
+    while len(h) < n and np.abs(h[-q:]).max() >= 1e-10:
+        rest = np.convolve(poly, h)[len(h):]  # what the product has beyond 1
+        h = np.concatenate((h, -np.convolve(h, rest)[:len(h)]))
+    h = h[:n]
+    large = np.flatnonzero(np.abs(h) >= 1e-10)
+    runs = np.flatnonzero(np.diff(large, append=len(h)) > q)  # the first of these is followed by q that don't matter
+    return h[:large[runs[0]] + q + 1] if len(runs) else h
 
 
 def _rooted_outside(coef: np.ndarray) -> bool:
-    """Whether 1 + coef_1 z + ... has all roots clear of the unit circle."""
-    c = np.trim_zeros(np.concatenate((coef[::-1], [1.0])), "f")
-    return len(c) < 2 or np.abs(np.roots(c)).min() > 1.001
+    """Whether 1 + coef_1 z + ... has all roots clear of the unit circle: all reflection coefficients are below 1."""
+    a, scale = [], 1.0
+    for c in coef.tolist():
+        scale *= 1.001
+        a.append(c * scale)
+    while a:
+        k = a.pop()
+        if not abs(k) < 1:
+            return False
+        a = [(x - k * y) / (1 - k * k) for x, y in zip(a, reversed(a))]
+    return True
 
 
 def _filtered(x: np.ndarray, h: np.ndarray) -> np.ndarray:
@@ -394,15 +408,27 @@ def _one(y: np.ndarray, d: int, candidates) -> tuple[int, int, np.ndarray, float
 
 def _by_series(train: DataFrame, fn, schema: str, tasks: int | None = None) -> DataFrame:
     n = tasks or int(train.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    rows = train.select("symbol", "ds", "y").join(order_candidates(train, tasks), "symbol", "left").repartition(n, "symbol")
+    # candidates come with every row: as one number, which Python reads at once for all rows of a series
+    tried = F.aggregate("candidates", F.lit(0).cast("long"), lambda a, c: a * CODE + c["p"] * (MAX_ORDER + 1) + c["q"] + 1)
+    orders = order_candidates(train, tasks).select("symbol", "d", tried.alias("tried"))
+    rows = train.select("symbol", "ds", "y").join(orders, "symbol", "left").repartition(n, "symbol")
     return rows.groupBy("symbol").applyInPandas(fn, schema)
 
 
-def _series(rows: pd.DataFrame) -> tuple[pd.DataFrame, np.ndarray, int, object]:
+def _decoded(tried: float) -> list[dict[str, int]]:
+    out, left = [], 0 if pd.isna(tried) else int(tried)
+    while left:
+        left, code = divmod(left, CODE)
+        p, q = divmod(code - 1, MAX_ORDER + 1)
+        out.append({"p": p, "q": q})
+    return out[::-1]
+
+
+def _series(rows: pd.DataFrame) -> tuple[pd.DataFrame, np.ndarray, int, list[dict[str, int]]]:
     rows = rows.sort_values("ds")
     y = complete(rows["y"].to_numpy(dtype=float))
     d = 0 if pd.isna(rows["d"].iloc[0]) else int(rows["d"].iloc[0])
-    return rows, y, min(d, max(len(y) - 1, 0)), rows["candidates"].iloc[0]
+    return rows, y, min(d, max(len(y) - 1, 0)), _decoded(rows["tried"].iloc[0])
 
 
 def arima_model(train: DataFrame, tasks: int | None = None) -> DataFrame:

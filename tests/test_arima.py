@@ -159,3 +159,36 @@ def test_edge_cases(spark):
     assert all(np.isfinite(r.time_series_data) for k in ("short", "one", "gaps") for r in by[k][-4:])
     assert A.forecast_arima(spark.createDataFrame([], TRAIN), periods=4).count() == 0
     assert A.kpss_statistics(frame(spark, {"flat": [5.0] * 50})).agg(F.max("kpss")).collect()[0][0] == 0.0
+
+
+def test_weights_and_roots_are_as_by_the_recursion_and_the_roots():
+    rng = np.random.default_rng(0)
+    for _ in range(2000):
+        c = rng.normal(0, 0.7, rng.integers(0, 6))
+        roots = np.roots(np.concatenate((c[::-1], [1.0]))) if c.size else np.empty(0)
+        outside = bool((np.abs(roots) > 1.001).all())
+        assert A._rooted_outside(c) == outside
+        if outside:
+            h, want = A._inverse(c, 300), [1.0]
+            for k in range(1, 300):
+                want.append(-sum(x * want[k - 1 - j] for j, x in enumerate(c[:k])))
+            assert np.allclose(np.concatenate((h, np.zeros(300 - len(h)))), want, atol=1e-8)
+
+
+def test_weights_are_not_one_python_step_each():
+    import time
+
+    def best(f):
+        return min((lambda t: (f(), time.perf_counter() - t)[1])(time.perf_counter()) for _ in range(7))
+
+    steps = best(lambda: [x * 0.5 + 0.1 for x in range(20000)])
+    assert best(lambda: A._inverse(np.array([0.999, 0.0, 0.0]), 20000)) < 6 * steps
+
+
+def test_candidates_come_back_from_their_number():
+    for some in ([], [(0, 0)], [(5, 0), (0, 5), (2, 1)]):
+        code = 0
+        for p, q in some:
+            code = code * A.CODE + p * (A.MAX_ORDER + 1) + q + 1
+        assert [(c["p"], c["q"]) for c in A._decoded(float(code))] == some
+    assert A._decoded(float("nan")) == []
