@@ -37,7 +37,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ratecast.llm.bytes_hash import Substrings, blocks, lowered, mix, runs
-from ratecast.llm.common import keyed
+from ratecast.llm.common import keyed, released
 from ratecast.llm.toxicity import WORD
 
 K1, B = 1.2, 0.75
@@ -289,7 +289,7 @@ def hits_of(docs: DataFrame, items: DataFrame, settings: Settings = Settings(),
             mine = part.mapInArrow(term_counts, "term long, words long, first long").select("term").distinct().join(df, "term").collect()
         index = build([r["item_id"] for r in rows], [r["text"] for r in rows],
                       {r["term"] % 2 ** 64: r["df"] for r in mine}, total, words / total, longest)
-        hits = d.mapInArrow(_searcher(index, settings), KEYED_HIT)
+        hits = d.mapInArrow(released(_searcher(index, settings)), KEYED_HIT)
         found = hits if found is None else found.unionByName(hits)
     return found
 

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StructField, StructType
 
 from ratecast.llm.bytes_hash import blocks
+from ratecast.llm.common import released
 
 #: Bound of the sample that a model is fitted on (rows of ``labels``, the first by a hash of doc_id).
 MAX_FIT_DOCS = 6000
@@ -48,7 +49,7 @@ def fit_sample(docs: DataFrame, labels: DataFrame, label: str, features: Feature
                                              names=["doc_id", "label", "found"])
 
     rows = (docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id")  # at most max_docs rows
-            .select("doc_id", "label", "text").mapInArrow(run, "doc_id long, label int, found binary").collect())
+            .select("doc_id", "label", "text").mapInArrow(released(run), "doc_id long, label int, found binary").collect())
     rows.sort(key=lambda r: (r["doc_id"], r["found"]))
     return [np.frombuffer(r["found"], "<i4") for r in rows], np.array([r["label"] for r in rows], np.int8)
 
@@ -80,6 +81,6 @@ def scored(docs: DataFrame, features: Features, score: Callable[[list[np.ndarray
             yield pa.RecordBatch.from_arrays([*b.columns, pa.array(s, pa.float64())], names=[*b.schema.names, "score"])
 
     schema = StructType([*docs.schema.fields, StructField("score", DoubleType())])
-    return (docs.mapInArrow(run, schema).withColumn("held_out", held_out(F.col("doc_id")))
+    return (docs.mapInArrow(released(run), schema).withColumn("held_out", held_out(F.col("doc_id")))
             .withColumn("predicted", (F.col("score") >= threshold).cast("int"))
             .select("doc_id", "text", "held_out", "score", "predicted", *[f"carried.{c}" for c in carry]))

@@ -31,7 +31,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from ratecast.llm.common import stored, tokenizer_path
+from ratecast.llm.common import released, stored, tokenizer_path
 
 CAPACITY, END_ID = 1024, 2
 #: Fixed value: the vocabulary's one special token.
@@ -145,7 +145,7 @@ def pieces(docs: DataFrame, vocabulary: str, capacity: int = CAPACITY, end_id: i
                         rows.append((doc, k, s, n, zlib.crc32(data[4 * s:4 * (s + n)])))
                 yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows), schema)], schema=schema)
 
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, PIECES)
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(released(run), PIECES)
 
 
 def plan(counts: dict[int, int], capacity: int = CAPACITY) -> list[tuple[list[int], int]]:
@@ -233,7 +233,7 @@ def pack(docs: DataFrame, vocabulary: str, capacity: int = CAPACITY, end_id: int
 
     if not counts:
         return spark.createDataFrame([], PLACED)
-    return ranked.select("doc_id", "piece", "start", "length", "ids_crc32", "rank").mapInArrow(place, PLACED)
+    return ranked.select("doc_id", "piece", "start", "length", "ids_crc32", "rank").mapInArrow(released(place), PLACED)
 
 
 PLACED = "doc_id long, piece int, start long, length long, ids_crc32 long, sequence_id long, offset long"
