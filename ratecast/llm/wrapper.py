@@ -5,12 +5,16 @@ the article are taken: those inside ``article`` or ``main`` where a page has
 one, else those outside navigation, headers, footers, asides, forms and of
 nodes named after adverts, notices, comments and the like, with little link text.
 
-What is template is counted over the whole host: a block (its path of tags and
-its text) that stays the same on most of the host's distinct pages with that
-path. Pages with text in the same paths are one layout, and blocks constant
-within a layout with pages enough are template there too. Counts are aggregated
-before they are shuffled; then a host's constant blocks are taken from each of
-its pages, whichever partition it lies in.
+Pages with text in the same paths of tags are one layout. Every distinct page is
+aligned by simple tree matching with two representatives: a page of its host's most
+frequent layout and one of its own layout. A block's slot is the representative's
+block that it is aligned with; a block without one is in the slot of its path. What
+is template is counted over the whole host: a block (its path and its text) that
+stays in one slot on most of the host's distinct pages with that path, or on most of
+those of a layout with pages enough. The same words in changing places are none.
+Trees travel as skeletons (tags and hashes of texts). Counts are aggregated before
+they are shuffled; then a host's constant blocks are taken from each of its pages,
+whichever partition it lies in.
 
 Pages with the same whole slot text are copies; each distinct page is
 counted once as evidence of what the template is, so copied articles are kept.
@@ -31,11 +35,12 @@ import sys
 from collections import Counter
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ratecast.llm.common import sized, stored
+from ratecast.llm.common import released, sized, stored
 from ratecast.llm.url_tree import host_of
 
 #: Pages parsed at once.
@@ -46,6 +51,8 @@ FRAMES = 10 ** 7
 PATH_CHARS = 1000
 #: Template: on so many distinct pages at least (of the host, of one layout), and on this share of those with its path.
 HOST_PAGES, LAYOUT_PAGES, SAME_SHARE = 3, 8, 0.6
+#: Bytes of representatives' skeletons up to which they are broadcast; more are joined by shuffling.
+BROADCAST_BYTES = 16 << 20
 
 #: Kinds of elements.
 BLOCKS = frozenset("""address article aside blockquote body center dd details dialog dir div dl dt fieldset
@@ -224,22 +231,24 @@ def _table(x: list[Block], y: list[Block], memo: dict) -> tuple[int, list[tuple[
     size = sum(x[i].size for i, _ in pairs)
     u, v = x[lo:len(x) - hi], y[lo:len(y) - hi]
     if u and v:
-        best = [[0] * (len(v) + 1)]
-        for p in u:
-            last, row = best[-1], [0]
-            for j, q in enumerate(v):
-                row.append(max(last[j + 1], row[j], last[j] + match(p, q, memo)))
-            best.append(row)
+        shape, at = np.unique([q.sig for q in v], return_inverse=True)
+        like = [next(q for q in v if q.sig == k) for k in shape.tolist()]
+        best = np.zeros((len(u) + 1, len(v) + 1), np.int32)
+        gains: dict[int, np.ndarray] = {}
+        for i, p in enumerate(u):
+            if p.sig not in gains:
+                gains[p.sig] = np.array([match(p, q, memo) for q in like], np.int32)[at]
+            best[i + 1, 1:] = np.maximum.accumulate(np.maximum(best[i, 1:], best[i, :-1] + gains[p.sig]))
         i, j = len(u), len(v)
         while i and j:
-            if best[i][j] == best[i - 1][j]:
+            if best[i, j] == best[i - 1, j]:
                 i -= 1
-            elif best[i][j] == best[i][j - 1]:
+            elif best[i, j] == best[i, j - 1]:
                 j -= 1
             else:
                 i, j = i - 1, j - 1
                 pairs.append((lo + i, lo + j))
-        size += best[len(u)][len(v)]
+        size += int(best[-1, -1])
     return size, pairs
 
 
@@ -283,13 +292,69 @@ def _has_main(b: Block) -> bool:
     return False
 
 
-def pieces_of(root: Block, link_share: float = 0.6) -> list[tuple[str, str]]:
-    """(block key, text) of the article's candidates in page order: slots that are not mostly links.
+def preorder(root: Block) -> list[Block]:
+    """The blocks of a tree, each before its children; ``skeleton`` and pieces number them so."""
+    out, todo = [], [root]
+    while todo:
+        b = todo.pop()
+        out.append(b)
+        todo += b.blocks()[::-1]
+    return out
+
+
+def skeleton(root: Block) -> tuple[str, bytes]:
+    """The tree below the root as tags (``!``: out, ``)``: its end), and 32 bits for each block's own text."""
+    tags: list[str] = []
+    todo: list[Block | None] = root.blocks()[::-1]
+    while todo:
+        b = todo.pop()
+        if b is None:
+            tags.append(")")
+            continue
+        tags.append(b.tag + "!" * b.out)
+        todo.append(None)
+        todo += b.blocks()[::-1]
+    own = [digest(b.own) & 0xFFFFFFFF if b.own else 0 for b in preorder(root)]
+    return " ".join(tags), np.array(own, "<u4").tobytes()
+
+
+def from_skeleton(tags: str, own: bytes) -> Block:
+    """A tree to align: ``own`` of its blocks are numbers."""
+    texts = iter(np.frombuffer(own, "<u4").tolist())
+    at = [Block("", False, False)]
+    at[0].own = next(texts)
+
+    def end(b: Block) -> None:
+        kids = b.blocks()
+        b.size = 1 + sum(c.size for c in kids)
+        b.sig = hash((b.tag, b.out, *(c.sig for c in kids)))
+
+    for tag in tags.split():
+        if tag == ")":
+            end(at.pop())
+        else:
+            b = Block(tag.rstrip("!"), tag[-1] == "!", False)
+            b.own = next(texts)
+            at[-1].children.append(b)
+            at.append(b)
+    end(at[0])
+    return at[0]
+
+
+def slots_of(page: Block, like: Block) -> dict[int, int]:
+    """Numbers of the page's blocks to those of the representative's that they are aligned with."""
+    place, slot = ({id(b): i for i, b in enumerate(preorder(t))} for t in (page, like))
+    return {place[id(p)]: slot[id(q)] for p, q in align(page, like, {})}
+
+
+def pieces_of(root: Block, link_share: float = 0.6) -> list[tuple[str, str, int]]:
+    """(block key, text, number of the block) of the article's candidates in page order: slots that are not mostly links.
 
     A key tells a block's path of tags and whole own text; texts of one block have the same key.
     """
     keep = {id(b) for b in slots(root) if not (b.links and b.links > link_share * b.chars and b.tag in ("li", "td", "div", "ul"))}
-    out: list[tuple[str, str]] = []
+    number = {id(b): i for i, b in enumerate(preorder(root))}
+    out: list[tuple[str, str, int]] = []
 
     def walk(b: Block, path: str) -> None:
         path = f"{path}/{b.tag}"
@@ -299,7 +364,7 @@ def pieces_of(root: Block, link_share: float = 0.6) -> list[tuple[str, str]]:
             if isinstance(c, Block):
                 walk(c, path)
             elif id(b) in keep:
-                out.append((f"{path}\n{b.own}", c))
+                out.append((f"{path}\n{b.own}", c, number[id(b)]))
 
     walk(root, "")
     return out
@@ -309,15 +374,17 @@ def digest(*parts: str) -> int:
     return int.from_bytes(hashlib.blake2b("\0".join(parts).encode("utf-8", "surrogatepass"), digest_size=8).digest(), "little", signed=True)
 
 
-def page_facts(page: str) -> tuple[int, int, list[tuple[int, int, str]]]:
-    """(layout, content, pieces) of a page; a piece is (path, block key, text), all but the text as hashes.
+def page_facts(page: str) -> tuple[int, int, list[tuple[int, int, int, str]], tuple[str, bytes]]:
+    """(layout, content, pieces, skeleton) of a page; a piece is (path, block key, number of the block, text), path and key as hashes.
 
     Pages whose text lies in the same set of paths have one layout, pages with the same pieces one content.
     """
     sys.setrecursionlimit(max(sys.getrecursionlimit(), FRAMES))
-    found = [(key.partition("\n")[0], key, text) for key, text in pieces_of(parse(page))]
-    layout = digest(*sorted({path for path, _, _ in found}))
-    return layout, digest(*[key for _, key, _ in found]), [(digest(path), digest(key), text) for path, key, text in found]
+    root = parse(page)
+    found = [(key.partition("\n")[0], key, at, text) for key, text, at in pieces_of(root)]
+    layout = digest(*sorted({path for path, _, _, _ in found}))
+    return (layout, digest(*[key for _, key, _, _ in found]),
+            [(digest(path), digest(key), at, text) for path, key, at, text in found], skeleton(root))
 
 
 def is_constant(pages: int, seen: int, layout: bool) -> bool:
@@ -327,25 +394,75 @@ def is_constant(pages: int, seen: int, layout: bool) -> bool:
 def induce(pages: list[str]) -> list[str]:
     """The article text of every page of one host, by what its pages have in common: ``extract`` without Spark."""
     facts = [page_facts(p) for p in pages]
-    distinct = {content: (layout, pieces) for layout, content, pieces in facts}
+    distinct: dict = {}
+    for layout, content, pieces, tree in facts:
+        held = distinct.get((layout, content))
+        if held is None or tree < held[1]:
+            distinct[layout, content] = ([p[:3] for p in pieces], tree)
+    layouts = Counter(layout for layout, _ in distinct)
+    likes = {layout: distinct[min(k for k in distinct if k[0] == layout)][1] for layout in layouts}
+    if layouts:
+        likes[None] = likes[min(layouts, key=lambda k: (-layouts[k], k))]
     seen, same = Counter(), Counter()
-    for layout, pieces in distinct.values():
+    for (layout, _), (pieces, tree) in distinct.items():
+        page = from_skeleton(*tree)
         for of in (None, layout):
+            slot = slots_of(page, from_skeleton(*likes[of]))
             seen.update((of, path) for path in {p for p, _, _ in pieces})
-            same.update({(of, path, key) for path, key, _ in pieces})
-    constant = {(of, key) for (of, path, key), n in same.items() if is_constant(n, seen[of, path], of is not None)}
-    return ["\n".join(t for _, key, t in pieces if (None, key) not in constant and (layout, key) not in constant)
-            for layout, _, pieces in facts]
+            same.update({(of, slot.get(at, path), path, key) for path, key, at in pieces})
+    constant = {(of, key) for (of, _, path, key), n in same.items() if is_constant(n, seen[of, path], of is not None)}
+    return ["\n".join(t for _, key, _, t in pieces if (None, key) not in constant and (layout, key) not in constant)
+            for layout, _, pieces, _ in facts]
 
 
-def _constants(of: DataFrame, by: list[str], least: int) -> DataFrame:
-    """``*by, keys``: the block keys that are template, from (``*by``, pieces) of distinct pages."""
-    each = of.select(*by, F.explode(F.array_distinct(F.transform("pieces", lambda p: F.struct(p["path"].alias("path"), p["key"].alias("key"))))).alias("p"))
+def _constants(of: DataFrame, by: list[str], slots: str, least: int) -> DataFrame:
+    """``*by, keys``: the block keys that are template, from (``*by``, pieces, slots of the pieces) of distinct pages."""
+    zipped = F.array_distinct(F.zip_with("pieces", slots, lambda p, s: F.struct(s.alias("slot"), p["path"].alias("path"), p["key"].alias("key"))))
+    each = of.where(F.col(slots).isNotNull()).select(*by, F.explode(zipped).alias("p"))
     paths = of.select(*by, F.explode(F.array_distinct(F.transform("pieces", lambda p: p["path"]))).alias("path"))
-    same = each.groupBy(*by, "p.path", "p.key").agg(F.count("*").alias("n")).where(F.col("n") >= least)
+    same = each.groupBy(*by, "p.slot", "p.path", "p.key").agg(F.count("*").alias("n")).where(F.col("n") >= least)
     seen = paths.groupBy(*by, "path").agg(F.count("*").alias("seen"))
     return (same.join(seen, [*by, "path"]).where(F.col("n") >= SAME_SHARE * F.col("seen"))
-            .groupBy(*by).agg(F.collect_list("key").alias("keys")))
+            .groupBy(*by).agg(F.collect_set("key").alias("keys")))
+
+
+def _representatives(distinct: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Skeletons (``host, host_like``) of the most frequent layout and (``host, layout, layout_like``) of each, of those with pages enough."""
+    layouts = stored(distinct.groupBy("host", "layout").agg(F.count("*").alias("n"), F.min_by("tree", "content").alias("like")), "page_layouts")
+    hosts = (layouts.groupBy("host").agg(F.sum("n").alias("n"), F.min_by("like", F.struct(-F.col("n"), F.col("layout"))).alias("host_like"))
+             .where(F.col("n") >= HOST_PAGES).drop("n"))
+    return hosts, layouts.where(F.col("n") >= LAYOUT_PAGES).select("host", "layout", F.col("like").alias("layout_like"))
+
+
+def _short(df: DataFrame, tree: str) -> DataFrame:
+    """``df`` marked for broadcast if its skeletons were found to be small together."""
+    n = df.agg(F.sum(F.length(F.col(tree)["tags"]) + F.length(F.col(tree)["own"]))).first()[0] or 0
+    return F.broadcast(df) if n <= BROADCAST_BYTES else df
+
+
+def aligned(distinct: DataFrame) -> DataFrame:
+    """Distinct pages (``host, layout, pieces``) with the slots of their pieces by the alignment with the host's and the
+    layout's representative (null: it has none)."""
+    hosts, layouts = _representatives(distinct)
+    both = (distinct.join(_short(hosts, "host_like"), "host", "left").join(_short(layouts, "layout_like"), ["host", "layout"], "left")
+            .where(F.col("host_like").isNotNull()))  # a layout with pages enough has a host with pages enough
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sys.setrecursionlimit(max(sys.getrecursionlimit(), FRAMES))
+        for whole in batches:
+            for lo in range(0, whole.num_rows, BATCH_PAGES):
+                b = whole.slice(lo, BATCH_PAGES)
+                found: tuple[list, list] = [], []
+                for pieces, tree, *likes in zip(*(b.column(c).to_pylist() for c in ("pieces", "tree", "host_like", "layout_like"))):
+                    page = from_skeleton(**tree)
+                    for out, like in zip(found, likes):
+                        slot = like and slots_of(page, from_skeleton(**like))
+                        out.append(slot and [slot.get(p["at"], p["path"]) for p in pieces])
+                yield pa.RecordBatch.from_arrays([*(b.column(c) for c in ("host", "layout", "pieces")), *(pa.array(x, pa.list_(pa.int64())) for x in found)],
+                                                 names=["host", "layout", "pieces", "host_slots", "layout_slots"])
+
+    return both.select("host", "layout", "pieces", "tree", "host_like", "layout_like").mapInArrow(
+        released(run), "host string, layout long, pieces array<struct<path: long, key: long, at: int>>, host_slots array<long>, layout_slots array<long>")
 
 
 def extract(pages: DataFrame) -> DataFrame:
@@ -354,24 +471,28 @@ def extract(pages: DataFrame) -> DataFrame:
                      host_of(F.col("url")).alias("host"), F.col("html").cast("string").alias("html"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        piece = pa.struct([("path", pa.int64()), ("key", pa.int64()), ("text", pa.string())])
+        piece = pa.struct([("path", pa.int64()), ("key", pa.int64()), ("at", pa.int32()), ("text", pa.string())])
+        skeletons = pa.struct([("tags", pa.string()), ("own", pa.binary())])
         for b in batches:
             columns = [b.column(i) for i in range(3)]
             for lo in range(0, b.num_rows, BATCH_PAGES):
                 facts = [page_facts(h or "") for h in b.column(3).slice(lo, BATCH_PAGES).to_pylist()]
-                layout, content, found = zip(*facts)
-                found = [[{"path": x, "key": y, "text": t} for x, y, t in f] for f in found]
+                layout, content, found, trees = zip(*facts)
+                found = [[{"path": x, "key": y, "at": i, "text": t} for x, y, i, t in f] for f in found]
+                trees = [{"tags": t, "own": o} for t, o in trees]
                 yield pa.RecordBatch.from_arrays([*(c.slice(lo, BATCH_PAGES) for c in columns), pa.array(layout, pa.int64()),
-                                                  pa.array(content, pa.int64()), pa.array(found, pa.list_(piece))],
-                                                 names=["page_id", "url", "host", "layout", "content", "pieces"])
+                                                  pa.array(content, pa.int64()), pa.array(found, pa.list_(piece)), pa.array(trees, skeletons)],
+                                                 names=["page_id", "url", "host", "layout", "content", "pieces", "tree"])
 
     parsed = stored(p.mapInArrow(run, "page_id long, url string, host string, layout long, content long, "
-                                      "pieces array<struct<path: long, key: long, text: string>>"), "page_pieces")
-    keys = F.transform("pieces", lambda x: F.struct(x["path"].alias("path"), x["key"].alias("key")))
-    # copies have the same pieces, so any of them will do
-    distinct = stored(parsed.groupBy("host", "layout", "content").agg(F.first(keys).alias("pieces")), "page_contents")
-    by_host = sized(stored(_constants(distinct, ["host"], HOST_PAGES).withColumnRenamed("keys", "host_keys"), "host_constants"))
-    by_layout = sized(stored(_constants(distinct, ["host", "layout"], LAYOUT_PAGES).withColumnRenamed("keys", "layout_keys"), "layout_constants"))
+                                      "pieces array<struct<path: long, key: long, at: int, text: string>>, tree struct<tags: string, own: binary>"), "page_pieces")
+    keys = F.transform("pieces", lambda x: F.struct(x["path"].alias("path"), x["key"].alias("key"), x["at"].alias("at")))
+    # copies have the same pieces, but maybe other trees around them
+    distinct = stored(parsed.groupBy("host", "layout", "content").agg(F.min(F.struct(F.col("tree"), keys.alias("pieces"))).alias("m"))
+                      .select("host", "layout", "content", "m.tree", "m.pieces"), "page_contents")
+    slotted = stored(aligned(distinct), "page_slots")
+    by_host = sized(stored(_constants(slotted, ["host"], "host_slots", HOST_PAGES).withColumnRenamed("keys", "host_keys"), "host_constants"))
+    by_layout = sized(stored(_constants(slotted, ["host", "layout"], "layout_slots", LAYOUT_PAGES).withColumnRenamed("keys", "layout_keys"), "layout_constants"))
     none = F.array().cast("array<long>")
     out = parsed.join(by_host, "host", "left").join(by_layout, ["host", "layout"], "left")
     gone = F.concat(F.coalesce("host_keys", none), F.coalesce("layout_keys", none))

@@ -111,3 +111,34 @@ def test_menus_below_any_depth_and_telling_names_inside_an_article():
     page = """<body><div class="side">gone</div><article><h1 class="banner title">T</h1><p class="side effects">one</p>
               <section id="discussion"><p>two</p></section><div class="share">gone</div><div class="comments"><p>gone</p></div></article></body>"""
     assert W.induce([page]) == ["T\none\ntwo"]
+
+
+def recipes(n=40):
+    """Pages of one host without telling names: a constant footer line in one slot, and an ingredient that most lists have, anywhere."""
+    rng = random.Random(5)
+    pages, want = [], []
+    for k in range(n):
+        items = [f"spice {k} {i}" for i in range(rng.randint(6, 12))]
+        if k % 10:
+            items.insert(rng.randint(0, len(items)), "a pinch of salt")
+        pages.append("<body><div>Recipes of the house</div><div><h1>dish {0}</h1><ul>{1}</ul></div><div>All rights reserved</div></body>".format(
+            k, "".join(f"<li>{x}</li>" for x in items)))
+        want.append("\n".join([f"dish {k}", *items]))
+    return pages, want
+
+
+def test_words_that_change_their_slot_are_no_template(spark):
+    pages, want = recipes()
+    assert W.induce(pages) == want
+    rows = [(k, "http://kitchen.example/x", h) for k, h in enumerate(pages)]
+    got = {r.page_id: r.text for r in W.extract(spark.createDataFrame(rows, PAGES).repartition(5)).collect()}
+    assert [got[k] for k in range(len(pages))] == want
+
+
+def test_skeletons_are_aligned_like_their_trees():
+    html = ["<body><div>a</div><ul><li>1<li>2<li>3</ul><nav><p>x</p></nav><p>end", "<body><div>a</div><div>b</div><ul><li>2<li>3</ul><p>end"]
+    a, b = (W.parse(h) for h in html)
+    x, y = (W.from_skeleton(*W.skeleton(t)) for t in (a, b))
+    assert [t.sig for t in W.preorder(a)] == [t.sig for t in W.preorder(x)]
+    assert W.slots_of(a, b) == W.slots_of(x, y) and W.match(a, b, {}) == W.match(x, y, {})
+    assert W.slots_of(a, a) == {i: i for i in range(a.size)}
