@@ -14,8 +14,7 @@ at; rows equal in doc_id and text are one document, each returned; columns other
 
 from __future__ import annotations
 
-import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ratecast.llm.common import join_by_key, keyed
@@ -48,17 +47,12 @@ def repeated_windows(windows: DataFrame) -> DataFrame:
             .where(F.col("first") != F.col("last")).select("a", "b", "first"))
 
 
-def _without(texts: pd.Series, starts: pd.Series) -> pd.DataFrame:
-    out = []
-    for text, at in zip(texts, starts):
-        if at is None:
-            out.append((0, text))
-            continue
-        gone = set()
-        for p in at:
-            gone.update(range(p, p + WINDOW))
-        out.append((len(gone), "\n".join(x for i, x in enumerate(text.split("\n")) if i not in gone)))
-    return pd.DataFrame(out, columns=["n_removed", "kept"])
+def kept_lines(lines: str, starts: str) -> Column:
+    """The lines outside the windows that begin at ``starts`` (ascending, at least one): those before the first, and those between each
+    and the next."""
+    after = F.transform(starts, lambda p, i: F.slice(
+        lines, p + WINDOW + 1, F.greatest(F.lit(0), F.coalesce(F.get(starts, i + 1), F.size(lines)) - p - WINDOW)))
+    return F.flatten(F.concat(F.array(F.slice(lines, F.lit(1), F.get(starts, F.lit(0)))), after))
 
 
 def line_dedup(docs: DataFrame, *carry: str) -> DataFrame:
@@ -69,10 +63,11 @@ def line_dedup(docs: DataFrame, *carry: str) -> DataFrame:
     later = (w.join(r, (F.col("w.a") == F.col("r.a")) & (F.col("w.b") == F.col("r.b")))
              .where(F.struct("w.doc_id", "w.text_key", "w.pos") != F.col("r.first"))
              .groupBy("w.doc_id", "w.text_key").agg(F.collect_set("w.pos").alias("starts")))
-    cut = F.pandas_udf(_without, "n_removed int, kept string")
-    return (join_by_key(docs, later, "left").select("doc_id", "text_key", "text", *carry, cut("text", "starts").alias("cut"))
-            .select("doc_id", "text_key", F.col("cut.kept").alias("text"),
-                    F.size(F.split("text", "\n")).alias("n_lines"), "cut.n_removed", *carry))
+    cut = (join_by_key(docs, later, "left")
+           .select("doc_id", "text_key", "text", F.split("text", "\n").alias("lines"), F.array_sort("starts").alias("starts"), *carry)
+           .withColumn("kept", F.when(F.col("starts").isNotNull(), kept_lines("lines", "starts"))))
+    return cut.select("doc_id", "text_key", F.coalesce(F.array_join("kept", "\n"), "text").alias("text"), F.size("lines").alias("n_lines"),
+                      F.when(F.col("kept").isNull(), 0).otherwise(F.size("lines") - F.size("kept")).alias("n_removed"), *carry)
 
 
 #: The same result in DuckDB, on the lines themselves.

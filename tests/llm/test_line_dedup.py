@@ -47,3 +47,12 @@ def test_repeated_rows_are_one_document(docs):
 
 def test_empty_table(docs):
     assert line_dedup(docs([])).count() == 0
+
+
+def test_lines_are_cut_without_python_workers(docs):
+    rows = [(1, "a\nb\nc\nd\ne\nf\ng"), (2, "a\nb\nc\nx\ne\nf\ng\ny\na\nb\nc"), (3, "e\nf\ng"), (4, "u\nb\nc\nd\ne\n"), (5, None)]
+    df = line_dedup(docs(rows))
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert "Python" not in plan and "Arrow" not in plan
+    assert {r.doc_id: (r.text, r.n_lines, r.n_removed) for r in df.collect()} == {
+        1: ("a\nb\nc\nd\ne\nf\ng", 7, 0), 2: ("x\ny", 11, 9), 3: ("", 3, 3), 4: ("u\n", 6, 4), 5: ("", 1, 0)}
