@@ -15,6 +15,8 @@ from ratecast.llm.common import released
 
 #: Bound of the sample that a model is fitted on (rows of ``labels``, the first by a hash of doc_id).
 MAX_FIT_DOCS = 6000
+#: Texts whose features a task holds at once, and bytes of them hashed at once (a longer text alone).
+SLICE_TEXTS, SLICE_BYTES = 256, 1 << 19
 #: One text -> sorted distinct feature numbers of each text of a block: (owner, feature).
 Features = Callable[[np.ndarray, np.ndarray], tuple[np.ndarray, np.ndarray]]
 
@@ -26,11 +28,18 @@ def held_out(doc_id: Column) -> Column:
 
 def text_features(texts: list, features: Features) -> Iterator[np.ndarray]:
     """The features of every text, in order."""
-    for _, data, offsets in blocks((t or "").encode() for t in texts):
+    for _, data, offsets in blocks(((t or "").encode() for t in texts), SLICE_BYTES):
         owner, value = features(data, offsets)
         yield from np.split(value, np.searchsorted(owner, np.arange(1, len(offsets) - 1)))
 
 
+def slices(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The rows in batches of at most SLICE_TEXTS."""
+    for b in batches:
+        for at in range(0, b.num_rows, SLICE_TEXTS):
+            yield b.slice(at, SLICE_TEXTS)
+
+
 def fit_sample(docs: DataFrame, labels: DataFrame, label: str, features: Features,
                max_docs: int = MAX_FIT_DOCS) -> tuple[list[np.ndarray], np.ndarray]:
     """Features and labels of at most ``max_docs`` labelled documents outside the held-out fifth.
@@ -43,7 +52,7 @@ def fit_sample(docs: DataFrame, labels: DataFrame, label: str, features: Feature
               .orderBy(F.xxhash64("doc_id"), "doc_id").limit(max_docs))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in slices(batches):
             found = [f.astype("<i4").tobytes() for f in text_features(b.column("text").to_pylist(), features)]
             yield pa.RecordBatch.from_arrays([b.column("doc_id"), b.column("label"), pa.array(found, pa.binary())],
                                              names=["doc_id", "label", "found"])
@@ -76,8 +85,8 @@ def scored(docs: DataFrame, features: Features, score: Callable[[list[np.ndarray
     docs = docs.select("doc_id", "text", F.struct(*[F.col(c) for c in carry] or [F.lit(0)]).alias("carried"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            s = score(list(text_features(b.column("text").to_pylist(), features))) if b.num_rows else np.empty(0)
+        for b in slices(batches):
+            s = score(list(text_features(b.column("text").to_pylist(), features)))
             yield pa.RecordBatch.from_arrays([*b.columns, pa.array(s, pa.float64())], names=[*b.schema.names, "score"])
 
     schema = StructType([*docs.schema.fields, StructField("score", DoubleType())])

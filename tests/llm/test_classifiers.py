@@ -4,7 +4,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from ratecast.llm import quality, queries, toxicity
+from ratecast.llm import labelled, quality, queries, toxicity
 
 SF = "/root/testdata/sf0.1"
 
@@ -70,3 +70,14 @@ def test_factorization_machine_learns_a_pair():
     weights = dict(zip(m.terms.tolist(), range(len(m.terms))))
     assert m.factor[weights[10]] @ m.factor[weights[20]] > 0.2
     assert auc(m.scores(found), np.array(y)) > 0.98
+
+
+def test_a_task_holds_the_features_of_few_texts(spark):
+    def score(found):
+        assert len(found) <= 256, len(found)
+        return np.array([float(f.size) for f in found])
+
+    df = spark.range(3000).coalesce(1).selectExpr("id as doc_id", "repeat('word ', int(id % 7)) as text")
+    got = labelled.scored(df, quality.features, score, 0.5).collect()
+    want = {t: f.size for t, f in zip([k * "word " for k in range(7)], labelled.text_features([k * "word " for k in range(7)], quality.features))}
+    assert len(got) == 3000 and all(r.score == want[r.text] for r in got)
