@@ -1,9 +1,9 @@
 """Automatic ARIMA with moving-average terms per series (M5, ``auto_arima``, max order 5).
 
-Orders are found from sums that Spark aggregates, so no series is gathered for the search:
+Series are handled in blocks of some hundred, as columns of arrays (``series_blocks``, ``arima_blocks``):
 
 1. the order ``d`` of differencing, by a KPSS test of the series and its
-   differences, from one window (running sum and lags) and its sums of products; the long-run variance is prewhitened by an
+   differences; the long-run variance is prewhitened by an
    AR(1), so a strongly correlated but stationary series is not differenced;
 2. Hannan-Rissanen, first stage: a long autoregression by normal equations, whose residuals
    stand for the innovations;
@@ -13,8 +13,8 @@ Orders are found from sums that Spark aggregates, so no series is gathered for t
 
 Only then conditional least squares (Gauss-Newton on the innovations, which follows the recursion through the ordered
 series) refines the few best orders of a series (CANDIDATES) and, step by step, the neighbours of the best by AICc;
-forecasts and bands follow from the psi weights. That last step is one Python group a series: its size is
-the number of hours.
+forecasts and bands follow from the psi weights. ``arima_model`` refines a block's series together, ``forecast_arima`` one Python group a
+series; the size of a series is the number of hours.
 
 Missing and infinite values are put on the line between their neighbours before that step; in the sums, rows with a
 missing lag are left out. Defined cases: a series too short for the long autoregression gets ARIMA(0, d, 0);
@@ -25,12 +25,16 @@ from __future__ import annotations
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ratecast.operators.ar_auto import EXPLAIN_SCHEMA, complete
+from ratecast.operators.arima_blocks import EXACT, arma_columns, kpss_values, least_squares, regressors, residuals
+from ratecast.operators.arima_blocks import css as blockwise_css
 from ratecast.operators.changepoint import solve_spd
 from ratecast.operators.forecast import Z80, cluster_series
+from ratecast.operators.series_blocks import columns, dot, first_of, gram, inside, like_lengths, map_series, solve, together, values
 from ratecast.operators.training import HORIZON_HOURS
 
 # Fixed values of the order search.
@@ -40,6 +44,7 @@ KPSS_LAGS = 12     # lags of the long-run variance at most
 KPSS_CRITICAL = 0.739  # level stationarity, 1 %
 PARSIMONY = 6.0
 CANDIDATES = 3
+FEW = 4            # series up to which they are refined one by one
 RIDGE = 1e-9
 CODE = (MAX_ORDER + 1) ** 2 + 1  # numbers of an order of (p, q), with none
 
@@ -61,51 +66,35 @@ def _lags(frame: DataFrame, value: str, n: int, prefix: str) -> DataFrame:
     return frame.select("*", *[F.lag(value, k).over(w).alias(f"{prefix}{k}") for k in range(1, n + 1)])
 
 
+def _usable(train: DataFrame) -> DataFrame:
+    """Rows with a finite value."""
+    return train.where(F.col("y").isNotNull() & ~F.isnan("y") & (F.abs(F.col("y")) < F.lit(float("inf"))))
+
+
 def _centred(train: DataFrame, tasks: int | None = None) -> DataFrame:
     """``symbol, ds, x``: finite values less the series' mean."""
-    usable = F.col("y").isNotNull() & ~F.isnan("y") & (F.abs(F.col("y")) < F.lit(float("inf")))
-    rows = cluster_series(train.where(usable).select("symbol", "ds", "y"), tasks)
+    rows = cluster_series(_usable(train).select("symbol", "ds", "y"), tasks)
     w = Window.partitionBy("symbol").orderBy("ds").rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     return rows.select("symbol", "ds", (F.col("y") - F.avg("y").over(w)).alias("x"))
 
 
 def kpss_statistics(train: DataFrame, tasks: int | None = None) -> DataFrame:
     """``symbol, d, n, kpss`` for d = 0 .. MAX_D: KPSS level statistic with an AR(1)-prewhitened long-run variance."""
-    far = KPSS_LAGS + 1
-    rows = _lags(_centred(train, tasks), "x", far + MAX_D, "x")
-    lagged = [F.col("x"), *[F.col(f"x{k}") for k in range(1, far + MAX_D + 1)]]
-    order = Window.partitionBy("symbol").orderBy("ds")
-    running = order.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    lags = [_differenced(lagged, d)[:far + 1] for d in range(MAX_D + 1)]
-    rows = rows.select("symbol", "ds", F.row_number().over(order).cast("double").alias("r"),
-                       *[c.alias(f"w{d}_{k}") for d, w in enumerate(lags) for k, c in enumerate(w)])
-    rows = rows.select("*", *[F.sum(f"w{d}_0").over(running).alias(f"c{d}") for d in range(MAX_D + 1)])
-
-    def sums(d: int) -> Column:
-        w, c = F.col(f"w{d}_0"), F.col(f"c{d}")
-        t = F.when(w.isNotNull(), F.col("r") - d)
-        zero = F.lit(0.0)
-        return F.struct(F.lit(d).alias("d"), F.count(w).alias("n"), F.coalesce(F.sum(w), zero).alias("s"), F.coalesce(F.sum(F.when(w.isNotNull(), c * c)), zero).alias("cc"),
-                        F.coalesce(F.sum(t * c), zero).alias("tc"), F.coalesce(F.sum(t * t), zero).alias("tt"),
-                        F.array(*[F.coalesce(F.sum(w * F.col(f"w{d}_{k}")), zero) for k in range(far + 1)]).alias("products"))
-
-    one = rows.groupBy("symbol").agg(*[sums(d).alias(f"d{d}") for d in range(MAX_D + 1)])
-    out = one.select("symbol", F.explode(F.array(*[f"d{d}" for d in range(MAX_D + 1)])).alias("o")).select("symbol", "o.*").where("n > 0")
-    n = F.col("n").cast("double")
-    mean = F.col("s") / n
-    gamma = [F.get("products", F.lit(k)) / n - mean * mean for k in range(far + 1)]
-    top = 1 - 2 / F.sqrt(n)
-    raw = F.when(gamma[0] > 0, gamma[1] / gamma[0]).otherwise(F.lit(0.0))
-    rho = F.greatest(F.least(raw, top), -top)
-    white = [(1 + rho * rho) * gamma[k] - rho * (gamma[k + 1] + gamma[abs(k - 1)]) for k in range(far)]
-    width = F.least(F.floor(4 * F.pow(n / 100, F.lit(0.25))), F.lit(KPSS_LAGS)).cast("double")
-    long_run = white[0]
-    for k in range(1, far):
-        long_run = long_run + 2 * F.greatest(1 - F.lit(float(k)) / (width + 1), F.lit(0.0)) * white[k]
-    long_run = F.greatest(long_run, 1e-3 * white[0]) / ((1 - rho) * (1 - rho))
-    squares = F.col("cc") - 2 * mean * F.col("tc") + mean * mean * F.col("tt")
-    return out.select("symbol", "d", "n", F.when((gamma[0] > RIDGE * RIDGE) & (long_run > 0) & (n > 3), squares / (n * n * long_run))
-                      .otherwise(F.lit(0.0)).alias("kpss"))
+
+    def statistics(table: pa.Table, cuts: np.ndarray) -> pa.RecordBatch:
+        y, start, n = values(table, "y"), cuts[:-1], np.diff(cuts)
+        kpss = np.zeros((MAX_D + 1, len(n)))
+        for some in like_lengths(n):
+            x = columns(y, start[some], n[some])
+            x = (x - x.sum(0) / n[some]) * inside(n[some], len(x))
+            for d in range(MAX_D + 1):
+                left = np.maximum(n[some] - d, 0)
+                kpss[d, some] = kpss_values(np.diff(x, n=d, axis=0) * inside(left, max(len(x) - d, 0)), left, KPSS_LAGS, RIDGE * RIDGE)
+        d, of = np.nonzero(n > np.arange(MAX_D + 1)[:, None])
+        return pa.RecordBatch.from_arrays([first_of(table, "symbol", start[of]), pa.array(d.astype(np.int32)),
+                                           pa.array((n[of] - d).astype(np.int64)), pa.array(kpss[d, of])], names=["symbol", "d", "n", "kpss"])
+
+    return map_series(together(_usable(train), tasks, "y"), statistics, "symbol string, d int, n long, kpss double")
 
 
 def differencing(train: DataFrame, critical: float = KPSS_CRITICAL, tasks: int | None = None) -> DataFrame:
@@ -133,16 +122,21 @@ def _ridged(gram: Column) -> Column:
     return F.transform(gram, lambda r, i: F.transform(r, lambda x, j: F.when(i == j, x * (1 + RIDGE) + RIDGE).otherwise(x)))
 
 
-def innovations(differenced: DataFrame, lags: int = LONG) -> DataFrame:
-    """``symbol, ds, w, e``: residuals of the autoregression of ``lags`` terms with a constant (first stage); the first rows have none."""
-    rows = _lags(differenced, "w", lags, "w").withColumn("one", F.lit(1.0))
-    columns = ["one", *[f"w{k}" for k in range(1, lags + 1)]]
-    full = rows.where(F.col(f"w{lags}").isNotNull())
-    fit = _gram(full, columns, "w").select("symbol", solve_spd(_ridged(F.col("gram")), len(columns)).alias("a"))
-    guess = F.lit(0.0)
-    for i, c in enumerate(columns):
-        guess = guess + F.get("a", F.lit(i)) * F.col(c)
-    return rows.join(fit, "symbol", "left").select("symbol", "ds", "w", F.when(F.col(f"w{lags}").isNotNull(), F.col("w") - guess).alias("e"))
+def innovations(differenced: DataFrame, lags: int = LONG, tasks: int | None = None) -> DataFrame:
+    """``symbol, ds, place, w, e``: residuals of the autoregression of ``lags`` terms with a constant (first stage); the first rows have none."""
+
+    def fit(table: pa.Table, cuts: np.ndarray) -> pa.RecordBatch:
+        flat, start, n = values(table, "w"), cuts[:-1], np.diff(cuts)
+        e, known = np.zeros(len(flat)), np.zeros(len(flat), bool)
+        for some in like_lengths(n):
+            w = columns(flat, start[some], n[some])
+            x = regressors(w, n[some], lags, lags)
+            left = residuals(x, w, least_squares(x, w, RIDGE)[0])
+            t, of = np.nonzero(x[0])
+            e[start[some][of] + t], known[start[some][of] + t] = left[t, of], True
+        return pa.RecordBatch.from_arrays([*[table.column(c).combine_chunks() for c in ("symbol", "ds", "place", "w")], pa.array(e, mask=~known)], names=["symbol", "ds", "place", "w", "e"])
+
+    return map_series(together(differenced, tasks, "w"), fit, "symbol string, ds timestamp_ntz, place int, w double, e double")
 
 
 def difference(train: DataFrame, orders: DataFrame | None = None, tasks: int | None = None) -> DataFrame:
@@ -157,10 +151,27 @@ def difference(train: DataFrame, orders: DataFrame | None = None, tasks: int | N
 
 
 def arma_gram(residuals: DataFrame, order: int = MAX_ORDER) -> DataFrame:
-    """Gram matrix of a constant and ``order`` lags of the series and of the innovations (second stage)."""
-    rows = _lags(_lags(residuals, "w", order, "w"), "e", order, "e").withColumn("one", F.lit(1.0))
-    rows = rows.where(F.col(f"e{order}").isNotNull())
-    return _gram(rows, ["one", *[f"w{k}" for k in range(1, order + 1)], *[f"e{k}" for k in range(1, order + 1)]], "w")
+    """``symbol, gram, yy, n``: rows of the Gram matrix of a constant and ``order`` lags of the series and of the innovations, with the
+    products with the series as last element (second stage); the rows are those of ``innovations`` as they lie."""
+
+    def sums(table: pa.Table, cuts: np.ndarray) -> pa.RecordBatch:
+        flat, noise, start, n = values(table, "w"), values(table, "e"), cuts[:-1], np.diff(cuts)
+        missing = np.add.reduceat(np.isnan(noise), start)  # the first rows
+        found: list[list] = [[], [], [], []]
+        for some in like_lengths(n):
+            w, e = columns(flat, start[some], n[some]), columns(np.nan_to_num(noise), start[some], n[some])
+            x = arma_columns(w, e, n[some], order, 0)
+            rows = np.where(np.arange(len(w))[:, None] >= missing[some] + order, x[0], 0.0)
+            x = [c * rows for c in x]
+            full = np.concatenate((gram(x), np.stack([dot(c, w) for c in x])[:, None]), 1)
+            count = rows.sum(0).astype(np.int64)
+            of = np.flatnonzero(count)
+            for to, part in zip(found, (start[some][of], full[:, :, of].transpose(2, 0, 1), dot(w * rows, w)[of], count[of])):
+                to.extend(part)
+        return pa.RecordBatch.from_arrays([first_of(table, "symbol", np.array(found[0], np.int64)), pa.array([m.tolist() for m in found[1]], pa.list_(pa.list_(pa.float64()))),
+                                           pa.array(found[2], pa.float64()), pa.array(found[3], pa.int64())], names=["symbol", "gram", "yy", "n"])
+
+    return map_series(residuals.select("symbol", "place", "w", "e"), sums, "symbol string, gram array<array<double>>, yy double, n long")
 
 
 def hannan_rissanen(differenced: DataFrame, p: int, q: int, lags: int = LONG) -> DataFrame:
@@ -352,6 +363,68 @@ def refined(w: np.ndarray, candidates: list[tuple[int, int]]) -> tuple[int, int,
     return p, q, *fits[p, q]
 
 
+def refined_all(series: list[np.ndarray], candidates: list[list[tuple[int, int]]]) -> list[tuple[int, int, np.ndarray, float]]:
+    """``refined`` of each series, fitted together with all that try the same order; those that are short, few of their length,
+    constant or fitted without an error (where rounding decides) one by one."""
+    n = np.array([len(w) for w in series], np.int64)
+    out: list[tuple[int, int, np.ndarray, float] | None] = [None] * len(series)
+    for some in like_lengths(n):
+        some = some[n[some] > 3 * LONG]
+        if len(some) > FEW:
+            for k, found in zip(some, _refined_block([series[k] for k in some], [candidates[k] for k in some])):
+                out[k] = found
+    return [found or refined(w, c) for found, w, c in zip(out, series, candidates)]
+
+
+def _refined_block(series: list[np.ndarray], candidates: list[list[tuple[int, int]]]) -> list[tuple[int, int, np.ndarray, float] | None]:
+    """``refined`` of series of like length; None where a system is near singular or a fit is exact."""
+    n = np.array([len(w) for w in series], np.int64)
+    # a constant is a term of every model, so the mean may be taken off first
+    mean = np.array([w.mean() for w in series])
+    w = columns(np.concatenate([x - m for x, m in zip(series, mean)]), np.cumsum(n) - n, n)
+    long = regressors(w, n, LONG, LONG)
+    a, sound = least_squares(long, w)
+    sound &= dot(w, w) > EXACT * n * mean * mean
+    x = arma_columns(w, residuals(long, w, a), n, MAX_ORDER, LONG + MAX_ORDER)
+    products, right = gram(x), np.stack([dot(c, w) for c in x])
+    fits: list[dict] = [{} for _ in series]
+    scores: list[dict] = [{} for _ in series]
+
+    def try_(wanted: dict[tuple[int, int], list[int]]) -> None:
+        for (p, q), places in wanted.items():
+            k = np.array(places)
+            at = [0, *range(1, p + 1), *range(MAX_ORDER + 1, MAX_ORDER + 1 + q)]
+            start, able = solve(products[np.ix_(at, at, k)], right[np.ix_(at, k)])
+            sound[k[~able]] = False
+            k, start = k[able], start[:, able]
+            beta, sse, good = blockwise_css(w[:, k], n[k], p, q, start, MAX_ORDER) if len(k) else (start, np.empty(0), np.empty(0, bool))
+            sound[k[~good]] = False
+            beta[0] += mean[k] * (1 - beta[1:1 + p].sum(0))
+            left = n[k] - MAX_ORDER
+            for i, b, s, m, score in zip(k, beta.T, sse, left, aicc(sse, left.astype(float), 1 + p + q)):
+                fits[i][p, q], scores[i][p, q] = (b, float(s / m)), float(score)
+
+    def wanted(orders: dict[int, list[tuple[int, int]]]) -> dict[tuple[int, int], list[int]]:
+        by: dict[tuple[int, int], list[int]] = {}
+        for i, some in orders.items():
+            for o in dict.fromkeys(some):
+                if sound[i] and o not in scores[i]:
+                    by.setdefault(o, []).append(i)
+        return by
+
+    try_(wanted({i: [*c, (0, 0), (1, 0), (0, 1)] for i, c in enumerate(candidates)}))
+    best: dict[int, tuple[int, int]] = {}
+    while True:
+        least = {i: min(scores[i], key=scores[i].get) for i in np.flatnonzero(sound).tolist()}
+        moved = {i: o for i, o in least.items() if best.get(i) != o}
+        if not moved:
+            break
+        best |= moved
+        try_(wanted({i: neighbours(o) for i, o in moved.items()}))
+    chosen = [parsimonious(scores[i]) if sound[i] else None for i in range(len(series))]
+    return [None if o is None else (*o, *fits[i][o]) for i, o in enumerate(chosen)]
+
+
 def psi_weights(phi: np.ndarray, theta: np.ndarray, d: int, n: int) -> np.ndarray:
     """Weights of past innovations in the level, from phi(B) (1 - B)^d and theta(B)."""
     poly = np.concatenate(([1.0], -phi))
@@ -387,7 +460,7 @@ def forecast_levels(y: np.ndarray, d: int, p: int, q: int, beta: np.ndarray, per
 def order_candidates(train: DataFrame, tasks: int | None = None) -> DataFrame:
     """``symbol, d, candidates`` (array of ``struct<p, q>``); series too short for the search have no candidates."""
     orders = differencing(train, tasks=tasks)
-    gram = arma_gram(innovations(difference(train, orders, tasks)))
+    gram = arma_gram(innovations(difference(train, orders, tasks), tasks=tasks))
 
     def rank(gram: pd.Series, yy: pd.Series, n: pd.Series) -> pd.Series:
         g = np.array([[list(r) for r in m] for m in gram], float)
@@ -406,16 +479,16 @@ def _one(y: np.ndarray, d: int, candidates) -> tuple[int, int, np.ndarray, float
     return refined(np.diff(y, n=d), tried)
 
 
-def _by_series(train: DataFrame, fn, schema: str, tasks: int | None = None) -> DataFrame:
+def _with_orders(train: DataFrame, tasks: int | None = None) -> DataFrame:
+    """``symbol, ds, y, d, tried``, dealt by series."""
     n = tasks or int(train.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     # candidates come with every row: as one number, which Python reads at once for all rows of a series
     tried = F.aggregate("candidates", F.lit(0).cast("long"), lambda a, c: a * CODE + c["p"] * (MAX_ORDER + 1) + c["q"] + 1)
     orders = order_candidates(train, tasks).select("symbol", "d", tried.alias("tried"))
-    rows = train.select("symbol", "ds", "y").join(orders, "symbol", "left").repartition(n, "symbol")
-    return rows.groupBy("symbol").applyInPandas(fn, schema)
+    return train.select("symbol", "ds", "y").join(orders, "symbol", "left").repartition(n, "symbol")
 
 
-def _decoded(tried: float) -> list[dict[str, int]]:
+def _decoded(tried: float | None) -> list[dict[str, int]]:
     out, left = [], 0 if pd.isna(tried) else int(tried)
     while left:
         left, code = divmod(left, CODE)
@@ -434,12 +507,21 @@ def _series(rows: pd.DataFrame) -> tuple[pd.DataFrame, np.ndarray, int, list[dic
 def arima_model(train: DataFrame, tasks: int | None = None) -> DataFrame:
     """One row a series: chosen orders, constant (of the differenced series), coefficients and innovation variance."""
 
-    def fit(rows: pd.DataFrame) -> pd.DataFrame:
-        rows, y, d, candidates = _series(rows)
-        p, q, beta, s2 = _one(y, d, candidates)
-        return pd.DataFrame({"symbol": rows["symbol"].iloc[:1], "p": p, "d": d, "q": q, "const": beta[0], "phi": [beta[1:1 + p]], "theta": [beta[1 + p:]], "sigma2": s2})
+    def fit(table: pa.Table, cuts: np.ndarray) -> pa.RecordBatch:
+        start = cuts[:-1]
+        levels = [complete(y) for y in np.split(values(table, "y"), cuts[1:-1])]
+        order, tried = values(table, "d")[start], first_of(table, "tried", start).to_pylist()
+        d = [min(0 if np.isnan(k) else int(k), max(len(y) - 1, 0)) for k, y in zip(order, levels)]
+        found = refined_all([np.diff(y, n=k) for y, k in zip(levels, d)], [[(c["p"], c["q"]) for c in _decoded(t)] for t in tried])
+        p, q, beta, s2 = zip(*found)
+        lists = pa.list_(pa.float64())
+        return pa.RecordBatch.from_arrays(
+            [first_of(table, "symbol", start), pa.array(p, pa.int32()), pa.array(d, pa.int32()), pa.array(q, pa.int32()), pa.array([b[0] for b in beta], pa.float64()),
+             pa.array([b[1:1 + k] for b, k in zip(beta, p)], lists), pa.array([b[1 + k:] for b, k in zip(beta, p)], lists), pa.array(s2, pa.float64())],
+            names=["symbol", "p", "d", "q", "const", "phi", "theta", "sigma2"])
 
-    return _by_series(train, fit, MODEL, tasks)
+    rows = together(_with_orders(train, tasks), tasks, "y", "d", "tried", order=F.asc_nulls_last("ds"))
+    return map_series(rows.select("symbol", "place", "y", "d", "tried"), fit, MODEL)
 
 
 def forecast_arima(train: DataFrame, periods: int = HORIZON_HOURS, step_seconds: int = 3600, z: float = Z80, tasks: int | None = None) -> DataFrame:
@@ -459,4 +541,4 @@ def forecast_arima(train: DataFrame, periods: int = HORIZON_HOURS, step_seconds:
         future = pd.DataFrame({"symbol": rows["symbol"].iloc[0], "time_series_timestamp": ahead, "time_series_data": point, lower: point - half, upper: point + half})
         return pd.concat([history.assign(**{lower: np.nan, upper: np.nan}), future], ignore_index=True).astype({lower: float, upper: float})
 
-    return _by_series(train, fit, EXPLAIN_SCHEMA, tasks)
+    return _with_orders(train, tasks).groupBy("symbol").applyInPandas(fit, EXPLAIN_SCHEMA)
