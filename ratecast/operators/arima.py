@@ -34,7 +34,7 @@ from ratecast.operators.arima_blocks import EXACT, arma_columns, kpss_values, le
 from ratecast.operators.arima_blocks import css as blockwise_css
 from ratecast.operators.changepoint import solve_spd
 from ratecast.operators.forecast import Z80, cluster_series
-from ratecast.operators.series_blocks import columns, dot, first_of, gram, inside, like_lengths, map_series, solve, together, values
+from ratecast.operators.series_blocks import columns, dot, first_of, gram, inside, like_lengths, map_series, solve, together, types, values
 from ratecast.operators.training import HORIZON_HOURS
 
 # Fixed values of the order search.
@@ -94,7 +94,7 @@ def kpss_statistics(train: DataFrame, tasks: int | None = None) -> DataFrame:
         return pa.RecordBatch.from_arrays([first_of(table, "symbol", start[of]), pa.array(d.astype(np.int32)),
                                            pa.array((n[of] - d).astype(np.int64)), pa.array(kpss[d, of])], names=["symbol", "d", "n", "kpss"])
 
-    return map_series(together(_usable(train), tasks, "y"), statistics, "symbol string, d int, n long, kpss double")
+    return map_series(together(_usable(train), tasks, "y"), statistics, types(train, "symbol") + ", d int, n long, kpss double")
 
 
 def differencing(train: DataFrame, critical: float = KPSS_CRITICAL, tasks: int | None = None) -> DataFrame:
@@ -136,7 +136,7 @@ def innovations(differenced: DataFrame, lags: int = LONG, tasks: int | None = No
             e[start[some][of] + t], known[start[some][of] + t] = left[t, of], True
         return pa.RecordBatch.from_arrays([*[table.column(c).combine_chunks() for c in ("symbol", "ds", "place", "w")], pa.array(e, mask=~known)], names=["symbol", "ds", "place", "w", "e"])
 
-    return map_series(together(differenced, tasks, "w"), fit, "symbol string, ds timestamp_ntz, place int, w double, e double")
+    return map_series(together(differenced, tasks, "w"), fit, types(differenced, "symbol", "ds") + ", place int, w double, e double")
 
 
 def difference(train: DataFrame, orders: DataFrame | None = None, tasks: int | None = None) -> DataFrame:
@@ -171,7 +171,7 @@ def arma_gram(residuals: DataFrame, order: int = MAX_ORDER) -> DataFrame:
         return pa.RecordBatch.from_arrays([first_of(table, "symbol", np.array(found[0], np.int64)), pa.array([m.tolist() for m in found[1]], pa.list_(pa.list_(pa.float64()))),
                                            pa.array(found[2], pa.float64()), pa.array(found[3], pa.int64())], names=["symbol", "gram", "yy", "n"])
 
-    return map_series(residuals.select("symbol", "place", "w", "e"), sums, "symbol string, gram array<array<double>>, yy double, n long")
+    return map_series(residuals.select("symbol", "place", "w", "e"), sums, types(residuals, "symbol") + ", gram array<array<double>>, yy double, n long")
 
 
 def hannan_rissanen(differenced: DataFrame, p: int, q: int, lags: int = LONG) -> DataFrame:

@@ -61,6 +61,11 @@ def map_series(rows: DataFrame, fn: Callable[[pa.Table, np.ndarray], pa.RecordBa
     return rows.mapInArrow(run, schema)
 
 
+def types(frame: DataFrame, *names: str) -> str:
+    """Columns of a frame, as in a schema."""
+    return ", ".join(f"{c} {frame.schema[c].dataType.simpleString()}" for c in names)
+
+
 def values(table: pa.Table, column: str) -> np.ndarray:
     """A column as doubles, null as NaN."""
     return table.column(column).combine_chunks().cast(pa.float64()).to_numpy(zero_copy_only=False)
