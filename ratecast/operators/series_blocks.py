@@ -10,6 +10,7 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyarrow.compute import take
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -73,7 +74,7 @@ def values(table: pa.Table, column: str) -> np.ndarray:
 
 def first_of(table: pa.Table, column: str, start: np.ndarray) -> pa.Array:
     """A column's values in the rows ``start``."""
-    return table.column(column).combine_chunks().take(pa.array(start))
+    return take(table.column(column).combine_chunks(), pa.array(start))
 
 
 def like_lengths(n: np.ndarray) -> Iterator[np.ndarray]:
